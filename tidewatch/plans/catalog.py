@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import timeseries as ts
 from tidewatch.plans import fixtures as fx
+from tidewatch.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -91,3 +92,197 @@ def timeseries_documents_lines(spark, root):
         F.array_join("labels", ",").alias("labels"),
         F.to_json("graphData").alias("graph_data"),
     )
+
+
+# ------------------------------------------------------------ M2/M3: tagging
+
+from tidewatch.functions import fuzzy as fz  # noqa: E402
+from tidewatch.functions.text import ngrams as _ngrams  # noqa: E402
+from tidewatch.operators import tagging as tg  # noqa: E402
+from tidewatch.operators.matching import fuzzy_pairs  # noqa: E402
+from tidewatch.sources import refdata as rd  # noqa: E402
+
+
+def _routed(env: DataFrame) -> DataFrame:
+    return tg.with_tokens(tg.route_source(env)).withColumn("_row", F.col("MessageId"))
+
+
+@register("tokens")
+def tokens(spark, root):
+    m = _routed(fx.docs_envelopes(spark, root))
+    d = F.array_distinct("tok")
+    return m.select(
+        F.col("MessageId").cast("long").alias("doc_id"),
+        F.size("tok").cast("long").alias("n_tokens"),
+        F.size(d).cast("long").alias("n_distinct"),
+        F.md5(F.array_join(d, "|")).alias("tokens_md5"),
+    )
+
+
+@register("ngrams")
+def ngrams(spark, root):
+    m = _routed(fx.docs_envelopes(spark, root))
+    bi, tri = _ngrams("tok", 2), _ngrams("tok", 3)
+    return m.select(
+        F.col("MessageId").cast("long").alias("doc_id"),
+        F.size(bi).cast("long").alias("n_bigrams"),
+        F.size(F.array_distinct(tri)).cast("long").alias("n_trigrams_distinct"),
+        F.md5(F.array_join(bi, "|")).alias("bigrams_md5"),
+    )
+
+
+def _pair_counts(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy(F.col("_row").cast("long").alias("id"), "keyword").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@register("match_keywords_exact")
+def match_keywords_exact(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    return _pair_counts(tg.keyword_pairs(m, fx.part_keywords(spark), fuzzy=False))
+
+
+@register("match_keywords_fuzzy")
+def match_keywords_fuzzy(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    return _pair_counts(tg.keyword_pairs(m, fx.part_keywords(spark), fuzzy=True))
+
+
+@register("match_phrases")
+def match_phrases(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    pairs = tg.keyword_pairs(m, fx.part_keywords(spark), fuzzy=True)
+    return _pair_counts(pairs.filter(F.col("keyword").contains(" ")))
+
+
+@register("match_keywords_docs")
+def match_keywords_docs(spark, root):
+    m = _routed(fx.docs_envelopes(spark, root))
+    return _pair_counts(tg.keyword_pairs(m, fx.doc_keywords(spark), fuzzy=True))
+
+
+def _doc_candidate_pairs(spark, root) -> DataFrame:
+    """Blocked (term, key) pairs of the document vocabulary vs the document
+    dictionary: share a 4-gram, compatible lengths, max length >= 5."""
+    m = _routed(fx.docs_envelopes(spark, root))
+    vocab = m.select(F.col("Language").alias("lang"), F.explode(F.array_distinct("tok")).alias("term")).distinct()
+    keys = fx.doc_keywords(spark).select("lang", F.col("keyword").alias("key"))
+    kg = keys.select("lang", "key", F.explode(fz.grams("key")).alias("gram"))
+    vg = vocab.select("lang", "term", F.explode(fz.grams("term")).alias("gram"))
+    return (
+        vg.join(F.broadcast(kg), ["lang", "gram"])
+        .select("term", "key")
+        .filter(
+            (F.greatest(F.length("term"), F.length("key")) >= 5) & fz.lengths_compatible("term", "key")
+        )
+        .distinct()
+    )
+
+
+@register("lcs_length")
+def lcs_length(spark, root):
+    p = _doc_candidate_pairs(spark, root)
+    return p.select("term", "key", fz.lcs_length("key", "term").cast("long").alias("lcs"))
+
+
+@register("jaro_winkler")
+def jaro_winkler(spark, root):
+    p = _doc_candidate_pairs(spark, root)
+    return p.select("term", "key", F.round(fz.jaro_winkler("key", "term"), 6).alias("jw"))
+
+
+@register("fuzzy_pairs_docs")
+def fuzzy_pairs_docs(spark, root):
+    m = _routed(fx.docs_envelopes(spark, root))
+    vocab = m.select(F.col("Language").alias("lang"), F.explode(F.array_distinct("tok")).alias("term"))
+    keys = fx.doc_keywords(spark).select("lang", F.col("keyword").alias("key"))
+    return fuzzy_pairs(vocab.distinct(), keys).select("lang", "term", "key")
+
+
+def _cats(spark, lines, kind):
+    return rd.load_categories(fx.category_lines(spark, lines), kind)
+
+
+@register("match_groups_any")
+def match_groups_any(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    p = tg.category_pairs(m, _cats(spark, fx.CATEGORY_LINES, "groups"), "groups")
+    return p.select(F.col("_row").cast("long").alias("id"), "category")
+
+
+@register("match_groups_all")
+def match_groups_all(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    p = tg.category_pairs(m, _cats(spark, fx.CATEGORY_ALL_LINES, "groups"), "groups", mode="all")
+    return p.select(F.col("_row").cast("long").alias("id"), "category")
+
+
+@register("match_sectors")
+def match_sectors(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    p = tg.category_pairs(m, _cats(spark, fx.CATEGORY_LINES, "sectors"), "sectors", on_conflict="all")
+    return p.select(F.col("_row").cast("long").alias("id"), "category")
+
+
+@register("match_statuses")
+def match_statuses(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    p = tg.category_pairs(m, _cats(spark, fx.CATEGORY_LINES, "statuses"), "statuses", phrases=False)
+    return p.select(F.col("_row").cast("long").alias("id"), "category")
+
+
+@register("route_source")
+def route_source(spark, root):
+    r = tg.route_source(fx.mixed_envelopes(spark, root))
+    return r.select(
+        F.col("MessageId").cast("long").alias("doc_id"),
+        "Source",
+        "Language",
+        F.md5("Sentence").alias("sentence_md5"),
+    )
+
+
+def _part_type_lines(spark, root) -> DataFrame:
+    p = table(spark, root, "part")
+    return p.select(
+        F.lit("en").alias("lang"),
+        F.concat(F.upper("p_name"), F.lit(" , "), F.col("p_type"), F.lit(",")).alias("value"),
+        F.col("p_partkey").alias("seq"),
+    )
+
+
+@register("keyword_dictionary")
+def keyword_dictionary(spark, root):
+    return rd.load_keywords(_part_type_lines(spark, root))
+
+
+@register("category_dictionary")
+def category_dictionary(spark, root):
+    p = table(spark, root, "part")
+    lines = p.select(
+        F.lit("en").alias("lang"),
+        F.concat_ws(",", "p_brand", "p_name", F.lower("p_type")).alias("value"),
+        F.col("p_partkey").alias("seq"),
+    )
+    cats = rd.resolve_categories(rd.load_categories(lines, "groups"))
+    return cats.select("lang", "keyword", "category")
+
+
+@register("track_list")
+def track_list(spark, root):
+    p = table(spark, root, "part")
+    lines = p.select(F.concat_ws(",", "p_name", "p_type").alias("value"), F.col("p_partkey").alias("seq"))
+    return rd.track_list(lines, cap=400)
+
+
+@register("emit_sentence")
+def emit_sentence(spark, root):
+    env = fx.part_envelopes(spark, root)
+    tagged = tg.tag_messages(env, fx.part_keywords(spark), _cats(spark, fx.CATEGORY_LINES, "groups"))
+    out = tg.emit_sentence(tagged)
+    return out.select(
+        F.col("MessageId").cast("long").alias("id"),
+        F.array_join("Keywords", ",").alias("keywords"),
+        F.array_join("Groups", ",").alias("groups"),
+    )

@@ -66,3 +66,103 @@ def msg_lines(spark: SparkSession, root: str, repeat_keywords: bool = False) ->
 def msg_repeats(spark: SparkSession, root: str) -> DataFrame:
     """``msg_lines`` with every keyword twice (occurrences vs records)."""
     return msg_lines(spark, root, repeat_keywords=True)
+
+
+# ------------------------------------------------------------------ tagging
+
+def docs_envelopes(spark: SparkSession, root: str) -> DataFrame:
+    """``documents`` as pipeline envelopes without NLP output (NLP branch)."""
+    d = table(spark, root, "documents")
+    return d.select(
+        F.col("source"),
+        F.lit(None).cast("string").alias("created_at"),
+        F.struct(
+            F.lit(None).cast("string").alias("created_at"),
+            F.col("doc_id").cast("string").alias("id"),
+            F.lit(None).cast("string").alias("geo"),
+            F.col("lang").alias("lang"),
+            F.col("source").alias("source"),
+            F.col("text").alias("text"),
+            F.col("text").alias("sentence"),
+            F.lit(None).cast("string").alias("user_id"),
+            F.lit(None).cast("long").alias("user_followers_count"),
+            F.lit(None).cast("long").alias("user_friends_count"),
+            F.lit(None).cast("string").alias("user_name"),
+        ).alias("message"),
+    )
+
+
+def mixed_envelopes(spark: SparkSession, root: str) -> DataFrame:
+    """``documents`` over both routes: odd ids arrive as tweets (http source;
+    their Spanish rows carry the language code "in" to exercise P8). The NLP
+    branch reads ``sentence`` (the text with a "nlp: " prefix), tweets read ``text``."""
+    d = table(spark, root, "documents")
+    tweet = (F.col("doc_id") % 2) == 1
+    return d.select(
+        F.col("source"),
+        F.lit(None).cast("string").alias("created_at"),
+        F.struct(
+            F.lit(None).cast("string").alias("created_at"),
+            F.col("doc_id").cast("string").alias("id"),
+            F.lit(None).cast("string").alias("geo"),
+            F.when(tweet & (F.col("lang") == "es"), F.lit("in")).otherwise(F.col("lang")).alias("lang"),
+            F.when(tweet, F.concat(F.lit("http://t/"), F.col("source"))).otherwise(F.col("source")).alias("source"),
+            F.col("text").alias("text"),
+            F.concat(F.lit("nlp: "), F.col("text")).alias("sentence"),
+            F.lit(None).cast("string").alias("user_id"),
+            F.lit(None).cast("long").alias("user_followers_count"),
+            F.lit(None).cast("long").alias("user_friends_count"),
+            F.lit(None).cast("string").alias("user_name"),
+        ).alias("message"),
+    )
+
+
+def part_envelopes(spark: SparkSession, root: str) -> DataFrame:
+    """``part`` names as English messages (NLP branch)."""
+    p = table(spark, root, "part")
+    return p.select(
+        F.lit("parts").alias("source"),
+        F.lit(None).cast("string").alias("created_at"),
+        F.struct(
+            F.lit(None).cast("string").alias("created_at"),
+            F.col("p_partkey").cast("string").alias("id"),
+            F.lit(None).cast("string").alias("geo"),
+            F.lit("en").alias("lang"),
+            F.lit("parts").alias("source"),
+            F.col("p_name").alias("text"),
+            F.col("p_name").alias("sentence"),
+            F.lit(None).cast("string").alias("user_id"),
+            F.lit(None).cast("long").alias("user_followers_count"),
+            F.lit(None).cast("long").alias("user_friends_count"),
+            F.lit(None).cast("string").alias("user_name"),
+        ).alias("message"),
+    )
+
+
+# Test dictionaries of FIXTURES.md (reference data, not messages).
+PART_KEYWORDS = ["widgets", "anvils", "gizmos", "plates", "gears", "rods", "small ring", "hot gear", "bolt"]
+DOC_TERMS = ["thatin", "ononst", "inoran", "hehely", "orantion", "thble", "thing", "nicht"]
+CATEGORY_LINES = ["medical,small ring,gear", "travel,gear,rod"]
+CATEGORY_ALL_LINES = ["smallring,small,ring", "hotgear,hot,gear", "redwidget,red,widget"]
+
+
+def keyword_dict(spark: SparkSession, terms: list[str], lang: str = "en") -> DataFrame:
+    return spark.createDataFrame([(lang, t) for t in terms], "lang string, keyword string")
+
+
+def part_keywords(spark: SparkSession) -> DataFrame:
+    return keyword_dict(spark, PART_KEYWORDS)
+
+
+def doc_keywords(spark: SparkSession) -> DataFrame:
+    """Document terms plus a one-letter variant of each (first letter dropped),
+    for every document language."""
+    rows = []
+    for lang in ("en", "fr", "de", "es"):
+        for t in DOC_TERMS:
+            rows += [(lang, t), (lang, t[1:])]
+    return spark.createDataFrame(rows, "lang string, keyword string")
+
+
+def category_lines(spark: SparkSession, lines: list[str] = CATEGORY_LINES, lang: str = "en") -> DataFrame:
+    return spark.createDataFrame([(lang, v, i + 1) for i, v in enumerate(lines)], "lang string, value string, seq long")

@@ -127,3 +127,162 @@ SELECT d.timespan, l.labels, d.graph_data FROM (
 JOIN (
   SELECT timespan, 'x,' || string_agg({PREFIX} || value, ',' ORDER BY rnk) AS labels
   FROM top GROUP BY timespan) l ON d.timespan = l.timespan"""
+
+
+# ---------------------------------------------------------------- tagging
+
+SPLIT = "'[ ,.]'"
+
+
+def values_table(name: str, cols: str, rows: list[tuple]) -> str:
+    def lit(v):
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return repr(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"{name}({cols}) AS (SELECT * FROM (VALUES {body}) AS v({cols}))"
+
+
+def fuzzy_sql(a: str, b: str, use_jw: bool = True) -> str:
+    """F6 restated in SQL: equality, or common substring of ceil(0.8·max) and JW > 0.5."""
+    mx = f"greatest(length({a}), length({b}))"
+    mn = f"least(length({a}), length({b}))"
+    k = f"(({mx} * 4 + 4) // 5)"
+    cond = (
+        f"({mn} * 5 >= {mx} * 4 AND {mx} >= 5 AND "
+        f"len(list_filter(range(1, length({a}) - {k} + 2), lambda i: contains({b}, substring({a}, i, {k})))) > 0"
+    )
+    if use_jw:
+        cond += f" AND jaro_winkler_similarity({a}, {b}) > 0.5"
+    return f"({a} = {b} OR {cond}))"
+
+
+def candidates_sql(src: str, max_words: int) -> str:
+    """(id, lang, term): distinct tokens and distinct 2..max_words-grams of ``tok``."""
+    parts = [f"SELECT id, lang, unnest(tok) AS term FROM {src}"]
+    for n in range(2, max_words + 1):
+        parts.append(
+            f"SELECT id, lang, unnest(list_transform(range(1, len(tok) - {n} + 2), "
+            f"lambda i: array_to_string(tok[i:i + {n - 1}], ' '))) AS term FROM {src}"
+        )
+    return "SELECT DISTINCT * FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+DOC_TOK = f"""
+dm AS (SELECT doc_id AS id, lang, string_split_regex(lower(text), {SPLIT}) AS tok FROM documents)"""
+
+PART_TOK = f"""
+pm AS (SELECT p_partkey AS id, 'en' AS lang, string_split_regex(lower(p_name), {SPLIT}) AS tok FROM part)"""
+
+TOKENS = f"""WITH {DOC_TOK.strip()},
+u AS (SELECT id, x.v AS v, x.i AS i
+      FROM (SELECT id, unnest(list_transform(tok, lambda v, i: {{'v': v, 'i': i}})) AS x FROM dm)),
+f AS (SELECT id, v, min(i) AS i FROM u GROUP BY id, v),
+d AS (SELECT id, count(*) AS n, md5(string_agg(v, '|' ORDER BY i)) AS h FROM f GROUP BY id)
+SELECT dm.id AS doc_id, CAST(len(dm.tok) AS BIGINT) AS n_tokens, CAST(d.n AS BIGINT) AS n_distinct,
+       d.h AS tokens_md5
+FROM dm JOIN d ON dm.id = d.id"""
+
+NGRAMS = f"""WITH {DOC_TOK.strip()},
+g AS (SELECT id,
+        list_transform(range(1, len(tok)), lambda i: tok[i] || ' ' || tok[i + 1]) AS bi,
+        list_transform(range(1, len(tok) - 1), lambda i: tok[i] || ' ' || tok[i + 1] || ' ' || tok[i + 2]) AS tri
+      FROM dm)
+SELECT id AS doc_id, CAST(len(bi) AS BIGINT) AS n_bigrams,
+       CAST(len(list_distinct(tri)) AS BIGINT) AS n_trigrams_distinct,
+       md5(array_to_string(bi, '|')) AS bigrams_md5
+FROM g"""
+
+
+def keyword_match_sql(msg_cte: str, src: str, dict_rows: list[tuple], fuzzy: bool, where: str = "") -> str:
+    max_words = max(len(k.split(" ")) for _, k in dict_rows)
+    kw = values_table("kw", "lang, keyword", dict_rows)
+    match = fuzzy_sql("kw.keyword", "c.term") if fuzzy else "(kw.keyword = c.term)"
+    return f"""WITH {msg_cte.strip()}, {kw},
+c AS ({candidates_sql(src, max_words)})
+SELECT c.id AS id, kw.keyword AS keyword, count(*) AS n
+FROM c JOIN kw ON c.lang = kw.lang
+WHERE {match} {where}
+GROUP BY c.id, kw.keyword"""
+
+
+def doc_pairs_sql(dict_rows: list[tuple]) -> str:
+    kw = values_table("kw", "lang, key", dict_rows)
+    return f"""WITH {DOC_TOK.strip()}, {kw},
+vocab AS (SELECT DISTINCT lang, unnest(tok) AS term FROM dm),
+kg AS (SELECT lang, key, unnest(list_distinct(list_transform(range(1, length(key) - 2), lambda i: substring(key, i, 4)))) AS gram FROM kw),
+vg AS (SELECT lang, term, unnest(list_distinct(list_transform(range(1, length(term) - 2), lambda i: substring(term, i, 4)))) AS gram FROM vocab WHERE length(term) >= 4),
+pairs AS (SELECT DISTINCT vg.term AS term, kg.key AS key FROM vg JOIN kg ON vg.lang = kg.lang AND vg.gram = kg.gram
+          WHERE greatest(length(vg.term), length(kg.key)) >= 5
+            AND least(length(vg.term), length(kg.key)) * 5 >= greatest(length(vg.term), length(kg.key)) * 4)"""
+
+
+LCS_BODY = """
+SELECT term, key, CAST(list_max(list_transform(range(1, length(key) + 1), lambda L:
+         CASE WHEN L <= length(term) AND len(list_filter(range(1, length(key) - L + 2),
+              lambda i: contains(term, substring(key, i, L)))) > 0 THEN L ELSE 0 END)) AS BIGINT) AS lcs
+FROM pairs"""
+
+JW_BODY = "\nSELECT term, key, round(jaro_winkler_similarity(key, term), 6) AS jw FROM pairs"
+
+
+def fuzzy_pairs_docs_sql(dict_rows: list[tuple]) -> str:
+    kw = values_table("kw", "lang, key", dict_rows)
+    return f"""WITH {DOC_TOK.strip()}, {kw},
+vocab AS (SELECT DISTINCT lang, unnest(tok) AS term FROM dm)
+SELECT v.lang, v.term, kw.key FROM vocab v JOIN kw ON v.lang = kw.lang
+WHERE v.term <> kw.key AND {fuzzy_sql('kw.key', 'v.term')}"""
+
+
+def category_rows(lines: list[str], lang: str = "en") -> list[tuple]:
+    rows = []
+    for seq, line in enumerate(lines, start=1):
+        f = [x.strip() for x in line.lower().split(",")]
+        rows += [(lang, f[0], k, seq) for k in f[1:]]
+    return rows
+
+
+def category_match_sql(lines: list[str], mode: str = "any", phrases: bool = True, on_conflict: str = "last") -> str:
+    rows = category_rows(lines)
+    cat = values_table("cat", "lang, category, keyword, seq", rows)
+    max_words = max(len(r[2].split(" ")) for r in rows) if phrases else 1
+    if on_conflict == "last":
+        table = "SELECT lang, keyword, arg_max(category, seq) AS category FROM cat GROUP BY lang, keyword"
+    else:
+        table = "SELECT DISTINCT lang, keyword, category FROM cat"
+    head = f"""WITH {PART_TOK.strip()}, {cat},
+c AS ({candidates_sql('pm', max_words)}),
+t AS ({table})"""
+    if mode == "any":
+        return head + "\nSELECT DISTINCT c.id AS id, t.category FROM c JOIN t ON c.lang = t.lang AND c.term = t.keyword"
+    return head + """,
+need AS (SELECT lang, category, count(DISTINCT keyword) AS need FROM cat GROUP BY lang, category),
+have AS (SELECT c.id, c.lang, d.category, count(DISTINCT c.term) AS have
+         FROM c JOIN (SELECT DISTINCT lang, keyword, category FROM cat) d ON c.lang = d.lang AND c.term = d.keyword
+         GROUP BY c.id, c.lang, d.category)
+SELECT have.id AS id, have.category FROM have JOIN need ON have.lang = need.lang AND have.category = need.category
+WHERE have.have = need.need"""
+
+
+ROUTE_SOURCE = """
+SELECT doc_id,
+       CASE WHEN doc_id % 2 = 1 THEN 'twitter' ELSE source END AS Source,
+       CASE WHEN doc_id % 2 = 1 AND lang = 'es' THEN 'id' ELSE lang END AS Language,
+       md5(CASE WHEN doc_id % 2 = 1 THEN text ELSE 'nlp: ' || text END) AS sentence_md5
+FROM documents"""
+
+KEYWORD_DICTIONARY = """
+SELECT DISTINCT 'en' AS lang, trim(k) AS keyword
+FROM (SELECT unnest(string_split(lower(upper(p_name) || ' , ' || p_type || ','), ',')) AS k FROM part)"""
+
+CATEGORY_DICTIONARY = """
+WITH lines AS (SELECT p_partkey AS seq, string_split(lower(concat_ws(',', p_brand, p_name, lower(p_type))), ',') AS f FROM part),
+cat AS (SELECT seq, trim(f[1]) AS category, trim(unnest(f[2:])) AS keyword FROM lines)
+SELECT 'en' AS lang, keyword, arg_max(category, seq) AS category FROM cat GROUP BY keyword"""
+
+TRACK_LIST = """
+WITH t AS (SELECT p_partkey AS seq, x.i AS i, trim(lower(x.v)) AS term
+           FROM (SELECT p_partkey, unnest(list_transform(string_split(concat_ws(',', p_name, p_type), ','),
+                                                        lambda v, i: {'v': v, 'i': i})) AS x FROM part)),
+n AS (SELECT row_number() OVER (ORDER BY seq, i) AS pos, term, count(*) OVER () AS total FROM t)
+SELECT CAST(pos AS BIGINT) AS pos, term FROM n WHERE total <= 400 OR pos <= 399"""

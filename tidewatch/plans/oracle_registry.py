@@ -17,3 +17,28 @@ ORACLE["topk_per_timespan_events"] = o.trend_sql("events", o.TOPK_BODY)
 ORACLE["hourly_counts"] = o.trend_sql("events", o.HOURLY_BODY)
 ORACLE["timeseries_documents"] = o.trend_sql("events", o.DOCUMENTS_BODY)
 ORACLE["timeseries_documents_lines"] = o.trend_sql("lines", o.DOCUMENTS_BODY)
+
+# ---- tagging
+from tidewatch.plans import fixtures as _fx  # noqa: E402
+
+_PART_KW = [("en", k) for k in _fx.PART_KEYWORDS]
+_DOC_KW = [(lang, t) for lang in ("en", "fr", "de", "es") for term in _fx.DOC_TERMS for t in (term, term[1:])]
+
+ORACLE["tokens"] = o.TOKENS
+ORACLE["ngrams"] = o.NGRAMS
+ORACLE["match_keywords_exact"] = o.keyword_match_sql(o.PART_TOK, "pm", _PART_KW, fuzzy=False)
+ORACLE["match_keywords_fuzzy"] = o.keyword_match_sql(o.PART_TOK, "pm", _PART_KW, fuzzy=True)
+ORACLE["match_phrases"] = o.keyword_match_sql(o.PART_TOK, "pm", _PART_KW, fuzzy=True, where="AND contains(kw.keyword, ' ')")
+ORACLE["match_keywords_docs"] = o.keyword_match_sql(o.DOC_TOK, "dm", _DOC_KW, fuzzy=True)
+ORACLE["lcs_length"] = o.doc_pairs_sql(_DOC_KW) + o.LCS_BODY
+# jaro_winkler: no SQL oracle. DuckDB scores UTF-8 bytes, ours characters;
+# tests/test_fuzzy.py checks it against a brute-force reference instead.
+ORACLE["fuzzy_pairs_docs"] = o.fuzzy_pairs_docs_sql(_DOC_KW)
+ORACLE["match_groups_any"] = o.category_match_sql(_fx.CATEGORY_LINES)
+ORACLE["match_groups_all"] = o.category_match_sql(_fx.CATEGORY_ALL_LINES, mode="all")
+ORACLE["match_sectors"] = o.category_match_sql(_fx.CATEGORY_LINES, on_conflict="all")
+ORACLE["match_statuses"] = o.category_match_sql(_fx.CATEGORY_LINES, phrases=False)
+ORACLE["route_source"] = o.ROUTE_SOURCE
+ORACLE["keyword_dictionary"] = o.KEYWORD_DICTIONARY
+ORACLE["category_dictionary"] = o.CATEGORY_DICTIONARY
+ORACLE["track_list"] = o.TRACK_LIST
