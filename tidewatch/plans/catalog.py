@@ -286,3 +286,170 @@ def emit_sentence(spark, root):
         F.array_join("Keywords", ",").alias("keywords"),
         F.array_join("Groups", ",").alias("groups"),
     )
+
+
+# ------------------------------------------------------------ M4: geo
+
+from tidewatch.functions import geo as gf  # noqa: E402
+from tidewatch.operators import graph as gr  # noqa: E402
+from tidewatch.operators import locate as lc  # noqa: E402
+
+
+def _r4(c):
+    """Centres are rounded once, to 6 places, where they are computed; outputs
+    only normalise -0.0 (a second rounding would break ties differently)."""
+    return c + F.lit(0.0)
+
+
+def _geo_msgs(spark, root) -> DataFrame:
+    return _routed(fx.geo_customers(spark, root))
+
+
+def _users_a6(spark, root) -> DataFrame:
+    return gr.user_centroid(gr.condense_locations(gr.point_observations(fx.user_obs(spark, root))))
+
+
+@register("bbox_center")
+def bbox_center(spark, root):
+    p = fx.place_json(spark, root).select("c_custkey", gf.bbox_center("place").alias("c"))
+    return p.select("c_custkey", _r4(F.col("c.lat")).alias("lat"), _r4(F.col("c.lon")).alias("lon"))
+
+
+@register("geo_center")
+def geo_center(spark, root):
+    obs = fx.user_obs(spark, root)
+    agg = obs.groupBy("user_id").agg(*gf.centre_aggs("lat", "lon"))
+    c = gf.centre_from_vector("_cx", "_cy", "_cz")
+    return agg.select("user_id", _r4(c["lat"]).alias("lat"), _r4(c["lon"]).alias("lon"))
+
+
+@register("geo_points")
+def geo_points(spark, root):
+    m = _geo_msgs(spark, root)
+    a, b = gf.geo_point("geo", "latlon"), gf.geo_point("geo", "lonlat")
+    return m.select(
+        F.col("MessageId").cast("long").alias("id"),
+        a["lat"].alias("lat_ll"), a["lon"].alias("lon_ll"), b["lat"].alias("lat_gj"), b["lon"].alias("lon_gj"),
+    )
+
+
+def _content(spark, root, prefer_exact):
+    m = _geo_msgs(spark, root)
+    h = lc.locate_by_content(m, fx.gaz_nations(spark, root), prefer_exact=prefer_exact)
+    return h.select(F.col("_row").cast("long").alias("id"), "term", "name", "lat", "lon")
+
+
+@register("locate_by_content")
+def locate_by_content(spark, root):
+    return _content(spark, root, False)
+
+
+@register("locate_by_content_exact_first")
+def locate_by_content_exact_first(spark, root):
+    return _content(spark, root, True)
+
+
+@register("locate_by_user_text")
+def locate_by_user_text(spark, root):
+    m = _geo_msgs(spark, root).filter(~F.col("is_geojson"))
+    h = lc.locate_by_user_text(m, fx.gaz_regions(spark, root))
+    return h.select(F.col("_row").cast("long").alias("id"), "name", "lat", "lon")
+
+
+@register("user_location_join")
+def user_location_join(spark, root):
+    m = _geo_msgs(spark, root)
+    h = lc.lookup_user_location(m, _users_a6(spark, root))
+    return h.select(F.col("_row").cast("long").alias("id"), _r4(F.col("lat")).alias("lat"),
+                    _r4(F.col("lon")).alias("lon"), "confidence")
+
+
+@register("resolve_locations")
+def resolve_locations(spark, root):
+    m = _geo_msgs(spark, root)
+    r = lc.resolve_locations(m, fx.gaz_world(spark, root), _users_a6(spark, root), geo_order="latlon")
+    e = r.select("_row", F.explode("Locations").alias("l"))
+    return e.select(
+        F.col("_row").cast("long").alias("id"), F.col("l.inference_type").alias("inference_type"),
+        _r4(F.col("l.lat")).alias("lat"), _r4(F.col("l.lon")).alias("lon"), F.col("l.probability").alias("probability"),
+    )
+
+
+@register("track_filter")
+def track_filter(spark, root):
+    m = _geo_msgs(spark, root)
+    p = gf.geo_point("geo", "latlon")
+    m = m.withColumn("lat", p["lat"]).withColumn("lon", p["lon"])
+    out = lc.track_filter(m, terms=["asia", "Europe"], langs=["en"], box=(-150.0, -60.0, -60.0, -30.0), combine="any")
+    return out.select(F.col("MessageId").cast("long").alias("id"))
+
+
+# ------------------------------------------------------------ M5: graph
+
+@register("condense_locations")
+def condense_locations(spark, root):
+    c = gr.condense_locations(gr.point_observations(fx.user_obs(spark, root)))
+    return c.select("user_id", "key", "occurrences")
+
+
+@register("user_centroid")
+def user_centroid(spark, root):
+    u = _users_a6(spark, root)
+    return u.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
+                    F.col("location.confidence").alias("confidence"))
+
+
+@register("reply_edges")
+def reply_edges(spark, root):
+    return gr.reply_edges(fx.edges_orders(spark, root), "src", "dst")
+
+
+@register("adjacency")
+def adjacency(spark, root):
+    a = gr.adjacency(gr.reply_edges(fx.edges_orders(spark, root), "src", "dst"))
+    return a.select(
+        "user_id", F.size("replied_to").cast("long").alias("n_to"), F.size("replied_by").cast("long").alias("n_by"),
+        F.md5(F.array_join("replied_to", ",")).alias("to_md5"), F.md5(F.array_join("replied_by", ",")).alias("by_md5"),
+    )
+
+
+def _propagated(spark, root, iterations):
+    return gr.propagate_locations(fx.edges_orders(spark, root), fx.supplier_anchors(spark, root), iterations)
+
+
+def _users_out(users: DataFrame) -> DataFrame:
+    return users.select(
+        "user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
+        F.col("location.confidence").alias("confidence"), F.size("inferred").cast("long").alias("n_inferred"),
+    )
+
+
+@register("propagate_1")
+def propagate_1(spark, root):
+    return _users_out(_propagated(spark, root, 1)["users"])
+
+
+@register("propagate_5")
+def propagate_5(spark, root):
+    return _users_out(_propagated(spark, root, 5)["users"])
+
+
+@register("propagation_metrics")
+def propagation_metrics(spark, root):
+    m = _propagated(spark, root, 5)["metrics"]
+    return m.select(F.col("iteration").cast("int").alias("iteration"), F.col("processed").cast("long").alias("processed"),
+                    F.col("inferences").cast("long").alias("inferences"))
+
+
+@register("merge_users")
+def merge_users(spark, root):
+    old = _users_a6(spark, root)
+    ev = fx.events_k(table(spark, root, "events")).filter((F.col("event_type") == "click") & (F.col("value") >= 300))
+    clicks = ev.select(F.col("user_id").cast("string").alias("user_id"), (F.col("k") - 50).cast("double").alias("lat"),
+                       ((F.col("k") * 3) % 360 - 180).cast("double").alias("lon"))
+    new = gr.user_centroid(gr.condense_locations(gr.point_observations(clicks)), weighted=True).select(
+        "user_id", F.struct(F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon"),
+                            F.lit(0.5).alias("confidence")).alias("location"))
+    m = gr.merge_users(old, new)
+    return m.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
+                    F.col("location.confidence").alias("confidence"))

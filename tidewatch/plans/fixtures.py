@@ -166,3 +166,128 @@ def doc_keywords(spark: SparkSession) -> DataFrame:
 
 def category_lines(spark: SparkSession, lines: list[str] = CATEGORY_LINES, lang: str = "en") -> DataFrame:
     return spark.createDataFrame([(lang, v, i + 1) for i, v in enumerate(lines)], "lang string, value string, seq long")
+
+
+# ---------------------------------------------------------------------- geo
+
+def gaz_regions(spark: SparkSession, root: str) -> DataFrame:
+    r = table(spark, root, "region")
+    return r.select(
+        F.lit("en").alias("lang"), F.lower("r_name").alias("name"),
+        (F.col("r_regionkey") * 10 - 20).cast("double").alias("lat"),
+        (F.col("r_regionkey") * 30 - 60).cast("double").alias("lon"),
+        F.col("r_regionkey").cast("long").alias("seq"),
+    )
+
+
+def gaz_nations(spark: SparkSession, root: str, seq_offset: int = 0) -> DataFrame:
+    n = table(spark, root, "nation")
+    return n.select(
+        F.lit("en").alias("lang"), F.lower("n_name").alias("name"),
+        (F.col("n_nationkey") * 5 - 60).cast("double").alias("lat"),
+        (F.col("n_nationkey") * 12 - 144).cast("double").alias("lon"),
+        (F.col("n_nationkey") + seq_offset).cast("long").alias("seq"),
+    )
+
+
+def gaz_world(spark: SparkSession, root: str) -> DataFrame:
+    """Regions first (seq 0-4), then nations (seq 100+)."""
+    return gaz_regions(spark, root).unionByName(gaz_nations(spark, root, 100))
+
+
+def geo_customers(spark: SparkSession, root: str) -> DataFrame:
+    """``customer ⋈ nation ⋈ region`` as envelopes with three geo cases.
+
+    c_custkey % 3 = 0: tweet with a ``geo`` point in lat,lon order (every
+    third of those ``{}``, every third after that unparsable); 1: tweet with a
+    blank geo; 2: NLP message whose geo is the region name as typed by the user
+    (odd keys with a trailing "s"). Text = name, nation, region.
+    """
+    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = table(spark, root, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, root, "region").select("r_regionkey", "r_name")
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    kind = F.col("c_custkey") % 3
+    point = F.format_string(
+        '{"type":"Point","coordinates":[%s,%s]}',
+        (F.col("n_nationkey") * 5 - 60).cast("double"), (F.col("n_nationkey") * 12 - 144).cast("double"),
+    )
+    geo = (
+        F.when((kind == 0) & (F.col("c_custkey") % 9 == 3), F.lit("{}"))
+        .when((kind == 0) & (F.col("c_custkey") % 9 == 6), F.lit("not json"))
+        .when(kind == 0, point)
+        .when(kind == 1, F.lit(""))
+        .otherwise(F.concat(F.lower("r_name"), F.when(F.col("c_custkey") % 2 == 1, F.lit("s")).otherwise(F.lit(""))))
+    )
+    text = F.concat_ws(" ", "c_name", "n_name", "r_name")
+    src = F.when(kind == 2, F.lit("crm")).otherwise(F.lit("http://twitter.com"))
+    return j.select(
+        src.alias("source"),
+        F.lit(None).cast("string").alias("created_at"),
+        F.struct(
+            F.lit(None).cast("string").alias("created_at"),
+            F.col("c_custkey").cast("string").alias("id"),
+            geo.alias("geo"),
+            F.lit("en").alias("lang"),
+            src.alias("source"),
+            text.alias("text"),
+            text.alias("sentence"),
+            F.col("c_custkey").cast("string").alias("user_id"),
+            F.lit(None).cast("long").alias("user_followers_count"),
+            F.lit(None).cast("long").alias("user_friends_count"),
+            F.col("c_name").alias("user_name"),
+        ).alias("message"),
+    )
+
+
+def place_json(spark: SparkSession, root: str) -> DataFrame:
+    """(c_custkey, place): a box of half-width 1 + key % 5 degrees around the
+    customer's nation point; every 7th key is a non-polygon place."""
+    c = table(spark, root, "customer").select("c_custkey", "c_nationkey")
+    lat = (F.col("c_nationkey") * 5 - 60).cast("double")
+    lon = (F.col("c_nationkey") * 12 - 144).cast("double")
+    d = (F.col("c_custkey") % 5 + 1).cast("double")
+    ptype = F.when(F.col("c_custkey") % 7 == 0, F.lit("Point")).otherwise(F.lit("Polygon"))
+    js = F.format_string(
+        '{"id":"p%s","bounding_box":{"type":"%s","coordinates":[[[%s,%s],[%s,%s],[%s,%s],[%s,%s]]]}}',
+        F.col("c_nationkey"), ptype, lon - d, lat - d, lon + d, lat - d, lon + d, lat + d, lon - d, lat + d,
+    )
+    return c.select("c_custkey", js.alias("place"))
+
+
+def user_obs(spark: SparkSession, root: str) -> DataFrame:
+    """(user_id, lat, lon) observations from ``events`` (repeat points kept)."""
+    ev = events_k(table(spark, root, "events"))
+    return ev.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        (F.col("k") - 50).cast("double").alias("lat"),
+        ((F.col("k") * 3) % 360 - 180).cast("double").alias("lon"),
+    )
+
+
+# -------------------------------------------------------------------- graph
+
+def edges_orders(spark: SparkSession, root: str) -> DataFrame:
+    """Directed edges customer → order (``orders``) and order → supplier (``lineitem``)."""
+    o = table(spark, root, "orders").select(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"),
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("dst"),
+    )
+    li = table(spark, root, "lineitem").select(
+        F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("src"),
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dst"),
+    )
+    return o.unionByName(li)
+
+
+def supplier_anchors(spark: SparkSession, root: str) -> DataFrame:
+    """Suppliers located at their nation's gazetteer point, confidence 1."""
+    s = table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
+    return s.select(
+        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("user_id"),
+        F.struct(
+            (F.col("s_nationkey") * 5 - 60).cast("double").alias("lat"),
+            (F.col("s_nationkey") * 12 - 144).cast("double").alias("lon"),
+            F.lit(1.0).alias("confidence"),
+        ).alias("location"),
+    )

@@ -286,3 +286,232 @@ WITH t AS (SELECT p_partkey AS seq, x.i AS i, trim(lower(x.v)) AS term
                                                         lambda v, i: {'v': v, 'i': i})) AS x FROM part)),
 n AS (SELECT row_number() OVER (ORDER BY seq, i) AS pos, term, count(*) OVER () AS total FROM t)
 SELECT CAST(pos AS BIGINT) AS pos, term FROM n WHERE total <= 400 OR pos <= 399"""
+
+
+# ---------------------------------------------------------------- geo
+
+def centre_sql(x: str, y: str, z: str) -> tuple[str, str]:
+    """(lat, lon) SQL of a summed vector, rounded to 6, NULL for a zero vector."""
+    hyp = f"sqrt({x} * {x} + {y} * {y})"
+    zero = f"({hyp} < 1e-12 AND abs({z}) < 1e-12)"
+    lat = f"CASE WHEN {zero} THEN NULL ELSE round(degrees(atan2({z}, {hyp})), 6) + 0.0 END"
+    lon0 = f"round(degrees(atan2({y}, {x})), 6) + 0.0"
+    lon = f"CASE WHEN {zero} THEN NULL WHEN {lon0} = -180.0 THEN 180.0 ELSE {lon0} END"
+    return lat, lon
+
+
+def vec_sql(lat: str, lon: str) -> tuple[str, str, str]:
+    return (f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))",
+            f"sin(radians({lat}))")
+
+
+def r4(e: str) -> str:
+    return f"(CAST({e} AS DOUBLE) + 0.0)"
+
+
+_X, _Y, _Z = vec_sql("lat", "lon")
+_CLAT, _CLON = centre_sql("sx", "sy", "sz")
+
+USER_OBS = """
+obs AS (SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(CAST(json_extract(props, '$.k') AS INTEGER) - 50 AS DOUBLE) AS lat,
+               CAST((CAST(json_extract(props, '$.k') AS INTEGER) * 3) % 360 - 180 AS DOUBLE) AS lon, event_type, value
+        FROM events)"""
+
+USERS_A6 = f"""
+a6 AS (SELECT user_id, {_CLAT} AS lat, {_CLON} AS lon FROM (
+         SELECT user_id, sum({_X}) AS sx, sum({_Y}) AS sy, sum({_Z}) AS sz
+         FROM (SELECT DISTINCT user_id, lat, lon FROM obs) GROUP BY user_id))"""
+
+GEO_CENTER = f"""WITH {USER_OBS.strip()}
+SELECT user_id, {r4(_CLAT)} AS lat, {r4(_CLON)} AS lon FROM (
+  SELECT user_id, sum({_X}) AS sx, sum({_Y}) AS sy, sum({_Z}) AS sz FROM obs GROUP BY user_id)"""
+
+USER_CENTROID = f"""WITH {USER_OBS.strip()}, {USERS_A6.strip()}
+SELECT user_id, {r4('lat')} AS lat, {r4('lon')} AS lon, CAST(1.0 AS DOUBLE) AS confidence FROM a6"""
+
+CONDENSE = """WITH """ + USER_OBS.strip() + """
+SELECT user_id, CAST(lat AS VARCHAR) || ',' || CAST(lon AS VARCHAR) AS key, count(*) AS occurrences
+FROM obs GROUP BY user_id, lat, lon"""
+
+_BX = ("(CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 1 END)")
+BBOX_CENTER = """
+WITH b AS (SELECT c_custkey, c_custkey % 7 = 0 AS nonpoly, CAST(c_nationkey * 5 - 60 AS DOUBLE) AS plat,
+                  CAST(c_nationkey * 12 - 144 AS DOUBLE) AS plon, CAST(c_custkey % 5 + 1 AS DOUBLE) AS d FROM customer),
+corners AS (SELECT c_custkey, nonpoly, unnest([plat - d, plat - d, plat + d, plat + d]) AS lat,
+                   unnest([plon - d, plon + d, plon + d, plon - d]) AS lon FROM b),
+s AS (SELECT c_custkey, bool_or(nonpoly) AS nonpoly, """ + f"sum({_X}) AS sx, sum({_Y}) AS sy, sum({_Z}) AS sz" + """
+      FROM corners GROUP BY c_custkey)
+SELECT c_custkey, CASE WHEN nonpoly THEN NULL ELSE """ + r4(_CLAT) + """ END AS lat,
+       CASE WHEN nonpoly THEN NULL ELSE """ + r4(_CLON) + """ END AS lon FROM s"""
+
+GEO_CUST = f"""
+gc AS (SELECT c.c_custkey AS id, c.c_custkey % 3 AS kind,
+         CASE WHEN c.c_custkey % 3 = 2 THEN 'crm' ELSE 'twitter' END AS source,
+         CAST(n.n_nationkey * 5 - 60 AS DOUBLE) AS plat, CAST(n.n_nationkey * 12 - 144 AS DOUBLE) AS plon,
+         CASE WHEN c.c_custkey % 3 = 0 AND c.c_custkey % 9 = 3 THEN '{{}}'
+              WHEN c.c_custkey % 3 = 0 AND c.c_custkey % 9 = 6 THEN 'not json'
+              WHEN c.c_custkey % 3 = 0 THEN 'point'
+              WHEN c.c_custkey % 3 = 1 THEN ''
+              ELSE lower(r.r_name) || CASE WHEN c.c_custkey % 2 = 1 THEN 's' ELSE '' END END AS geo,
+         string_split_regex(lower(concat_ws(' ', c.c_name, n.n_name, r.r_name)), {SPLIT}) AS tok
+       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+GEO_POINTS = "WITH " + GEO_CUST.strip() + """
+SELECT id, CASE WHEN geo = 'point' THEN plat END AS lat_ll, CASE WHEN geo = 'point' THEN plon END AS lon_ll,
+       CASE WHEN geo = 'point' THEN plon END AS lat_gj, CASE WHEN geo = 'point' THEN plat END AS lon_gj
+FROM gc"""
+
+GAZ_REGIONS = """
+gz_r AS (SELECT 'en' AS lang, lower(r_name) AS name, CAST(r_regionkey * 10 - 20 AS DOUBLE) AS lat,
+                CAST(r_regionkey * 30 - 60 AS DOUBLE) AS lon, CAST(r_regionkey AS BIGINT) AS seq FROM region)"""
+
+GAZ_NATIONS = """
+gz_n AS (SELECT 'en' AS lang, lower(n_name) AS name, CAST(n_nationkey * 5 - 60 AS DOUBLE) AS lat,
+                CAST(n_nationkey * 12 - 144 AS DOUBLE) AS lon, CAST(n_nationkey AS BIGINT) AS seq FROM nation)"""
+
+GAZ_WORLD = """
+gz_w AS (SELECT * FROM gz_r UNION ALL SELECT lang, name, lat, lon, seq + 100 FROM gz_n)"""
+
+
+def first_hit_sql(terms: str, gz: str, prefer_exact: bool = False) -> str:
+    """(lang, term) → first fuzzy gazetteer hit (name, lat, lon) by seq."""
+    order = "struct_pack(ne := g.name <> t.term, s := g.seq)" if prefer_exact else "g.seq"
+    return f"""SELECT t.lang, t.term, arg_min(struct_pack(name := g.name, lat := g.lat, lon := g.lon), {order}) AS h
+FROM (SELECT DISTINCT lang, term FROM {terms}) t JOIN {gz} g ON t.lang = g.lang
+WHERE {fuzzy_sql('g.name', 't.term')}
+GROUP BY t.lang, t.term"""
+
+
+def content_sql(prefer_exact: bool) -> str:
+    return f"""WITH {GEO_CUST.strip()}, {GAZ_NATIONS.strip()},
+toks AS (SELECT DISTINCT id, 'en' AS lang, unnest(tok) AS term FROM gc),
+toks2 AS (SELECT * FROM toks WHERE length(term) >= 2),
+fh AS ({first_hit_sql('toks2', 'gz_n', prefer_exact)})
+SELECT toks2.id, toks2.term, fh.h.name AS name, fh.h.lat AS lat, fh.h.lon AS lon
+FROM toks2 JOIN fh ON toks2.lang = fh.lang AND toks2.term = fh.term"""
+
+
+USER_TEXT = f"""WITH {GEO_CUST.strip()}, {GAZ_REGIONS.strip()},
+ut AS (SELECT id, 'en' AS lang, lower(geo) AS term FROM gc WHERE kind = 2 AND length(lower(geo)) >= 2),
+fh AS ({first_hit_sql('ut', 'gz_r')})
+SELECT ut.id, fh.h.name AS name, fh.h.lat AS lat, fh.h.lon AS lon FROM ut JOIN fh ON ut.lang = fh.lang AND ut.term = fh.term"""
+
+USER_JOIN = f"""WITH {GEO_CUST.strip()}, {USER_OBS.strip()}, {USERS_A6.strip()}
+SELECT gc.id, {r4('a6.lat')} AS lat, {r4('a6.lon')} AS lon, CAST(1.0 AS DOUBLE) AS confidence
+FROM gc JOIN a6 ON CAST(gc.id AS VARCHAR) = a6.user_id WHERE gc.source = 'twitter' AND a6.lat IS NOT NULL"""
+
+RESOLVE = f"""WITH {GEO_CUST.strip()}, {USER_OBS.strip()}, {USERS_A6.strip()}, {GAZ_REGIONS.strip()},
+{GAZ_NATIONS.strip()}, {GAZ_WORLD.strip()},
+tagged AS (SELECT id, 'Tagged' AS inference_type, plat AS lat, plon AS lon, CAST(1.0 AS DOUBLE) AS probability
+           FROM gc WHERE kind = 0 AND geo = 'point'),
+ut AS (SELECT id, 'en' AS lang, lower(geo) AS term FROM gc WHERE kind = 2 AND trim(geo) <> '' AND length(lower(geo)) >= 2),
+uh AS ({first_hit_sql('ut', 'gz_w')}),
+usertagged AS (SELECT ut.id, 'UserTagged' AS inference_type, uh.h.lat AS lat, uh.h.lon AS lon, CAST(1.0 AS DOUBLE) AS probability
+               FROM ut JOIN uh ON ut.lang = uh.lang AND ut.term = uh.term),
+untagged AS (SELECT * FROM gc WHERE id NOT IN (SELECT id FROM tagged) AND id NOT IN (SELECT id FROM usertagged)),
+toks AS (SELECT DISTINCT id, 'en' AS lang, unnest(tok) AS term FROM untagged),
+toks2 AS (SELECT * FROM toks WHERE length(term) >= 2),
+ch AS ({first_hit_sql('toks2', 'gz_w')}),
+content AS (SELECT toks2.id, 'Content' AS inference_type, ch.h.lat AS lat, ch.h.lon AS lon, CAST(1.0 AS DOUBLE) AS probability
+            FROM toks2 JOIN ch ON toks2.lang = ch.lang AND toks2.term = ch.term),
+handle AS (SELECT gc.id, 'TwitterUserHandle' AS inference_type, a6.lat, a6.lon, CAST(1.0 AS DOUBLE) AS probability
+           FROM gc JOIN a6 ON CAST(gc.id AS VARCHAR) = a6.user_id WHERE gc.source = 'twitter' AND a6.lat IS NOT NULL)
+SELECT id, inference_type, {r4('lat')} AS lat, {r4('lon')} AS lon, probability FROM (
+  SELECT * FROM tagged UNION ALL SELECT * FROM usertagged UNION ALL SELECT * FROM content UNION ALL SELECT * FROM handle)"""
+
+TRACK_FILTER = "WITH " + GEO_CUST.strip() + """,
+m AS (SELECT gc.*, lower(concat_ws(' ', c.c_name, n.n_name, r.r_name)) AS text
+      FROM gc JOIN customer c ON gc.id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+      JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT id FROM m
+WHERE (contains(text, 'asia') OR contains(text, 'europe')
+       OR (geo = 'point' AND plat BETWEEN -60.0 AND -30.0 AND plon BETWEEN -150.0 AND -60.0))"""
+
+
+# ---------------------------------------------------------------- graph
+
+EDGES = """
+edges AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) AS src, 'o' || CAST(o_orderkey AS VARCHAR) AS dst FROM orders
+          UNION ALL
+          SELECT 'o' || CAST(l_orderkey AS VARCHAR), 's' || CAST(l_suppkey AS VARCHAR) FROM lineitem)"""
+
+REPLY_EDGES = "WITH " + EDGES.strip() + "\nSELECT DISTINCT src, dst FROM edges"
+
+ADJACENCY = "WITH " + EDGES.strip() + """,
+e AS (SELECT DISTINCT src, dst FROM edges),
+o AS (SELECT src AS user_id, list_sort(list(dst)) AS l FROM e GROUP BY src),
+i AS (SELECT dst AS user_id, list_sort(list(src)) AS l FROM e GROUP BY dst)
+SELECT coalesce(o.user_id, i.user_id) AS user_id,
+       CAST(coalesce(len(o.l), 0) AS BIGINT) AS n_to, CAST(coalesce(len(i.l), 0) AS BIGINT) AS n_by,
+       md5(coalesce(array_to_string(o.l, ','), '')) AS to_md5, md5(coalesce(array_to_string(i.l, ','), '')) AS by_md5
+FROM o FULL OUTER JOIN i ON o.user_id = i.user_id"""
+
+
+def propagate_sql(iterations: int, body: str) -> str:
+    ctes = [EDGES.strip(), """
+und AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges) WHERE src <> dst),
+anchors AS (SELECT 's' || CAST(s_suppkey AS VARCHAR) AS user_id, CAST(s_nationkey * 5 - 60 AS DOUBLE) AS lat,
+                   CAST(s_nationkey * 12 - 144 AS DOUBLE) AS lon FROM supplier),
+users AS (SELECT DISTINCT user_id FROM (SELECT src AS user_id FROM und UNION ALL SELECT dst FROM und
+                                        UNION ALL SELECT user_id FROM anchors)),
+s0 AS (SELECT u.user_id, a.user_id IS NOT NULL AS anchor, NULL::DOUBLE AS llat, NULL::DOUBLE AS llon,
+              0 AS ninf, false AS isnew
+       FROM users u LEFT JOIN anchors a ON u.user_id = a.user_id)""".strip()]
+    x, y, z = vec_sql("l.lat", "l.lon")
+    for t in range(1, iterations + 1):
+        prev = f"s{t - 1}"
+        if t == 1:
+            loc = "SELECT user_id, lat, lon FROM anchors"
+        else:
+            loc = f"SELECT user_id, lat, lon FROM anchors UNION ALL SELECT user_id, llat, llon FROM {prev} WHERE NOT anchor AND llat IS NOT NULL"
+        ctes.append(f"""loc{t} AS ({loc}),
+cen{t} AS (SELECT user_id, {_CLAT} AS lat, {_CLON} AS lon FROM (
+  SELECT und.src AS user_id, sum({x}) AS sx, sum({y}) AS sy, sum({z}) AS sz
+  FROM und JOIN loc{t} l ON und.dst = l.user_id GROUP BY und.src))""")
+        found = "(NOT s.anchor AND c.lat IS NOT NULL)"
+        if t < iterations:
+            if t == 1:
+                llat, llon = f"CASE WHEN {found} THEN c.lat END", f"CASE WHEN {found} THEN c.lon END"
+                ninf = f"CASE WHEN {found} THEN 1 ELSE 0 END"
+                isnew = found
+            else:
+                llat = f"CASE WHEN {found} THEN c.lat ELSE s.llat END"
+                llon = f"CASE WHEN {found} THEN c.lon ELSE s.llon END"
+                ninf = f"CASE WHEN {found} THEN s.ninf + 1 ELSE s.ninf END"
+                isnew = f"({found} AND s.ninf = 0)"
+            ctes.append(f"""s{t} AS (SELECT s.user_id, s.anchor, {llat} AS llat, {llon} AS llon, {ninf} AS ninf, {isnew} AS isnew
+  FROM {prev} s LEFT JOIN cen{t} c ON s.user_id = c.user_id)""")
+        else:
+            ctes.append(f"""fin AS (SELECT s.user_id, s.anchor, s.ninf, CASE WHEN {found} THEN c.lat END AS flat,
+  CASE WHEN {found} THEN c.lon END AS flon FROM {prev} s LEFT JOIN cen{t} c ON s.user_id = c.user_id)""")
+    ctes.append("""result AS (SELECT f.user_id,
+  CASE WHEN f.anchor THEN a.lat WHEN f.flat IS NOT NULL THEN f.flat END AS lat,
+  CASE WHEN f.anchor THEN a.lon WHEN f.flat IS NOT NULL THEN f.flon END AS lon,
+  CAST(CASE WHEN f.anchor THEN 1.0 WHEN f.flat IS NOT NULL THEN 0.5 END AS DOUBLE) AS confidence,
+  CAST(f.ninf AS BIGINT) AS n_inferred
+  FROM fin f LEFT JOIN anchors a ON f.user_id = a.user_id)""")
+    return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+PROPAGATE_BODY = f"SELECT user_id, {r4('lat')} AS lat, {r4('lon')} AS lon, confidence, n_inferred FROM result"
+
+
+def metrics_body(iterations: int) -> str:
+    parts = [f"SELECT {t} AS iteration, CAST(count(*) AS BIGINT) AS processed, CAST(count(*) FILTER (WHERE isnew) AS BIGINT) AS inferences FROM s{t}"
+             for t in range(1, iterations)]
+    parts.append(f"SELECT {iterations} AS iteration, CAST(count(*) AS BIGINT) AS processed, CAST(0 AS BIGINT) AS inferences FROM fin")
+    return "SELECT CAST(iteration AS INTEGER) AS iteration, processed, inferences FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+MERGE_USERS = f"""WITH {USER_OBS.strip()}, {USERS_A6.strip()},
+clicks AS (SELECT user_id, lat, lon FROM obs WHERE event_type = 'click' AND value >= 300),
+cw AS (SELECT user_id, lat, lon, count(*) AS w FROM clicks GROUP BY user_id, lat, lon),
+new AS (SELECT user_id, {_CLAT} AS lat, {_CLON} AS lon FROM (
+  SELECT user_id, sum(w * {_X.replace('lat', 'cw.lat').replace('lon', 'cw.lon')}) AS sx,
+         sum(w * {_Y.replace('lat', 'cw.lat').replace('lon', 'cw.lon')}) AS sy,
+         sum(w * {_Z.replace('lat', 'cw.lat')}) AS sz FROM cw GROUP BY user_id))
+SELECT coalesce(n.user_id, o.user_id) AS user_id,
+       {r4('CASE WHEN n.user_id IS NOT NULL AND n.lat IS NOT NULL THEN n.lat ELSE o.lat END')} AS lat,
+       {r4('CASE WHEN n.user_id IS NOT NULL AND n.lat IS NOT NULL THEN n.lon ELSE o.lon END')} AS lon,
+       CAST(CASE WHEN n.user_id IS NOT NULL AND n.lat IS NOT NULL THEN 0.5 WHEN o.lat IS NOT NULL THEN 1.0 END AS DOUBLE) AS confidence
+FROM a6 o FULL OUTER JOIN new n ON o.user_id = n.user_id"""

@@ -42,3 +42,22 @@ ORACLE["route_source"] = o.ROUTE_SOURCE
 ORACLE["keyword_dictionary"] = o.KEYWORD_DICTIONARY
 ORACLE["category_dictionary"] = o.CATEGORY_DICTIONARY
 ORACLE["track_list"] = o.TRACK_LIST
+
+# ---- geo and graph
+ORACLE["bbox_center"] = o.BBOX_CENTER
+ORACLE["geo_center"] = o.GEO_CENTER
+ORACLE["geo_points"] = o.GEO_POINTS
+ORACLE["locate_by_content"] = o.content_sql(False)
+ORACLE["locate_by_content_exact_first"] = o.content_sql(True)
+ORACLE["locate_by_user_text"] = o.USER_TEXT
+ORACLE["user_location_join"] = o.USER_JOIN
+ORACLE["resolve_locations"] = o.RESOLVE
+ORACLE["track_filter"] = o.TRACK_FILTER
+ORACLE["condense_locations"] = o.CONDENSE
+ORACLE["user_centroid"] = o.USER_CENTROID
+ORACLE["reply_edges"] = o.REPLY_EDGES
+ORACLE["adjacency"] = o.ADJACENCY
+ORACLE["propagate_1"] = o.propagate_sql(1, o.PROPAGATE_BODY)
+ORACLE["propagate_5"] = o.propagate_sql(5, o.PROPAGATE_BODY)
+ORACLE["propagation_metrics"] = o.propagate_sql(5, o.metrics_body(5))
+ORACLE["merge_users"] = o.MERGE_USERS
