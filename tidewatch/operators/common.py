@@ -1,25 +1,47 @@
-"""Shared plan helpers."""
+"""Shared plan helpers: size-checked broadcast, lineage cuts, row keys."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension table (rows) that is hinted for broadcast after a count.
+# Largest table (rows) that is hinted for broadcast after a count.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only when a count proves it small; otherwise leave the
-    join strategy to the planner (shuffle join, AQE may still convert it).
+    join strategy to the planner (shuffle join; AQE may still convert it).
 
-    Meant for reference tables (dictionaries, gazetteers, top-k lists) whose
-    size does not grow with the message volume; the count is one cheap job.
+    For reference tables (dictionaries, gazetteers) whose size does not grow
+    with the message volume; the count is one cheap job on a small input.
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (shared storage on a
+    cluster), computing the input once: it is persisted while the checkpoint
+    job writes it, then released."""
+    from tidewatch.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A data-derived lookup table (e.g. term → match map) for a join with a
+    big table: materialised once (checkpoint), counted on the materialised
+    copy, broadcast when within ``max_rows``, else joined by shuffle."""
+    m = cut_lineage(df)
+    return checked_broadcast(m, max_rows)
+
+
 def with_row_key(df: DataFrame, key: str = "_row", id_col: str | None = None) -> DataFrame:
     """Attach a row key: the given id column, else a generated one.
 

@@ -116,10 +116,9 @@ def neighbour_centroid(und: DataFrame, located: DataFrame) -> DataFrame:
 def _checkpoint(df: DataFrame, enabled: bool) -> DataFrame:
     if not enabled:
         return df
-    from tidewatch.session import ensure_checkpoint_dir
+    from tidewatch.operators.common import cut_lineage
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return cut_lineage(df)
 
 
 def propagate_locations(

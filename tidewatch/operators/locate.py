@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.geo import geo_point
-from tidewatch.operators.common import checked_broadcast
+from tidewatch.operators.common import checked_broadcast, small_side
 from tidewatch.operators.matching import match_terms
 
 
@@ -37,7 +37,7 @@ def locate_by_content(msgs: DataFrame, gazetteer: DataFrame, prefer_exact: bool
         "_row", F.col("Language").alias("lang"), F.explode(F.array_distinct("tok")).alias("term")
     ).filter(F.length("term") >= 2)
     m = first_match(toks.select("lang", "term"), gazetteer, prefer_exact)
-    return toks.join(checked_broadcast(m), ["lang", "term"]).select("_row", "term", "name", "lat", "lon")
+    return toks.join(small_side(m), ["lang", "term"]).select("_row", "term", "name", "lat", "lon")
 
 
 def locate_by_user_text(msgs: DataFrame, gazetteer: DataFrame, text_col: str = "geo") -> DataFrame:
@@ -46,7 +46,7 @@ def locate_by_user_text(msgs: DataFrame, gazetteer: DataFrame, text_col: str = "
         F.length("term") >= 2
     )
     m = first_match(t.select("lang", "term"), gazetteer)
-    return t.join(checked_broadcast(m), ["lang", "term"]).select("_row", "name", "lat", "lon")
+    return t.join(small_side(m), ["lang", "term"]).select("_row", "name", "lat", "lon")
 
 
 def lookup_user_location(msgs: DataFrame, users: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def resolve_locations(
     users: DataFrame | None = None,
     geo_order: str = "latlon",
 ) -> DataFrame:
-    """The location cascade, returning (row, Locations array).
+    """The location cascade; returns ``msgs`` with a ``Locations`` array.
 
     1. ``geo`` blank → untagged. Tweets: ``{}``/unparsable/no point →
        untagged, else ``Tagged`` p=1. Other sources: the text hits the
@@ -89,38 +89,53 @@ def resolve_locations(
     3. Tweets with a user id: the author's location (J5) is appended as
        ``TwitterUserHandle`` with p = confidence, even when step 1 hit.
 
+    Steps 1-2 use term → hit maps built on the distinct vocabulary and joined
+    by broadcast (row-local); content hits and author locations are folded
+    per message and joined back once.
     ``msgs`` needs _row, Source, Language, geo, is_geojson, user_id, tok.
     """
     blank = F.col("geo").isNull() | (F.trim("geo") == "")
     pt = geo_point("geo", geo_order)
-    base = msgs.select(
-        "_row", "Source", "Language", "geo", "is_geojson", "user_id", "tok",
-        F.when(~blank & F.col("is_geojson"), pt).alias("pt"),
-        blank.alias("blank"),
+    base = msgs.withColumn("_pt", F.when(~blank & F.col("is_geojson"), pt)).withColumn(
+        "_ut", F.when(~blank & ~F.col("is_geojson") & (F.length(F.trim("geo")) > 0), F.lower("geo"))
     )
-    user_hits = locate_by_user_text(base.filter(~F.col("blank") & ~F.col("is_geojson")), gazetteer)
-    user_hits = user_hits.select("_row", F.struct("lat", "lon").alias("ut"))
-    staged = base.join(user_hits, "_row", "left")
-    tagged = F.when(F.col("pt").isNotNull(), F.array(_loc(F.col("pt.lat"), F.col("pt.lon"), 1.0, "Tagged"))).when(
-        F.col("ut").isNotNull(), F.array(_loc(F.col("ut.lat"), F.col("ut.lon"), 1.0, "UserTagged"))
+    ut_terms = base.filter(F.col("_ut").isNotNull() & (F.length("_ut") >= 2)).select(
+        F.col("Language").alias("lang"), F.col("_ut").alias("term")
     )
-    staged = staged.withColumn("primary", tagged)
-    untagged = staged.filter(F.col("primary").isNull())
-    content = locate_by_content(untagged.select("_row", "Language", "tok"), gazetteer)
-    content = content.groupBy("_row").agg(
-        F.array_sort(F.collect_list(F.struct("term", _loc(F.col("lat"), F.col("lon"), 1.0, "Content").alias("l"))))
-        .alias("c")
-    ).select("_row", F.transform("c", lambda e: e["l"]).alias("content"))
-    out = staged.join(content, "_row", "left")
-    empty = F.array().cast("array<struct<lat:double,lon:double,probability:double,inference_type:string>>")
-    primary = F.coalesce(F.col("primary"), F.col("content"), empty)
+    ut_map = small_side(first_match(ut_terms, gazetteer)).select(
+        F.col("lang").alias("_ul"), F.col("term").alias("_uterm"), F.struct("lat", "lon").alias("_uh")
+    )
+    staged = base.join(
+        ut_map, (F.col("Language") == F.col("_ul")) & (F.col("_ut") == F.col("_uterm")), "left"
+    ).drop("_ul", "_uterm")
+    primary = F.when(
+        F.col("_pt").isNotNull(), F.array(_loc(F.col("_pt.lat"), F.col("_pt.lon"), 1.0, "Tagged"))
+    ).when(F.col("_uh").isNotNull(), F.array(_loc(F.col("_uh.lat"), F.col("_uh.lon"), 1.0, "UserTagged")))
+    staged = staged.withColumn("_primary", primary)
+
+    untagged = staged.filter(F.col("_primary").isNull()).select("_row", "Language", "tok")
+    toks = untagged.select(
+        "_row", F.col("Language").alias("lang"), F.explode(F.array_distinct("tok")).alias("term")
+    ).filter(F.length("term") >= 2)
+    c_map = small_side(first_match(toks.select("lang", "term"), gazetteer))
+    content = toks.join(c_map, ["lang", "term"]).select(
+        "_row", F.lit(1).alias("ord"), "term", _loc(F.col("lat"), F.col("lon"), 1.0, "Content").alias("l")
+    )
+    extras = content
     if users is not None:
-        hl = lookup_user_location(msgs, users).select(
-            "_row", _loc(F.col("lat"), F.col("lon"), F.col("confidence"), "TwitterUserHandle").alias("uh")
+        handle = lookup_user_location(msgs, users).select(
+            "_row", F.lit(2).alias("ord"), F.lit("").alias("term"),
+            _loc(F.col("lat"), F.col("lon"), F.col("confidence"), "TwitterUserHandle").alias("l"),
         )
-        out = out.join(hl, "_row", "left")
-        primary = F.when(F.col("uh").isNotNull(), F.concat(primary, F.array("uh"))).otherwise(primary)
-    return out.select("_row", primary.alias("Locations"))
+        extras = extras.unionByName(handle)
+    folded = extras.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("ord", "term", "l"))).alias("_x"))
+    out = staged.join(folded, "_row", "left")
+    empty = F.array().cast("array<struct<lat:double,lon:double,probability:double,inference_type:string>>")
+    x = F.coalesce(F.col("_x"), F.array().cast(folded.schema["_x"].dataType))
+    content_locs = F.transform(F.filter(x, lambda e: e["ord"] == 1), lambda e: e["l"])
+    handle_locs = F.transform(F.filter(x, lambda e: e["ord"] == 2), lambda e: e["l"])
+    locs = F.concat(F.coalesce(F.col("_primary"), content_locs, empty), handle_locs)
+    return out.withColumn("Locations", locs).drop("_pt", "_ut", "_uh", "_primary", "_x")
 
 
 def track_filter(

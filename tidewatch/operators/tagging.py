@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import ordered_tokens, phrase_candidates
 from tidewatch.functions.timeutil import parse_created
-from tidewatch.operators.common import checked_broadcast, with_row_key
+from tidewatch.operators.common import checked_broadcast, small_side, with_row_key
 from tidewatch.operators.matching import match_terms
 
 # Source names and their codes (P10); default is twitter.
@@ -106,7 +106,7 @@ def keyword_pairs(msgs: DataFrame, keywords: DataFrame, fuzzy: bool = True, use_
     keys = keywords.select("lang", F.col("keyword").alias("key"))
     cands = candidates(msgs, _max_words(keywords, "keyword"))
     mapping = match_terms(cands, keys, fuzzy=fuzzy, use_jw=use_jw)
-    return cands.join(checked_broadcast(mapping), ["lang", "term"]).select(
+    return cands.join(small_side(mapping), ["lang", "term"]).select(
         "_row", "term", F.col("key").alias("keyword"), "exact"
     )
 

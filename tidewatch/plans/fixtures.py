@@ -25,7 +25,7 @@ def events_k(events: DataFrame) -> DataFrame:
 
 def msg_events(spark: SparkSession, root: str) -> DataFrame:
     """Messages from ``events``: one keyword, group k%7, status high/low."""
-    ev = events_k(table(spark, root, "events"))
+    ev = events_k(table(spark, root, "events", spread_small=True))
     return ev.select(
         F.col("event_id").cast("string").alias("MessageId"),
         F.lit("events").alias("Source"),
@@ -46,7 +46,7 @@ def msg_lines(spark: SparkSession, root: str, repeat_keywords: bool = False) ->
     Part is the dimension side of a foreign-key join; the planner chooses the
     strategy from its measured size (AQE), nothing is forced here.
     """
-    li = table(spark, root, "lineitem").select("l_partkey", "l_shipdate", "l_returnflag")
+    li = table(spark, root, "lineitem", spread_small=True).select("l_partkey", "l_shipdate", "l_returnflag")
     part = table(spark, root, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     name = F.concat_ws(" ", "p_name", "p_name") if repeat_keywords else F.col("p_name")
     return li.join(part, li.l_partkey == part.p_partkey).select(
@@ -72,7 +72,7 @@ def msg_repeats(spark: SparkSession, root: str) -> DataFrame:
 
 def docs_envelopes(spark: SparkSession, root: str) -> DataFrame:
     """``documents`` as pipeline envelopes without NLP output (NLP branch)."""
-    d = table(spark, root, "documents")
+    d = table(spark, root, "documents", spread_small=True)
     return d.select(
         F.col("source"),
         F.lit(None).cast("string").alias("created_at"),
@@ -96,7 +96,7 @@ def mixed_envelopes(spark: SparkSession, root: str) -> DataFrame:
     """``documents`` over both routes: odd ids arrive as tweets (http source;
     their Spanish rows carry the language code "in" to exercise P8). The NLP
     branch reads ``sentence`` (the text with a "nlp: " prefix), tweets read ``text``."""
-    d = table(spark, root, "documents")
+    d = table(spark, root, "documents", spread_small=True)
     tweet = (F.col("doc_id") % 2) == 1
     return d.select(
         F.col("source"),
@@ -203,7 +203,7 @@ def geo_customers(spark: SparkSession, root: str) -> DataFrame:
     blank geo; 2: NLP message whose geo is the region name as typed by the user
     (odd keys with a trailing "s"). Text = name, nation, region.
     """
-    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
+    c = table(spark, root, "customer", spread_small=True).select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, root, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, root, "region").select("r_regionkey", "r_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
@@ -243,7 +243,7 @@ def geo_customers(spark: SparkSession, root: str) -> DataFrame:
 def place_json(spark: SparkSession, root: str) -> DataFrame:
     """(c_custkey, place): a box of half-width 1 + key % 5 degrees around the
     customer's nation point; every 7th key is a non-polygon place."""
-    c = table(spark, root, "customer").select("c_custkey", "c_nationkey")
+    c = table(spark, root, "customer", spread_small=True).select("c_custkey", "c_nationkey")
     lat = (F.col("c_nationkey") * 5 - 60).cast("double")
     lon = (F.col("c_nationkey") * 12 - 144).cast("double")
     d = (F.col("c_custkey") % 5 + 1).cast("double")
@@ -257,7 +257,7 @@ def place_json(spark: SparkSession, root: str) -> DataFrame:
 
 def user_obs(spark: SparkSession, root: str) -> DataFrame:
     """(user_id, lat, lon) observations from ``events`` (repeat points kept)."""
-    ev = events_k(table(spark, root, "events"))
+    ev = events_k(table(spark, root, "events", spread_small=True))
     return ev.select(
         F.col("user_id").cast("string").alias("user_id"),
         (F.col("k") - 50).cast("double").alias("lat"),
@@ -269,11 +269,11 @@ def user_obs(spark: SparkSession, root: str) -> DataFrame:
 
 def edges_orders(spark: SparkSession, root: str) -> DataFrame:
     """Directed edges customer → order (``orders``) and order → supplier (``lineitem``)."""
-    o = table(spark, root, "orders").select(
+    o = table(spark, root, "orders", spread_small=True).select(
         F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"),
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("dst"),
     )
-    li = table(spark, root, "lineitem").select(
+    li = table(spark, root, "lineitem", spread_small=True).select(
         F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("src"),
         F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dst"),
     )

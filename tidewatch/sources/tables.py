@@ -10,6 +10,21 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster when it has fewer splits than cores.
+
+    A file written as one row group is a single scan task, and everything
+    fused into that stage (parsing, tokenising, explode, partial aggregation)
+    then runs on one core. Large inputs have many splits and are returned
+    unchanged (no extra shuffle); the check is planning-only (no job).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def table(spark: SparkSession, root: str, name: str, spread_small: bool = False) -> DataFrame:
     """Parquet table ``<root>/<name>.parquet`` (filters and projections push down)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_small else df
