@@ -453,3 +453,112 @@ def merge_users(spark, root):
     m = gr.merge_users(old, new)
     return m.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
                     F.col("location.confidence").alias("confidence"))
+
+
+# ------------------------------------------------------------ M6: ingest and streams
+
+from tidewatch import schema as S  # noqa: E402
+from tidewatch.sources import messages as ms  # noqa: E402
+from tidewatch.sources import tweets as tw  # noqa: E402
+from tidewatch.streaming import pipelines as sp  # noqa: E402
+
+
+def _raw_tweets_read(spark, root) -> DataFrame:
+    return spark.read.schema(S.RAW_TWEET).json(fx.tweet_json_dir(spark, root))
+
+
+@register("tweet_row")
+def tweet_row(spark, root):
+    r = tw.tweet_row(_raw_tweets_read(spark, root))
+    return r.select("epoch_day", "id", "user_id", "user_screen_name", "timestamp", "lang", "in_reply_to",
+                    F.md5("text").alias("text_md5"), "geo")
+
+
+@register("tweet_envelope")
+def tweet_envelope(spark, root):
+    e = tw.tweet_envelope(_raw_tweets_read(spark, root))
+    return e.select(
+        F.col("message.id").cast("long").alias("id"), "created_at", "source", F.col("message.lang").alias("lang"),
+        F.col("message.user_id").alias("user_id"), F.md5("message.text").alias("text_md5"),
+    )
+
+
+@register("dedup_insert")
+def dedup_insert(spark, root):
+    rows = tw.tweet_row(_raw_tweets_read(spark, root))
+    path = fx.new_scratch(spark, "tweet-table")
+    tw.write_tweets(spark, rows, path)
+    resent = rows.filter(F.col("geo").isNotNull()).withColumn("text", F.lit("resent"))
+    stored = tw.write_tweets(spark, resent.unionByName(resent), path)
+    return stored.groupBy(F.col("epoch_day").cast("long").alias("epoch_day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("text") == "resent").alias("n_resent"))
+
+
+@register("replay")
+def replay(spark, root):
+    rows = tw.tweet_row(_raw_tweets_read(spark, root))
+    return tw.replay(rows)
+
+
+@register("bad_records")
+def bad_records(spark, root):
+    parsed = ms.parse_message_lines(fx.message_lines(spark, root))
+    return parsed.groupBy(F.col("_status").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _events_stream(spark, root):
+    src = f"{root.rstrip('/')}/events*.parquet"
+    schema = spark.read.parquet(f"{root.rstrip('/')}/events.parquet").schema
+    return spark.readStream.schema(schema).parquet(src)
+
+
+def _events_msgs_stream(spark, root):
+    ev = fx.events_k(_events_stream(spark, root))
+    return ev.select(
+        F.col("event_id").cast("string").alias("MessageId"),
+        F.col("ts").cast("timestamp").alias("Created"),
+        F.array("event_type").alias("Keywords"),
+        F.array().cast("array<string>").alias("Sectors"),
+        F.array(F.concat(F.lit("k"), (F.col("k") % 7).cast("string"))).alias("Groups"),
+        F.array(F.when(F.col("value") >= 100, "high").otherwise("low")).alias("Statuses"),
+    )
+
+
+@register("hourly_stream")
+def hourly_stream(spark, root):
+    out, ck = fx.new_scratch(spark, "hourly-out"), fx.new_scratch(spark, "hourly-ckpt")
+    sp.run_update_to_table(sp.hourly_stream(_events_msgs_stream(spark, root)), out, ck)
+    return sp.latest_rows(spark.read.parquet(out), ["hour_ms", "section", "value"])
+
+
+@register("late_events")
+def late_events(spark, root):
+    out, ck = fx.new_scratch(spark, "late-out"), fx.new_scratch(spark, "late-ckpt")
+    s = sp.late_events(_events_msgs_stream(spark, root))
+    sp.run_available_now(s.select("MessageId", "Keywords"), out, ck)
+    return spark.read.parquet(out).groupBy(F.col("Keywords")[0].alias("event_type")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_tagging")
+def stream_tagging(spark, root):
+    src = fx.new_scratch(spark, "envelopes")
+    fx.part_envelopes(spark, root).write.mode("overwrite").json(src)
+    out, ck = fx.new_scratch(spark, "tagged"), fx.new_scratch(spark, "tagged-ckpt")
+    stream = sp.message_stream(spark, src, S.ENVELOPES, max_files_per_trigger=1)
+    sp.tag_stream(stream, fx.part_keywords(spark), None, out, ck, kinds=())
+    t = spark.read.parquet(out)
+    return t.select(F.col("MessageId").cast("long").alias("id"), F.explode("Keywords").alias("keyword")).groupBy(
+        "id", "keyword").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("user_state_stream")
+def user_state_stream(spark, root):
+    src = fx.new_scratch(spark, "obs")
+    fx.user_obs(spark, root).repartition(4).write.mode("overwrite").parquet(src)
+    state, ck = fx.new_scratch(spark, "user-state"), fx.new_scratch(spark, "user-state-ckpt")
+    stream = sp.message_stream(spark, src, spark.read.parquet(src).schema, fmt="parquet", max_files_per_trigger=1)
+    sp.user_state_stream(stream, state, ck)
+    u = sp.current_users(spark, state)
+    return u.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
+                    F.col("location.confidence").alias("confidence"))

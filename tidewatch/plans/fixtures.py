@@ -291,3 +291,77 @@ def supplier_anchors(spark: SparkSession, root: str) -> DataFrame:
             F.lit(1.0).alias("confidence"),
         ).alias("location"),
     )
+
+
+# ---------------------------------------------------------------- ingest
+
+def new_scratch(spark: SparkSession, name: str) -> str:
+    """Fresh folder under the shared checkpoint root for one run."""
+    import uuid
+
+    from tidewatch.session import scratch_dir
+
+    return scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def raw_tweets(spark: SparkSession, root: str) -> DataFrame:
+    """``documents ⋈ events`` (doc_id = event_id) as raw stream records.
+
+    Error events arrive as rate-limit notices; clicks reply to another user;
+    views carry a ``geo`` point (lat,lon); Spanish is tagged "in".
+    """
+    d = table(spark, root, "documents", spread_small=True).select("doc_id", "text", "lang")
+    ev = events_k(table(spark, root, "events", spread_small=True))
+    j = ev.join(d, ev.event_id == d.doc_id)
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    tweet = F.to_json(F.struct(
+        ms.cast("string").alias("timestamp_ms"),
+        F.col("event_id").alias("id"),
+        F.col("event_id").cast("string").alias("id_str"),
+        F.date_format(F.col("ts"), "EEE MMM dd HH:mm:ss '+0000' yyyy").alias("created_at"),
+        F.lit("http://twitter.com").alias("source"),
+        F.col("text"),
+        F.when(F.col("lang") == "es", F.lit("in")).otherwise(F.col("lang")).alias("lang"),
+        F.when(F.col("event_type") == "click", (F.col("user_id") * 7) % 150).alias("in_reply_to_user_id"),
+        F.struct(
+            F.col("user_id").alias("id"),
+            F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("screen_name"),
+            F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("name"),
+            F.col("k").cast("long").alias("followers_count"),
+            (F.col("k") * 2).cast("long").alias("friends_count"),
+        ).alias("user"),
+        F.when(
+            F.col("event_type") == "view",
+            F.concat(F.lit('{"type":"Point","coordinates":['), (F.col("k") - 50).cast("string"), F.lit(","),
+                     ((F.col("k") * 3) % 360 - 180).cast("string"), F.lit("]}")),
+        ).alias("geo"),
+    ))
+    notice = F.to_json(F.struct(F.struct(F.col("event_id").alias("track")).alias("limit")))
+    return j.select(F.when(F.col("event_type") == "error", notice).otherwise(tweet).alias("value"))
+
+
+def tweet_json_dir(spark: SparkSession, root: str) -> str:
+    """Write the raw tweets as JSON lines into a fresh scratch folder."""
+    path = new_scratch(spark, "tweets-json")
+    raw_tweets(spark, root).write.mode("overwrite").text(path)
+    return path
+
+
+def message_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Raw message lines: ``events`` as JSON messages (clicks with the stream's
+    date layout, errors with an unparsable date, purchases without one) plus
+    every line of every ``documents`` text (prose, so mostly malformed)."""
+    ev = events_k(table(spark, root, "events", spread_small=True))
+    created = (
+        F.when(F.col("event_type") == "click", F.date_format("ts", "EEE MMM dd HH:mm:ss '+0000' yyyy"))
+        .when(F.col("event_type") == "error", F.date_format("ts", "dd/MM/yyyy HH:mm"))
+        .when(F.col("event_type") == "purchase", F.lit(None).cast("string"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    )
+    msgs = ev.select(F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("MessageId"),
+        created.alias("Created"),
+        F.array("event_type").alias("Keywords"),
+    )).alias("value"))
+    docs = table(spark, root, "documents", spread_small=True).select(F.explode(F.split("text", "\n", -1)).alias("value"))
+    return msgs.unionByName(docs)

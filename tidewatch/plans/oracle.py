@@ -515,3 +515,48 @@ SELECT coalesce(n.user_id, o.user_id) AS user_id,
        {r4('CASE WHEN n.user_id IS NOT NULL AND n.lat IS NOT NULL THEN n.lon ELSE o.lon END')} AS lon,
        CAST(CASE WHEN n.user_id IS NOT NULL AND n.lat IS NOT NULL THEN 0.5 WHEN o.lat IS NOT NULL THEN 1.0 END AS DOUBLE) AS confidence
 FROM a6 o FULL OUTER JOIN new n ON o.user_id = n.user_id"""
+
+
+# ---------------------------------------------------------------- ingest and streams
+
+TWEETS_J = """
+j AS (SELECT e.event_id, e.ts, e.user_id, e.event_type, CAST(json_extract(e.props, '$.k') AS INTEGER) AS k,
+             d.text, d.lang AS dlang
+      FROM events e JOIN documents d ON e.event_id = d.doc_id)"""
+
+TWEET_ROW = "WITH " + TWEETS_J.strip() + """
+SELECT CAST(floor((epoch_us(ts) // 1000) / 86400000) AS BIGINT) AS epoch_day, event_id AS id, user_id,
+       'u' || CAST(user_id AS VARCHAR) AS user_screen_name, epoch_us(ts) // 1000 AS timestamp,
+       CASE WHEN dlang = 'es' THEN 'in' ELSE dlang END AS lang,
+       CASE WHEN event_type = 'click' THEN (user_id * 7) % 150 END AS in_reply_to,
+       md5(text) AS text_md5,
+       CASE WHEN event_type = 'view' THEN '{"type":"Point","coordinates":[' || CAST(k - 50 AS VARCHAR) || ','
+            || CAST((k * 3) % 360 - 180 AS VARCHAR) || ']}' END AS geo
+FROM j WHERE event_type <> 'error'"""
+
+TWEET_ENVELOPE = "WITH " + TWEETS_J.strip() + """
+SELECT event_id AS id, strftime(epoch_ms(epoch_us(ts) // 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS created_at,
+       'twitter' AS source, CASE WHEN dlang = 'es' THEN 'in' ELSE dlang END AS lang,
+       CAST(user_id AS VARCHAR) AS user_id, md5(text) AS text_md5
+FROM j WHERE event_type <> 'error'"""
+
+DEDUP_INSERT = "WITH " + TWEETS_J.strip() + """
+SELECT CAST(floor((epoch_us(ts) // 1000) / 86400000) AS BIGINT) AS epoch_day, count(*) AS n, CAST(0 AS BIGINT) AS n_resent
+FROM j WHERE event_type <> 'error' GROUP BY 1"""
+
+BAD_RECORDS = """
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE event_type WHEN 'error' THEN 'bad_created' WHEN 'purchase' THEN 'missing_created' ELSE 'ok' END AS reason
+  FROM events
+  UNION ALL
+  SELECT CASE WHEN trim(l) = '' THEN 'empty'
+              WHEN NOT json_valid(l) OR json_type(l) <> 'OBJECT' THEN 'malformed'
+              ELSE 'object' END
+  FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM documents))
+GROUP BY reason"""
+
+HOURLY_STREAM_BODY = """
+SELECT epoch_ms(hour) AS hour_ms, section, value, CAST(occ AS BIGINT) AS occurrences, CAST(rec AS BIGINT) AS records
+FROM cube"""
+
+LATE_EVENTS = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"

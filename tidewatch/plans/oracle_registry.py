@@ -61,3 +61,14 @@ ORACLE["propagate_1"] = o.propagate_sql(1, o.PROPAGATE_BODY)
 ORACLE["propagate_5"] = o.propagate_sql(5, o.PROPAGATE_BODY)
 ORACLE["propagation_metrics"] = o.propagate_sql(5, o.metrics_body(5))
 ORACLE["merge_users"] = o.MERGE_USERS
+
+# ---- ingest and streams
+ORACLE["tweet_row"] = o.TWEET_ROW
+ORACLE["tweet_envelope"] = o.TWEET_ENVELOPE
+ORACLE["dedup_insert"] = o.DEDUP_INSERT
+# replay: JSON text of whole rows; rows-only check (Spark's to_json layout).
+ORACLE["bad_records"] = o.BAD_RECORDS
+ORACLE["hourly_stream"] = o.trend_sql("events", o.HOURLY_STREAM_BODY)
+ORACLE["late_events"] = o.LATE_EVENTS
+ORACLE["stream_tagging"] = ORACLE["match_keywords_fuzzy"]
+ORACLE["user_state_stream"] = o.USER_CENTROID
