@@ -49,3 +49,18 @@ def phrase_candidates(tokens, max_words: int) -> Column:
 def prune_newlines(raw) -> Column:
     """Drop the two-character escapes backslash-n and backslash-r from raw JSON text."""
     return F.regexp_replace(_c(raw), r"\\[nr]", "")
+
+
+def phrase_candidates_n(tokens, max_words: int) -> Column:
+    """Like ``phrase_candidates`` but each candidate carries its word count:
+    array<struct<n:int, term:string>>. A keyword of n words is only compared
+    with n-word candidates."""
+    t = _c(tokens)
+
+    def tagged(n: int):
+        return lambda x: F.struct(F.lit(n).alias("n"), x.alias("term"))
+
+    parts = [F.transform(F.array_distinct(t), tagged(1))]
+    for n in range(2, max_words + 1):
+        parts.append(F.transform(F.array_distinct(ngrams(t, n)), tagged(n)))
+    return F.concat(*parts)

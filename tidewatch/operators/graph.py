@@ -149,7 +149,7 @@ def propagate_locations(
     anchor_pts = anchors.filter(F.col("location.confidence") >= 1).select(
         "user_id", F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon")
     )
-    users = all_users(und, anchors)
+    users = all_users(edges.select("src", "dst"), anchors)  # self-reply-only users included
     is_anchor = anchor_pts.select("user_id", F.lit(True).alias("anchor"))
     # state: (user_id, last struct<lat,lon> or null, inferred array)
     state = users.join(is_anchor, "user_id", "left").select(

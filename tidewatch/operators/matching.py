@@ -16,7 +16,7 @@ from tidewatch.functions import fuzzy as fz
 from tidewatch.operators.common import checked_broadcast
 
 
-def fuzzy_pairs(terms: DataFrame, keys: DataFrame, use_jw: bool = True) -> DataFrame:
+def fuzzy_pairs(terms: DataFrame, keys: DataFrame, use_jw: bool = True, by_words: bool = False) -> DataFrame:
     """Verified fuzzy pairs (lang, term, key) with term != key.
 
     ``terms``: (lang, term), ``keys``: (lang, key). Pairs are generated by an
@@ -25,13 +25,14 @@ def fuzzy_pairs(terms: DataFrame, keys: DataFrame, use_jw: bool = True) -> DataF
     The key side (dictionary grams) is broadcast after a size check, so a hot
     gram on the term side causes no shuffle skew.
     """
-    key_grams = keys.select("lang", "key", F.explode(fz.grams("key")).alias("gram"))
+    n = ["n"] if by_words else []
+    key_grams = keys.select("lang", *n, "key", F.explode(fz.grams("key")).alias("gram"))
     term_grams = terms.filter(F.length("term") >= fz.GRAM).select(
-        "lang", "term", F.explode(fz.grams("term")).alias("gram")
+        "lang", *n, "term", F.explode(fz.grams("term")).alias("gram")
     )
     cand = (
-        term_grams.join(checked_broadcast(key_grams), ["lang", "gram"])
-        .select("lang", "term", "key")
+        term_grams.join(checked_broadcast(key_grams), ["lang", *n, "gram"])
+        .select("lang", *n, "term", "key")
         .filter(
             (F.col("term") != F.col("key"))
             & (F.greatest(F.length("term"), F.length("key")) >= 5)
@@ -45,18 +46,22 @@ def fuzzy_pairs(terms: DataFrame, keys: DataFrame, use_jw: bool = True) -> DataF
     return cand
 
 
-def match_terms(terms: DataFrame, keys: DataFrame, fuzzy: bool = True, use_jw: bool = True) -> DataFrame:
+def match_terms(terms: DataFrame, keys: DataFrame, fuzzy: bool = True, use_jw: bool = True,
+                by_words: bool = False) -> DataFrame:
     """(lang, term) × dictionary (lang, key) → (lang, term, key, exact).
 
     ``terms`` may hold duplicates; they are reduced to the distinct vocabulary.
+    With ``by_words`` both sides carry a word count ``n`` and only equal
+    counts are compared (an n-word keyword against n-word candidates).
     """
-    vocab = terms.select("lang", "term").distinct()
-    k = keys.select("lang", "key").distinct()
+    n = ["n"] if by_words else []
+    vocab = terms.select("lang", *n, "term").distinct()
+    k = keys.select("lang", *n, "key").distinct()
     exact = vocab.join(
         checked_broadcast(k.withColumnRenamed("key", "term").withColumn("key", F.col("term"))),
-        ["lang", "term"],
-    ).select("lang", "term", "key", F.lit(True).alias("exact"))
+        ["lang", *n, "term"],
+    ).select("lang", *n, "term", "key", F.lit(True).alias("exact"))
     if not fuzzy:
         return exact
-    fz_pairs = fuzzy_pairs(vocab, k, use_jw).select("lang", "term", "key", F.lit(False).alias("exact"))
+    fz_pairs = fuzzy_pairs(vocab, k, use_jw, by_words).select("lang", *n, "term", "key", F.lit(False).alias("exact"))
     return exact.unionByName(fz_pairs)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import ordered_tokens, phrase_candidates
+from tidewatch.functions.text import ordered_tokens, phrase_candidates_n
 from tidewatch.functions.timeutil import parse_created
 from tidewatch.operators.common import checked_broadcast, small_side, with_row_key
 from tidewatch.operators.matching import match_terms
@@ -90,9 +90,9 @@ def _max_words(dictionary: DataFrame, col: str) -> int:
 
 
 def candidates(msgs: DataFrame, max_words: int, lang: str = "Language", tokens: str = "tok") -> DataFrame:
-    """(row, lang, term): distinct tokens and distinct 2..max_words-grams."""
+    """(row, lang, n, term): distinct tokens (n=1) and distinct n-grams, n <= max_words."""
     return msgs.select(
-        "_row", F.col(lang).alias("lang"), F.explode(phrase_candidates(tokens, max_words)).alias("term")
+        "_row", F.col(lang).alias("lang"), F.inline(phrase_candidates_n(tokens, max_words))
     )
 
 
@@ -103,10 +103,10 @@ def keyword_pairs(msgs: DataFrame, keywords: DataFrame, fuzzy: bool = True, use_
     ``msgs`` needs ``_row``, ``Language`` and ordered tokens ``tok``;
     ``keywords`` is (lang, keyword).
     """
-    keys = keywords.select("lang", F.col("keyword").alias("key"))
+    keys = keywords.select("lang", F.col("keyword").alias("key"), F.size(F.split("keyword", " ")).alias("n"))
     cands = candidates(msgs, _max_words(keywords, "keyword"))
-    mapping = match_terms(cands, keys, fuzzy=fuzzy, use_jw=use_jw)
-    return cands.join(small_side(mapping), ["lang", "term"]).select(
+    mapping = match_terms(cands, keys, fuzzy=fuzzy, use_jw=use_jw, by_words=True)
+    return cands.join(small_side(mapping), ["lang", "n", "term"]).select(
         "_row", "term", F.col("key").alias("keyword"), "exact"
     )
 
@@ -130,7 +130,7 @@ def category_pairs(
 
     cat = categories.filter(F.col("kind") == kind)
     max_words = _max_words(cat, "keyword") if phrases else 1
-    cands = candidates(msgs, max_words).distinct()
+    cands = candidates(msgs, max_words).select("_row", "lang", "term").distinct()
     if mode == "any":
         table = resolve_categories(cat, on_conflict).select("lang", F.col("keyword").alias("term"), "category")
         return cands.join(checked_broadcast(table), ["lang", "term"]).select("_row", "category").distinct()

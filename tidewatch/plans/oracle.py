@@ -158,11 +158,11 @@ def fuzzy_sql(a: str, b: str, use_jw: bool = True) -> str:
 
 
 def candidates_sql(src: str, max_words: int) -> str:
-    """(id, lang, term): distinct tokens and distinct 2..max_words-grams of ``tok``."""
-    parts = [f"SELECT id, lang, unnest(tok) AS term FROM {src}"]
+    """(id, lang, n, term): distinct tokens (n = 1) and distinct n-grams of ``tok``."""
+    parts = [f"SELECT id, lang, 1 AS n, unnest(tok) AS term FROM {src}"]
     for n in range(2, max_words + 1):
         parts.append(
-            f"SELECT id, lang, unnest(list_transform(range(1, len(tok) - {n} + 2), "
+            f"SELECT id, lang, {n} AS n, unnest(list_transform(range(1, len(tok) - {n} + 2), "
             f"lambda i: array_to_string(tok[i:i + {n - 1}], ' '))) AS term FROM {src}"
         )
     return "SELECT DISTINCT * FROM (" + " UNION ALL ".join(parts) + ")"
@@ -201,7 +201,7 @@ def keyword_match_sql(msg_cte: str, src: str, dict_rows: list[tuple], fuzzy: boo
     return f"""WITH {msg_cte.strip()}, {kw},
 c AS ({candidates_sql(src, max_words)})
 SELECT c.id AS id, kw.keyword AS keyword, count(*) AS n
-FROM c JOIN kw ON c.lang = kw.lang
+FROM c JOIN kw ON c.lang = kw.lang AND c.n = len(string_split(kw.keyword, ' '))
 WHERE {match} {where}
 GROUP BY c.id, kw.keyword"""
 
@@ -251,7 +251,7 @@ def category_match_sql(lines: list[str], mode: str = "any", phrases: bool = True
     else:
         table = "SELECT DISTINCT lang, keyword, category FROM cat"
     head = f"""WITH {PART_TOK.strip()}, {cat},
-c AS ({candidates_sql('pm', max_words)}),
+c AS (SELECT DISTINCT id, lang, term FROM ({candidates_sql('pm', max_words)})),
 t AS ({table})"""
     if mode == "any":
         return head + "\nSELECT DISTINCT c.id AS id, t.category FROM c JOIN t ON c.lang = t.lang AND c.term = t.keyword"
@@ -452,7 +452,7 @@ def propagate_sql(iterations: int, body: str) -> str:
 und AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges) WHERE src <> dst),
 anchors AS (SELECT 's' || CAST(s_suppkey AS VARCHAR) AS user_id, CAST(s_nationkey * 5 - 60 AS DOUBLE) AS lat,
                    CAST(s_nationkey * 12 - 144 AS DOUBLE) AS lon FROM supplier),
-users AS (SELECT DISTINCT user_id FROM (SELECT src AS user_id FROM und UNION ALL SELECT dst FROM und
+users AS (SELECT DISTINCT user_id FROM (SELECT src AS user_id FROM edges UNION ALL SELECT dst FROM edges
                                         UNION ALL SELECT user_id FROM anchors)),
 s0 AS (SELECT u.user_id, a.user_id IS NOT NULL AS anchor, NULL::DOUBLE AS llat, NULL::DOUBLE AS llon,
               0 AS ninf, false AS isnew
