@@ -48,7 +48,7 @@ def qualifying(messages: DataFrame) -> DataFrame:
     return messages.filter(has_created(messages) & has_sections(messages))
 
 
-def section_entries(messages: DataFrame) -> DataFrame:
+def section_entries(messages: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """A1 input: one row per list element (section, value, first).
 
     ``first`` marks the first occurrence of a value inside its record's list,
@@ -65,14 +65,14 @@ def section_entries(messages: DataFrame) -> DataFrame:
     parts = [F.transform(_list(c), tag(c)) for c in SECTIONS]
     return (
         qualifying(messages)
-        .select(hour_floor("Created").alias("hour"), F.inline(F.concat(*parts)))
+        .select(hour_floor("Created").alias("hour"), *extra, F.inline(F.concat(*parts)))
         .filter(F.col("value").isNotNull())
     )
 
 
-def hour_cube(messages: DataFrame) -> DataFrame:
+def hour_cube(messages: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(hour, section, value) → occurrences, records; the one aggregation over raw input."""
-    return section_entries(messages).groupBy("hour", "section", "value").agg(
+    return section_entries(messages, extra).groupBy("hour", *extra, "section", "value").agg(
         F.count(F.lit(1)).alias("occurrences"),
         F.count_if("first").alias("records"),
     )
@@ -85,14 +85,15 @@ def with_spans(df: DataFrame, hour_col: str = "hour", levels=JOB_LEVELS) -> Data
     )
 
 
-def span_cube(cube: DataFrame, levels=JOB_LEVELS) -> DataFrame:
+def span_cube(cube: DataFrame, levels=JOB_LEVELS, extra: tuple[str, ...] = ()) -> DataFrame:
     """(timespan, hour, section, value, occurrences, records): the cube per span (map-side only)."""
-    return with_spans(cube, levels=levels).select("timespan", "hour", "section", "value", "occurrences", "records")
+    return with_spans(cube, levels=levels).select(
+        "timespan", *extra, "hour", "section", "value", "occurrences", "records")
 
 
-def span_counts(spans: DataFrame) -> DataFrame:
+def span_counts(spans: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """A1 per span: (timespan, section, value, occurrences, records)."""
-    return spans.groupBy("timespan", "section", "value").agg(
+    return spans.groupBy("timespan", *extra, "section", "value").agg(
         F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records")
     )
 
@@ -102,20 +103,20 @@ def distinct_timespans(spans: DataFrame) -> DataFrame:
     return spans.select("timespan").distinct()
 
 
-def topk_per_timespan(counts: DataFrame, k: int = DEFAULT_K) -> DataFrame:
+def topk_per_timespan(counts: DataFrame, k: int = DEFAULT_K, extra: tuple[str, ...] = ()) -> DataFrame:
     """The k most frequent (section, value) per span by occurrences.
 
     Ties break on records, then section, then value (deterministic; Q2).
     """
-    w = Window.partitionBy("timespan").orderBy(F.desc("occurrences"), F.desc("records"), "section", "value")
+    w = Window.partitionBy("timespan", *extra).orderBy(F.desc("occurrences"), F.desc("records"), "section", "value")
     return (
         counts.withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)
-        .select("timespan", "rank", "section", "value", "occurrences", "records")
+        .select("timespan", *extra, "rank", "section", "value", "occurrences", "records")
     )
 
 
-def hourly_counts(spans: DataFrame, topk: DataFrame, k: int = DEFAULT_K) -> DataFrame:
+def hourly_counts(spans: DataFrame, topk: DataFrame, k: int = DEFAULT_K, extra: tuple[str, ...] = ()) -> DataFrame:
     """A3 + J7: per (span, hour) the records (``n``) and occurrences that contain
     each top entry, zero-filled over the hours that hold any qualifying record.
 
@@ -125,23 +126,24 @@ def hourly_counts(spans: DataFrame, topk: DataFrame, k: int = DEFAULT_K) -> Data
     (span, hour) with k conditional sums, which gives the zero rows for free;
     the pivot is unrolled back to one row per existing rank.
     """
-    top = F.broadcast(topk.select("timespan", "rank", "section", "value"))
-    tagged = spans.join(top, ["timespan", "section", "value"], "left")
+    top = F.broadcast(topk.select("timespan", *extra, "rank", "section", "value"))
+    tagged = spans.join(top, ["timespan", *extra, "section", "value"], "left")
     sums = []
     for r in range(1, k + 1):
         hit = F.col("rank") == r
         sums.append(F.sum(F.when(hit, F.col("records")).otherwise(0)).alias(f"n{r}"))
         sums.append(F.sum(F.when(hit, F.col("occurrences")).otherwise(0)).alias(f"o{r}"))
-    pivot = tagged.groupBy("timespan", "hour").agg(*sums)
+    pivot = tagged.groupBy("timespan", *extra, "hour").agg(*sums)
     cells = F.array(*[
         F.struct(F.lit(r).alias("rank"), F.col(f"n{r}").alias("n"), F.col(f"o{r}").alias("occurrences"))
         for r in range(1, k + 1)
     ])
     return (
-        pivot.select("timespan", "hour", F.inline(cells))
-        .join(top, ["timespan", "rank"])
+        pivot.select("timespan", *extra, "hour", F.inline(cells))
+        .join(top, ["timespan", *extra, "rank"])
         .select(
             "timespan",
+            *extra,
             "hour",
             hour_ms("hour").alias("hour_ms"),
             "rank",
@@ -153,21 +155,28 @@ def hourly_counts(spans: DataFrame, topk: DataFrame, k: int = DEFAULT_K) -> Data
     )
 
 
-def trend_tables(messages: DataFrame, k: int = DEFAULT_K, levels=JOB_LEVELS) -> dict[str, DataFrame]:
-    """All intermediate tables of the trend job, sharing one cube."""
-    cube = hour_cube(messages)
-    spans = span_cube(cube, levels)
-    counts = span_counts(spans)
-    top = topk_per_timespan(counts, k)
-    hourly = hourly_counts(spans, top, k)
+def trend_tables(messages: DataFrame, k: int = DEFAULT_K, levels=JOB_LEVELS,
+                 extra: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """All intermediate tables of the trend job, sharing one cube.
+
+    ``extra`` adds grouping keys to every step (X1: a location tile); the
+    broadcast top-k then holds k rows per (span, key), still bounded by the
+    calendar times the key domain (e.g. the tile grid).
+    """
+    cube = hour_cube(messages, extra)
+    spans = span_cube(cube, levels, extra)
+    counts = span_counts(spans, extra)
+    top = topk_per_timespan(counts, k, extra)
+    hourly = hourly_counts(spans, top, k, extra)
     return {"cube": cube, "spans": spans, "counts": counts, "topk": top, "hourly": hourly}
 
 
-def timeseries_long(messages: DataFrame, k: int = DEFAULT_K, levels=JOB_LEVELS) -> DataFrame:
+def timeseries_long(messages: DataFrame, k: int = DEFAULT_K, levels=JOB_LEVELS,
+                    extra: tuple[str, ...] = ()) -> DataFrame:
     """Long form of the trend output: (timespan, hour_ms, rank, label, n, occurrences)."""
-    hourly = trend_tables(messages, k, levels)["hourly"]
+    hourly = trend_tables(messages, k, levels, extra)["hourly"]
     return hourly.select(
-        "timespan", "hour_ms", "rank", section_label("section", "value").alias("label"), "n", "occurrences"
+        "timespan", *extra, "hour_ms", "rank", section_label("section", "value").alias("label"), "n", "occurrences"
     )
 
 

@@ -562,3 +562,146 @@ def user_state_stream(spark, root):
     u = sp.current_users(spark, state)
     return u.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
                     F.col("location.confidence").alias("confidence"))
+
+
+# ------------------------------------------------------------ M7: extensions and remaining operators
+
+from tidewatch.functions.timeutil import hour_ms as _hour_ms, timespan_label as _label  # noqa: E402
+from tidewatch.operators import extensions as ext  # noqa: E402
+
+TILE_SIZE = 30.0
+
+
+@register("tile_timeseries")
+def tile_timeseries(spark, root):
+    m = ext.with_tiles(fx.msg_events_located(spark, root), TILE_SIZE)
+    return ts.timeseries_long(m, extra=("tile",))
+
+
+@register("category_confidence")
+def category_confidence(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    cands = tg.candidates(m, 2)
+    c = ext.category_confidence(cands, _cats(spark, fx.CATEGORY_ALL_LINES, "groups"), "groups")
+    return c.select(F.col("_row").cast("long").alias("id"), "category", F.round("confidence", 6).alias("confidence"))
+
+
+@register("translated_terms")
+def translated_terms(spark, root):
+    m = _routed(fx.docs_envelopes(spark, root))
+    pairs = tg.keyword_pairs(m, fx.doc_keywords(spark)).join(
+        m.select("_row", F.col("Language").alias("lang")), "_row")
+    t = ext.translate_terms(pairs, fx.doc_translations(spark))
+    return t.groupBy(F.col("_row").cast("long").alias("id"), "canonical").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("weighted_centroid")
+def weighted_centroid(spark, root):
+    c = gr.condense_locations(gr.point_observations(fx.user_obs(spark, root)))
+    u = gr.user_centroid(c, weighted=True)
+    return u.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"))
+
+
+@register("match_categories_fuzzy")
+def match_categories_fuzzy(spark, root):
+    m = _routed(fx.part_envelopes(spark, root))
+    cands = tg.candidates(m, 2)
+    c = ext.fuzzy_categories(cands, _cats(spark, fx.CATEGORY_LINES, "groups"), "groups")
+    return c.select(F.col("_row").cast("long").alias("id"), "category")
+
+
+@register("timespan_labels")
+def timespan_labels(spark, root):
+    m = fx.msg_events(spark, root)
+    return m.select(
+        F.col("MessageId").cast("long").alias("id"),
+        *[_label(lv, "Created").alias(lv) for lv in ("alltime", "year", "month", "day", "hour")],
+        _hour_ms("Created").alias("hour_ms"),
+    )
+
+
+@register("matches_timespan")
+def matches_timespan(spark, root):
+    m = ts.filter_timespan(fx.msg_lines(spark, root), "year-1997")
+    return m.groupBy(_label("month", "Created").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _source_names():
+    return (F.when(F.col("doc_id") % 5 == 0, F.lit("rss")).when(F.col("doc_id") % 5 == 1, F.lit("Twitter"))
+            .when(F.col("doc_id") % 5 == 2, F.lit("facebook-messages"))
+            .when(F.col("doc_id") % 5 == 3, F.lit("FACEBOOK-COMMENTS")).otherwise(F.col("source")))
+
+
+@register("normalize_source")
+def normalize_source(spark, root):
+    d = table(spark, root, "documents").select("doc_id", "source")
+    return d.select("doc_id", tg.normalize_source(_source_names()).alias("code"))
+
+
+@register("flatten_roundtrip")
+def flatten_roundtrip(spark, root):
+    u = _users_a6(spark, root)
+    back = ms.unflatten_row(ms.flatten_row(u), u.schema)
+    return back.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
+                       F.col("location.confidence").alias("confidence"))
+
+
+@register("gazetteer_dictionary")
+def gazetteer_dictionary(spark, root):
+    n = table(spark, root, "nation")
+    r = table(spark, root, "region")
+    lines = n.select(
+        F.lit("en").alias("lang"),
+        F.concat_ws(",", F.col("n_name"), F.concat(F.lit(" "), (F.col("n_nationkey") * 5 - 60).cast("string")),
+                    F.concat((F.col("n_nationkey") * 12 - 144).cast("string"), F.lit(" "))).alias("value"),
+        F.col("n_nationkey").cast("long").alias("seq"),
+    ).unionByName(r.select(
+        F.lit("en").alias("lang"), F.concat_ws(",", "r_name", F.col("r_regionkey").cast("string")).alias("value"),
+        (F.col("r_regionkey") + 100).cast("long").alias("seq"),
+    )).unionByName(n.filter(F.col("n_regionkey") == 0).select(
+        F.lit("en").alias("lang"), F.concat_ws(",", "n_name", F.lit("1.5"), F.lit("2.5")).alias("value"),
+        (F.col("n_nationkey") + 200).cast("long").alias("seq"),
+    ))
+    return rd.load_gazetteer(lines)
+
+
+@register("build_dictionaries")
+def build_dictionaries(spark, root):
+    p = table(spark, root, "part")
+    sheet = p.select(F.lit("en").alias("lang"), F.col("p_name").alias("term"),
+                     F.concat_ws(", ", F.lower("p_type"), F.lower("p_brand")).alias("synonyms"),
+                     F.upper("p_name").alias("english"))
+    return rd.build_dictionaries(sheet)["translations"]
+
+
+@register("user_buckets")
+def user_buckets(spark, root):
+    e = fx.edges_orders(spark, root)
+    users = e.select(F.col("src").alias("u")).unionByName(e.select(F.col("dst").alias("u"))).distinct()
+    return users.groupBy(F.substring("u", 1, 2).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("neighbour_centroid")
+def neighbour_centroid(spark, root):
+    und = gr.undirected(fx.edges_orders(spark, root))
+    a = fx.supplier_anchors(spark, root).select("user_id", F.col("location.lat").alias("lat"),
+                                                F.col("location.lon").alias("lon"))
+    return gr.neighbour_centroid(und, a)
+
+
+@register("prune_newlines")
+def prune_newlines(spark, root):
+    from tidewatch.functions.text import prune_newlines as _prune
+
+    d = table(spark, root, "documents", spread_small=True).select("doc_id", F.to_json(F.struct("text")).alias("raw"))
+    back = d.select("doc_id", F.from_json(_prune("raw"), "text string")["text"].alias("text"))
+    return back.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@register("write_timeseries")
+def write_timeseries(spark, root):
+    docs = ts.timeseries_documents(ts.timeseries_long(fx.msg_events(spark, root)))
+    path = fx.new_scratch(spark, "timeseries-docs")
+    ms.write_timeseries(docs, path)
+    back = spark.read.text(path)
+    return back.select("name", F.md5("value").alias("doc_md5"))

@@ -365,3 +365,20 @@ def message_lines(spark: SparkSession, root: str) -> DataFrame:
     )).alias("value"))
     docs = table(spark, root, "documents", spread_small=True).select(F.explode(F.split("text", "\n", -1)).alias("value"))
     return msgs.unionByName(docs)
+
+
+def msg_events_located(spark: SparkSession, root: str) -> DataFrame:
+    """``msg_events`` with the event's point as its one location."""
+    ev = events_k(table(spark, root, "events", spread_small=True))
+    m = msg_events(spark, root)
+    loc = F.array(F.struct(
+        (F.col("k") - 50).cast("double").alias("lat"), ((F.col("k") * 3) % 360 - 180).cast("double").alias("lon"),
+        F.lit(1.0).alias("probability"), F.lit("Tagged").alias("inference_type")))
+    pts = ev.select(F.col("event_id").cast("string").alias("MessageId"), loc.alias("_loc"))
+    return m.drop("Locations").join(pts, "MessageId").withColumnRenamed("_loc", "Locations")
+
+
+def doc_translations(spark: SparkSession) -> DataFrame:
+    """X3 reference data: each one-letter variant of a document term → the term."""
+    rows = [(lang, t[1:], t) for lang in ("en", "fr", "de", "es") for t in DOC_TERMS]
+    return spark.createDataFrame(rows, "lang string, term string, canonical string")

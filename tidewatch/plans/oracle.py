@@ -560,3 +560,159 @@ SELECT epoch_ms(hour) AS hour_ms, section, value, CAST(occ AS BIGINT) AS occurre
 FROM cube"""
 
 LATE_EVENTS = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
+
+
+# ---------------------------------------------------------------- extensions and remaining operators
+
+def _tile_base() -> str:
+    """TREND_BASE with a ``tile`` key added to every grouping."""
+    reps = [
+        ("SELECT date_trunc('hour', Created) AS hour, e.section", "SELECT date_trunc('hour', Created) AS hour, tile, e.section"),
+        ("FROM (SELECT Created, unnest(", "FROM (SELECT Created, tile, unnest("),
+        ("SELECT hour, section, value, count(*) AS occ", "SELECT hour, tile, section, value, count(*) AS occ"),
+        ("FROM entries GROUP BY hour, section, value", "FROM entries GROUP BY hour, tile, section, value"),
+        ("SELECT s.timespan, hour, section", "SELECT s.timespan, tile, hour, section"),
+        ("SELECT timespan, section, value, sum(occ)", "SELECT timespan, tile, section, value, sum(occ)"),
+        ("FROM spans GROUP BY timespan, section, value", "FROM spans GROUP BY timespan, tile, section, value"),
+        ("PARTITION BY timespan ORDER BY", "PARTITION BY timespan, tile ORDER BY"),
+        ("SELECT h.timespan, h.hour, t.rnk", "SELECT h.timespan, h.tile, h.hour, t.rnk"),
+        ("FROM (SELECT DISTINCT timespan, hour FROM spans) h JOIN top t ON h.timespan = t.timespan",
+         "FROM (SELECT DISTINCT timespan, tile, hour FROM spans) h JOIN top t ON h.timespan = t.timespan AND h.tile = t.tile"),
+        ("SELECT g.timespan, g.hour,", "SELECT g.timespan, g.tile, g.hour,"),
+        ("LEFT JOIN cube c ON c.hour = g.hour AND", "LEFT JOIN cube c ON c.hour = g.hour AND c.tile = g.tile AND"),
+    ]
+    s = TREND_BASE
+    for a, b in reps:
+        assert a in s, a
+        s = s.replace(a, b)
+    return s
+
+
+MSG_EVENTS_TILED = """
+msgs AS (
+  SELECT CAST(event_id AS VARCHAR) AS MessageId, ts AS Created,
+         [event_type] AS Keywords, []::VARCHAR[] AS Sectors,
+         ['k' || CAST(CAST(json_extract(props, '$.k') AS INTEGER) % 7 AS VARCHAR)] AS Groups,
+         [CASE WHEN value >= 100 THEN 'high' ELSE 'low' END] AS Statuses,
+         CAST(CAST(floor((CAST(json_extract(props, '$.k') AS INTEGER) - 50) / 30.0) AS BIGINT) AS VARCHAR) || '_' ||
+         CAST(CAST(floor(((CAST(json_extract(props, '$.k') AS INTEGER) * 3) % 360 - 180) / 30.0) AS BIGINT) AS VARCHAR) AS tile
+  FROM events
+)"""
+
+TILE_TIMESERIES = with_ctes(MSG_EVENTS_TILED, _tile_base(), body=f"""
+SELECT timespan, tile, hour_ms, CAST(rnk AS INTEGER) AS rank, {PREFIX} || value AS label,
+       CAST(n AS BIGINT) AS n, CAST(occ AS BIGINT) AS occurrences
+FROM hourly""")
+
+
+def category_confidence_sql(lines: list[str]) -> str:
+    rows = category_rows(lines)
+    cat = values_table("cat", "lang, category, keyword, seq", rows)
+    return f"""WITH {PART_TOK.strip()}, {cat},
+c AS (SELECT DISTINCT id, lang, term FROM ({candidates_sql('pm', 2)})),
+need AS (SELECT lang, category, count(DISTINCT keyword) AS need FROM cat GROUP BY lang, category),
+have AS (SELECT c.id, c.lang, d.category, count(DISTINCT c.term) AS have
+         FROM c JOIN (SELECT DISTINCT lang, keyword, category FROM cat) d ON c.lang = d.lang AND c.term = d.keyword
+         GROUP BY c.id, c.lang, d.category)
+SELECT have.id AS id, have.category, round(have.have / need.need, 6) AS confidence
+FROM have JOIN need ON have.lang = need.lang AND have.category = need.category"""
+
+
+def translated_sql(dict_rows: list[tuple], tr_rows: list[tuple]) -> str:
+    base = keyword_match_sql(DOC_TOK, "dm", dict_rows, fuzzy=True)
+    body_at = base.index("\nSELECT c.id AS id")
+    head = base[:body_at]
+    tr = values_table("tr", "lang, term, canonical", tr_rows)
+    return head + f""", {tr},
+p AS (SELECT c.id, c.lang, kw.keyword FROM c JOIN kw ON c.lang = kw.lang AND c.n = len(string_split(kw.keyword, ' '))
+      WHERE {fuzzy_sql('kw.keyword', 'c.term')})
+SELECT p.id, coalesce(tr.canonical, p.keyword) AS canonical, count(*) AS n
+FROM p LEFT JOIN tr ON p.lang = tr.lang AND p.keyword = tr.term
+GROUP BY p.id, coalesce(tr.canonical, p.keyword)"""
+
+
+WEIGHTED_CENTROID = f"""WITH {USER_OBS.strip()},
+cw AS (SELECT user_id, lat, lon, count(*) AS w FROM obs GROUP BY user_id, lat, lon)
+SELECT user_id, {r4(_CLAT)} AS lat, {r4(_CLON)} AS lon FROM (
+  SELECT user_id, sum(w * {_X}) AS sx, sum(w * {_Y}) AS sy, sum(w * {_Z}) AS sz FROM cw GROUP BY user_id)"""
+
+
+def fuzzy_categories_sql(lines: list[str]) -> str:
+    rows = category_rows(lines)
+    cat = values_table("cat", "lang, category, keyword, seq", rows)
+    return f"""WITH {PART_TOK.strip()}, {cat},
+c AS ({candidates_sql('pm', 2)}),
+t AS (SELECT lang, keyword, arg_max(category, seq) AS category FROM cat GROUP BY lang, keyword)
+SELECT DISTINCT c.id AS id, t.category FROM c JOIN t ON c.lang = t.lang AND c.n = len(string_split(t.keyword, ' '))
+WHERE {fuzzy_sql('t.keyword', 'c.term')}"""
+
+
+TIMESPAN_LABELS = """
+SELECT event_id AS id, 'alltime' AS alltime, strftime(ts, 'year-%Y') AS year, strftime(ts, 'month-%Y-%m') AS month,
+       strftime(ts, 'day-%Y-%m-%d') AS day, strftime(ts, 'hour-%Y-%m-%d%H:00') AS hour,
+       epoch_ms(date_trunc('hour', ts)) AS hour_ms
+FROM events"""
+
+MATCHES_TIMESPAN = """
+SELECT strftime(l.l_shipdate, 'month-%Y-%m') AS month, count(*) AS n
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+WHERE strftime(l.l_shipdate, 'year-%Y') = 'year-1997'
+GROUP BY 1"""
+
+NORMALIZE_SOURCE = """
+SELECT doc_id, CASE lower(CASE doc_id % 5 WHEN 0 THEN 'rss' WHEN 1 THEN 'Twitter' WHEN 2 THEN 'facebook-messages'
+                               WHEN 3 THEN 'FACEBOOK-COMMENTS' ELSE source END)
+                 WHEN 'rss' THEN 0 WHEN 'twitter' THEN 1 WHEN 'facebook-messages' THEN 2
+                 WHEN 'facebook-comments' THEN 3 ELSE 1 END AS code
+FROM documents"""
+
+GAZETTEER_DICTIONARY = """
+WITH lines AS (
+  SELECT n_name || ', ' || CAST(n_nationkey * 5 - 60 AS VARCHAR) || ',' || CAST(n_nationkey * 12 - 144 AS VARCHAR) || ' ' AS value,
+         CAST(n_nationkey AS BIGINT) AS seq FROM nation
+  UNION ALL SELECT r_name || ',' || CAST(r_regionkey AS VARCHAR), CAST(r_regionkey + 100 AS BIGINT) FROM region
+  UNION ALL SELECT n_name || ',1.5,2.5', CAST(n_nationkey + 200 AS BIGINT) FROM nation WHERE n_regionkey = 0),
+f AS (SELECT seq, string_split(value, ',') AS f FROM lines),
+rows AS (SELECT seq, lower(f[1]) AS name, TRY_CAST(trim(f[2]) AS DOUBLE) AS lat, TRY_CAST(trim(f[3]) AS DOUBLE) AS lon
+         FROM f WHERE len(f) = 3)
+SELECT 'en' AS lang, name, arg_max(lat, seq) AS lat, arg_max(lon, seq) AS lon, min(seq) AS seq
+FROM rows WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY name"""
+
+BUILD_DICTIONARIES = """
+WITH t AS (SELECT p_name AS term, lower(p_type) || ', ' || lower(p_brand) AS syn, upper(p_name) AS english FROM part),
+x AS (SELECT english, term AS t FROM t UNION ALL SELECT english, trim(unnest(string_split(syn, ','))) FROM t)
+SELECT DISTINCT 'en' AS lang, lower(t) AS term, lower(english) AS canonical FROM x WHERE length(t) > 0"""
+
+USER_BUCKETS = "WITH " + EDGES.strip() + """,
+u AS (SELECT DISTINCT u FROM (SELECT src AS u FROM edges UNION ALL SELECT dst FROM edges))
+SELECT substring(u, 1, 2) AS bucket, count(*) AS n FROM u GROUP BY 1"""
+
+PRUNE_NEWLINES = "SELECT doc_id, md5(replace(replace(text, chr(10), ''), chr(13), '')) AS text_md5 FROM documents"
+
+
+def write_timeseries_sql() -> str:
+    return trend_sql("events", """
+SELECT d.timespan AS name, md5('{"labels":["x","' || l.labels || '"],"graphData":' || d.graph_data || '}') AS doc_md5
+FROM (
+  SELECT timespan, '[' || string_agg(rw, ',' ORDER BY hour_ms) || ']' AS graph_data FROM (
+    SELECT timespan, hour_ms,
+           '[' || hour_ms || ',' || string_agg(CAST(n AS VARCHAR), ',' ORDER BY rnk) || ']' AS rw
+    FROM hourly GROUP BY timespan, hour_ms) GROUP BY timespan) d
+JOIN (SELECT timespan, string_agg(""" + PREFIX + """ || value, '","' ORDER BY rnk) AS labels FROM top GROUP BY timespan) l
+ON d.timespan = l.timespan""")
+
+
+def emit_sentence_sql(dict_rows: list[tuple], lines: list[str]) -> str:
+    rows = category_rows(lines)
+    cat = values_table("cat", "lang, category, keyword, seq", rows)
+    kw = values_table("kw", "lang, keyword", dict_rows)
+    mw = max(len(k.split(" ")) for _, k in dict_rows)
+    return f"""WITH {PART_TOK.strip()}, {kw}, {cat},
+c AS ({candidates_sql('pm', max(mw, 2))}),
+k AS (SELECT c.id, kw.keyword FROM c JOIN kw ON c.lang = kw.lang AND c.n = len(string_split(kw.keyword, ' '))
+      WHERE c.n <= {mw} AND {fuzzy_sql('kw.keyword', 'c.term')}),
+t AS (SELECT lang, keyword, arg_max(category, seq) AS category FROM cat GROUP BY lang, keyword),
+g AS (SELECT DISTINCT c.id, t.category FROM c JOIN t ON c.lang = t.lang AND c.term = t.keyword),
+gl AS (SELECT id, string_agg(category, ',' ORDER BY category) AS groups FROM g GROUP BY id),
+kl AS (SELECT id, string_agg(keyword, ',' ORDER BY keyword) AS keywords FROM k GROUP BY id)
+SELECT gl.id, coalesce(kl.keywords, '') AS keywords, gl.groups FROM gl LEFT JOIN kl ON gl.id = kl.id"""

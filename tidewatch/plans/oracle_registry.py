@@ -72,3 +72,22 @@ ORACLE["hourly_stream"] = o.trend_sql("events", o.HOURLY_STREAM_BODY)
 ORACLE["late_events"] = o.LATE_EVENTS
 ORACLE["stream_tagging"] = ORACLE["match_keywords_fuzzy"]
 ORACLE["user_state_stream"] = o.USER_CENTROID
+
+# ---- extensions and remaining operators
+_TR = [(lang, t[1:], t) for lang in ("en", "fr", "de", "es") for t in _fx.DOC_TERMS]
+ORACLE["tile_timeseries"] = o.TILE_TIMESERIES
+ORACLE["category_confidence"] = o.category_confidence_sql(_fx.CATEGORY_ALL_LINES)
+ORACLE["translated_terms"] = o.translated_sql(_DOC_KW, _TR)
+ORACLE["weighted_centroid"] = o.WEIGHTED_CENTROID
+ORACLE["match_categories_fuzzy"] = o.fuzzy_categories_sql(_fx.CATEGORY_LINES)
+ORACLE["timespan_labels"] = o.TIMESPAN_LABELS
+ORACLE["matches_timespan"] = o.MATCHES_TIMESPAN
+ORACLE["normalize_source"] = o.NORMALIZE_SOURCE
+ORACLE["flatten_roundtrip"] = o.USER_CENTROID
+ORACLE["gazetteer_dictionary"] = o.GAZETTEER_DICTIONARY
+ORACLE["build_dictionaries"] = o.BUILD_DICTIONARIES
+ORACLE["user_buckets"] = o.USER_BUCKETS
+ORACLE["neighbour_centroid"] = o.propagate_sql(1, "SELECT user_id, lat, lon FROM cen1 WHERE lat IS NOT NULL")
+ORACLE["prune_newlines"] = o.PRUNE_NEWLINES
+ORACLE["write_timeseries"] = o.write_timeseries_sql()
+ORACLE["emit_sentence"] = o.emit_sentence_sql(_PART_KW, _fx.CATEGORY_LINES)

@@ -133,7 +133,7 @@ def build_dictionaries(sheet: DataFrame) -> dict[str, DataFrame]:
         "lang",
         "english",
         F.explode(
-            F.concat(F.array(F.col("term")), F.transform(F.split(F.coalesce("synonyms", F.lit("")), ","), F.trim))
+            F.concat(F.array(F.col("term")), F.transform(F.split(F.coalesce("synonyms", F.lit("")), ","), lambda s: F.trim(s)))
         ).alias("t"),
     ).filter(F.length("t") > 0)
     kw = exploded.select("lang", F.lower("t").alias("keyword")).distinct()
