@@ -705,3 +705,38 @@ def write_timeseries(spark, root):
     ms.write_timeseries(docs, path)
     back = spark.read.text(path)
     return back.select("name", F.md5("value").alias("doc_md5"))
+
+
+@register("fan_out")
+def fan_out(spark, root):
+    src = fx.tweet_json_dir(spark, root)
+    base = fx.new_scratch(spark, "fan-out")
+    stream = sp.message_stream(spark, src, S.RAW_TWEET, max_files_per_trigger=2)
+    sp.fan_out(stream, f"{base}/table", f"{base}/graph", f"{base}/pipeline", f"{base}/ckpt")
+    t = spark.read.parquet(f"{base}/table").select(F.lit("table").alias("sink"), F.col("id").cast("long").alias("id"))
+    g = spark.read.json(f"{base}/graph").select(F.lit("graph").alias("sink"), F.col("id").cast("long").alias("id"))
+    p = spark.read.json(f"{base}/pipeline").select(F.lit("pipeline").alias("sink"),
+                                                    F.col("message.id").cast("long").alias("id"))
+    return t.unionByName(g).unionByName(p).groupBy("sink").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("n_ids"))
+
+
+@register("archive_stream")
+def archive_stream(spark, root):
+    src = fx.new_scratch(spark, "archive-src")
+    fx.msg_events(spark, root).select("MessageId", F.col("Created").cast("timestamp").alias("Created"),
+                                      "Keywords").write.mode("overwrite").json(src)
+    schema = "MessageId string, Created timestamp, Keywords array<string>"
+    out, ck = fx.new_scratch(spark, "archive-out"), fx.new_scratch(spark, "archive-ckpt")
+    stream = spark.readStream.schema(schema).json(src)
+    sp.archive(stream, out, ck).awaitTermination()
+    back = spark.read.schema(schema).json(out)
+    return back.groupBy(F.col("Keywords")[0].alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("scan_count")
+def scan_count(spark, root):
+    path = fx.new_scratch(spark, "tweet-table")
+    tw.write_tweets(spark, tw.tweet_row(_raw_tweets_read(spark, root)), path)
+    stored = spark.read.parquet(path)
+    return stored.agg(F.count(F.lit(1)).alias("n"))

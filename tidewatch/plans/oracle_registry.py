@@ -91,3 +91,10 @@ ORACLE["neighbour_centroid"] = o.propagate_sql(1, "SELECT user_id, lat, lon FROM
 ORACLE["prune_newlines"] = o.PRUNE_NEWLINES
 ORACLE["write_timeseries"] = o.write_timeseries_sql()
 ORACLE["emit_sentence"] = o.emit_sentence_sql(_PART_KW, _fx.CATEGORY_LINES)
+ORACLE["fan_out"] = """WITH """ + o.TWEETS_J.strip() + """,
+t AS (SELECT event_id FROM j WHERE event_type <> 'error')
+SELECT sink, count(*) AS n, count(DISTINCT event_id) AS n_ids
+FROM (SELECT 'table' AS sink, event_id FROM t UNION ALL SELECT 'graph', event_id FROM t
+      UNION ALL SELECT 'pipeline', event_id FROM t) GROUP BY sink"""
+ORACLE["archive_stream"] = o.LATE_EVENTS
+ORACLE["scan_count"] = "WITH " + o.TWEETS_J.strip() + "\nSELECT count(*) AS n FROM j WHERE event_type <> 'error'"
