@@ -76,3 +76,16 @@ def test_merge_users_keeps_absent(spark):
     new = spark.createDataFrame([("2", None, "z"), ("3", 3.0, None)], "user_id string, a double, b string")
     got = sorted(tuple(r) for r in gr.merge_users(old, new).collect())
     assert got == [("1", 1.0, "x"), ("2", 2.0, "z"), ("3", 3.0, None)]
+
+
+def test_hot_neighbour_split_equals_plain_join(spark):
+    rnd = random.Random(5)
+    edges = [(f"u{i}", "hub") for i in range(40)] + [("hub", "a0")]
+    edges += [(f"u{rnd.randrange(40)}", f"u{rnd.randrange(40)}") for _ in range(30)]
+    e = spark.createDataFrame(edges, "src string, dst string")
+    anchors = _anchors(spark, [("a0", 10, 20), ("u1", -5, 40)])
+    def run(split):
+        r = gr.propagate_locations(e, anchors, 5, hot_share=0.2, hot_min_degree=5, split_hot_keys=split)
+        return sorted((u.user_id, None if u.location is None else (u.location.lat, u.location.lon), len(u.inferred))
+                      for u in r["users"].collect())
+    assert run(True) == run(False)

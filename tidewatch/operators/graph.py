@@ -73,17 +73,38 @@ def reply_edges(tweets: DataFrame, src: str = "user_id", dst: str = "in_reply_to
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
-    """Per user the sorted lists ``replied_to`` and ``replied_by``."""
-    out = edges.groupBy(F.col("src").alias("user_id")).agg(F.array_sort(F.collect_set("dst")).alias("replied_to"))
-    inc = edges.groupBy(F.col("dst").alias("user_id")).agg(F.array_sort(F.collect_set("src")).alias("replied_by"))
-    empty = F.array().cast("array<string>")
+    """Per-user adjacency summary of the distinct directed edges.
+
+    The neighbour lists themselves stay in long form (the edge table, which
+    the propagation joins); a hub user would otherwise become one unbounded
+    array in one row. Reported per user: out/in degree and the first/last
+    neighbour id in each direction (partial aggregates, skew-safe).
+    """
+    out = edges.groupBy(F.col("src").alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n_to"), F.min("dst").alias("first_to"), F.max("dst").alias("last_to"))
+    inc = edges.groupBy(F.col("dst").alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n_by"), F.min("src").alias("first_by"), F.max("src").alias("last_by"))
     return out.join(inc, "user_id", "full").select(
         "user_id",
-        F.coalesce("replied_to", empty).alias("replied_to"),
-        F.coalesce("replied_by", empty).alias("replied_by"),
+        F.coalesce("n_to", F.lit(0)).cast("long").alias("n_to"),
+        F.coalesce("n_by", F.lit(0)).cast("long").alias("n_by"),
+        "first_to", "last_to", "first_by", "last_by",
     )
 
 
+def replied_lists(edges: DataFrame, user_ids: DataFrame) -> DataFrame:
+    """A7 as the reference stores it (``replied_to``/``replied_by`` arrays), for
+    a given set of users only (e.g. a user lookup). Arrays are built per user;
+    callers must not pass hub users when list size matters."""
+    e = edges.join(user_ids.select(F.col("user_id").alias("src")), "src", "left_semi")
+    i = edges.join(user_ids.select(F.col("user_id").alias("dst")), "dst", "left_semi")
+    out = e.groupBy(F.col("src").alias("user_id")).agg(F.array_sort(F.collect_set("dst")).alias("replied_to"))
+    inc = i.groupBy(F.col("dst").alias("user_id")).agg(F.array_sort(F.collect_set("src")).alias("replied_by"))
+    empty = F.array().cast("array<string>")
+    return out.join(inc, "user_id", "full").select(
+        "user_id", F.coalesce("replied_to", empty).alias("replied_to"), F.coalesce("replied_by", empty).alias("replied_by"))
+
+
 def undirected(edges: DataFrame) -> DataFrame:
     """Union of both directions, distinct; self loops dropped."""
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -100,12 +121,40 @@ def all_users(edges: DataFrame, anchors: DataFrame) -> DataFrame:
     )
 
 
-def neighbour_centroid(und: DataFrame, located: DataFrame) -> DataFrame:
+# Neighbours with at least this share of all edges are "hot": joined by
+# broadcast instead of by hash partition. At most 1/share keys can qualify,
+# which bounds the broadcast table.
+HOT_SHARE = 0.001
+
+
+def split_hot(und: DataFrame, share: float = HOT_SHARE, min_degree: int = 1000) -> tuple[DataFrame, DataFrame | None]:
+    """(cold edges, hot keys): hot keys are ``dst`` values whose degree is at
+    least ``share`` of all edges (and ``min_degree``); at most 1/share keys."""
+    from tidewatch.operators.common import cut_lineage
+
+    total = und.count()  # ``und`` is a checkpointed table: a cheap metadata-sized job
+    bound = max(total * share, min_degree)
+    deg = und.groupBy("dst").agg(F.count(F.lit(1)).alias("deg"))
+    hot = cut_lineage(deg.filter(F.col("deg") >= F.lit(bound)).select("dst"))
+    if hot.isEmpty():
+        return und, None
+    return und.join(F.broadcast(hot), "dst", "left_anti"), hot
+
+
+def neighbour_centroid(und: DataFrame, located: DataFrame, hot: DataFrame | None = None,
+                       und_hot: DataFrame | None = None) -> DataFrame:
     """J6 + A9: per user, centre of the neighbours' points.
 
     ``located``: (user_id, lat, lon) of neighbours allowed to contribute.
+    With a hot-key split, ``und`` holds the cold edges (hash join on ``dst``)
+    and ``und_hot`` the edges into hot neighbours, joined with a broadcast of
+    the hot neighbours' rows (at most 1/HOT_SHARE of them).
     """
-    contrib = und.join(located.withColumnRenamed("user_id", "dst"), "dst")
+    loc = located.withColumnRenamed("user_id", "dst")
+    contrib = und.join(loc, "dst")
+    if hot is not None and und_hot is not None:
+        hot_loc = loc.join(F.broadcast(hot), "dst", "left_semi")
+        contrib = contrib.unionByName(und_hot.join(F.broadcast(hot_loc), "dst"))
     agg = contrib.groupBy(F.col("src").alias("user_id")).agg(*centre_aggs("lat", "lon"))
     c = centre_from_vector("_cx", "_cy", "_cz")
     return agg.select("user_id", c.alias("c")).filter(F.col("c").isNotNull()).select(
@@ -127,6 +176,9 @@ def propagate_locations(
     iterations: int = DEFAULT_ITERATIONS,
     checkpoint: bool = True,
     partitions: int | None = None,
+    hot_share: float = HOT_SHARE,
+    hot_min_degree: int = 1000,
+    split_hot_keys: bool = True,
 ) -> dict[str, DataFrame]:
     """Infer home locations for users without one.
 
@@ -144,8 +196,10 @@ def propagate_locations(
     """
     spark = edges.sparkSession
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    und = undirected(edges)
-    und = _checkpoint(und.repartition(n_part, "dst"), checkpoint)
+    und_all = _checkpoint(undirected(edges), checkpoint)
+    cold, hot = split_hot(und_all, hot_share, hot_min_degree) if split_hot_keys else (und_all, None)
+    und_hot = _checkpoint(und_all.join(F.broadcast(hot), "dst", "left_semi"), checkpoint) if hot is not None else None
+    und = _checkpoint(cold.repartition(n_part, "dst"), checkpoint)
     anchor_pts = anchors.filter(F.col("location.confidence") >= 1).select(
         "user_id", F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon")
     )
@@ -169,7 +223,7 @@ def propagate_locations(
                 "user_id", F.col("last.lat").alias("lat"), F.col("last.lon").alias("lon")
             )
             located = anchor_pts.unionByName(inferred_pts)
-        cen = neighbour_centroid(und, located).select("user_id", F.struct("lat", "lon").alias("new"))
+        cen = neighbour_centroid(und, located, hot, und_hot).select("user_id", F.struct("lat", "lon").alias("new"))
         joined = state.join(cen, "user_id", "left")
         found = ~F.col("anchor") & F.col("new").isNotNull()
         if it < iterations:

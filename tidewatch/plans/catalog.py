@@ -406,11 +406,7 @@ def reply_edges(spark, root):
 
 @register("adjacency")
 def adjacency(spark, root):
-    a = gr.adjacency(gr.reply_edges(fx.edges_orders(spark, root), "src", "dst"))
-    return a.select(
-        "user_id", F.size("replied_to").cast("long").alias("n_to"), F.size("replied_by").cast("long").alias("n_by"),
-        F.md5(F.array_join("replied_to", ",")).alias("to_md5"), F.md5(F.array_join("replied_by", ",")).alias("by_md5"),
-    )
+    return gr.adjacency(gr.reply_edges(fx.edges_orders(spark, root), "src", "dst"))
 
 
 def _propagated(spark, root, iterations):

@@ -439,11 +439,11 @@ REPLY_EDGES = "WITH " + EDGES.strip() + "\nSELECT DISTINCT src, dst FROM edges"
 
 ADJACENCY = "WITH " + EDGES.strip() + """,
 e AS (SELECT DISTINCT src, dst FROM edges),
-o AS (SELECT src AS user_id, list_sort(list(dst)) AS l FROM e GROUP BY src),
-i AS (SELECT dst AS user_id, list_sort(list(src)) AS l FROM e GROUP BY dst)
+o AS (SELECT src AS user_id, count(*) AS n, min(dst) AS f, max(dst) AS l FROM e GROUP BY src),
+i AS (SELECT dst AS user_id, count(*) AS n, min(src) AS f, max(src) AS l FROM e GROUP BY dst)
 SELECT coalesce(o.user_id, i.user_id) AS user_id,
-       CAST(coalesce(len(o.l), 0) AS BIGINT) AS n_to, CAST(coalesce(len(i.l), 0) AS BIGINT) AS n_by,
-       md5(coalesce(array_to_string(o.l, ','), '')) AS to_md5, md5(coalesce(array_to_string(i.l, ','), '')) AS by_md5
+       CAST(coalesce(o.n, 0) AS BIGINT) AS n_to, CAST(coalesce(i.n, 0) AS BIGINT) AS n_by,
+       o.f AS first_to, o.l AS last_to, i.f AS first_by, i.l AS last_by
 FROM o FULL OUTER JOIN i ON o.user_id = i.user_id"""
 
 
