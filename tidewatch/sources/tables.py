@@ -18,10 +18,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     then runs on one core. Large inputs have many splits and are returned
     unchanged (no extra shuffle); the check is planning-only (no job).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def table(spark: SparkSession, root: str, name: str, spread_small: bool = False) -> DataFrame:
