@@ -35,6 +35,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -63,3 +64,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint root for written intermediate tables."""
     root = ensure_checkpoint_dir(spark)
     return root.rstrip("/") + "/" + name
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewatch`` importable in the Python workers (pandas UDFs).
+
+    The package is zipped once per application and added with ``addPyFile``,
+    the programmatic form of ``--py-files``; Spark distributes it to every
+    executor. A no-op when already shipped for this application.
+    """
+    import shutil
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = tempfile.mkdtemp(prefix="tidewatch-pkg-")
+    archive = shutil.make_archive(
+        os.path.join(base, "tidewatch"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="tidewatch"
+    )
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
