@@ -63,6 +63,26 @@ def user_centroid(condensed: DataFrame, weighted: bool = False) -> DataFrame:
     )
 
 
+def robust_centroid(condensed: DataFrame, max_ratio: float = 2.0) -> DataFrame:
+    """Weighted centre after rejecting outliers.
+
+    1. weighted centre of the user's distinct points (weights = occurrences);
+    2. great-circle distance of every point to it;
+    3. drop points farther than ``max_ratio`` × the user's median distance
+       (exact ``percentile``, partial-aggregated per user);
+    4. weighted centre of the remaining points (confidence 1).
+    """
+    first = user_centroid(condensed, weighted=True).select("user_id", "location.lat", "location.lon")
+    c = condensed.join(first.withColumnRenamed("lat", "_clat").withColumnRenamed("lon", "_clon"), "user_id")
+    la1, lo1, la2, lo2 = (F.radians(F.col(x)) for x in ("lat", "lon", "_clat", "_clon"))
+    dist = 2 * F.asin(F.sqrt(
+        F.pow(F.sin((la2 - la1) / 2), 2) + F.cos(la1) * F.cos(la2) * F.pow(F.sin((lo2 - lo1) / 2), 2)))
+    c = c.withColumn("_d", F.round(dist, 9))
+    med = c.groupBy("user_id").agg(F.percentile("_d", 0.5).alias("_med"))
+    kept = c.join(med, "user_id").filter(F.col("_d") <= F.col("_med") * max_ratio)
+    return user_centroid(kept.select("user_id", "kind", "key", "occurrences", "lat", "lon"), weighted=True)
+
+
 # ---------------------------------------------------------------- the graph
 
 def reply_edges(tweets: DataFrame, src: str = "user_id", dst: str = "in_reply_to") -> DataFrame:

@@ -736,3 +736,23 @@ def scan_count(spark, root):
     tw.write_tweets(spark, tw.tweet_row(_raw_tweets_read(spark, root)), path)
     stored = spark.read.parquet(path)
     return stored.agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("user_state_incremental")
+def user_state_incremental(spark, root):
+    src = fx.new_scratch(spark, "obs-inc")
+    fx.user_obs(spark, root).repartition(4).write.mode("overwrite").parquet(src)
+    out, ck = fx.new_scratch(spark, "user-inc"), fx.new_scratch(spark, "user-inc-ckpt")
+    stream = sp.message_stream(spark, src, spark.read.parquet(src).schema, fmt="parquet", max_files_per_trigger=1)
+    sp.run_update_to_table(sp.user_centroid_stream(stream), out, ck)
+    cur = sp.latest_rows(spark.read.parquet(out), ["user_id"])
+    c = gf.centre_from_vector("_cx", "_cy", "_cz")
+    return cur.select("user_id", _r4(c["lat"]).alias("lat"), _r4(c["lon"]).alias("lon"),
+                      F.lit(1.0).alias("confidence"))
+
+
+@register("robust_centroid")
+def robust_centroid(spark, root):
+    c = gr.condense_locations(gr.point_observations(fx.user_obs(spark, root)))
+    u = gr.robust_centroid(c, 2.0)
+    return u.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"))

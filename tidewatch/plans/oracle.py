@@ -716,3 +716,20 @@ g AS (SELECT DISTINCT c.id, t.category FROM c JOIN t ON c.lang = t.lang AND c.te
 gl AS (SELECT id, string_agg(category, ',' ORDER BY category) AS groups FROM g GROUP BY id),
 kl AS (SELECT id, string_agg(keyword, ',' ORDER BY keyword) AS keywords FROM k GROUP BY id)
 SELECT gl.id, coalesce(kl.keywords, '') AS keywords, gl.groups FROM gl LEFT JOIN kl ON gl.id = kl.id"""
+
+
+def _dist_sql(lat: str, lon: str, clat: str, clon: str) -> str:
+    la1, lo1, la2, lo2 = (f"radians({x})" for x in (lat, lon, clat, clon))
+    return (f"round(2 * asin(sqrt(pow(sin(({la2} - {la1}) / 2), 2) + cos({la1}) * cos({la2}) * "
+            f"pow(sin(({lo2} - {lo1}) / 2), 2))), 9)")
+
+
+ROBUST_CENTROID = f"""WITH {USER_OBS.strip()},
+cw AS (SELECT user_id, lat, lon, count(*) AS w FROM obs GROUP BY user_id, lat, lon),
+c1 AS (SELECT user_id, {_CLAT} AS clat, {_CLON} AS clon FROM (
+  SELECT user_id, sum(w * {_X}) AS sx, sum(w * {_Y}) AS sy, sum(w * {_Z}) AS sz FROM cw GROUP BY user_id)),
+d AS (SELECT cw.*, {_dist_sql('cw.lat', 'cw.lon', 'c1.clat', 'c1.clon')} AS dist FROM cw JOIN c1 ON cw.user_id = c1.user_id),
+med AS (SELECT user_id, quantile_cont(dist, 0.5) AS med FROM d GROUP BY user_id),
+kept AS (SELECT d.* FROM d JOIN med ON d.user_id = med.user_id WHERE d.dist <= med.med * 2.0)
+SELECT user_id, {r4(_CLAT)} AS lat, {r4(_CLON)} AS lon FROM (
+  SELECT user_id, sum(w * {_X}) AS sx, sum(w * {_Y}) AS sy, sum(w * {_Z}) AS sz FROM kept GROUP BY user_id)"""

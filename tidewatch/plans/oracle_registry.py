@@ -98,3 +98,5 @@ FROM (SELECT 'table' AS sink, event_id FROM t UNION ALL SELECT 'graph', event_id
       UNION ALL SELECT 'pipeline', event_id FROM t) GROUP BY sink"""
 ORACLE["archive_stream"] = o.LATE_EVENTS
 ORACLE["scan_count"] = "WITH " + o.TWEETS_J.strip() + "\nSELECT count(*) AS n FROM j WHERE event_type <> 'error'"
+ORACLE["user_state_incremental"] = o.USER_CENTROID
+ORACLE["robust_centroid"] = o.ROBUST_CENTROID

@@ -175,3 +175,15 @@ def current_users(spark: SparkSession, state_path: str) -> DataFrame:
     from tidewatch.operators.graph import user_centroid
 
     return user_centroid(_latest_version(spark, state_path))
+
+
+def user_centroid_stream(points: DataFrame) -> DataFrame:
+    """T3, stateful variant with built-in operators: each user's distinct
+    points are de-duplicated in the state store, then a running sum of unit
+    vectors per user is kept (update mode). Finish with
+    ``functions.geo.centre_from_vector``. Both states are keyed (user, point)
+    and user, so a hot user is summed incrementally, never held as a list."""
+    from tidewatch.functions.geo import centre_aggs
+
+    distinct_pts = points.dropDuplicates(["user_id", "lat", "lon"])
+    return distinct_pts.groupBy("user_id").agg(*centre_aggs("lat", "lon"))
