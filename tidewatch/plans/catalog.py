@@ -756,3 +756,20 @@ def robust_centroid(spark, root):
     c = gr.condense_locations(gr.point_observations(fx.user_obs(spark, root)))
     u = gr.robust_centroid(c, 2.0)
     return u.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"))
+
+
+@register("tag_job")
+def tag_job(spark, root):
+    """E2 end to end: route, tokens, keywords (region names, exact + fuzzy),
+    location cascade, then the P11/P13 flags."""
+    env = fx.geo_customers(spark, root)
+    regions = fx.gaz_regions(spark, root).select("lang", F.col("name").alias("keyword"))
+    tagged = tg.tag_messages(env, regions, None, kinds=())
+    located = lc.resolve_locations(tagged, fx.gaz_world(spark, root), _users_a6(spark, root))
+    return located.select(
+        F.col("MessageId").cast("long").alias("id"),
+        F.array_join("Keywords", ",").alias("keywords"),
+        F.size("Locations").cast("long").alias("n_locations"),
+        tg.has_locations("Locations").alias("has_locations"),
+        tg.no_signal(located).alias("no_signal"),
+    )

@@ -733,3 +733,20 @@ med AS (SELECT user_id, quantile_cont(dist, 0.5) AS med FROM d GROUP BY user_id)
 kept AS (SELECT d.* FROM d JOIN med ON d.user_id = med.user_id WHERE d.dist <= med.med * 2.0)
 SELECT user_id, {r4(_CLAT)} AS lat, {r4(_CLON)} AS lon FROM (
   SELECT user_id, sum(w * {_X}) AS sx, sum(w * {_Y}) AS sy, sum(w * {_Z}) AS sz FROM kept GROUP BY user_id)"""
+
+
+def tag_job_sql() -> str:
+    """Keywords (region names over tokens and bigrams) joined with the location cascade."""
+    head = RESOLVE[: RESOLVE.index("\nSELECT id, inference_type")]
+    return head + f""",
+gm AS (SELECT id, 'en' AS lang, tok FROM gc),
+cands AS ({candidates_sql('gm', 2)}),
+kwm AS (SELECT c.id, r.name AS keyword FROM cands c JOIN gz_r r ON c.lang = r.lang
+        AND c.n = len(string_split(r.name, ' ')) WHERE {fuzzy_sql('r.name', 'c.term')}),
+kl AS (SELECT id, string_agg(keyword, ',' ORDER BY keyword) AS keywords, count(*) AS nk FROM kwm GROUP BY id),
+locs AS (SELECT id, count(*) AS nl FROM (
+  SELECT id FROM tagged UNION ALL SELECT id FROM usertagged UNION ALL SELECT id FROM content
+  UNION ALL SELECT id FROM handle) GROUP BY id)
+SELECT gc.id, coalesce(kl.keywords, '') AS keywords, CAST(coalesce(locs.nl, 0) AS BIGINT) AS n_locations,
+       coalesce(locs.nl, 0) > 0 AS has_locations, coalesce(kl.nk, 0) = 0 AS no_signal
+FROM gc LEFT JOIN kl ON gc.id = kl.id LEFT JOIN locs ON gc.id = locs.id"""

@@ -100,3 +100,4 @@ ORACLE["archive_stream"] = o.LATE_EVENTS
 ORACLE["scan_count"] = "WITH " + o.TWEETS_J.strip() + "\nSELECT count(*) AS n FROM j WHERE event_type <> 'error'"
 ORACLE["user_state_incremental"] = o.USER_CENTROID
 ORACLE["robust_centroid"] = o.ROBUST_CENTROID
+ORACLE["tag_job"] = o.tag_job_sql()
