@@ -47,3 +47,24 @@ def test_every_query_runs_on_smallest_tables(spark):
         df = fn(spark, SF)
         df.limit(1).collect()
         assert len(df.columns) > 0, name
+
+
+def test_hourly_stream_equals_batch_cube(spark):
+    from tidewatch.functions.timeutil import hour_ms
+    from tidewatch.operators import timeseries as ts
+    from tidewatch.plans import catalog, fixtures
+
+    stream = {tuple(r) for r in catalog.REGISTRY["hourly_stream"](spark, SF).select(
+        "hour_ms", "section", "value", "occurrences", "records").collect()}
+    cube = ts.hour_cube(fixtures.msg_events(spark, SF))
+    batch = {tuple(r) for r in cube.select(hour_ms("hour").alias("hour_ms"), "section", "value", "occurrences",
+                                           "records").collect()}
+    assert stream == batch and len(batch) > 0
+
+
+def test_stream_tagging_equals_batch(spark):
+    from tidewatch.plans import catalog
+
+    s = {tuple(r) for r in catalog.REGISTRY["stream_tagging"](spark, SF).collect()}
+    b = {tuple(r) for r in catalog.REGISTRY["match_keywords_fuzzy"](spark, SF).collect()}
+    assert s == b and len(b) > 0

@@ -216,10 +216,11 @@ def propagate_locations(
     """
     spark = edges.sparkSession
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    und_all = _checkpoint(undirected(edges), checkpoint)
-    cold, hot = split_hot(und_all, hot_share, hot_min_degree) if split_hot_keys else (und_all, None)
+    # one write of the undirected edges, hash-partitioned by dst; the hot/cold
+    # split below is a broadcast (anti/semi) filter that keeps that partitioning
+    und_all = _checkpoint(undirected(edges).repartition(n_part, "dst"), checkpoint)
+    und, hot = split_hot(und_all, hot_share, hot_min_degree) if split_hot_keys else (und_all, None)
     und_hot = _checkpoint(und_all.join(F.broadcast(hot), "dst", "left_semi"), checkpoint) if hot is not None else None
-    und = _checkpoint(cold.repartition(n_part, "dst"), checkpoint)
     anchor_pts = anchors.filter(F.col("location.confidence") >= 1).select(
         "user_id", F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon")
     )
