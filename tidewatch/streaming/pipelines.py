@@ -91,7 +91,8 @@ def run_update_to_table(df: DataFrame, out_path: str, checkpoint: str) -> None:
     changed, stamped with the batch id; ``latest_rows`` reads the current
     value per key. Open windows are visible before the watermark closes them."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
+        # one folder per batch, overwritten if the batch is retried (idempotent)
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     foreach_batch_available_now(df, write, checkpoint, mode="update")
 
@@ -114,9 +115,10 @@ def fan_out(stream: DataFrame, table_path: str, graph_path: str, pipeline_path:
         spark = batch.sparkSession
         b = batch.persist()
         rows = tweet_row(b)
-        write_tweets(spark, rows, table_path)
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("append").json(graph_path)
-        tweet_envelope(b).withColumn("batch_id", F.lit(batch_id)).write.mode("append").json(pipeline_path)
+        write_tweets(spark, rows, table_path)  # insert-only: a retried batch adds nothing
+        # queue folders per batch, overwritten on retry (idempotent)
+        rows.write.mode("overwrite").json(f"{graph_path}/batch_id={batch_id}")
+        tweet_envelope(b).write.mode("overwrite").json(f"{pipeline_path}/batch_id={batch_id}")
         b.unpersist()
 
     foreach_batch_available_now(stream, write, checkpoint)
@@ -130,9 +132,8 @@ def tag_stream(stream: DataFrame, keywords: DataFrame, categories: DataFrame | N
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = tag_messages(batch, keywords, categories, **tag_args)
-        tagged.select(
-            "MessageId", "Source", "Language", "Keywords", "Groups", F.lit(batch_id).alias("batch_id")
-        ).write.mode("append").parquet(out_path)
+        tagged.select("MessageId", "Source", "Language", "Keywords", "Groups").write.mode(
+            "overwrite").parquet(f"{out_path}/batch_id={batch_id}")  # idempotent on retry
 
     foreach_batch_available_now(stream, write, checkpoint)
 
@@ -147,7 +148,7 @@ def user_state_stream(stream: DataFrame, state_path: str, checkpoint: str) -> No
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = condense_locations(point_observations(batch))
-        cur = _latest_version(spark, state_path)
+        cur = _latest_version(spark, state_path, before=batch_id)  # a retry re-merges onto the same base
         if cur is not None:
             merged = cur.unionByName(new).groupBy("user_id", "kind", "key").agg(
                 F.sum("occurrences").alias("occurrences"), F.first("lat").alias("lat"), F.first("lon").alias("lon")
@@ -159,15 +160,20 @@ def user_state_stream(stream: DataFrame, state_path: str, checkpoint: str) -> No
     foreach_batch_available_now(stream, write, checkpoint)
 
 
-def _latest_version(spark: SparkSession, state_path: str) -> DataFrame | None:
-    """Highest committed version folder ``v=...`` of the state table."""
+def _latest_version(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame | None:
+    """Highest committed version folder ``v=...`` of the state table
+    (strictly below ``before`` when given)."""
     from pyspark.errors import AnalysisException
 
     try:
         versions = spark.read.parquet(state_path)
     except AnalysisException:
         return None
+    if before is not None:
+        versions = versions.filter(F.col("v") < before)
     top = versions.agg(F.max("v").alias("v")).first()["v"]
+    if top is None:
+        return None
     return versions.filter(F.col("v") == top).drop("v")
 
 
