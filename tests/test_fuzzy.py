@@ -72,3 +72,15 @@ def test_gram_blocking_equals_brute_force(spark, terms, keys):
     got = {(r.term, r.key) for r in fuzzy_pairs(t, k).collect()}
     want = {(a, b) for a in terms for b in keys if a != b and brute_match(b, a)}
     assert got == want
+
+
+def test_native_jaro_winkler_equals_python_reference(spark):
+    rnd = random.Random(11)
+    alpha = "abcé ñx"
+    pairs = [("".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 9))),
+              "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 9)))) for _ in range(400)]
+    pairs += [("martha", "marhta"), ("", ""), ("a", "")]
+    df = spark.createDataFrame(pairs, "a string, b string").withColumn("i", F.monotonically_increasing_id())
+    rows = fz.add_jaro_winkler(df, "a", "b", "n").withColumn("p", fz.jaro_winkler("a", "b")).orderBy("i").collect()
+    assert all(r.n == r.p for r in rows)
+    assert [r.n for r in rows[-3:]] == [fz._jaro_winkler("martha", "marhta"), 1.0, 0.0]

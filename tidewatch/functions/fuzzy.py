@@ -116,8 +116,11 @@ def _jaro_winkler(s1: str | None, s2: str | None) -> float | None:
 
 @F.pandas_udf(T.DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    """F8: Jaro-Winkler similarity (prefix scale 0.1, prefix up to 4, boost above
-    Jaro 0.7), Arrow-batched."""
+    """F8: Jaro-Winkler similarity (prefix scale 0.1, prefix up to 4, boost
+    above Jaro 0.7), Arrow-batched. Applied only to candidate pairs that
+    passed the native substring gate. ``add_jaro_winkler`` computes the same
+    value JVM-side; measured about 2x slower than this UDF on candidate pairs
+    (interpreted higher-order functions), so the pipeline uses the UDF."""
     return pd.Series([_jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
@@ -138,3 +141,54 @@ def grams(term) -> Column:
             F.transform(F.sequence(F.lit(1), F.length(t) - GRAM + 1), lambda i: F.substring(t, i, GRAM)),
         ).otherwise(F.array().cast("array<string>"))
     )
+
+
+def _empty_ints() -> Column:
+    return F.array().cast("array<int>")
+
+
+def _seq(n) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(_empty_ints())
+
+
+def add_jaro_winkler(df, a: str, b: str, out: str = "jw"):
+    """F8 natively as staged projections: each intermediate (matched flags,
+    matched characters, transpositions) is its own column, so no stage
+    re-evaluates an earlier one. Same value as ``jaro_winkler`` (tested);
+    for deployments without Python workers."""
+    A, B = F.col(a), F.col(b)
+    d = df.withColumn("_jw_n1", F.length(A)).withColumn("_jw_n2", F.length(B))
+    d = d.withColumn("_jw_w", F.greatest(F.floor(F.greatest("_jw_n1", "_jw_n2") / 2).cast("int") - 1, F.lit(0)))
+
+    def step(acc, i):
+        lo = F.greatest(F.lit(1), i - F.col("_jw_w"))
+        hi = F.least(F.col("_jw_n2"), i + F.col("_jw_w"))
+        rng = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(_empty_ints())
+        ch = F.substring(A, i, 1)
+        j = F.get(F.filter(rng, lambda x: ~F.element_at(acc["used"], x) & (F.substring(B, x, 1) == ch)), 0)
+        used = F.when(j.isNull(), acc["used"]).otherwise(F.transform(acc["used"], lambda u, k: u | (k + 1 == j)))
+        return F.struct(used.alias("used"), F.concat(acc["hit"], F.array(j.isNotNull())).alias("hit"))
+
+    init = F.struct(F.array_repeat(F.lit(False), F.col("_jw_n2")).alias("used"),
+                    F.array().cast("array<boolean>").alias("hit"))
+    d = d.withColumn("_jw_st", F.aggregate(_seq(F.col("_jw_n1")), init, step))
+    d = d.withColumn("_jw_ac", F.transform(F.filter(_seq(F.col("_jw_n1")), lambda i: F.element_at(F.col("_jw_st.hit"), i)),
+                                           lambda i: F.substring(A, i, 1)))
+    d = d.withColumn("_jw_bc", F.transform(F.filter(_seq(F.col("_jw_n2")), lambda j: F.element_at(F.col("_jw_st.used"), j)),
+                                           lambda j: F.substring(B, j, 1)))
+    d = d.withColumn("_jw_m", F.size("_jw_ac"))
+    d = d.withColumn("_jw_t", F.floor(F.size(F.filter(F.arrays_zip(F.col("_jw_ac").alias("x"), F.col("_jw_bc").alias("y")),
+                                                    lambda z: z["x"] != z["y"])) / 2).cast("int"))
+    d = d.withColumn("_jw_p", F.size(F.filter(
+        F.transform(_seq(F.least(F.lit(4), F.col("_jw_n1"), F.col("_jw_n2"))),
+                    lambda k: F.substring(A, 1, k) == F.substring(B, 1, k)), lambda x: x)))
+    md = F.col("_jw_m").cast("double")
+    jaro = (md / F.col("_jw_n1") + md / F.col("_jw_n2") + (md - F.col("_jw_t")) / md) / F.lit(3.0)
+    d = d.withColumn("_jw_j", F.when((F.col("_jw_m") > 0) & (F.col("_jw_n1") > 0) & (F.col("_jw_n2") > 0), jaro))
+    boosted = F.when(F.col("_jw_j") > F.lit(WINKLER_BOOST_THRESHOLD),
+                     F.col("_jw_j") + (F.col("_jw_p").cast("double") * F.lit(0.1)) * (F.lit(1.0) - F.col("_jw_j"))
+                     ).otherwise(F.col("_jw_j"))
+    value = (F.when(A.isNull() | B.isNull(), F.lit(None).cast("double")).when(A == B, F.lit(1.0))
+             .when((F.col("_jw_n1") == 0) | (F.col("_jw_n2") == 0) | (F.col("_jw_m") == 0), F.lit(0.0))
+             .otherwise(boosted))
+    return d.withColumn(out, value).drop(*[c for c in d.columns if c.startswith("_jw_")])
