@@ -98,17 +98,20 @@ def adjacency(edges: DataFrame) -> DataFrame:
     The neighbour lists themselves stay in long form (the edge table, which
     the propagation joins); a hub user would otherwise become one unbounded
     array in one row. Reported per user: out/in degree and the first/last
-    neighbour id in each direction (partial aggregates, skew-safe).
+    neighbour id in each direction. Each edge is seen from both ends and one
+    conditional aggregate (partial/final) does the rest: one shuffle.
     """
-    out = edges.groupBy(F.col("src").alias("user_id")).agg(
-        F.count(F.lit(1)).alias("n_to"), F.min("dst").alias("first_to"), F.max("dst").alias("last_to"))
-    inc = edges.groupBy(F.col("dst").alias("user_id")).agg(
-        F.count(F.lit(1)).alias("n_by"), F.min("src").alias("first_by"), F.max("src").alias("last_by"))
-    return out.join(inc, "user_id", "full").select(
-        "user_id",
-        F.coalesce("n_to", F.lit(0)).cast("long").alias("n_to"),
-        F.coalesce("n_by", F.lit(0)).cast("long").alias("n_by"),
-        "first_to", "last_to", "first_by", "last_by",
+    ends = edges.select(F.inline(F.array(
+        F.struct(F.col("src").alias("user_id"), F.lit(True).alias("out"), F.col("dst").alias("other")),
+        F.struct(F.col("dst").alias("user_id"), F.lit(False).alias("out"), F.col("src").alias("other")),
+    )))
+    to = F.when(F.col("out"), F.col("other"))
+    by = F.when(~F.col("out"), F.col("other"))
+    return ends.groupBy("user_id").agg(
+        F.count_if("out").cast("long").alias("n_to"),
+        F.count_if(~F.col("out")).cast("long").alias("n_by"),
+        F.min(to).alias("first_to"), F.max(to).alias("last_to"),
+        F.min(by).alias("first_by"), F.max(by).alias("last_by"),
     )
 
 

@@ -184,23 +184,23 @@ def timeseries_documents(long: DataFrame) -> DataFrame:
     """A4 + W2: one document per span.
 
     ``labels`` = ["x", label_1..label_n] in rank order; ``graphData`` = rows
-    [hour_ms, c_1..c_n] in ascending hour. Two small aggregations: first per
-    (span, hour) (≤ k values each), then per span.
+    [hour_ms, c_1..c_n] in ascending hour. Two aggregations in sequence: per
+    (span, hour) the ≤ k cells in rank order, then per span the hours in
+    order. Every hour of a span carries the same ranks (the zero-filled
+    pivot), so the labels are read from the cells of the first hour.
     """
     per_hour = long.groupBy("timespan", "hour_ms").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "n"))).alias("cells"),
-    ).select(
+        F.array_sort(F.collect_list(F.struct("rank", "n", "label"))).alias("cells")
+    )
+    per_span = per_hour.groupBy("timespan").agg(
+        F.array_sort(F.collect_list(F.struct("hour_ms", "cells"))).alias("r")
+    )
+    return per_span.select(
         "timespan",
-        "hour_ms",
-        F.concat(F.array("hour_ms"), F.transform("cells", lambda c: c["n"])).alias("row"),
+        F.concat(F.array(F.lit("x")), F.transform(F.col("r")[0]["cells"], lambda c: c["label"])).alias("labels"),
+        F.transform("r", lambda e: F.concat(F.array(e["hour_ms"]), F.transform(e["cells"], lambda c: c["n"])))
+        .alias("graphData"),
     )
-    labels = long.select("timespan", "rank", "label").distinct().groupBy("timespan").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "label"))).alias("lab")
-    ).select("timespan", F.concat(F.array(F.lit("x")), F.transform("lab", lambda c: c["label"])).alias("labels"))
-    rows = per_hour.groupBy("timespan").agg(
-        F.array_sort(F.collect_list(F.struct("hour_ms", "row"))).alias("r")
-    ).select("timespan", F.transform("r", lambda c: c["row"]).alias("graphData"))
-    return labels.join(rows, "timespan")
 
 
 def document_json(docs: DataFrame) -> DataFrame:
