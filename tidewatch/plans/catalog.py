@@ -40,6 +40,7 @@ def timeseries_long_q(fixture: str) -> Query:
     return lambda spark, root: ts.timeseries_long(MSG[fixture](spark, root))
 
 
+REGISTRY["timeseries_long"] = timeseries_long_q("events")  # the flagship, as in entry()
 for _fix in ("events", "lines", "repeats"):
     REGISTRY[f"timeseries_long_{_fix}"] = timeseries_long_q(_fix)
 

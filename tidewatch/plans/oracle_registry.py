@@ -6,6 +6,7 @@ from tidewatch.plans import oracle as o
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["timeseries_long"] = o.trend_sql("events", o.TIMESERIES_LONG_BODY)
 for _fix in ("events", "lines", "repeats"):
     ORACLE[f"timeseries_long_{_fix}"] = o.trend_sql(_fix, o.TIMESERIES_LONG_BODY)
 
