@@ -191,3 +191,11 @@ def tag_messages(
         if c not in out.columns:
             out = out.withColumn(c, F.array().cast("array<string>"))
     return out
+
+
+def keyword_messages(tagged: DataFrame) -> DataFrame:
+    """S14 keyword rows: one row per (message, keyword) with the message's
+    source, sentence, language, time and locations (the keyword sink's shape).
+    Keyword rows always go out; sentence rows are gated by ``emit_sentence``."""
+    cols = [c for c in ("Source", "Sentence", "Language", "Created", "Locations") if c in tagged.columns]
+    return tagged.select("MessageId", *cols, F.explode("Keywords").alias("Keyword"))

@@ -774,3 +774,14 @@ def tag_job(spark, root):
         tg.has_locations("Locations").alias("has_locations"),
         tg.no_signal(located).alias("no_signal"),
     )
+
+
+@register("keyword_messages")
+def keyword_messages(spark, root):
+    env = fx.geo_customers(spark, root)
+    regions = fx.gaz_regions(spark, root).select("lang", F.col("name").alias("keyword"))
+    tagged = tg.tag_messages(env, regions, None, kinds=())
+    located = lc.resolve_locations(tagged, fx.gaz_world(spark, root), _users_a6(spark, root))
+    rows = tg.keyword_messages(located)
+    return rows.groupBy(F.col("Keyword").alias("keyword"), "Source").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.size("Locations") > 0).alias("n_located"))

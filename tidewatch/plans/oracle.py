@@ -750,3 +750,12 @@ locs AS (SELECT id, count(*) AS nl FROM (
 SELECT gc.id, coalesce(kl.keywords, '') AS keywords, CAST(coalesce(locs.nl, 0) AS BIGINT) AS n_locations,
        coalesce(locs.nl, 0) > 0 AS has_locations, coalesce(kl.nk, 0) = 0 AS no_signal
 FROM gc LEFT JOIN kl ON gc.id = kl.id LEFT JOIN locs ON gc.id = locs.id"""
+
+
+def keyword_messages_sql() -> str:
+    base = tag_job_sql()
+    head = base[: base.index("\nSELECT gc.id, coalesce(kl.keywords")]
+    return head + """
+SELECT kwm.keyword, gc.source AS Source, count(*) AS n, count(*) FILTER (WHERE coalesce(locs.nl, 0) > 0) AS n_located
+FROM kwm JOIN gc ON kwm.id = gc.id LEFT JOIN locs ON kwm.id = locs.id
+GROUP BY kwm.keyword, gc.source"""

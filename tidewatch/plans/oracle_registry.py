@@ -102,3 +102,4 @@ ORACLE["scan_count"] = "WITH " + o.TWEETS_J.strip() + "\nSELECT count(*) AS n FR
 ORACLE["user_state_incremental"] = o.USER_CENTROID
 ORACLE["robust_centroid"] = o.ROBUST_CENTROID
 ORACLE["tag_job"] = o.tag_job_sql()
+ORACLE["keyword_messages"] = o.keyword_messages_sql()
