@@ -89,3 +89,12 @@ def test_hot_neighbour_split_equals_plain_join(spark):
         return sorted((u.user_id, None if u.location is None else (u.location.lat, u.location.lon), len(u.inferred))
                       for u in r["users"].collect())
     assert run(True) == run(False)
+
+
+def test_robust_centroid_drops_far_point(spark):
+    pts = [("u", 0.0, 0.0), ("u", 0.0, 1.0), ("u", 1.0, 0.0), ("u", 1.0, 1.0), ("u", 50.0, 50.0)]
+    obs = spark.createDataFrame(pts, "user_id string, lat double, lon double")
+    c = gr.condense_locations(gr.point_observations(obs))
+    plain = gr.user_centroid(c, weighted=True).first().location
+    robust = gr.robust_centroid(c, 2.0).first().location
+    assert plain.lat > 5 and abs(robust.lat - 0.5) < 0.01 and abs(robust.lon - 0.5) < 0.01
