@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from tidewatch.functions import geo as gf
 from tidewatch.operators import graph as gr

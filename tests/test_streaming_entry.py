@@ -2,7 +2,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.plans.fixtures import new_scratch
