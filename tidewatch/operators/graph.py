@@ -236,7 +236,8 @@ def propagate_locations(
         F.lit(None).cast("struct<lat:double,lon:double>").alias("last"),
         F.array().cast("array<struct<lat:double,lon:double>>").alias("inferred"),
     )
-    state = _checkpoint(state, checkpoint)
+    # the initial state is read once (round 1) and its lineage is short, so it
+    # is not written; every round's result is
     metrics = []
     final = None
     for it in range(1, iterations + 1):
