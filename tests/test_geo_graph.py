@@ -97,3 +97,14 @@ def test_robust_centroid_drops_far_point(spark):
     plain = gr.user_centroid(c, weighted=True).first().location
     robust = gr.robust_centroid(c, 2.0).first().location
     assert plain.lat > 5 and abs(robust.lat - 0.5) < 0.01 and abs(robust.lon - 0.5) < 0.01
+
+
+def test_placeholder_locations_are_opt_in_and_inert(spark):
+    e = spark.createDataFrame([("b", "a"), ("x", "y")], "src string, dst string")
+    anchors = _anchors(spark, [("a", 10, 20)])
+    res = gr.propagate_locations(e, anchors, 5, placeholder_seed=7)
+    users = {r.user_id: r.location for r in res["users"].collect()}
+    assert (users["a"].confidence, users["b"].confidence) == (1.0, 0.5)
+    assert users["x"].confidence == 0.0 and users["y"].confidence == 0.0
+    assert -90 <= users["x"].lat <= 90 and -180 <= users["x"].lon <= 180
+    assert (users["b"].lat, users["b"].lon) == (10.0, 20.0)   # placeholders never contribute

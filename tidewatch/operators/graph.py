@@ -202,6 +202,7 @@ def propagate_locations(
     hot_share: float = HOT_SHARE,
     hot_min_degree: int = 1000,
     split_hot_keys: bool = True,
+    placeholder_seed: int | None = None,
 ) -> dict[str, DataFrame]:
     """Infer home locations for users without one.
 
@@ -214,6 +215,10 @@ def propagate_locations(
     Users with no located neighbour stay unchanged; placeholder locations
     (confidence 0) never contribute (Q11).
 
+    G3: users left without a location get null; with ``placeholder_seed``
+    they get a seeded random point with confidence 0 instead (opt-in; it is
+    only reported, never used as a neighbour location).
+
     Returns ``users`` (user_id, location, inferred) and ``metrics``
     (iteration, processed, inferences) (A10).
     """
@@ -287,6 +292,12 @@ def propagate_locations(
         .alias("location"),
         "inferred",
     )
+    if placeholder_seed is not None:
+        users_out = users_out.withColumn("location", F.coalesce("location", F.struct(
+            (F.rand(placeholder_seed) * 180 - 90).alias("lat"),
+            (F.rand(placeholder_seed + 1) * 360 - 180).alias("lon"),
+            F.lit(0.0).alias("confidence"),
+        )))
     m = metrics[0]
     for x in metrics[1:]:
         m = m.unionByName(x)
