@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.sources.tables import table
 
-from . import language, packing, pii, quality, sentencepiece_bpe, topk
+from . import language, lsh_forest, packing, pii, quality, sentencepiece_bpe, topk
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -41,6 +41,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op2_packing": op2_packing,
     "op3_topk": op3_topk,
@@ -48,6 +52,7 @@ REGISTRY = {
     "op5_pii": op5_pii,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_language": op7_language,
+    "op9_minhash": op9_minhash,
 }
 
 ORACLE = {
