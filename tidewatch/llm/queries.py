@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 
 from tidewatch.sources.tables import table
 
-from . import language, lsh_forest, packing, pii, quality, sentencepiece_bpe, topk
+from . import language, line_dedup, lsh_forest, packing, pii, quality, sentencepiece_bpe, simhash, topk
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
@@ -41,21 +45,64 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", F.col("_lines.n").alias("n_lines"), F.col("_lines.removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {
+    "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_topk": op3_topk,
     "op4_quality": op4_quality,
     "op5_pii": op5_pii,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_language": op7_language,
+    "op8_line_dedup": op8_line_dedup,
     "op9_minhash": op9_minhash,
 }
 
 ORACLE = {
+    "op8_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, len(string_split(text, chr(10))) AS n, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(len(string_split(text, chr(10))))) AS i
+            FROM documents WHERE text <> ''
+        ), solid AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos
+            FROM lines WHERE regexp_matches(line, '[^ \\t\\r\\f\\v]')
+        ), pairs AS (
+            SELECT a.doc_id, a.pos, a.i, b.i AS j, 2 AS len, a.line AS x, b.line AS y
+            FROM solid a JOIN solid b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1
+            UNION ALL
+            SELECT doc_id, pos, i, i, 1, line, NULL FROM solid WHERE length(line) >= {line_dedup.LONG_LINE}
+        ), ordered AS (
+            SELECT *, row_number() OVER (PARTITION BY len, x, y ORDER BY doc_id, pos) AS seen FROM pairs
+        ), later AS (
+            SELECT *, max(pos + len) OVER (PARTITION BY doc_id ORDER BY pos, len ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+            FROM ordered WHERE seen > 1
+        ), runs AS (
+            SELECT doc_id, min(i) AS i, max(j) AS j FROM (
+                SELECT *, sum(CASE WHEN pos <= reach THEN 0 ELSE 1 END)
+                    OVER (PARTITION BY doc_id ORDER BY pos, len ROWS UNBOUNDED PRECEDING) AS run FROM later
+            ) GROUP BY doc_id, run
+        ), gone AS (
+            SELECT doc_id, unnest(range(i, j + 1)) AS i FROM runs
+        ), kept AS (
+            SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text, count(*) AS k
+            FROM lines l ANTI JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id
+        )
+        SELECT d.doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines,
+               CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(string_split(text, chr(10))) - coalesce(k, 0) END AS n_removed,
+               CASE WHEN text IS NULL THEN NULL ELSE sha256(coalesce(kept, '')) END AS kept_sha256
+        FROM documents d LEFT JOIN (SELECT doc_id, text AS kept, k FROM kept) USING (doc_id)
+    """,
     "op3_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
