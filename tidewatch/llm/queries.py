@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.sources.tables import table
 
-from . import language, line_dedup, lsh_forest, packing, pii, quality, sentencepiece_bpe, simhash, topk
+from . import language, line_dedup, lsh_forest, packing, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, topk
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -56,6 +56,10 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_strings(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -66,6 +70,7 @@ REGISTRY = {
     "op7_language": op7_language,
     "op8_line_dedup": op8_line_dedup,
     "op9_minhash": op9_minhash,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE = {
