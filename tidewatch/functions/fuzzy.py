@@ -132,6 +132,30 @@ def fuzzy_match(a, b, use_jw: bool = True) -> Column:
     return (_c(a) == _c(b)) | cond
 
 
+def blocks(term) -> Column:
+    """array<struct<longer:int, part:string>>: for every length M that the
+    longer term of a passing pair can have (this term's length to 5/4 of it,
+    at least 5), this term's substrings of ceil(0.8 M) characters."""
+    t = _c(term)
+    n = F.length(t)
+    lengths = F.when(
+        F.floor(n * 5 / 4) >= 5,
+        F.sequence(F.greatest(n, F.lit(5)), F.floor(n * 5 / 4).cast("int")),
+    ).otherwise(F.array().cast("array<int>"))
+
+    def parts(longer):
+        k = F.ceil(longer * 4 / 5).cast("int")
+        return F.when(
+            n >= k,
+            F.transform(
+                F.sequence(F.lit(1), n - k + 1),
+                lambda i: F.struct(longer.alias("longer"), F.substring(t, i, k).alias("part")),
+            ),
+        ).otherwise(F.array().cast("array<struct<longer:int,part:string>>"))
+
+    return F.array_distinct(F.flatten(F.transform(lengths, parts)))
+
+
 def grams(term) -> Column:
     """Distinct 4-grams of a term (empty when shorter than 4)."""
     t = _c(term)

@@ -51,16 +51,16 @@ def prune_newlines(raw) -> Column:
     return F.regexp_replace(_c(raw), r"\\[nr]", "")
 
 
-def phrase_candidates_n(tokens, max_words: int) -> Column:
-    """Like ``phrase_candidates`` but each candidate carries its word count:
-    array<struct<n:int, term:string>>. A keyword of n words is only compared
-    with n-word candidates."""
+def phrase_candidates_n(tokens, counts) -> Column:
+    """Candidates with their word count: array<struct<n:int, term:string>>, for
+    the word counts of a list (or 1..n of a number). A keyword of n words is
+    only compared with n-word candidates. Single words are distinct; a phrase
+    is there as often as it occurs (Q1)."""
+    counts = range(1, counts + 1) if isinstance(counts, int) else counts
     t = _c(tokens)
 
     def tagged(n: int):
         return lambda x: F.struct(F.lit(n).alias("n"), x.alias("term"))
 
-    parts = [F.transform(F.array_distinct(t), tagged(1))]
-    for n in range(2, max_words + 1):
-        parts.append(F.transform(F.array_distinct(ngrams(t, n)), tagged(n)))
-    return F.concat(*parts)
+    parts = [F.transform(F.array_distinct(t) if n == 1 else ngrams(t, n), tagged(n)) for n in counts]
+    return F.concat(*parts) if parts else F.array().cast("array<struct<n:int,term:string>>")

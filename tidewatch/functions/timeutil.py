@@ -23,14 +23,12 @@ JOB_LEVELS = ("alltime", "year", "month")
 # The stream's layout "EEE MMM dd HH:mm:ss Z yyyy" is parsed after the weekday
 # is cut off (Spark rejects EEE when parsing).
 CREATED_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS][XXX]",
+    "yyyy-MM-dd HH:mm[:ss][.SSSSSSSSS][XXX]",
     "yyyy-MM-dd",
     "MMM dd HH:mm:ss Z yyyy",
+    "d MMM yyyy HH:mm[:ss][ Z]",
+    "M/d/yyyy h:mm[:ss] a",
 )
 
 
@@ -97,9 +95,11 @@ def parse_created(text, tz: str = "wall") -> Column:
     t = F.trim(_c(text))
     # drop a leading weekday ("Wed Aug 27 13:08:45 +0000 2008")
     t = F.regexp_replace(t, r"^[A-Za-z]{3} (?=[A-Za-z]{3} )", "")
+    # and that of a mail date ("Fri, 04 Mar 2016 05:06:07 GMT"), whose zone name is an offset of zero
+    t = F.regexp_replace(F.regexp_replace(t, r"^[A-Za-z]{3}, ", ""), r" (GMT|UTC|UT|Z)$", " +0000")
     if tz == "wall":
         # cut the offset so the wall-clock fields are kept
-        t_wall = F.regexp_replace(t, r"(Z|[+-]\d\d:?\d\d)$", "")
+        t_wall = F.regexp_replace(t, r"( [A-Z]{3,4}|Z| ?[+-]\d\d:?\d\d)$", "")
         t_wall = F.regexp_replace(t_wall, r" [+-]\d{4} (\d{4})$", " +0000 $1")
         parsed = [F.try_to_timestamp(t_wall, F.lit(f)) for f in CREATED_FORMATS]
     else:

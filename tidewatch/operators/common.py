@@ -3,22 +3,34 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest table (rows) that is hinted for broadcast after a count.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest table (bytes) that is hinted for broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
+# Bytes a row costs in a hash relation besides its values.
+ROW_OVERHEAD = 64
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave the
-    join strategy to the planner (shuffle join; AQE may still convert it).
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan: exact for literal tables, an upper
+    bound for scans and what filters and projects them, and huge (so never
+    broadcast) for joins of them. Planning only, no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a materialised table: the length of its rows as JSON plus a
+    fixed overhead a row (one aggregate over a copy that is already written)."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))) + F.lit(ROW_OVERHEAD))
+    return int(df.agg(size.alias("b")).first()["b"] or 0)
 
-    For reference tables (dictionaries, gazetteers) whose size does not grow
-    with the message volume; the count is one cheap job on a small input.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its estimated size proves it small; otherwise
+    leave the join strategy to the planner (AQE may still convert the join from
+    measured shuffle sizes). No job is run."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -34,19 +46,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """A data-derived lookup table (e.g. term → match map) for a join with a
-    big table: materialised once (checkpoint), counted on the materialised
-    copy, broadcast when within ``max_rows``, else joined by shuffle."""
+    big table: materialised once (checkpoint), measured in bytes on the
+    materialised copy, broadcast when within ``max_bytes``, else joined by shuffle."""
     m = cut_lineage(df)
-    return checked_broadcast(m, max_rows)
+    return F.broadcast(m) if measured_bytes(m) <= max_bytes else m
+
+
+def numbered(df: DataFrame, order: list[str], out: str = "pos") -> DataFrame:
+    """Rows numbered from 1 in the order of ``order`` without one task seeing
+    them all: a range-partitioned sort, numbers within each range, and the
+    ranges' offsets (one row per partition)."""
+    placed = cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").count().select(
+        "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    return placed.join(F.broadcast(offsets), "_part").withColumn(
+        out, (F.row_number().over(inside) + F.col("_before")).cast("long")).drop("_part", "_before")
 
 
 def with_row_key(df: DataFrame, key: str = "_row", id_col: str | None = None) -> DataFrame:
     """Attach a row key: the given id column, else a generated one.
 
-    The generated key depends only on the input partition and row position,
-    which is stable for file scans (a retried task recomputes the same ids).
+    A generated key depends on the input partition and row position, which two
+    evaluations of a plan with a shuffle need not share. Whoever joins back on
+    it must go through one stored copy (``cut_lineage``) of the keyed rows.
     """
     if id_col and id_col in df.columns:
         return df.withColumn(key, F.col(id_col).cast("string"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.common import checked_broadcast
+from tidewatch.operators.common import checked_broadcast, small_side
 from tidewatch.operators.matching import match_terms
 
 
@@ -27,7 +27,7 @@ def category_confidence(cands: DataFrame, categories: DataFrame, kind: str) -> D
     cat = categories.filter(F.col("kind") == kind)
     need = cat.groupBy("lang", "category").agg(F.countDistinct("keyword").alias("need"))
     table = cat.select("lang", F.col("keyword").alias("term"), "category").distinct()
-    hits = cands.select("_row", "lang", "term").distinct().join(checked_broadcast(table), ["lang", "term"]).groupBy(
+    hits = cands.select("_row", "lang", "term").join(checked_broadcast(table), ["lang", "term"]).groupBy(
         "_row", "lang", "category").agg(F.countDistinct("term").alias("have"))
     return hits.join(checked_broadcast(need), ["lang", "category"]).select(
         "_row", "category", (F.col("have") / F.col("need")).alias("confidence"))
@@ -35,7 +35,8 @@ def category_confidence(cands: DataFrame, categories: DataFrame, kind: str) -> D
 
 def translate_terms(pairs: DataFrame, translations: DataFrame, term_col: str = "keyword",
                     lang_col: str = "lang") -> DataFrame:
-    """Replace terms by their canonical form where a translation exists."""
+    """Replace terms by their canonical form where a translation exists
+    (``translations`` has one canonical form a term, as S8 gives them)."""
     tr = translations.select(F.col("lang").alias(lang_col), F.col("term").alias(term_col), "canonical")
     return pairs.join(checked_broadcast(tr), [lang_col, term_col], "left").withColumn(
         "canonical", F.coalesce("canonical", F.col(term_col)))
@@ -48,7 +49,7 @@ def fuzzy_categories(cands: DataFrame, categories: DataFrame, kind: str, on_conf
 
     cat = resolve_categories(categories.filter(F.col("kind") == kind), on_conflict)
     keys = cat.select("lang", F.col("keyword").alias("key"), F.size(F.split("keyword", " ")).alias("n")).distinct()
-    mapping = match_terms(cands, keys, fuzzy=True, by_words=True)
+    mapping = small_side(match_terms(cands, keys, fuzzy=True, by_words=True))
     hits = cands.join(mapping, ["lang", "n", "term"]).join(
         checked_broadcast(cat.select("lang", F.col("keyword").alias("key"), "category")), ["lang", "key"])
     return hits.select("_row", "category").distinct()

@@ -15,7 +15,7 @@ from tidewatch.operators.common import checked_broadcast, small_side
 from tidewatch.operators.matching import match_terms
 
 
-def first_match(terms: DataFrame, gazetteer: DataFrame, prefer_exact: bool = False, use_jw: bool = True) -> DataFrame:
+def first_match(terms: DataFrame, gazetteer: DataFrame, prefer_exact: bool = False, use_jw: bool = False) -> DataFrame:
     """(lang, term) → first gazetteer entry (lat, lon, name) that fuzzy-matches.
 
     Default parity: first in gazetteer order even over a later exact hit
@@ -85,7 +85,8 @@ def resolve_locations(
     1. ``geo`` blank → untagged. Tweets: ``{}``/unparsable/no point →
        untagged, else ``Tagged`` p=1. Other sources: the text hits the
        gazetteer (J4) → ``UserTagged`` p=1, else untagged.
-    2. Untagged → every J3 hit as ``Content`` p=1 (one per matching token).
+    2. Untagged → every J3 hit as ``Content`` p=1 (one per matching token, in
+       the order of the tokens).
     3. Tweets with a user id: the author's location (J5) is appended as
        ``TwitterUserHandle`` with p = confidence, even when step 1 hit.
 
@@ -94,10 +95,10 @@ def resolve_locations(
     per message and joined back once.
     ``msgs`` needs _row, Source, Language, geo, is_geojson, user_id, tok.
     """
-    blank = F.col("geo").isNull() | (F.trim("geo") == "")
+    blank = F.col("geo").isNull() | F.col("geo").rlike(r"^\s*$")
     pt = geo_point("geo", geo_order)
     base = msgs.withColumn("_pt", F.when(~blank & F.col("is_geojson"), pt)).withColumn(
-        "_ut", F.when(~blank & ~F.col("is_geojson") & (F.length(F.trim("geo")) > 0), F.lower("geo"))
+        "_ut", F.when(~blank & ~F.col("is_geojson"), F.lower("geo"))
     )
     ut_terms = base.filter(F.col("_ut").isNotNull() & (F.length("_ut") >= 2)).select(
         F.col("Language").alias("lang"), F.col("_ut").alias("term")
@@ -115,20 +116,20 @@ def resolve_locations(
 
     untagged = staged.filter(F.col("_primary").isNull()).select("_row", "Language", "tok")
     toks = untagged.select(
-        "_row", F.col("Language").alias("lang"), F.explode(F.array_distinct("tok")).alias("term")
+        "_row", F.col("Language").alias("lang"), F.posexplode(F.array_distinct("tok")).alias("pos", "term")
     ).filter(F.length("term") >= 2)
     c_map = small_side(first_match(toks.select("lang", "term"), gazetteer))
     content = toks.join(c_map, ["lang", "term"]).select(
-        "_row", F.lit(1).alias("ord"), "term", _loc(F.col("lat"), F.col("lon"), 1.0, "Content").alias("l")
+        "_row", F.lit(1).alias("ord"), "pos", _loc(F.col("lat"), F.col("lon"), 1.0, "Content").alias("l")
     )
     extras = content
     if users is not None:
         handle = lookup_user_location(msgs, users).select(
-            "_row", F.lit(2).alias("ord"), F.lit("").alias("term"),
+            "_row", F.lit(2).alias("ord"), F.lit(0).alias("pos"),
             _loc(F.col("lat"), F.col("lon"), F.col("confidence"), "TwitterUserHandle").alias("l"),
         )
         extras = extras.unionByName(handle)
-    folded = extras.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("ord", "term", "l"))).alias("_x"))
+    folded = extras.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("ord", "pos", "l"))).alias("_x"))
     out = staged.join(folded, "_row", "left")
     empty = F.array().cast("array<struct<lat:double,lon:double,probability:double,inference_type:string>>")
     x = F.coalesce(F.col("_x"), F.array().cast(folded.schema["_x"].dataType))

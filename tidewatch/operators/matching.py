@@ -1,10 +1,18 @@
-"""Term ↔ dictionary matching: exact equi-join plus lossless fuzzy blocking.
+"""Term ↔ dictionary matching: exact equi-join plus an equi-join that is the fuzzy rule.
 
 The expensive part of fuzzy matching is done once per *distinct* (lang, term),
 never per message: message terms are reduced to a vocabulary, the vocabulary
-is matched against the (small, size-checked, broadcast) dictionary through
-shared 4-grams, candidate pairs are verified with the F6 rule, and the
-resulting term→key map is joined back to the messages.
+is matched against the dictionary by an equi-join that is exactly the F6 rule
+(see ``fuzzy.blocks``), and the resulting term→key map is joined back to the
+messages.
+
+F6 also asks for a Jaro-Winkler similarity above 0.5, which every pair that
+passes the substring rule has, so no Python runs here by default. Let M be the
+longer length (M >= 5) and L >= 0.8 M the common substring's. Its offset in
+either term is at most 0.2 M, inside Jaro's window (M / 2 - 1 for M >= 5,
+rounded), so at least L characters match: Jaro is at least (0.8 + 0.8 + 0.5) / 3
+= 0.7 even if half of the matches were transposed, and Winkler only adds.
+``use_jw=True`` evaluates it all the same.
 """
 
 from __future__ import annotations
@@ -16,37 +24,30 @@ from tidewatch.functions import fuzzy as fz
 from tidewatch.operators.common import checked_broadcast
 
 
-def fuzzy_pairs(terms: DataFrame, keys: DataFrame, use_jw: bool = True, by_words: bool = False) -> DataFrame:
-    """Verified fuzzy pairs (lang, term, key) with term != key.
+def fuzzy_pairs(terms: DataFrame, keys: DataFrame, use_jw: bool = False, by_words: bool = False) -> DataFrame:
+    """Fuzzy pairs (lang, term, key) with term != key.
 
-    ``terms``: (lang, term), ``keys``: (lang, key). Pairs are generated by an
-    equi-join on (lang, 4-gram): for max length >= 5 every passing pair shares
-    a 4-gram, and for max length <= 4 only equality passes, so nothing is lost.
-    The key side (dictionary grams) is broadcast after a size check, so a hot
-    gram on the term side causes no shuffle skew.
+    ``terms``: (lang, term), ``keys``: (lang, key). Both sides are exploded to
+    (longer length M of the pair, substring of ceil(0.8 M) characters); a pair
+    passes F6 exactly when it meets on such a row and its longer length is M,
+    so the join needs no further check and short frequent grams never meet. The
+    key side is broadcast when its size estimate allows, else joined by shuffle.
     """
     n = ["n"] if by_words else []
-    key_grams = keys.select("lang", *n, "key", F.explode(fz.grams("key")).alias("gram"))
-    term_grams = terms.filter(F.length("term") >= fz.GRAM).select(
-        "lang", *n, "term", F.explode(fz.grams("term")).alias("gram")
-    )
+    key_rows = keys.select("lang", *n, "key", F.inline(fz.blocks("key")))
+    term_rows = terms.select("lang", *n, "term", F.inline(fz.blocks("term")))
     cand = (
-        term_grams.join(checked_broadcast(key_grams), ["lang", *n, "gram"])
+        term_rows.join(checked_broadcast(key_rows), ["lang", *n, "longer", "part"])
+        .filter((F.col("term") != F.col("key")) & (F.greatest(F.length("term"), F.length("key")) == F.col("longer")))
         .select("lang", *n, "term", "key")
-        .filter(
-            (F.col("term") != F.col("key"))
-            & (F.greatest(F.length("term"), F.length("key")) >= 5)
-            & fz.lengths_compatible("term", "key")
-        )
         .distinct()
-        .filter(fz.substring_gate("key", "term"))
     )
     if use_jw:
         cand = cand.filter(fz.jaro_winkler("key", "term") > F.lit(fz.JW_MIN_SIMILARITY))
     return cand
 
 
-def match_terms(terms: DataFrame, keys: DataFrame, fuzzy: bool = True, use_jw: bool = True,
+def match_terms(terms: DataFrame, keys: DataFrame, fuzzy: bool = True, use_jw: bool = False,
                 by_words: bool = False) -> DataFrame:
     """(lang, term) × dictionary (lang, key) → (lang, term, key, exact).
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import ordered_tokens, phrase_candidates_n
 from tidewatch.functions.timeutil import parse_created
-from tidewatch.operators.common import checked_broadcast, small_side, with_row_key
+from tidewatch.operators.common import checked_broadcast, cut_lineage, small_side, with_row_key
 from tidewatch.operators.matching import match_terms
 
 # Source names and their codes (P10); default is twitter.
@@ -30,7 +30,8 @@ def route_source(envelopes: DataFrame) -> DataFrame:
     tweets (source = "twitter", text = ``message.text``, language "in" → "id").
 
     Returns one row per envelope: MessageId, Source, Sentence, Language,
-    CreatedText, geo, is_geojson, user_id, words, tokens.
+    CreatedText, geo, is_geojson (the routed source is "twitter", on either
+    branch), TokenText (``message.text`` on both branches), user_id, words, tokens.
     """
     m = F.col("message")
     is_nlp = ~F.coalesce(m["source"], F.lit("")).contains("http")
@@ -45,7 +46,8 @@ def route_source(envelopes: DataFrame) -> DataFrame:
         lang.alias("Language"),
         F.coalesce(m["created_at"], F.col("created_at")).alias("CreatedText"),
         m["geo"].alias("geo"),
-        (~is_nlp).alias("is_geojson"),
+        (F.when(is_nlp, F.coalesce(m["source"], F.lit(""))).otherwise(F.lit("twitter")) == "twitter").alias("is_geojson"),
+        m["text"].alias("TokenText"),
         m["user_id"].cast("string").alias("user_id"),
         words.alias("words"),
         tokens.alias("tokens"),
@@ -54,7 +56,7 @@ def route_source(envelopes: DataFrame) -> DataFrame:
 
 def with_tokens(msgs: DataFrame) -> DataFrame:
     """ordered tokens (``tok``) of each routed message."""
-    return msgs.withColumn("tok", ordered_tokens("Language", "words", "tokens", "Sentence"))
+    return msgs.withColumn("tok", ordered_tokens("Language", "words", "tokens", "TokenText"))
 
 
 def normalize_source(source) -> Column:
@@ -83,20 +85,22 @@ def emit_sentence(msgs: DataFrame) -> DataFrame:
     return msgs.filter(F.coalesce(F.size("Groups"), F.lit(0)) > 0)
 
 
-def _max_words(dictionary: DataFrame, col: str) -> int:
-    """Longest dictionary entry in words (one tiny aggregate on reference data)."""
-    v = dictionary.select(F.max(F.size(F.split(col, " "))).alias("m")).first()["m"]
-    return int(v or 1)
+def _word_counts(dictionary: DataFrame, col: str) -> list[int]:
+    """Word counts that dictionary entries have (one tiny aggregate on reference data)."""
+    v = dictionary.select(F.array_sort(F.collect_set(F.size(F.split(col, " ")))).alias("m")).first()["m"]
+    return [int(n) for n in v]
 
 
-def candidates(msgs: DataFrame, max_words: int, lang: str = "Language", tokens: str = "tok") -> DataFrame:
-    """(row, lang, n, term): distinct tokens (n=1) and distinct n-grams, n <= max_words."""
+def candidates(msgs: DataFrame, counts, lang: str = "Language", tokens: str = "tok") -> DataFrame:
+    """(row, lang, n, term): distinct tokens (n=1) and every n-gram, for the
+    word counts asked for (a list, or the largest of 1..n). A phrase that occurs
+    twice in a message gives two rows."""
     return msgs.select(
-        "_row", F.col(lang).alias("lang"), F.inline(phrase_candidates_n(tokens, max_words))
+        "_row", F.col(lang).alias("lang"), F.inline(phrase_candidates_n(tokens, counts))
     )
 
 
-def keyword_pairs(msgs: DataFrame, keywords: DataFrame, fuzzy: bool = True, use_jw: bool = True) -> DataFrame:
+def keyword_pairs(msgs: DataFrame, keywords: DataFrame, fuzzy: bool = True, use_jw: bool = False) -> DataFrame:
     """(row, term, keyword, exact) for every candidate that equals or
     fuzzy-equals a keyword of the message's language. Unknown language → none.
 
@@ -104,7 +108,7 @@ def keyword_pairs(msgs: DataFrame, keywords: DataFrame, fuzzy: bool = True, use_
     ``keywords`` is (lang, keyword).
     """
     keys = keywords.select("lang", F.col("keyword").alias("key"), F.size(F.split("keyword", " ")).alias("n"))
-    cands = candidates(msgs, _max_words(keywords, "keyword"))
+    cands = candidates(msgs, _word_counts(keywords, "keyword"))
     mapping = match_terms(cands, keys, fuzzy=fuzzy, use_jw=use_jw, by_words=True)
     return cands.join(small_side(mapping), ["lang", "n", "term"]).select(
         "_row", "term", F.col("key").alias("keyword"), "exact"
@@ -129,8 +133,9 @@ def category_pairs(
     from tidewatch.sources.refdata import resolve_categories
 
     cat = categories.filter(F.col("kind") == kind)
-    max_words = _max_words(cat, "keyword") if phrases else 1
-    cands = candidates(msgs, max_words).select("_row", "lang", "term").distinct()
+    counts = _word_counts(cat, "keyword") if phrases else 1
+    # The dictionary join comes first: only hits are made distinct.
+    cands = candidates(msgs, counts).select("_row", "lang", "term")
     if mode == "any":
         table = resolve_categories(cat, on_conflict).select("lang", F.col("keyword").alias("term"), "category")
         return cands.join(checked_broadcast(table), ["lang", "term"]).select("_row", "category").distinct()
@@ -169,18 +174,26 @@ def tag_messages(
     categories: DataFrame | None = None,
     kinds=("groups",),
     fuzzy: bool = True,
-    use_jw: bool = True,
+    use_jw: bool = False,
     mode: str = "any",
     phrases: bool = True,
     on_conflict: str = "last",
+    id_col: str | None = None,
 ) -> DataFrame:
     """T2/E2 core: envelopes → messages with Keywords and category lists.
 
+    Matches are joined back by a row key. ``id_col`` names a column that is
+    unique and not null (``MessageId`` after de-duplication); without it the
+    generated keys are stored once and every branch reads that copy, so a
+    shuffled or re-evaluated input cannot give two branches different keys.
+
     Locations are added by ``tidewatch.operators.locate.resolve_locations``.
     Sectors and statuses are off by default, as in the reference caller.
     """
-    msgs = with_tokens(with_row_key(route_source(envelopes), id_col=None))
+    msgs = with_tokens(with_row_key(route_source(envelopes), id_col=id_col))
     msgs = msgs.withColumn("Created", parse_created("CreatedText"))
+    if id_col is None:
+        msgs = cut_lineage(msgs)
     pairs = {"Keywords": keyword_pairs(msgs, keywords, fuzzy, use_jw).select("_row", "keyword")}
     col_of = {"groups": "Groups", "sectors": "Sectors", "statuses": "Statuses"}
     for kind in kinds:

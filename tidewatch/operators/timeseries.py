@@ -106,9 +106,9 @@ def distinct_timespans(spans: DataFrame) -> DataFrame:
 def topk_per_timespan(counts: DataFrame, k: int = DEFAULT_K, extra: tuple[str, ...] = ()) -> DataFrame:
     """The k most frequent (section, value) per span by occurrences.
 
-    Ties break on records, then section, then value (deterministic; Q2).
+    Ties break on section, then value (deterministic; Q2).
     """
-    w = Window.partitionBy("timespan", *extra).orderBy(F.desc("occurrences"), F.desc("records"), "section", "value")
+    w = Window.partitionBy("timespan", *extra).orderBy(F.desc("occurrences"), "section", "value")
     return (
         counts.withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)
@@ -121,12 +121,14 @@ def hourly_counts(spans: DataFrame, topk: DataFrame, k: int = DEFAULT_K, extra:
     each top entry, zero-filled over the hours that hold any qualifying record.
 
     ``topk`` has at most k rows per span and the number of spans is bounded by
-    the calendar (1 + years + 12·years), so it is broadcast. Each cube row is
+    the calendar (1 + years + 12·years), so it is broadcast; with ``extra`` keys
+    (tiles) it has no such bound and the join is left to the planner. Each cube row is
     tagged with the rank of its entry (or null) and the rows are pivoted per
     (span, hour) with k conditional sums, which gives the zero rows for free;
     the pivot is unrolled back to one row per existing rank.
     """
-    top = F.broadcast(topk.select("timespan", *extra, "rank", "section", "value"))
+    top = topk.select("timespan", *extra, "rank", "section", "value")
+    top = top if extra else F.broadcast(top)
     tagged = spans.join(top, ["timespan", *extra, "section", "value"], "left")
     sums = []
     for r in range(1, k + 1):

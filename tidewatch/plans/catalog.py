@@ -120,6 +120,17 @@ def tokens(spark, root):
     )
 
 
+@register("tokens_mixed")
+def tokens_mixed(spark, root):
+    """F1 on both routes: tokens come from ``message.text`` also where the
+    sentence differs from it."""
+    m = _routed(fx.mixed_envelopes(spark, root))
+    return m.select(
+        F.col("MessageId").cast("long").alias("doc_id"),
+        F.md5(F.array_join("tok", "|")).alias("tokens_md5"),
+    )
+
+
 @register("ngrams")
 def ngrams(spark, root):
     m = _routed(fx.docs_envelopes(spark, root))
@@ -205,6 +216,16 @@ def _cats(spark, lines, kind):
     return rd.load_categories(fx.category_lines(spark, lines), kind)
 
 
+@register("tag_shuffled")
+def tag_shuffled(spark, root):
+    """Keywords by message when the input is itself the result of a shuffle:
+    ``lineitem`` joined to ``part``, one message per line, grouped afterwards."""
+    env = fx.line_envelopes(spark, root)
+    tagged = tg.tag_messages(env, fx.part_keywords(spark), None, kinds=())
+    return tagged.select("Sentence", F.explode("Keywords").alias("keyword")).groupBy(
+        F.col("Sentence").alias("name"), "keyword").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("match_groups_any")
 def match_groups_any(spark, root):
     m = _routed(fx.part_envelopes(spark, root))
@@ -270,11 +291,24 @@ def category_dictionary(spark, root):
     return cats.select("lang", "keyword", "category")
 
 
+def _track_lines(spark, root) -> DataFrame:
+    p = table(spark, root, "part")
+    return p.select(F.concat_ws(",", "p_name", "p_type").alias("value"), F.col("p_partkey").alias("seq"))
+
+
 @register("track_list")
 def track_list(spark, root):
-    p = table(spark, root, "part")
-    lines = p.select(F.concat_ws(",", "p_name", "p_type").alias("value"), F.col("p_partkey").alias("seq"))
-    return rd.track_list(lines, cap=400)
+    return rd.track_list(_track_lines(spark, root), cap=400)
+
+
+@register("track_list_uncapped")
+def track_list_uncapped(spark, root):
+    return rd.track_list(_track_lines(spark, root))
+
+
+@register("track_list_dropped")
+def track_list_dropped(spark, root):
+    return rd.track_list_dropped(_track_lines(spark, root), 400)
 
 
 @register("emit_sentence")
@@ -441,7 +475,7 @@ def propagation_metrics(spark, root):
 @register("merge_users")
 def merge_users(spark, root):
     old = _users_a6(spark, root)
-    ev = fx.events_k(table(spark, root, "events")).filter((F.col("event_type") == "click") & (F.col("value") >= 300))
+    ev = fx.events_k(table(spark, root, "events")).filter(F.col("event_type") == "click")
     clicks = ev.select(F.col("user_id").cast("string").alias("user_id"), (F.col("k") - 50).cast("double").alias("lat"),
                        ((F.col("k") * 3) % 360 - 180).cast("double").alias("lon"))
     new = gr.user_centroid(gr.condense_locations(gr.point_observations(clicks)), weighted=True).select(
@@ -497,6 +531,15 @@ def replay(spark, root):
     return tw.replay(rows)
 
 
+@register("replay_columns")
+def replay_columns(spark, root):
+    """S13 checked by value: the replayed JSON parsed back to its columns."""
+    rows = tw.tweet_row(_raw_tweets_read(spark, root))
+    back = tw.replay(rows).select(F.from_json("value", rows.schema).alias("r")).select("r.*")
+    return back.select("epoch_day", "id", "user_id", "user_screen_name", "timestamp", "lang", "in_reply_to",
+                       F.md5("text").alias("text_md5"), "geo")
+
+
 @register("bad_records")
 def bad_records(spark, root):
     parsed = ms.parse_message_lines(fx.message_lines(spark, root))
@@ -662,13 +705,22 @@ def gazetteer_dictionary(spark, root):
     return rd.load_gazetteer(lines)
 
 
-@register("build_dictionaries")
-def build_dictionaries(spark, root):
+def _dictionaries(spark, root) -> dict[str, DataFrame]:
     p = table(spark, root, "part")
     sheet = p.select(F.lit("en").alias("lang"), F.col("p_name").alias("term"),
                      F.concat_ws(", ", F.lower("p_type"), F.lower("p_brand")).alias("synonyms"),
-                     F.upper("p_name").alias("english"))
-    return rd.build_dictionaries(sheet)["translations"]
+                     F.upper("p_name").alias("english"), F.col("p_partkey").alias("seq"))
+    return rd.build_dictionaries(sheet)
+
+
+@register("build_dictionaries")
+def build_dictionaries(spark, root):
+    return _dictionaries(spark, root)["translations"]
+
+
+@register("build_dictionaries_keywords")
+def build_dictionaries_keywords(spark, root):
+    return _dictionaries(spark, root)["keywords"]
 
 
 @register("user_buckets")

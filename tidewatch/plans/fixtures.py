@@ -139,6 +139,26 @@ def part_envelopes(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def line_envelopes(spark: SparkSession, root: str) -> DataFrame:
+    """``lineitem ⋈ part`` as English messages without an id: the order line's
+    part name. The join is a shuffle join (merge hint), so the messages come
+    from a shuffle, and wide columns are carried along."""
+    li = table(spark, root, "lineitem", spread_small=True)
+    p = table(spark, root, "part").select("p_partkey", "p_name")
+    j = li.hint("merge").join(p, li.l_partkey == p.p_partkey)
+    none = F.lit(None).cast("string")
+    return j.select(
+        F.lit("lines").alias("source"),
+        none.alias("created_at"),
+        F.struct(
+            none.alias("created_at"), none.alias("id"), none.alias("geo"), F.lit("en").alias("lang"),
+            F.lit("lines").alias("source"), F.col("p_name").alias("text"), F.col("p_name").alias("sentence"),
+            none.alias("user_id"), F.lit(None).cast("long").alias("user_followers_count"),
+            F.lit(None).cast("long").alias("user_friends_count"), F.col("l_comment" if "l_comment" in j.columns else "l_shipmode" if "l_shipmode" in j.columns else "p_name").alias("user_name"),
+        ).alias("message"),
+    )
+
+
 # Test dictionaries of FIXTURES.md (reference data, not messages).
 PART_KEYWORDS = ["widgets", "anvils", "gizmos", "plates", "gears", "rods", "small ring", "hot gear", "bolt"]
 DOC_TERMS = ["thatin", "ononst", "inoran", "hehely", "orantion", "thble", "thing", "nicht"]
@@ -305,14 +325,16 @@ def new_scratch(spark: SparkSession, name: str) -> str:
 
 
 def raw_tweets(spark: SparkSession, root: str) -> DataFrame:
-    """``documents ⋈ events`` (doc_id = event_id) as raw stream records.
+    """All ``events`` as raw stream records, each with the text of document
+    event_id modulo the number of documents.
 
     Error events arrive as rate-limit notices; clicks reply to another user;
     views carry a ``geo`` point (lat,lon); Spanish is tagged "in".
     """
     d = table(spark, root, "documents", spread_small=True).select("doc_id", "text", "lang")
     ev = events_k(table(spark, root, "events", spread_small=True))
-    j = ev.join(d, ev.event_id == d.doc_id)
+    n_docs = max(1, d.count())
+    j = ev.join(d, F.pmod(ev.event_id, F.lit(n_docs)) == d.doc_id, "left")
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     tweet = F.to_json(F.struct(
         ms.cast("string").alias("timestamp_ms"),

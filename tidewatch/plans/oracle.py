@@ -72,7 +72,7 @@ counts AS (
 ),
 top AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY timespan ORDER BY occ DESC, rec DESC, section, value) AS rnk
+    SELECT *, row_number() OVER (PARTITION BY timespan ORDER BY occ DESC, section, value) AS rnk
     FROM counts) WHERE rnk <= 5
 ),
 grid AS (
@@ -158,14 +158,14 @@ def fuzzy_sql(a: str, b: str, use_jw: bool = True) -> str:
 
 
 def candidates_sql(src: str, max_words: int) -> str:
-    """(id, lang, n, term): distinct tokens (n = 1) and distinct n-grams of ``tok``."""
-    parts = [f"SELECT id, lang, 1 AS n, unnest(tok) AS term FROM {src}"]
+    """(id, lang, n, term): distinct tokens (n = 1) and every n-gram of ``tok``."""
+    parts = [f"SELECT id, lang, 1 AS n, unnest(list_distinct(tok)) AS term FROM {src}"]
     for n in range(2, max_words + 1):
         parts.append(
             f"SELECT id, lang, {n} AS n, unnest(list_transform(range(1, len(tok) - {n} + 2), "
             f"lambda i: array_to_string(tok[i:i + {n - 1}], ' '))) AS term FROM {src}"
         )
-    return "SELECT DISTINCT * FROM (" + " UNION ALL ".join(parts) + ")"
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ")"
 
 
 DOC_TOK = f"""
@@ -223,7 +223,12 @@ SELECT term, key, CAST(list_max(list_transform(range(1, length(key) + 1), lambda
               lambda i: contains(term, substring(key, i, L)))) > 0 THEN L ELSE 0 END)) AS BIGINT) AS lcs
 FROM pairs"""
 
-JW_BODY = "\nSELECT term, key, round(jaro_winkler_similarity(key, term), 6) AS jw FROM pairs"
+# DuckDB compares bytes: letters outside ASCII become unused capitals, one to one on both sides.
+_LETTERS = ("éèêçàâîôûùëïœæäöüßñáíóúìò", "ABCDEFGHIJKLMNOPQRSTUVWXY")
+JW_BODY = f"""
+SELECT term, key, round(jaro_winkler_similarity(translate(key, '{_LETTERS[0]}', '{_LETTERS[1]}'),
+                                                translate(term, '{_LETTERS[0]}', '{_LETTERS[1]}')), 6) AS jw
+FROM pairs"""
 
 
 def fuzzy_pairs_docs_sql(dict_rows: list[tuple]) -> str:
@@ -288,6 +293,25 @@ n AS (SELECT row_number() OVER (ORDER BY seq, i) AS pos, term, count(*) OVER ()
 SELECT CAST(pos AS BIGINT) AS pos, term FROM n WHERE total <= 400 OR pos <= 399"""
 
 
+TRACK_LIST_UNCAPPED = TRACK_LIST[: TRACK_LIST.index("\nSELECT CAST")] + "\nSELECT CAST(pos AS BIGINT) AS pos, term FROM n"
+
+TRACK_LIST_DROPPED = TRACK_LIST_UNCAPPED + " WHERE total > 400 AND pos >= 400"
+
+TOKENS_MIXED = """
+SELECT doc_id, md5(array_to_string(string_split_regex(lower(text), '[ ,.]'), '|')) AS tokens_md5 FROM documents"""
+
+
+def tag_shuffled_sql(dict_rows: list[tuple]) -> str:
+    kw = values_table("kw", "lang, keyword", dict_rows)
+    words = max(len(k.split(" ")) for _, k in dict_rows)
+    return f"""WITH {PART_TOK.strip()}, {kw},
+c AS ({candidates_sql("pm", words)}),
+m AS (SELECT c.id, kw.keyword, count(*) AS k FROM c JOIN kw ON c.lang = kw.lang AND c.n = len(string_split(kw.keyword, ' '))
+      WHERE {fuzzy_sql("kw.keyword", "c.term")} GROUP BY c.id, kw.keyword)
+SELECT p.p_name AS name, m.keyword, CAST(sum(m.k) AS BIGINT) AS n
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN m ON m.id = p.p_partkey GROUP BY p.p_name, m.keyword"""
+
+
 # ---------------------------------------------------------------- geo
 
 def centre_sql(x: str, y: str, z: str) -> tuple[str, str]:
@@ -504,7 +528,7 @@ def metrics_body(iterations: int) -> str:
 
 
 MERGE_USERS = f"""WITH {USER_OBS.strip()}, {USERS_A6.strip()},
-clicks AS (SELECT user_id, lat, lon FROM obs WHERE event_type = 'click' AND value >= 300),
+clicks AS (SELECT user_id, lat, lon FROM obs WHERE event_type = 'click'),
 cw AS (SELECT user_id, lat, lon, count(*) AS w FROM clicks GROUP BY user_id, lat, lon),
 new AS (SELECT user_id, {_CLAT} AS lat, {_CLON} AS lon FROM (
   SELECT user_id, sum(w * {_X.replace('lat', 'cw.lat').replace('lon', 'cw.lon')}) AS sx,
@@ -522,7 +546,7 @@ FROM a6 o FULL OUTER JOIN new n ON o.user_id = n.user_id"""
 TWEETS_J = """
 j AS (SELECT e.event_id, e.ts, e.user_id, e.event_type, CAST(json_extract(e.props, '$.k') AS INTEGER) AS k,
              d.text, d.lang AS dlang
-      FROM events e JOIN documents d ON e.event_id = d.doc_id)"""
+      FROM events e LEFT JOIN documents d ON e.event_id % (SELECT count(*) FROM documents) = d.doc_id)"""
 
 TWEET_ROW = "WITH " + TWEETS_J.strip() + """
 SELECT CAST(floor((epoch_us(ts) // 1000) / 86400000) AS BIGINT) AS epoch_day, event_id AS id, user_id,
@@ -679,9 +703,12 @@ SELECT 'en' AS lang, name, arg_max(lat, seq) AS lat, arg_max(lon, seq) AS lon, m
 FROM rows WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY name"""
 
 BUILD_DICTIONARIES = """
-WITH t AS (SELECT p_name AS term, lower(p_type) || ', ' || lower(p_brand) AS syn, upper(p_name) AS english FROM part),
-x AS (SELECT english, term AS t FROM t UNION ALL SELECT english, trim(unnest(string_split(syn, ','))) FROM t)
-SELECT DISTINCT 'en' AS lang, lower(t) AS term, lower(english) AS canonical FROM x WHERE length(t) > 0"""
+WITH t AS (SELECT p_partkey AS seq, p_name AS term, lower(p_type) || ', ' || lower(p_brand) AS syn, upper(p_name) AS english FROM part),
+x AS (SELECT seq, english, trim(term) AS t FROM t UNION ALL SELECT seq, english, trim(unnest(string_split(syn, ','))) FROM t)
+SELECT 'en' AS lang, lower(t) AS term, arg_max(lower(english), seq) AS canonical FROM x WHERE length(t) > 0 GROUP BY lower(t)"""
+
+BUILD_DICTIONARIES_KEYWORDS = BUILD_DICTIONARIES[: BUILD_DICTIONARIES.index("\nSELECT 'en'")] + """
+SELECT DISTINCT 'en' AS lang, lower(t) AS keyword FROM x WHERE length(t) > 0"""
 
 USER_BUCKETS = "WITH " + EDGES.strip() + """,
 u AS (SELECT DISTINCT u FROM (SELECT src AS u FROM edges UNION ALL SELECT dst FROM edges))

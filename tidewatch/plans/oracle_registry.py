@@ -32,8 +32,6 @@ ORACLE["match_keywords_fuzzy"] = o.keyword_match_sql(o.PART_TOK, "pm", _PART_KW,
 ORACLE["match_phrases"] = o.keyword_match_sql(o.PART_TOK, "pm", _PART_KW, fuzzy=True, where="AND contains(kw.keyword, ' ')")
 ORACLE["match_keywords_docs"] = o.keyword_match_sql(o.DOC_TOK, "dm", _DOC_KW, fuzzy=True)
 ORACLE["lcs_length"] = o.doc_pairs_sql(_DOC_KW) + o.LCS_BODY
-# jaro_winkler: no SQL oracle. DuckDB scores UTF-8 bytes, ours characters;
-# tests/test_fuzzy.py checks it against a brute-force reference instead.
 ORACLE["fuzzy_pairs_docs"] = o.fuzzy_pairs_docs_sql(_DOC_KW)
 ORACLE["match_groups_any"] = o.category_match_sql(_fx.CATEGORY_LINES)
 ORACLE["match_groups_all"] = o.category_match_sql(_fx.CATEGORY_ALL_LINES, mode="all")
@@ -43,6 +41,12 @@ ORACLE["route_source"] = o.ROUTE_SOURCE
 ORACLE["keyword_dictionary"] = o.KEYWORD_DICTIONARY
 ORACLE["category_dictionary"] = o.CATEGORY_DICTIONARY
 ORACLE["track_list"] = o.TRACK_LIST
+ORACLE["track_list_uncapped"] = o.TRACK_LIST_UNCAPPED
+ORACLE["track_list_dropped"] = o.TRACK_LIST_DROPPED
+ORACLE["tokens_mixed"] = o.TOKENS_MIXED
+ORACLE["tag_shuffled"] = o.tag_shuffled_sql(_PART_KW)
+ORACLE["replay_columns"] = o.TWEET_ROW
+ORACLE["jaro_winkler"] = o.doc_pairs_sql(_DOC_KW) + o.JW_BODY
 
 # ---- geo and graph
 ORACLE["bbox_center"] = o.BBOX_CENTER
@@ -67,7 +71,7 @@ ORACLE["merge_users"] = o.MERGE_USERS
 ORACLE["tweet_row"] = o.TWEET_ROW
 ORACLE["tweet_envelope"] = o.TWEET_ENVELOPE
 ORACLE["dedup_insert"] = o.DEDUP_INSERT
-# replay: JSON text of whole rows; rows-only check (Spark's to_json layout).
+# replay: JSON text of whole rows (Spark's to_json layout); replay_columns checks its values.
 ORACLE["bad_records"] = o.BAD_RECORDS
 ORACLE["hourly_stream"] = o.trend_sql("events", o.HOURLY_STREAM_BODY)
 ORACLE["late_events"] = o.LATE_EVENTS
@@ -87,6 +91,7 @@ ORACLE["normalize_source"] = o.NORMALIZE_SOURCE
 ORACLE["flatten_roundtrip"] = o.USER_CENTROID
 ORACLE["gazetteer_dictionary"] = o.GAZETTEER_DICTIONARY
 ORACLE["build_dictionaries"] = o.BUILD_DICTIONARIES
+ORACLE["build_dictionaries_keywords"] = o.BUILD_DICTIONARIES_KEYWORDS
 ORACLE["user_buckets"] = o.USER_BUCKETS
 ORACLE["neighbour_centroid"] = o.propagate_sql(1, "SELECT user_id, lat, lon FROM cen1 WHERE lat IS NOT NULL")
 ORACLE["prune_newlines"] = o.PRUNE_NEWLINES

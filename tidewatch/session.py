@@ -7,6 +7,7 @@ session of the DataFrame they are given.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,11 +44,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) is a scratch folder created.
+    as is; without it a cluster session is refused. Only a local session (tests)
+    gets a scratch folder of its own.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
+    if not conf_dir and not current and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if conf_dir:
         if current is None:
             sc.setCheckpointDir(conf_dir)

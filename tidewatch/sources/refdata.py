@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.common import numbered
+
 # Fixed value: a language folder name is the parent directory of the file.
 LANG_FROM_PATH = r"/([^/]+)/[^/]+$"
 
@@ -19,25 +21,23 @@ def read_refdata_lines(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """S3: every line of ``<root>/<kind>/<lang>/<file>`` as (lang, value, path, seq).
 
     Nested folders deeper than one language level are not read. ``seq``
-    orders lines by (file path, line number): the file's rank among the
-    (few) file paths in the high bits, the line position in the low bits.
-    Dictionary files are far below one split, so a file is one partition and
-    ``monotonically_increasing_id`` keeps its line order.
+    numbers the lines of all files by (file path, place in the file): a file may
+    be read as several blocks, each in its own task, so lines are numbered
+    within their block and blocks are put in order by path and offset (one row
+    per block of a dictionary file).
     """
     raw = (
         spark.read.text(f"{root.rstrip('/')}/{kind}/*/*")
-        .select("value", F.col("_metadata.file_path").alias("path"))
+        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"))
         .withColumn("lang", F.regexp_extract("path", LANG_FROM_PATH, 1))
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    files = raw.groupBy("path").agg(F.min("_pos").alias("_start")).withColumn(
-        "_file", F.dense_rank().over(Window.orderBy("path"))
+    before = Window.orderBy("path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = raw.groupBy("path", "_block").agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n")).select(
+        "path", "_block", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
-    return raw.join(F.broadcast(files), "path").select(
-        "lang",
-        "value",
-        "path",
-        (F.col("_file").cast("long") * F.lit(1 << 32) + (F.col("_pos") - F.col("_start"))).alias("seq"),
+    return raw.join(F.broadcast(blocks), ["path", "_block"]).select(
+        "lang", "value", "path", (F.col("_before") + F.col("_pos") - F.col("_start") + 1).alias("seq")
     )
 
 
@@ -67,7 +67,7 @@ def load_categories(lines: DataFrame, kind: str, header: bool = False) -> DataFr
         F.lit(kind).alias("kind"),
         "lang",
         F.col("f")[0].alias("category"),
-        F.explode(F.slice("f", 2, 1 << 20)).alias("keyword"),
+        F.explode(F.slice("f", F.lit(2), F.size("f"))).alias("keyword"),
         "seq",
     )
 
@@ -101,41 +101,52 @@ def load_gazetteer(lines: DataFrame) -> DataFrame:
     ).select("lang", "name", "p.lat", "p.lon", "seq")
 
 
-def track_list(keyword_lines: DataFrame, cap: int = 400) -> DataFrame:
-    """S7 + W4: all keyword terms of all languages in file/line order; when
-    there are more than ``cap`` terms, keep the first ``cap - 1``.
-
-    Returns (pos, term). The cap is the feature (the stream filter accepts a
-    bounded term list): an ordered ``limit(cap + 1)`` (per-partition top-k,
-    then merge) bounds the rows before they are numbered.
-    """
-    terms = keyword_lines.select(
+def _track_terms(keyword_lines: DataFrame) -> DataFrame:
+    return keyword_lines.select(
         "seq", F.posexplode(F.split("value", ",", -1)).alias("i", "term")
     ).select("seq", "i", F.trim(F.lower("term")).alias("term"))
-    head = terms.orderBy("seq", "i").limit(cap + 1)
+
+
+def track_list(keyword_lines: DataFrame, cap: int | None = None) -> DataFrame:
+    """S7 + W4: (pos, term) of all keyword terms of all languages in file/line order.
+
+    ``cap`` is for a stream filter that accepts a bounded term list: when there
+    are more than ``cap`` terms, the first ``cap - 1`` are kept, and
+    ``track_list_dropped`` gives the others. No cap by default.
+    """
+    if cap is None:
+        return numbered(_track_terms(keyword_lines), ["seq", "i"]).select("pos", "term")
+    head = _track_terms(keyword_lines).orderBy("seq", "i").limit(cap + 1)  # per-partition top-k, then merge
     w = Window.orderBy("seq", "i")
-    numbered = head.withColumn("pos", F.row_number().over(w)).withColumn(
+    kept = head.withColumn("pos", F.row_number().over(w)).withColumn(
         "total", F.count(F.lit(1)).over(Window.partitionBy())
     )
-    return numbered.filter((F.col("total") <= cap) | (F.col("pos") <= cap - 1)).select(
+    return kept.filter((F.col("total") <= cap) | (F.col("pos") <= cap - 1)).select(
         F.col("pos").cast("long").alias("pos"), "term"
     )
 
 
+def track_list_dropped(keyword_lines: DataFrame, cap: int) -> DataFrame:
+    """(pos, term) of the terms that ``track_list`` with this cap leaves out."""
+    every = track_list(keyword_lines)
+    over = every.agg(F.max("pos").alias("total"))
+    return every.join(F.broadcast(over)).filter((F.col("total") > cap) & (F.col("pos") >= cap)).select("pos", "term")
+
+
 def build_dictionaries(sheet: DataFrame) -> dict[str, DataFrame]:
-    """Keyword sheet (lang, term, synonyms, english) → keyword lists and a
+    """Keyword sheet (lang, term, synonyms, english, seq) → keyword lists and a
     term → English translation map.
 
     ``synonyms`` is a comma-separated list. Outputs ``keywords`` (lang,
-    keyword) and ``translations`` (lang, term, canonical).
+    keyword) and ``translations`` (lang, term, canonical): one canonical form
+    per term, that of its last line by ``seq``.
     """
     exploded = sheet.select(
         "lang",
         "english",
-        F.explode(
-            F.concat(F.array(F.col("term")), F.transform(F.split(F.coalesce("synonyms", F.lit("")), ","), lambda s: F.trim(s)))
-        ).alias("t"),
-    ).filter(F.length("t") > 0)
-    kw = exploded.select("lang", F.lower("t").alias("keyword")).distinct()
-    tr = exploded.select("lang", F.lower("t").alias("term"), F.lower("english").alias("canonical")).distinct()
+        "seq",
+        F.explode(F.concat(F.array("term"), F.split(F.coalesce("synonyms", F.lit("")), ","))).alias("t"),
+    ).select("lang", "english", "seq", F.lower(F.trim("t")).alias("t")).filter(F.length("t") > 0)
+    kw = exploded.select("lang", F.col("t").alias("keyword")).distinct()
+    tr = exploded.groupBy("lang", F.col("t").alias("term")).agg(F.max_by(F.lower("english"), "seq").alias("canonical"))
     return {"keywords": kw, "translations": tr}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -21,7 +22,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the scan as is
+    except (AttributeError, PySparkNotImplementedError):  # a remote session has no RDDs: leave the scan as is
         return df
     return df.repartition(target) if splits < target else df
 
