@@ -42,6 +42,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,7 @@ from .arrow_text import flat_bytes, row_slices
 WIDTH = 50
 GRAM = 24
 BLOCK = 16
+SLICE = 1 << 16  # bytes that are hashed at a time, so that the arrays stay in a core's cache
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -76,8 +78,7 @@ def _joined(a: np.ndarray, b: np.ndarray, shift: int, width: int) -> np.ndarray:
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(29))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(32))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    return x ^ (x >> _U(32))
 
 
 def marks(names: dict[int, np.ndarray]) -> np.ndarray:
@@ -93,10 +94,11 @@ def marks(names: dict[int, np.ndarray]) -> np.ndarray:
     return np.minimum(m[:n], m[span - size : span - size + n])
 
 
-def triples(names: dict[int, np.ndarray]) -> np.ndarray:
-    """Name of the triple of blocks at each place."""
-    two = _joined(names[BLOCK], names[BLOCK], BLOCK, BLOCK)
-    return _mixed(_joined(two, names[BLOCK], 2 * BLOCK, BLOCK))
+def triples(names: dict[int, np.ndarray], at: np.ndarray) -> np.ndarray:
+    """Names of the triples of blocks that start at the places ``at``."""
+    block = names[BLOCK]
+    two = block[at] * _power(BLOCK) + block[at + BLOCK]
+    return _mixed(_mixed(two * _power(BLOCK) + block[at + 2 * BLOCK]) * _U(0x94D049BB133111EB))
 
 
 def _window_count(offsets: np.ndarray) -> np.ndarray:
@@ -138,7 +140,7 @@ def _batch_of(rows: list, names: list[str], kinds: list[pa.DataType]) -> pa.Reco
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
-def _marks_of_batch(bins: int):
+def _marks_of_batch(bins: int, groups: int):
     """Per batch and bin: marks of each class (kind 0), marks that classes of the batch share (1, once),
     and, for the groups of texts, what is known to be shared (2)."""
 
@@ -147,7 +149,7 @@ def _marks_of_batch(bins: int):
             classes, first = np.unique(batch.column("c").to_numpy(), return_index=True)
             data, off = flat_bytes(batch.column("text").take(pa.array(first)))
             codes, owners = [], []
-            for a, b in row_slices(off, 1 << 19):
+            for a, b in row_slices(off, SLICE):
                 o = off[a : b + 1] - off[a]
                 m = marks(_block_names(data[off[a] : off[b]]))
                 count = _window_count(o)
@@ -167,10 +169,11 @@ def _marks_of_batch(bins: int):
             rows = []
             # known already: to the texts, and once to the bin
             known, to = code[local], classes[own[local]]
-            group = to % bins
+            group = to % groups
             order = np.argsort(group, kind="stable")
             for g, part in _parts(group[order]):
-                rows.append(_mark_row(g, 2, to[order][part], known[order][part]))
+                # any bin hands it on
+                rows.append((int(g) % bins, 2, to[order][part].tobytes(), known[order][part].tobytes(), int(g).to_bytes(4, "little")))
             shared = code[starts[times > 1]]
             for g, part in _parts((shared >> _U(32)).astype(np.int64)):
                 rows.append(_mark_row(g, 1, (shared[part] & _U(0xFFFFFFFF)).astype(np.uint32)))
@@ -198,7 +201,7 @@ _GROUP_SCHEMA = "grp int, bin int, a binary, b binary"
 _GROUP_KINDS = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
 
-def _shared_marks(bins: int):
+def _shared_marks(groups: int):
     """Of one bin: (class, mark) wherever two classes have the mark, dealt to the groups of texts."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -206,7 +209,7 @@ def _shared_marks(bins: int):
         key = table.column("bin")[0].as_py()
         for kind, a, b, n in zip(*(table.column(c).to_pylist() for c in ("kind", "a", "b", "n")), strict=True):
             if kind == 2:
-                rows.append((key, -1, a, b))
+                rows.append((int.from_bytes(n, "little"), -1, a, b))
             elif kind == 1:
                 common.append(np.frombuffer(a, np.uint32))
             else:
@@ -223,7 +226,7 @@ def _shared_marks(bins: int):
         keep = np.repeat(several, times)
         low, cls = low[keep], cls[keep]
         code = (_U(key) << _U(32)) | low.astype(np.uint64)
-        group = cls % bins
+        group = cls % groups
         order = np.argsort(group, kind="stable")
         for g, part in _parts(group[order]):
             rows.append((int(g), -1, cls[order][part].tobytes(), code[order][part].tobytes()))
@@ -235,95 +238,93 @@ def _shared_marks(bins: int):
 # --- steps 3 and 4: sampled triples -----------------------------------------------------
 
 
-def _group_entries(texts: pa.Table, known: pa.Table):
-    """Entries of a group of texts, in an order that only depends on its contents.
-
-    Returns the class representatives (table rows), bytes, offsets, and the
-    entries: place, representative, name, context, flags (bit s: the window
-    that starts s bytes before the place may repeat).
-    """
-    cls, ids = texts.column("c").to_numpy(), texts.column("doc_id").to_numpy()
+def _open_group(packed: pa.Table, known: pa.Table):
+    """Of a group: class, id, bytes and offsets of its texts, one of each class, by id; and the
+    shared marks with their range for each text. Depends on the contents only."""
+    blobs = sorted(zip(*(packed.column(c).to_pylist() for c in ("ids", "cs", "sizes", "data")), strict=True))
+    ids, cls, size = (np.concatenate([np.frombuffer(x[i], np.int64) for x in blobs]) for i in range(3))
+    data = np.frombuffer(b"".join(zstandard.decompress(x[3]) for x in blobs), np.uint8)
+    off = np.r_[0, np.cumsum(size)]
     order = np.lexsort((ids, cls))
-    rep = order[_first_of_runs(cls[order])] if len(order) else order
-    data, off = flat_bytes(texts.column("text").take(pa.array(rep)))
-    cls, ids = cls[rep], ids[rep]
-    pairs = [(np.frombuffer(a, np.int64), np.frombuffer(b, np.uint64)) for n, a, b in zip(*(known.column(c).to_pylist() for c in ("bin", "a", "b")), strict=True) if n < 0]
-    of = np.concatenate([*(p[0] for p in pairs), np.zeros(0, np.int64)])
-    code = np.concatenate([*(p[1] for p in pairs), np.zeros(0, np.uint64)])
+    rep = order[_first_of_runs(cls[order])]
+    rep = rep[np.lexsort((cls[rep], ids[rep]))]
+    data = np.concatenate([data[off[k] : off[k + 1]] for k in rep])
+    cls, ids, off = cls[rep], ids[rep], np.r_[0, np.cumsum(size[rep])]
+    pairs = [(a, b) for n, a, b in zip(*(known.column(c).to_pylist() for c in ("bin", "a", "b")), strict=True) if n < 0]
+    of, code = np.frombuffer(b"".join(p[0] for p in pairs), np.int64), np.frombuffer(b"".join(p[1] for p in pairs), np.uint64)
     order = np.lexsort((code, of))
     of, code = of[order], code[order]
-    low, high = np.searchsorted(of, cls), np.searchsorted(of, cls, "right")
-    return rep, cls, ids, data, off, code, low, high
+    return cls, ids, data, off, code, np.searchsorted(of, cls), np.searchsorted(of, cls, "right")
 
 
 def _entries(data, off, a, b, code, low, high, bins):
-    """Entries of the texts a to b (see above)."""
+    """Entries of the texts a to b: place, text, name, context, flags (bit s: the window that
+    starts s bytes before the place may repeat)."""
     o = off[a : b + 1] - off[a]
     part = data[off[a] : off[b]]
     names = _block_names(part)
-    m = _codes(marks(names), bins)
-    may = np.zeros(len(part) + 2, bool)  # windows that may repeat, by their start
+    m = marks(names)
+    may = np.zeros(len(part) + 2, np.uint8)  # windows that may repeat, by their start
     for k in range(b - a):
         own = code[low[a + k] : high[a + k]]
         end = o[k + 1] - WIDTH + 1
         if len(own) and end > o[k]:
-            x = m[o[k] : end]
+            x = _codes(m[o[k] : end], bins)
             may[o[k] : end] = own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x
-    t = triples(names)
-    n = len(t)
-    flags = may[:n].astype(np.uint8)
-    flags[1:] |= may[: n - 1].astype(np.uint8) << 1 if n else flags[:0]
-    flags[2:] |= may[: max(0, n - 2)].astype(np.uint8) << 2 if n else flags[:0]
+    flags = may.copy()
+    flags[1:] |= may[:-1] << 1
+    flags[2:] |= may[:-2] << 2
     at = np.flatnonzero(flags)
     row = np.searchsorted(o, at, "right") - 1
     inside = (at - o[row]) % 3 != 0
     at, row = at[inside], row[inside]
     flags = flags[at]
-    wide = np.r_[np.zeros(2, np.uint32), part.astype(np.uint32), np.zeros(2, np.uint32)]  # byte i stands at i + 2
-    zero = np.uint32(0)
+    wide = np.zeros(len(part) + 5, np.uint32)  # byte i stands at i + 2
+    wide[2 : len(part) + 2] = part
     # bytes that none of the flagged windows holds count as 0
-    before2 = np.where(flags & 4, wide[at], zero)
-    before1 = np.where(flags & 6, wide[at + 1], zero)
-    after1 = np.where(flags & 3, wide[at + 2 + 3 * BLOCK], zero)
-    after2 = np.where(flags & 1, wide[np.minimum(at + 3 + 3 * BLOCK, len(wide) - 1)], zero)
-    context = before2 | before1 << np.uint32(8) | after1 << np.uint32(16) | after2 << np.uint32(24)
-    return at + off[a], row + a, t[at], context, flags
+    zero, end = np.uint32(0), at + 2 + 3 * BLOCK
+    context = (
+        np.where(flags & 4, wide[at], zero) | np.where(flags & 6, wide[at + 1], zero) << np.uint32(8)
+        | np.where(flags & 3, wide[end], zero) << np.uint32(16) | np.where(flags & 1, wide[end + 1], zero) << np.uint32(24)
+    )
+    return at + off[a], row + a, triples(names, at) if len(at) else np.zeros(0, np.uint64), context, flags
 
 
 def _all_entries(data, off, code, low, high, bins):
-    found = [_entries(data, off, a, b, code, low, high, bins) for a, b in row_slices(off, 1 << 20)]
+    """Entries of all texts, in the order of the ids."""
+    found = [_entries(data, off, a, b, code, low, high, bins) for a, b in row_slices(off, SLICE)]
     kinds = (np.int64, np.int64, np.uint64, np.uint32, np.uint8)
     return [np.concatenate([*(f[i] for f in found), np.zeros(0, k)]) for i, k in enumerate(kinds)]
 
 
-def _distinct(row, ids, name, context, flags):
-    """Order of the entries by (name, context, flags, id), and the first of each equal run."""
-    tail = context.astype(np.uint64) << _U(8) | flags
-    order = np.lexsort((ids[row], tail, name))
-    return order, _first_of_runs(name[order], tail[order])
+def _distinct(name, context, flags):
+    """Order in which equal entries stand together, by id; and the first of each equal run."""
+    one = name * _U(_BASE) + (context.astype(np.uint64) << _U(8) | flags)
+    order = np.argsort(_mixed(one), kind="stable")
+    return order, _first_of_runs(name[order], context[order], flags[order])
 
 
-def _sent(name, first_ids, bins):
-    """Order in which distinct entries are sent: by bin, then id."""
-    bin_of = ((name >> _U(48)) % _U(bins)).astype(np.int64)
-    order = np.lexsort((first_ids, bin_of))
+def _sent(name, bins):
+    """Order in which distinct entries (by id) are sent: by bin, then id."""
+    bin_of = ((name >> _U(48)) % _U(bins)).astype(np.uint16 if bins <= 1 << 16 else np.int64)
+    order = np.argsort(bin_of, kind="stable")
     return order, bin_of[order]
 
 
 _ENTRY_SCHEMA = "bin int, grp int, name binary, context binary, flags binary, id binary, n binary"
 
 
-def _send_triples(bins: int):
-    def run(key, texts: pa.Table, known: pa.Table) -> pa.Table:
+def _send_triples(bins: int, mark_bins: int):
+    def run(key, packed: pa.Table, known: pa.Table) -> pa.Table:
         rows = []
-        if texts.num_rows:
-            _, _, ids, data, off, code, low, high = _group_entries(texts, known)
-            _, row, name, context, flags = _all_entries(data, off, code, low, high, bins)
-            order, first = _distinct(row, ids, name, context, flags)
-            one = order[first]
+        if packed.num_rows and known.num_rows:
+            _, ids, data, off, code, low, high = _open_group(packed, known)
+            _, row, name, context, flags = _all_entries(data, off, code, low, high, mark_bins)
+            order, first = _distinct(name, context, flags)
+            one = np.sort(order[first])
+            sent, bin_of = _sent(name[one], bins)
+            one = one[sent]
             name, context, flags, doc = name[one], context[one], flags[one], ids[row[one]]
-            sent, bin_of = _sent(name, doc, bins)
-            name, context, flags, doc = name[sent], context[sent], flags[sent], doc[sent]
             for g, p in _parts(bin_of):
                 s = np.flatnonzero(_first_of_runs(doc[p]))
                 six = (name[p] & _U(0xFFFFFFFFFFFF)).view(np.uint8).reshape(-1, 8)[:, :6]
@@ -359,11 +360,13 @@ def _sort_triples(table: pa.Table) -> pa.Table:
     # Merge: the window of each shift as (triple, the bytes around it that it holds).
     for shift, mask in ((0, 0xFFFF0000), (1, 0x00FFFF00), (2, 0x0000FFFF)):
         own = order[(flags[order] >> shift) & 1 == 1]
-        around = context[own] & np.uint32(mask)
-        own = own[np.lexsort((ids[own], around, name[own]))]
-        around = context[own] & np.uint32(mask)
-        first = np.flatnonzero(_first_of_runs(name[own], around)) if len(own) else own
-        least = np.repeat(ids[own][first], np.diff(np.r_[first, len(own)])) if len(own) else own
+        if not len(own):
+            continue
+        window = _mixed(name[own] * _U(_BASE) + (context[own] & np.uint32(mask)).astype(np.uint64))
+        by = np.argsort(window)
+        own, window = own[by], window[by]
+        first = np.flatnonzero(_first_of_runs(window))
+        least = np.repeat(np.minimum.reduceat(ids[own], first), np.diff(np.r_[first, len(own)]))
         bits[own[least < ids[own]]] |= 1 << shift
     ends = np.cumsum(sizes)
     rows = [(g, n, bits[e - k : e].tobytes(), b"") for g, n, e, k in zip(col["grp"], col["bin"], ends, sizes, strict=True)]
@@ -375,31 +378,29 @@ def _sort_triples(table: pa.Table) -> pa.Table:
 _RESULT_SCHEMA = "c long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
-def _cut_texts(bins: int, with_text: bool):
-    def run(key, texts: pa.Table, known: pa.Table) -> pa.Table:
+def _cut_texts(bins: int, mark_bins: int, with_text: bool):
+    def run(key, packed: pa.Table, known: pa.Table) -> pa.Table:
         rows = []
-        if texts.num_rows and known.num_rows:
-            _, cls, ids, data, off, code, low, high = _group_entries(texts, known)
-            at, row, name, context, flags = _all_entries(data, off, code, low, high, bins)
-            order, first = _distinct(row, ids, name, context, flags)
-            one = order[first]
-            sent, _ = _sent(name[one], ids[row[one]], bins)
+        if packed.num_rows and known.num_rows:
+            cls, ids, data, off, code, low, high = _open_group(packed, known)
+            at, row, name, context, flags = _all_entries(data, off, code, low, high, mark_bins)
+            order, first = _distinct(name, context, flags)
+            one = np.sort(order[first])
+            sent, _ = _sent(name[one], bins)
             answers = sorted((n, a) for n, a in zip(known.column("bin").to_pylist(), known.column("a").to_pylist(), strict=True) if n >= 0)
-            bits = np.zeros(len(one), np.uint8)
-            bits[sent] = np.frombuffer(b"".join(a for _, a in answers), np.uint8)
-            # an entry of a larger id than the one sent repeats it in this group already
-            run_of = np.cumsum(first) - 1
+            bits = np.zeros(len(at), np.uint8)  # of the entries that were sent
+            bits[one[sent]] = np.frombuffer(b"".join(a for _, a in answers), np.uint8)
+            # an entry of a larger id than the one sent repeats it within this group
+            head = np.repeat(order[first], np.diff(np.r_[np.flatnonzero(first), len(order)]))
             answer = np.empty(len(at), np.uint8)
-            later = ids[row[order]] > ids[row[one]][run_of]
-            answer[order] = np.where(later, flags[order], bits[run_of])
-            edge = np.zeros(len(data) + 1, np.int32)
+            answer[order] = np.where(ids[row[order]] > ids[row[head]], flags[order], bits[head])
+            start = np.zeros(len(data) + WIDTH, np.int32)  # windows to remove, by their start, WIDTH places on
             for shift in range(3):
-                starts = at[(answer >> shift) & 1 == 1] - shift
-                np.add.at(edge, starts, 1)
-                np.add.at(edge, starts + WIDTH, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            hit = np.add.reduceat(gone, np.minimum(off[:-1], max(0, len(data) - 1))) if len(data) else off[:-1]
-            for k in np.flatnonzero((hit > 0) & (np.diff(off) > 0)):
+                start[at[(answer >> shift) & 1 == 1] - shift + WIDTH] = 1
+            so_far = np.cumsum(start, dtype=np.int32)
+            gone = so_far[WIDTH:] > so_far[: len(data)]
+            hit = np.add.reduceat(gone, np.minimum(off[:-1], max(0, len(data) - 1)), dtype=np.int64)
+            for k in np.flatnonzero(hit > 0):
                 g = gone[off[k] : off[k + 1]]
                 kept = data[off[k] : off[k + 1]][~g].tobytes()
                 spans = int(g[0]) + int((g[1:] & ~g[:-1]).sum())
@@ -410,36 +411,47 @@ def _cut_texts(bins: int, with_text: bool):
     return run
 
 
-def _once_per_batch(batches):
-    """Of equal texts in a batch, the smallest id."""
-    for batch in batches:
-        c, ids = batch.column("c").to_numpy(), batch.column("doc_id").to_numpy()
-        order = np.lexsort((ids, c))
-        yield batch.take(pa.array(np.sort(order[_first_of_runs(c[order])]))) if len(order) else batch
+_PACKED_SCHEMA = "grp int, ids binary, cs binary, sizes binary, data binary"
+
+
+def _packed_texts(groups: int):
+    """Per batch and group: ids, classes, sizes and compressed bytes of its texts; of equal texts the smallest id."""
+
+    def run(batches):
+        for batch in batches:
+            c, ids = batch.column("c").to_numpy(), batch.column("doc_id").to_numpy()
+            order = np.lexsort((ids, c))
+            one = order[_first_of_runs(c[order])] if len(order) else order
+            one = one[np.argsort(c[one] % groups, kind="stable")]
+            data, off = flat_bytes(batch.column("text").take(pa.array(one)))
+            c, ids, rows = c[one], ids[one], []
+            for g, p in _parts(c % groups):
+                blob = data[off[p.start] : off[p.stop]].tobytes()
+                rows.append((int(g), ids[p].tobytes(), c[p].tobytes(), np.diff(off[p.start : p.stop + 1]).tobytes(), zstandard.compress(blob, 1)))
+            yield _batch_of(rows, ["grp", "ids", "cs", "sizes", "data"], [pa.int32()] + [pa.binary()] * 4)
+
+    return run
 
 
 def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document; ``kept`` (bytes) where asked for."""
-    bins = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = bins = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mark_bins = max(1, bins // 3)  # fewer, as each class is named once per bin
     keyed = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     ).withColumns({"c": F.xxhash64("text"), "n_bytes": F.octet_length("text").cast("long")})
     long = keyed.filter((F.col("n_bytes") >= WIDTH) & F.col("doc_id").isNotNull())
 
-    group = F.pmod("c", F.lit(bins)).cast("int")
     found = (
-        long.select("c", "text").mapInArrow(_marks_of_batch(bins), _MARK_SCHEMA)
-        .groupBy("bin").applyInArrow(_shared_marks(bins), _GROUP_SCHEMA)
-    )
-    texts = (
-        long.select("doc_id", "c", "text").mapInArrow(_once_per_batch, "doc_id long, c long, text string")
-        .withColumn("grp", group).groupBy("grp")
+        long.select("c", "text").mapInArrow(_marks_of_batch(mark_bins, groups), _MARK_SCHEMA)
+        .groupBy("bin").applyInArrow(_shared_marks(groups), _GROUP_SCHEMA)
     )
+    texts = long.select("doc_id", "c", "text").mapInArrow(_packed_texts(groups), _PACKED_SCHEMA).groupBy("grp")
     answers = (
-        texts.cogroup(found.groupBy("grp")).applyInArrow(_send_triples(bins), _ENTRY_SCHEMA)
+        texts.cogroup(found.groupBy("grp")).applyInArrow(_send_triples(bins, mark_bins), _ENTRY_SCHEMA)
         .groupBy("bin").applyInArrow(_sort_triples, _GROUP_SCHEMA)
     )
-    cut = texts.cogroup(found.unionByName(answers).groupBy("grp")).applyInArrow(_cut_texts(bins, with_text), _RESULT_SCHEMA)
+    cut = texts.cogroup(found.unionByName(answers).groupBy("grp")).applyInArrow(_cut_texts(bins, mark_bins, with_text), _RESULT_SCHEMA)
 
     own = [F.sha2("text", 256).alias("sha"), *([F.col("text").cast("binary").alias("whole")] if with_text else [])]
     base = keyed.select("doc_id", "c", "n_bytes", *own)
