@@ -108,3 +108,25 @@ def test_placeholder_locations_are_opt_in_and_inert(spark):
     assert users["x"].confidence == 0.0 and users["y"].confidence == 0.0
     assert -90 <= users["x"].lat <= 90 and -180 <= users["x"].lon <= 180
     assert (users["b"].lat, users["b"].lon) == (10.0, 20.0)   # placeholders never contribute
+
+
+def test_rounds_do_not_shuffle_the_edges(spark):
+    from tidewatch.operators.graph import laid_out, neighbour_centroid, undirected
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.range(2000).selectExpr("cast(id % 97 as string) src", "cast(id % 31 + 200 as string) dst")
+        und = laid_out(undirected(edges), n)
+        und.count()
+        located = spark.range(150).selectExpr("cast(id as string) user_id", "cast(id as double) lat", "cast(id as double) lon")
+        round_ = neighbour_centroid(und, located)
+        round_.collect()
+        plan = round_._jdf.queryExecution().executedPlan().toString()
+        join = plan[plan.index("SortMergeJoin"):]
+        edge_side = join[: join.index("InMemoryTableScan")]
+        assert "Exchange" not in edge_side and "Sort [" not in edge_side
+        und.unpersist()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -3,17 +3,20 @@
 Propagation (G1) runs synchronous rounds: every round reads the state of the
 previous round only (Q10), so the result does not depend on partition order.
 Each round is one join of the undirected edges with the neighbours' state and
-one partial/final aggregation of unit vectors per user. Edges are
-hash-partitioned by ``dst`` once and checkpointed, so later rounds shuffle only
-the per-user state; each round's state is checkpointed to cut lineage.
+one partial/final aggregation of unit vectors per user. The undirected edges
+are written once (checkpoint), then hash-partitioned and sorted by ``dst`` in a
+persisted copy whose layout the planner knows, so a round shuffles the per-user
+state and the partial sums, never the edges. A lost block of that copy is made
+anew from the checkpoint; each round's state is checkpointed to cut lineage.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.geo import centre_aggs, centre_from_vector
+from tidewatch.functions.geo import bbox_center, centre_aggs, centre_from_vector, geo_point
 
 FINAL_CONFIDENCE = 0.5
 DEFAULT_ITERATIONS = 5
@@ -115,17 +118,44 @@ def adjacency(edges: DataFrame) -> DataFrame:
     )
 
 
-def replied_lists(edges: DataFrame, user_ids: DataFrame) -> DataFrame:
-    """A7 as the reference stores it (``replied_to``/``replied_by`` arrays), for
-    a given set of users only (e.g. a user lookup). Arrays are built per user;
-    callers must not pass hub users when list size matters."""
-    e = edges.join(user_ids.select(F.col("user_id").alias("src")), "src", "left_semi")
-    i = edges.join(user_ids.select(F.col("user_id").alias("dst")), "dst", "left_semi")
-    out = e.groupBy(F.col("src").alias("user_id")).agg(F.array_sort(F.collect_set("dst")).alias("replied_to"))
-    inc = i.groupBy(F.col("dst").alias("user_id")).agg(F.array_sort(F.collect_set("src")).alias("replied_by"))
-    empty = F.array().cast("array<string>")
-    return out.join(inc, "user_id", "full").select(
-        "user_id", F.coalesce("replied_to", empty).alias("replied_to"), F.coalesce("replied_by", empty).alias("replied_by"))
+def adjacency_rows(edges: DataFrame) -> DataFrame:
+    """A7 in long form: (user_id, direction 'to' | 'by', neighbour), every edge
+    once from each end. A hub's neighbours are rows, never one array."""
+    return edges.select(F.inline(F.array(
+        F.struct(F.col("src").alias("user_id"), F.lit("to").alias("direction"), F.col("dst").alias("neighbour")),
+        F.struct(F.col("dst").alias("user_id"), F.lit("by").alias("direction"), F.col("src").alias("neighbour")),
+    ))).distinct()
+
+
+def tweet_observations(rows: DataFrame, geo_order: str = "latlon") -> DataFrame:
+    """A5 input rows of tweet rows (user_id, geo, place): points keyed by their
+    coordinates, places by their id with the centre of their bounding box. A
+    place without an id or a polygon gives none."""
+    user = F.col("user_id").cast("string").alias("user_id")
+    points = rows.select(user, geo_point("geo", geo_order).alias("p")).filter(F.col("p").isNotNull())
+    places = rows.select(
+        user, F.get_json_object("place", "$.id").alias("key"), bbox_center("place").alias("p")
+    ).filter(F.col("p").isNotNull() & F.col("key").isNotNull())
+    return point_observations(points.select("user_id", "p.lat", "p.lon")).unionByName(
+        places.select("user_id", F.lit("place").alias("kind"), "key", "p.lat", "p.lon"))
+
+
+def user_state(rows: DataFrame, geo_order: str = "latlon") -> DataFrame:
+    """A8 as a batch: one row per user seen as an author or as the target of a
+    reply (a new user without locations): number of distinct points and places,
+    users replied to and replying, and the centre of points and places (A6).
+    The lists behind the numbers are ``condense_locations`` and ``adjacency_rows``."""
+    condensed = condense_locations(tweet_observations(rows, geo_order))
+    counts = condensed.groupBy("user_id").agg(
+        F.count_if(F.col("kind") == "geo").alias("n_points"), F.count_if(F.col("kind") == "place").alias("n_places"))
+    edges = reply_edges(rows)
+    ends = adjacency_rows(edges).groupBy("user_id").agg(
+        F.count_if(F.col("direction") == "to").alias("n_to"), F.count_if(F.col("direction") == "by").alias("n_by"))
+    users = rows.select(F.col("user_id").cast("string").alias("user_id")).unionByName(
+        rows.select(F.col("in_reply_to").cast("string").alias("user_id"))).filter("user_id is not null").distinct()
+    out = users.join(counts, "user_id", "left").join(ends, "user_id", "left").join(user_centroid(condensed), "user_id", "left")
+    return out.select("user_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_points", "n_places", "n_to", "n_by")],
+                      "location")
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -134,14 +164,21 @@ def undirected(edges: DataFrame) -> DataFrame:
     return both.filter(F.col("src") != F.col("dst")).distinct()
 
 
-def all_users(edges: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Every user seen in the graph or the anchor table."""
-    return (
-        edges.select(F.col("src").alias("user_id"))
-        .unionByName(edges.select(F.col("dst").alias("user_id")))
-        .unionByName(anchors.select("user_id"))
-        .distinct()
-    )
+def all_users(edges: DataFrame, anchors: DataFrame, both_ways: DataFrame | None = None) -> DataFrame:
+    """Every user seen in the graph or the anchor table. With the undirected
+    edges at hand (``both_ways``) the raw ones only add self loops."""
+    if both_ways is not None:
+        seen = both_ways.select(F.col("src").alias("user_id")).unionByName(
+            edges.filter(F.col("src") == F.col("dst")).select(F.col("src").alias("user_id")))
+    else:
+        seen = edges.select(F.col("src").alias("user_id")).unionByName(edges.select(F.col("dst").alias("user_id")))
+    return seen.unionByName(anchors.select("user_id")).distinct()
+
+
+def laid_out(und: DataFrame, partitions: int) -> DataFrame:
+    """Undirected edges partitioned and sorted by ``dst``, persisted: joins on
+    ``dst`` with ``partitions`` shuffle partitions need no exchange of them."""
+    return und.repartition(partitions, "dst").sortWithinPartitions("dst").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # Neighbours with at least this share of all edges are "hot": joined by
@@ -155,7 +192,7 @@ def split_hot(und: DataFrame, share: float = HOT_SHARE, min_degree: int = 1000)
     least ``share`` of all edges (and ``min_degree``); at most 1/share keys."""
     from tidewatch.operators.common import cut_lineage
 
-    total = und.count()  # ``und`` is a checkpointed table: a cheap metadata-sized job
+    total = und.count()  # ``und`` is persisted here, which the rounds need anyway
     bound = max(total * share, min_degree)
     deg = und.groupBy("dst").agg(F.count(F.lit(1)).alias("deg"))
     hot = cut_lineage(deg.filter(F.col("deg") >= F.lit(bound)).select("dst"))
@@ -224,15 +261,16 @@ def propagate_locations(
     """
     spark = edges.sparkSession
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # one write of the undirected edges, hash-partitioned by dst; the hot/cold
-    # split below is a broadcast (anti/semi) filter that keeps that partitioning
-    und_all = _checkpoint(undirected(edges).repartition(n_part, "dst"), checkpoint)
+    # one write of the undirected edges and one shuffle of them for all rounds; the
+    # hot/cold split below is a broadcast (anti/semi) filter that keeps the layout
+    written = _checkpoint(undirected(edges), checkpoint)
+    und_all = laid_out(written, n_part)
     und, hot = split_hot(und_all, hot_share, hot_min_degree) if split_hot_keys else (und_all, None)
     und_hot = _checkpoint(und_all.join(F.broadcast(hot), "dst", "left_semi"), checkpoint) if hot is not None else None
     anchor_pts = anchors.filter(F.col("location.confidence") >= 1).select(
         "user_id", F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon")
     )
-    users = all_users(edges.select("src", "dst"), anchors)  # self-reply-only users included
+    users = all_users(edges.select("src", "dst"), anchors, written)  # self-reply-only users included
     is_anchor = anchor_pts.select("user_id", F.lit(True).alias("anchor"))
     # state: (user_id, last struct<lat,lon> or null, inferred array)
     state = users.join(is_anchor, "user_id", "left").select(
@@ -278,6 +316,8 @@ def propagate_locations(
                 final.agg(F.count(F.lit(1)).alias("processed"))
                 .select(F.lit(it).alias("iteration"), "processed", F.lit(0).cast("long").alias("inferences"))
             )
+    if checkpoint and final is not None:
+        und_all.unpersist()  # every round's result is written
     if final is None:  # iterations == 0
         final = state.select("user_id", "anchor", "inferred", F.lit(None).cast("struct<lat:double,lon:double>").alias("final"))
     anchor_loc = anchors.select("user_id", F.col("location").alias("aloc"))

@@ -55,8 +55,10 @@ def route_source(envelopes: DataFrame) -> DataFrame:
 
 
 def with_tokens(msgs: DataFrame) -> DataFrame:
-    """ordered tokens (``tok``) of each routed message."""
-    return msgs.withColumn("tok", ordered_tokens("Language", "words", "tokens", "TokenText"))
+    """ordered tokens (``tok``) of each routed message, from ``TokenText``
+    (``message.text``); of rows without that column, from ``Sentence``."""
+    text = "TokenText" if "TokenText" in msgs.columns else "Sentence"
+    return msgs.withColumn("tok", ordered_tokens("Language", "words", "tokens", text))
 
 
 def normalize_source(source) -> Column:

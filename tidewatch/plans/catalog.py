@@ -444,6 +444,11 @@ def adjacency(spark, root):
     return gr.adjacency(gr.reply_edges(fx.edges_orders(spark, root), "src", "dst"))
 
 
+@register("adjacency_lists")
+def adjacency_lists(spark, root):
+    return gr.adjacency_rows(gr.reply_edges(fx.edges_orders(spark, root), "src", "dst"))
+
+
 def _propagated(spark, root, iterations):
     return gr.propagate_locations(fx.edges_orders(spark, root), fx.supplier_anchors(spark, root), iterations)
 
@@ -592,6 +597,38 @@ def stream_tagging(spark, root):
         "id", "keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("place_observations")
+def place_observations(spark, root):
+    """A5 on places: the customers of an account manager (key % 40) seen at their nation's place."""
+    p = fx.place_json(spark, root).select(
+        (F.col("c_custkey") % 40).alias("user_id"), F.lit(None).cast("string").alias("geo"), "place")
+    c = gr.condense_locations(gr.tweet_observations(p))
+    return c.select(F.col("user_id").cast("long").alias("user_id"), "kind", "key", "occurrences")
+
+
+@register("user_state")
+def user_state(spark, root):
+    """A8 over all tweets: points, reply edges, new users and centres."""
+    u = gr.user_state(tw.tweet_row(_raw_tweets_read(spark, root)))
+    return u.select(F.col("user_id").cast("long").alias("user_id"), "n_points", "n_places", "n_to", "n_by",
+                    _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"))
+
+
+@register("stream_tagging_located")
+def stream_tagging_located(spark, root):
+    """E2 on a stream of several micro-batches: keyword sink rows with their locations, read back."""
+    src = fx.new_scratch(spark, "located-envelopes")
+    fx.geo_customers(spark, root).repartition(3).write.mode("overwrite").json(src)
+    paths = {k: fx.new_scratch(spark, f"located-{k}") for k in ("out", "ckpt", "keywords")}
+    stream = sp.message_stream(spark, src, S.ENVELOPES, max_files_per_trigger=1)
+    regions = fx.gaz_regions(spark, root).select("lang", F.col("name").alias("keyword"))
+    sp.tag_stream(stream, regions, None, paths["out"], paths["ckpt"], fx.gaz_world(spark, root), _users_a6(spark, root),
+                  keyword_path=paths["keywords"], kinds=())
+    rows = spark.read.option("basePath", paths["keywords"]).json(paths["keywords"])
+    return rows.groupBy(F.col("Keyword").alias("keyword"), "Source").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.size("Locations") > 0).alias("n_located"))
+
+
 @register("user_state_stream")
 def user_state_stream(spark, root):
     src = fx.new_scratch(spark, "obs")

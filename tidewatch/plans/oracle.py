@@ -471,6 +471,15 @@ SELECT coalesce(o.user_id, i.user_id) AS user_id,
 FROM o FULL OUTER JOIN i ON o.user_id = i.user_id"""
 
 
+ADJACENCY_LISTS = "WITH " + EDGES.strip() + """
+SELECT DISTINCT src AS user_id, 'to' AS direction, dst AS neighbour FROM edges
+UNION SELECT DISTINCT dst, 'by', src FROM edges"""
+
+PLACE_OBSERVATIONS = """
+SELECT c_custkey % 40 AS user_id, 'place' AS kind, 'p' || CAST(c_nationkey AS VARCHAR) AS key, count(*) AS occurrences
+FROM customer WHERE c_custkey % 7 <> 0 GROUP BY 1, c_nationkey"""
+
+
 def propagate_sql(iterations: int, body: str) -> str:
     ctes = [EDGES.strip(), """
 und AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges) WHERE src <> dst),
@@ -564,6 +573,18 @@ SELECT event_id AS id, strftime(epoch_ms(epoch_us(ts) // 1000), '%Y-%m-%dT%H:%M:
        CAST(user_id AS VARCHAR) AS user_id, md5(text) AS text_md5
 FROM j WHERE event_type <> 'error'"""
 
+USER_STATE = "WITH " + TWEETS_J.strip() + f""",
+t AS (SELECT user_id, (user_id * 7) % 150 AS target, event_type, CAST(k - 50 AS DOUBLE) AS lat,
+             CAST((k * 3) % 360 - 180 AS DOUBLE) AS lon FROM j WHERE event_type <> 'error'),
+u AS (SELECT user_id FROM t UNION SELECT target FROM t WHERE event_type = 'click'),
+e AS (SELECT DISTINCT user_id AS src, target AS dst FROM t WHERE event_type = 'click'),
+p AS (SELECT DISTINCT user_id, lat, lon FROM t WHERE event_type = 'view'),
+c AS (SELECT user_id, count(*) AS n, sum({_X}) AS sx, sum({_Y}) AS sy, sum({_Z}) AS sz FROM p GROUP BY user_id)
+SELECT u.user_id, coalesce(c.n, 0) AS n_points, CAST(0 AS BIGINT) AS n_places,
+       (SELECT count(*) FROM e WHERE e.src = u.user_id) AS n_to, (SELECT count(*) FROM e WHERE e.dst = u.user_id) AS n_by,
+       CASE WHEN c.n > 0 THEN {r4(_CLAT)} END AS lat, CASE WHEN c.n > 0 THEN {r4(_CLON)} END AS lon
+FROM u LEFT JOIN c ON u.user_id = c.user_id"""
+
 DEDUP_INSERT = "WITH " + TWEETS_J.strip() + """
 SELECT CAST(floor((epoch_us(ts) // 1000) / 86400000) AS BIGINT) AS epoch_day, count(*) AS n, CAST(0 AS BIGINT) AS n_resent
 FROM j WHERE event_type <> 'error' GROUP BY 1"""

@@ -75,6 +75,10 @@ ORACLE["dedup_insert"] = o.DEDUP_INSERT
 ORACLE["bad_records"] = o.BAD_RECORDS
 ORACLE["hourly_stream"] = o.trend_sql("events", o.HOURLY_STREAM_BODY)
 ORACLE["late_events"] = o.LATE_EVENTS
+ORACLE["adjacency_lists"] = o.ADJACENCY_LISTS
+ORACLE["place_observations"] = o.PLACE_OBSERVATIONS
+ORACLE["user_state"] = o.USER_STATE
+ORACLE["stream_tagging_located"] = o.keyword_messages_sql()
 ORACLE["stream_tagging"] = ORACLE["match_keywords_fuzzy"]
 ORACLE["user_state_stream"] = o.USER_CENTROID
 

@@ -125,15 +125,33 @@ def fan_out(stream: DataFrame, table_path: str, graph_path: str, pipeline_path:
 
 
 def tag_stream(stream: DataFrame, keywords: DataFrame, categories: DataFrame | None, out_path: str,
-               checkpoint: str, **tag_args) -> None:
-    """Streaming tagging; each micro-batch is tagged with the batch
-    operator (dictionaries are static DataFrames joined by broadcast)."""
-    from tidewatch.operators.tagging import tag_messages
+               checkpoint: str, gazetteer: DataFrame | None = None, users: DataFrame | None = None,
+               geo_order: str = "latlon", keyword_path: str | None = None, sentence_path: str | None = None,
+               **tag_args) -> None:
+    """Streaming tagging; each micro-batch is tagged with the batch
+    operator (dictionaries are static DataFrames) and, with a ``gazetteer``,
+    located by the J8 cascade. Besides the tagged messages it can feed the two
+    S14 sinks, JSON rows partitioned by source: every keyword row
+    (``keyword_path``) and the sentence rows that pass P12 (``sentence_path``).
+    Each batch writes folders of its own, overwritten on a retry."""
+    from tidewatch.operators.common import cut_lineage
+    from tidewatch.operators.locate import resolve_locations
+    from tidewatch.operators.tagging import emit_sentence, keyword_messages, tag_messages
+    from tidewatch.sources.messages import write_json_sink
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = tag_messages(batch, keywords, categories, **tag_args)
-        tagged.select("MessageId", "Source", "Language", "Keywords", "Groups").write.mode(
-            "overwrite").parquet(f"{out_path}/batch_id={batch_id}")  # idempotent on retry
+        if gazetteer is not None:
+            tagged = resolve_locations(tagged, gazetteer, users, geo_order)
+        tagged = cut_lineage(tagged)  # written up to three ways
+        columns = ["MessageId", "Source", "Language", "Keywords", "Groups"]
+        columns += ["Locations"] if gazetteer is not None else []
+        tagged.select(*columns).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        if keyword_path:
+            write_json_sink(keyword_messages(tagged), f"{keyword_path}/batch_id={batch_id}", mode="overwrite")
+        if sentence_path:
+            kept = [c for c in ("MessageId", "Source", "Sentence", "Language", "Created", "Keywords", "Groups", "Locations") if c in tagged.columns]
+            write_json_sink(emit_sentence(tagged).select(*kept), f"{sentence_path}/batch_id={batch_id}", mode="overwrite")
 
     foreach_batch_available_now(stream, write, checkpoint)
 
@@ -141,8 +159,10 @@ def tag_stream(stream: DataFrame, keywords: DataFrame, categories: DataFrame | N
 def user_state_stream(stream: DataFrame, state_path: str, checkpoint: str) -> None:
     """Running user state. Each micro-batch's observations are condensed
     (A5) and merged into the stored condensed table (occurrences add up); the
-    new version is written next to the old one and becomes current atomically
-    by its batch id. Users are the A6 centre of the current version."""
+    new version is written next to the old one and becomes current by its batch
+    id once the batch is committed (a retried batch overwrites its own folder).
+    The state is one row per distinct location of a user and is rewritten per
+    batch. Users are the A6 centre of the current version."""
     from tidewatch.operators.graph import condense_locations, point_observations
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -186,7 +206,8 @@ def current_users(spark: SparkSession, state_path: str) -> DataFrame:
 def user_centroid_stream(points: DataFrame) -> DataFrame:
     """T3, stateful variant with built-in operators: each user's distinct
     points are de-duplicated in the state store, then a running sum of unit
-    vectors per user is kept (update mode). Finish with
+    vectors per user is kept (update mode). The first state holds every distinct
+    point for ever, which exact de-duplication without a time limit needs. Finish with
     ``functions.geo.centre_from_vector``. Both states are keyed (user, point)
     and user, so a hot user is summed incrementally, never held as a list."""
     from tidewatch.functions.geo import centre_aggs
