@@ -777,7 +777,7 @@ cw AS (SELECT user_id, lat, lon, count(*) AS w FROM obs GROUP BY user_id, lat, l
 c1 AS (SELECT user_id, {_CLAT} AS clat, {_CLON} AS clon FROM (
   SELECT user_id, sum(w * {_X}) AS sx, sum(w * {_Y}) AS sy, sum(w * {_Z}) AS sz FROM cw GROUP BY user_id)),
 d AS (SELECT cw.*, {_dist_sql('cw.lat', 'cw.lon', 'c1.clat', 'c1.clon')} AS dist FROM cw JOIN c1 ON cw.user_id = c1.user_id),
-med AS (SELECT user_id, quantile_cont(dist, 0.5) AS med FROM d GROUP BY user_id),
+med AS (SELECT user_id, quantile_disc(dist, 0.5) AS med FROM d GROUP BY user_id),
 kept AS (SELECT d.* FROM d JOIN med ON d.user_id = med.user_id WHERE d.dist <= med.med * 2.0)
 SELECT user_id, {r4(_CLAT)} AS lat, {r4(_CLON)} AS lon FROM (
   SELECT user_id, sum(w * {_X}) AS sx, sum(w * {_Y}) AS sy, sum(w * {_Z}) AS sz FROM kept GROUP BY user_id)"""
