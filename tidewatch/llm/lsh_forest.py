@@ -14,10 +14,13 @@ of any size spreads over tasks). Neighbours with a common prefix of at least
    several components are looked into: all pairs of different components where
    the region has at most ``FULL`` classes. The depth adapts where it has more:
    the region is split by its next value, and again.
-3. Classes of regions that are too large even so go through an exact prefix
-   filter: a linked pair shares one of the rarest quarter of its shingles, so
-   pairs of different components that share one are confirmed. No candidate is
-   dropped for the size of its region.
+   In regions of more than ``FULL`` classes, the ``REACH`` next neighbours in the
+   order of every tree are confirmed too.
+3. Classes of such regions that still hold several components go through an
+   exact prefix filter: a linked pair shares one of the rarest quarter of its
+   shingles, and the first that it shares stands early enough in both orders to
+   leave room for the common part. Pairs of different components with such a
+   shingle are confirmed; none is dropped for the size of its region.
 
 Every link is confirmed on the two full sets: 100 * common >= 75 * union.
 
@@ -47,6 +50,7 @@ DEPTH = 2  # values that candidates share at least
 LEVELS = 4  # values of a signature
 FULL = 32
 FIRST = 3  # trees of the first step
+REACH = 4  # neighbours each way in regions that are too large for all pairs
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -100,23 +104,25 @@ def signature(values: np.ndarray, coefficients) -> np.ndarray:
 
 
 def _classed(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, sig) of every document."""
+    """(doc_id, n_shingles, node, sig, sketch) of every document; the sketch has a byte of each value."""
 
     def run(batches):
         c = _coefficients()
         for batch in batches:
             sets = shingle_sets(*flat_bytes(batch.column("text")))
+            signed = [signature(s, c) for s in sets]
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) if len(s) else 0 for s in sets], pa.int64()),
-                    pa.array([signature(s, c).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([x.tobytes() for x in signed], pa.binary()),
+                    pa.array([(x & 255).astype(np.uint8).tobytes() for x in signed], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "node", "sig"],
+                ["doc_id", "n_shingles", "node", "sig", "sketch"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, sig binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, sig binary, sketch binary")
 
 
 def _forest(classes: DataFrame) -> DataFrame:
@@ -145,69 +151,126 @@ def _similar_size(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * 75
 
 
-def _neighbours(forest: DataFrame) -> DataFrame:
-    """Pairs of neighbours in the sorted order of each tree that share the first values."""
+_SORTED = "tree int, p long, q long, node long, n long, b long, n_b long, edge boolean"
+
+
+def _crowded(forest: DataFrame) -> DataFrame:
+    """Rows of the forest in regions of several classes, each with its neighbour (b, n_b).
+
+    One range-partitioned sort of all trees; what stands alone in its region is
+    left out on the spot. The first and last row of a partition (``edge``) stay,
+    as their region may go on in another partition.
+    """
     order = ["tree", "p", "q", "node"]
-    parts = forest.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    placed = forest.repartitionByRange(int(parts), *order).sortWithinPartitions(*order)
+    parts = int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = forest.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def run(batches):
-        last = None
+        held, out = None, 0  # the last rows so far, and how many of them are out already
+        first = True
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t, p, q, node, n = (batch.column(i).to_numpy() for i in range(5))
-            if last is None:
-                yield _edge(t, p, q, node, n, 0)
-            else:
-                t, p, q, node, n = (np.r_[x, y] for x, y in zip(last, (t, p, q, node, n), strict=True))
-            near = (t[1:] == t[:-1]) & (p[1:] == p[:-1])
-            k = int(near.sum())
-            yield _rows(
-                [None] * k, [None] * k, [None] * k, node[:-1][near], node[1:][near], n[:-1][near], n[1:][near]
-            )
-            last = (t[-1:], p[-1:], q[-1:], node[-1:], n[-1:])
-        if last is not None:
-            yield _edge(*last, -1)
-
-    found = placed.mapInArrow(run, "tree int, p long, q long, a long, b long, n_a long, n_b long")
-    found = cut_lineage(found)
-    inner = found.filter("tree is null")
+            rows = [batch.column(i).to_numpy() for i in range(5)]
+            if held is not None:
+                rows = [np.r_[x, y] for x, y in zip(held, rows, strict=True)]
+            size = len(rows[0])
+            # the last row waits for its neighbour; the one before it tells whether it has company
+            yield _linked(rows, range(out, size - 1), first, False)
+            first &= size == 1
+            held, out = [x[-2:] for x in rows], min(1, size - 1)
+        if held is not None:
+            yield _linked(held, range(out, out + 1), first, True)
+
+    return placed.mapInArrow(run, _SORTED)
+
+
+def _linked(rows, wanted: range, first: bool, end: bool):
+    """Of the wanted rows, those with company in their region; the first and last of a partition too."""
+    t, p, q, node, n = rows
+    near = (t[1:] == t[:-1]) & (p[1:] == p[:-1])
+    size = len(t)
+    before, after = np.r_[False, near], np.r_[near, False]
+    edge = np.zeros(size, bool)
+    edge[0] |= first
+    edge[-1] |= end
+    chosen = np.arange(size)[wanted.start : wanted.stop]
+    chosen = chosen[(before | after | edge)[chosen]]
+    has = after[chosen]
+    nxt = np.minimum(chosen + 1, size - 1)
+    kinds = [pa.int32()] + [pa.int64()] * 6 + [pa.bool_()]
+    columns = [t[chosen], p[chosen], q[chosen], node[chosen], n[chosen]]
+    arrays = [pa.array(x, k) for x, k in zip(columns, kinds, strict=False)]
+    arrays += [pa.array(node[nxt], pa.int64(), mask=~has), pa.array(n[nxt], pa.int64(), mask=~has), pa.array(edge[chosen])]
+    return pa.record_batch(arrays, [f.split()[0] for f in _SORTED.split(", ")])
+
+
+def _neighbours(crowded: DataFrame, trees: int) -> DataFrame:
+    """Pairs of neighbours in the sorted order of the first trees that share the first values."""
+    inner = crowded.filter("b is not null").select("tree", F.col("node").alias("a"), "b", F.col("n").alias("n_a"), "n_b")
     # First and last rows of the partitions, in order: two rows each, whatever the input.
-    in_order = Window.orderBy("tree", "p", "q", "a")
-    ends = found.filter("tree is not null").withColumns(
-        {x + "2": F.lead(x).over(in_order) for x in ("tree", "p", "a", "n_a")}
+    in_order = Window.orderBy("tree", "p", "q", "node")
+    ends = crowded.filter("edge").withColumns({x + "2": F.lead(x).over(in_order) for x in ("tree", "p", "node", "n")})
+    across = ends.filter("tree = tree2 and p = p2 and node <> node2").select(
+        "tree", F.col("node").alias("a"), F.col("node2").alias("b"), F.col("n").alias("n_a"), F.col("n2").alias("n_b")
     )
-    across = ends.filter("tree = tree2 and p = p2 and a <> a2").select("a", F.col("a2").alias("b"), "n_a", F.col("n_a2").alias("n_b"))
     return (
-        inner.select("a", "b", "n_a", "n_b").unionByName(across).filter(_similar_size("n_a", "n_b"))
+        inner.unionByName(across).filter((F.col("tree") < trees) & _similar_size("n_a", "n_b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
 
 
-def _edge(t, p, q, node, n, at):
-    i = slice(at, at + 1 or None)
-    return _rows(t[i].tolist(), p[i].tolist(), q[i].tolist(), node[i], [None], n[i], [None])
+_FILTER_BITS = 1 << 24
+
 
+def _place(id_col: str):
+    """Word and bit of an id in a bitmap of _FILTER_BITS bits."""
+    at = F.pmod(F.xxhash64(id_col), F.lit(_FILTER_BITS))
+    return F.shiftright(at, 6).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("_bit")
 
-def _rows(t, p, q, a, b, n_a, n_b):
-    names = ["tree", "p", "q", "a", "b", "n_a", "n_b"]
-    kinds = [pa.int32()] + [pa.int64()] * 6
-    return pa.record_batch([pa.array(x, k) for x, k in zip((t, p, q, a, b, n_a, n_b), kinds, strict=True)], names)
 
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (rep, ...) with the text of document ``rep``.
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    reps = classes.select("node", "rep")
+    A bitmap of the wanted ids, of a fixed size (at most _FILTER_BITS / 64 rows
+    of two numbers, so it is broadcast), keeps other documents' texts out of
+    the shuffle; the join afterwards is exact.
+    """
+    bitmap = wanted.select(*_place("rep")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    likely = (
+        docs.select("*", *_place("doc_id")).join(F.broadcast(bitmap), "_word")
+        .filter(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select("doc_id", "text")
+    )
+    return likely.join(wanted, F.col("doc_id") == F.col("rep")).drop("doc_id", "rep")
+
+
+def _alike(batches):
+    """Leaves out pairs whose signatures agree in less than half of their values: at a
+    similarity of 0.75 that has probability 2e-6, and their texts need not travel."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
+        yield batch.select(["a", "b"]).filter(pa.array(2 * (a == b).sum(1) >= TREES * LEVELS))
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, compared: bool = False) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity; unlike signatures (if not
+    ``compared`` before) are not looked into."""
+    if not compared:
+        sketch = classes.select("node", "sketch")
+        pairs = (
+            pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
+            .mapInArrow(_alike, "a long, b long")
+        )
+    pairs = cut_lineage(pairs)
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.join(ends.join(reps, "node"), F.col("doc_id") == F.col("rep")).select("node", "text")
+    texts = _texts_of(docs, ends.join(classes.select("node", "rep"), "node"))
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches):
         for batch in batches:
-            for a, b in row_slices(np.arange(batch.num_rows + 1) * 1, 256):
-                part = batch.slice(a, b - a)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 x, y = (shingle_sets(*flat_bytes(part.column(c))) for c in ("text_a", "text_b"))
                 ids = part.column("a").to_pylist(), part.column("b").to_pylist()
                 good = []
@@ -222,6 +285,36 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
+def _next_in_order(rows: DataFrame, reach: int) -> DataFrame:
+    """Pairs of different components with like signatures among the next ``reach`` rows in the
+    sorted order of a region."""
+    order = ["tree", "p", "q", "node"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(i).to_numpy() for i in range(6)]
+            cols.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            if held is not None:
+                cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
+            t, p, _, node, n, root, sketch = cols
+            old = 0 if held is None else len(held[0])
+            for d in range(1, reach + 1):
+                k = np.arange(max(0, old - d), len(t) - d)
+                k = k[(t[k] == t[k + d]) & (p[k] == p[k + d]) & (root[k] != root[k + d])]
+                k = k[np.minimum(n[k], n[k + d]) * 100 >= np.maximum(n[k], n[k + d]) * 75]
+                k = k[2 * (sketch[k] == sketch[k + d]).sum(1) >= TREES * LEVELS]
+                low, high = np.minimum(node[k], node[k + d]), np.maximum(node[k], node[k + d])
+                yield pa.record_batch([pa.array(low), pa.array(high)], ["a", "b"])
+            held = [x[-reach:] for x in cols]
+
+    placed = rows.select(*order, "n", "root", "sketch").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return placed.mapInArrow(run, "a long, b long").distinct()
+
+
 def _with_roots(forest: DataFrame, links: DataFrame) -> DataFrame:
     """The forest's rows with the component of their class."""
     roots = components(links)
@@ -249,7 +342,7 @@ def _pairs_within(rows: DataFrame, keys: list[str]) -> DataFrame:
 def _rare_pairs(rest: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Exact way for classes (node, root) of the largest regions: pairs of different
     components that share one of the rarest quarter of their shingles."""
-    texts = docs.join(rest.join(classes.select("node", "rep", "n"), "node"), F.col("doc_id") == F.col("rep"))
+    texts = _texts_of(docs, rest.join(classes.select("node", "rep", "n"), "node"))
 
     def run(batches):
         for batch in batches:
@@ -271,15 +364,18 @@ def _rare_pairs(rest: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
         rows.join(counted, "s").withColumn("k", F.row_number().over(w))
         .filter((F.col("k") <= F.col("n") - F.ceil(F.col("n") * 0.75) + 1) & (F.col("low") != F.col("high")))
     )
-    prefix = cut_lineage(prefix.select("s", "node", "root", "n"))
+    prefix = cut_lineage(prefix.select("s", "node", "root", "n", "k"))
     # Of each pair one class is outside the shingle's commonest component.
     common = (
         prefix.groupBy("s", "root").count().groupBy("s").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
     )
-    mine = prefix.join(common, "s").filter(F.col("root") != F.col("main")).select("s", F.col("node").alias("a"), "root", "n")
-    other = prefix.select("s", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+    mine = prefix.join(common, "s").filter(F.col("root") != F.col("main")).select("s", F.col("node").alias("a"), "root", "n", "k")
+    other = prefix.select("s", F.col("node").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("root", "n", "k")])
+    # All that two sets share stands at or after their first common shingle, in both.
+    least = F.ceil((F.col("n") + F.col("n_b")) * 75 / 175)
+    room = (F.col("n") - F.col("k") + 1 >= least) & (F.col("n_b") - F.col("k_b") + 1 >= least)
     return (
-        mine.join(other, "s").filter((F.col("root") != F.col("root_b")) & _similar_size("n", "n_b"))
+        mine.join(other, "s").filter((F.col("root") != F.col("root_b")) & _similar_size("n", "n_b") & room)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
 
@@ -290,11 +386,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = cut_lineage(_classed(docs))
     linked = base.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = cut_lineage(
-        linked.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+        linked.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     )
-    forest = cut_lineage(_forest(classes))
+    signed = linked.groupBy("node").agg(F.max("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    crowded = cut_lineage(_crowded(_forest(signed)))
+    forest = crowded.select("tree", "p", "q", "node", "n")
 
-    links = cut_lineage(_confirmed(_neighbours(forest.filter(F.col("tree") < FIRST)), docs, classes))
+    links = cut_lineage(_confirmed(_neighbours(crowded, FIRST), docs, classes))
     rooted = _with_roots(forest, links).withColumn("p2", F.shiftrightunsigned("q", 32))
     rows, pairs = rooted, []
     for keys in (["tree", "p"], ["tree", "p", "p2"], ["tree", "p", "q"]):  # regions by their first 2, 3 and 4 values
@@ -306,10 +404,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     looked_into = reduce(DataFrame.unionByName, pairs).distinct()
     links = cut_lineage(links.unionByName(_confirmed(looked_into, docs, classes)))
 
-    # What never came into a small region: the exact way.
-    rooted = _with_roots(forest, links)
-    big = _open_regions(rooted, ["tree", "p"]).filter(F.col("m") > FULL)
-    rest = cut_lineage(rooted.join(big.drop("m"), ["tree", "p"]).select("node", "root").distinct())
+    # In larger regions neighbours of all trees link most of what belongs together ...
+    rooted, big = _with_roots(forest, links), ["tree", "p"]
+    large = cut_lineage(rooted.join(_open_regions(rooted, big).filter(F.col("m") > FULL).drop("m"), big))
+    if not large.isEmpty():
+        sketched = large.join(classes.select("node", "sketch"), "node")
+        links = cut_lineage(links.unionByName(_confirmed(_next_in_order(sketched, REACH), docs, classes, compared=True)))
+    # ... and what never came into a small region goes the exact way.
+    rooted = _with_roots(large.drop("root"), links)
+    rest = cut_lineage(rooted.join(_open_regions(rooted, big).drop("m"), big).select("node", "root").distinct())
     if not rest.isEmpty():
         links = cut_lineage(links.unionByName(_confirmed(_rare_pairs(rest, docs, classes), docs, classes)))
 
