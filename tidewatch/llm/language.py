@@ -118,8 +118,9 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], ["label", "bits"])
 
     sample = (
-        rows.join(F.broadcast(chosen), "id", "left_semi")  # per_lang ids of each language.select("label", "text").mapInArrow(run, "label string, bits binary").collect()
-    )
+        rows.join(F.broadcast(chosen), "id", "left_semi")  # per_lang ids of each language
+        .select("label", "text").mapInArrow(run, "label string, bits binary").collect()
+    )
     if not sample:
         return None
     sample.sort(key=lambda r: (r.label, zlib.crc32(r.bits), r.bits))
