@@ -252,10 +252,10 @@ def _alike(batches):
         yield batch.select(["a", "b"]).filter(pa.array(2 * (a == b).sum(1) >= TREES * LEVELS))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, compared: bool = False) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity; unlike signatures (if not
-    ``compared`` before) are not looked into."""
-    if not compared:
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, alike: bool = False) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity; unlike signatures (unless the
+    pairs are ``alike`` already) are not looked into."""
+    if not alike:
         sketch = classes.select("node", "sketch")
         pairs = (
             pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
@@ -392,7 +392,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crowded = cut_lineage(_crowded(_forest(signed)))
     forest = crowded.select("tree", "p", "q", "node", "n")
 
-    links = cut_lineage(_confirmed(_neighbours(crowded, FIRST), docs, classes))
+    compared = cut_lineage(_neighbours(crowded, FIRST))  # no pair is looked at twice
+    links = cut_lineage(_confirmed(compared, docs, classes))
     rooted = _with_roots(forest, links).withColumn("p2", F.shiftrightunsigned("q", 32))
     rows, pairs = rooted, []
     for keys in (["tree", "p"], ["tree", "p", "p2"], ["tree", "p", "q"]):  # regions by their first 2, 3 and 4 values
@@ -401,7 +402,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows = rows.filter(F.col("m") > FULL).drop("m")
         if rows.isEmpty():
             break
-    looked_into = reduce(DataFrame.unionByName, pairs).distinct()
+    looked_into = cut_lineage(reduce(DataFrame.unionByName, pairs).distinct().join(compared, ["a", "b"], "left_anti"))
+    compared = compared.unionByName(looked_into)
     links = cut_lineage(links.unionByName(_confirmed(looked_into, docs, classes)))
 
     # In larger regions neighbours of all trees link most of what belongs together ...
@@ -409,12 +411,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     large = cut_lineage(rooted.join(_open_regions(rooted, big).filter(F.col("m") > FULL).drop("m"), big))
     if not large.isEmpty():
         sketched = large.join(classes.select("node", "sketch"), "node")
-        links = cut_lineage(links.unionByName(_confirmed(_next_in_order(sketched, REACH), docs, classes, compared=True)))
+        following = cut_lineage(_next_in_order(sketched, REACH).join(compared, ["a", "b"], "left_anti"))
+        compared = compared.unionByName(following)
+        links = cut_lineage(links.unionByName(_confirmed(following, docs, classes, alike=True)))
     # ... and what never came into a small region goes the exact way.
     rooted = _with_roots(large.drop("root"), links)
     rest = cut_lineage(rooted.join(_open_regions(rooted, big).drop("m"), big).select("node", "root").distinct())
     if not rest.isEmpty():
-        links = cut_lineage(links.unionByName(_confirmed(_rare_pairs(rest, docs, classes), docs, classes)))
+        rare = _rare_pairs(rest, docs, classes).join(compared, ["a", "b"], "left_anti")
+        links = cut_lineage(links.unionByName(_confirmed(rare, docs, classes)))
 
     roots = classes.select("node", "rep").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("rep").alias("component_id"))
