@@ -91,6 +91,16 @@ def test_small_caches_change_nothing():
         assert small.digest((r[1] or "")[:500]) == large.digest((r[1] or "")[:500])
 
 
+def test_long_runs_without_spaces():
+    codec, model = sentencepiece_bpe.PieceCodec(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for t in ["7" * 30_000, "7" * 900, "0123456789" * 300, "3." + "14159" * 500, "the" + "9" * 2000, "#~" * 1500, "é漢😀7" * 600, "▁" * 2000 + "5" * 2000]:
+        ids = model.encode(t) + [2]
+        assert codec.digest(t) == (
+            len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(model.decode(ids).encode()).hexdigest()
+        )
+    assert max(map(len, codec.cache)) <= sentencepiece_bpe.LONG_CHUNK and len(codec.cache) < 50
+
+
 def test_base_spans_are_the_patterns():
     mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     rng = random.Random(3)

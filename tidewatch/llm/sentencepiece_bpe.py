@@ -10,7 +10,8 @@ The ids are recovered backwards through the table.
 No piece holds a word mark after another character, so texts are cut before
 word marks, and around characters that no piece holds (these become byte
 tokens). Each such chunk is encoded once per Python worker while it stays in a
-bounded cache. One pass over the input, no shuffle.
+bounded cache; longer chunks than LONG_CHUNK are not kept. One pass over the
+input, no shuffle.
 
 Defined results: a null text is the empty text; an empty text has the end id
 alone and decodes to the empty text; a null id stays null; repeated rows are
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from .arrow_text import filled
 
 MARK = "▁"  # the word mark
+LONG_CHUNK = 128  # characters; longer chunks are not remembered
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -137,12 +139,18 @@ class PieceCodec:
         return ids
 
     def _ids_text(self, chunk: str) -> str:
-        """Ids of a chunk as text; remembered, with the decoded text where it isn't the chunk's."""
+        """Ids of a chunk as text; short ones remembered, with the decoded text where it isn't the chunk's."""
         out = self.before.get(chunk)
         if out is None:
-            if len(chunk) > 1 and chunk[-2:] not in self.neighbours and chunk[-1] in self.single:
-                # no piece reaches across: the last character is a token of its own
-                out = f"{self.cache.get(chunk[:-1]) or self._ids_text(chunk[:-1])} {self.single[chunk[-1]]}"
+            end = len(chunk)
+            while end > 1 and chunk[end - 2 : end] not in self.neighbours and chunk[end - 1] in self.single:
+                end -= 1  # no piece reaches across: the last characters are tokens of their own
+            if end < len(chunk):
+                head = chunk[:end]
+                tail = " ".join([self.id_text[self.single[c]] for c in chunk[end:]])
+                out = f"{self.cache.get(head) or self._ids_text(head)} {tail}"
+                if head in self.odd:
+                    self.odd[chunk] = self.odd[head] + chunk[end:].replace(MARK, " ")
             else:
                 ids = self._chunk_ids(chunk)
                 out = " ".join([self.id_text[i] for i in ids])
@@ -150,6 +158,8 @@ class PieceCodec:
                     decoded = self._decode_raw(ids)
                     if decoded != chunk.replace(MARK, " "):
                         self.odd[chunk] = decoded
+        if len(chunk) > LONG_CHUNK:
+            return out
         if len(self.cache) >= self.cache_size:  # the last two generations are kept
             self.before, self.cache = self.cache, {}
         self.cache[chunk] = out
