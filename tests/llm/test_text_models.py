@@ -10,7 +10,8 @@ import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tidewatch.llm import language, packing, pii, quality, sentencepiece_bpe
+import corpus_pipeline
+from tidewatch.llm import language, packing, pii, quality, queries, sentencepiece_bpe
 
 from . import edge
 
@@ -47,6 +48,29 @@ def test_packing_covers_every_token_once(spark):
     assert packing.pack(edge.table(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_packing_finds_added_tokens(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, added = Tokenizer.from_file(path), packing.added_tokens(path)
+    encode = packing.encoder(RANKS, public_tokenizers.PATTERN, added)
+    assert encode("a<|endoftext|>b") == [64, 50256, 65]
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", "<", " ", "  ", "\n", "the", " it's", "12", "é漢😀", "\t"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    for t in texts:
+        assert encode(t) == tokenizer.encode(t, add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(texts[:50])), "doc_id long, text string")
+    rows = packing.pack(docs, RANKS, public_tokenizers.PATTERN, added=added).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(encode(t)) + 1 for i, t in enumerate(texts[:50])}
+
+
+def test_packing_queries_find_added_tokens(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    crc = zlib.crc32(np.array([64, 50256, 65, 0], "<u4").tobytes())
+    for out in (queries.op2_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, str(tmp_path))):
+        assert [(r.length, r.ids_crc32) for r in out.collect()] == [(4, crc)]
+
+
 def test_step_groups_are_balanced():
     packer = packing.Packer(0, step=4, buffer=64)
     rng = np.random.default_rng(1)

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import zlib
 
 import numpy as np
@@ -41,18 +42,36 @@ SCHEMA = (
 )
 _NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
 _TYPES = [pa.int32() if f.endswith(" int") else pa.int64() for f in SCHEMA.split(", ")]
-_ENCODERS: dict[str, object] = {}
+_ENCODERS: dict[tuple, object] = {}
 
 
-def encoder(path: str, pattern: str):
-    """The byte-level BPE of the rank file, once a Python worker."""
-    if path not in _ENCODERS:
+def added_tokens(path: str) -> dict[str, int]:
+    """Text and id of the tokens that a ``tokenizers`` file adds to its vocabulary; these are found in text as they stand."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens):
+        raise ValueError("an added token is not matched literally")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def encoder(path: str, pattern: str, added: dict[str, int] | None = None):
+    """Function from text to ids by the byte-level BPE of the rank file, built once a Python worker."""
+    added = added or {}
+    key = (path, pattern, *sorted(added.items()))
+    if key not in _ENCODERS:
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODERS[path]
+        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+
+        def encode(text: str) -> list[int]:
+            if any(t in text for t in added):
+                return encoding.encode(text, allowed_special="all", disallowed_special=())
+            return encoding.encode_ordinary(text)
+
+        _ENCODERS[key] = encode
+    return _ENCODERS[key]
 
 
 def tier_of(length: int, window: int = WINDOW) -> int:
@@ -189,15 +208,18 @@ def pack(
     window: int = WINDOW,
     buffer: int = 2048,
     step: int = 64,
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per piece of every document; see the module's text.
 
     ``ranks_path`` is the vocabulary of the byte-level BPE as a rank file and
-    must exist on every executor; ``pattern`` is its splitting rule.
+    must exist on every executor; ``pattern`` is its splitting rule. ``added``
+    are the tokens outside the ranks that stand in texts literally (see
+    ``added_tokens``).
     """
 
     def run(batches):
-        encode = encoder(ranks_path, pattern).encode_ordinary
+        encode = encoder(ranks_path, pattern, added)
         context = TaskContext.get()
         packer = Packer(context.partitionId() if context else 0, window, buffer, step)
         for batch in batches:

@@ -10,6 +10,7 @@ from tidewatch.sources.tables import table
 
 from . import language, line_dedup, lsh_forest, packing, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, topk
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -19,7 +20,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return packing.pack(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, added=packing.added_tokens(VOCABULARY))
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
