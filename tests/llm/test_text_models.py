@@ -153,6 +153,23 @@ def test_boosted_trees_add_and_leave():
     assert y[chosen].mean() > 0.95 and chosen[y == 1].mean() > 0.7
 
 
+def test_written_out_mails_need_no_other_sign(spark):
+    model = pii.train()
+    for t, mail in [("reach jane.doe at example.com", "jane.doe at example.com"), ("mail bob[at]example.org now", "bob[at]example.org")]:
+        for text in (t, t + " @ noon", "no dot. " + t):
+            assert [text[a:b] for _, a, b in pii.find(text, model)[1]] == [mail]
+    for t in ["look at example.com for more", "We stayed at home.Then we left", "released at 10.30 today"]:
+        assert pii.find(t, model) == ([], [])
+    docs = spark.createDataFrame([(1, "reach jane.doe at example.com")], "doc_id long, text string")
+    assert [r.spans for r in pii.detect(docs, model).collect()] == ["email:6:29"]
+    assert [r.text for r in pii.redact(docs, model).collect()] == ["reach [EMAIL]"]
+    rng = random.Random(9)
+    parts = ["a", "at", " at ", " ", "@", "＠", "[at]", "( at )", "{AT ]", "[dot]", " dot ", ".", "x1", "foo-bar", "\n", "é", "word" * 30, "com", " (dot) "]
+    for _ in range(5000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        assert pii._loose_mails(t) == [m.span() for m in pii._LOOSE_MAIL.finditer(t)]
+
+
 def test_personal_data_of_a_table(spark):
     data = [(1, "mail a@b.co and 10.0.0.1", None, None, None, None, None, None, None, None, None), *edge.rows()]
     out = {(r.doc_id, r.n_email, r.n_ip) for r in pii.detect(edge.table(spark, data), pii.train()).collect()}

@@ -108,15 +108,28 @@ _LOOSE_CARD = re.compile(r"(?<![\w])(?:[0-9]{13,19}|[0-9]{4}(?:[\s._/-]{1,2}[0-9
 _LOOSE_PHONE = re.compile(
     r"(?<![\w.+-])(?:\+[0-9]{1,3}[\s.-]?|00[1-9][0-9]{0,2}[\s.-]?)?\(?0?[0-9]{2,4}\)?(?:[\s./-]{1,2}[0-9]{2,4}){1,4}(?![0-9-])"
 )
-_AT_HINT = re.compile(r"@|＠|\bat\b", re.I)
-_DOT_HINT = re.compile(r"dot\b|[@＠]", re.I)
+# One character, with what every loose address has after it.
+_AT_HINT = re.compile(
+    r"(?:[@＠]|[\[({](?=\s?at\s?[\])}])|\s(?=at\s))(?=(?:\s?at\s?[\])}]|at\s)?\s?[\w-]{1,63}\s?(?:\.|[\[({]\s?dot|dot\s))", re.I
+)
+_BEFORE_AT, _AFTER_AT = 66, 210  # more than a loose address has before and after that character
+
+
+def _loose_mails(text: str) -> list[tuple[int, int]]:
+    """As the whole pattern finds them; tried around the signs only, so other words cost nothing."""
+    near: list[list[int]] = []
+    for m in _AT_HINT.finditer(text):
+        a, b = max(0, m.start() - _BEFORE_AT), m.end() + _AFTER_AT
+        if near and a <= near[-1][1]:
+            near[-1][1] = b
+        else:
+            near.append([a, b])
+    return [m.span() for a, b in near for m in _LOOSE_MAIL.finditer(text, a, b)]
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of everything that could be personal data; spans may overlap."""
-    out = []
-    if _DOT_HINT.search(text) and _AT_HINT.search(text):
-        out += [(0, m.start(), m.end()) for m in _LOOSE_MAIL.finditer(text)]
+    out = [(0, a, b) for a, b in _loose_mails(text)]
     if _DIGIT.search(text):
         for kind, pattern in ((1, _LOOSE_IP), (2, _LOOSE_CARD), (3, _LOOSE_PHONE)):
             out += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
@@ -134,8 +147,16 @@ _FAR = (
     "version", "release", "isbn", "order", "invoice", "section", "chapter", "page", "figure", "date", "price",
     "build", "id", "no", "nr", "serial", "total", "usd", "eur", "hash", "sha", "rfc", "license", "pp", "vol", "score",
 )
+# Words that stand before "at" in prose, and ends of host names.
+_AT_WORDS = frozenset((
+    "look", "looked", "looking", "is", "are", "was", "were", "be", "been", "up", "down", "here", "live", "lives", "meet", "met", "stay", "stayed",
+    "arrive", "arrived", "available", "found", "find", "see", "seen", "sold", "hosted", "based", "work", "works", "worked", "start", "starts",
+    "ends", "us", "me", "it", "them", "online", "visit", "read", "more", "site", "posted", "published", "listed", "shop", "not", "only", "and", "or",
+))
+_HOST_ENDS = frozenset("com org net edu gov io info biz co uk de fr es it nl eu ch at pl ru jp cn in br ca au us".split())
 _WORD = re.compile(r"[^\W\d_]+")
-FEATURES = 24
+_MAIL_PARTS = re.compile(r"([\w.%+-]+)\W*(?:[@＠]|\bat\b).*?([\w-]+)$", re.I | re.S)
+FEATURES = 27
 
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
@@ -147,6 +168,8 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
     near = [w.lower() for w in _WORD.findall(before)][-4:] + [w.lower() for w in _WORD.findall(after)][:2]
     values = [int(g) for g in re.findall(r"[0-9]{1,9}", span)]
     lower = span.lower()
+    parts = _MAIL_PARTS.match(span) if kind == 0 else None
+    local, end_label = parts.groups() if parts else ("", "")
     return [
         float(kind), float(len(span)), float(len(digits)), float(len(groups)),
         float(groups[0] if groups else 0), float(groups[-1] if groups else 0), float(max(groups, default=0)),
@@ -157,6 +180,7 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
         float(any(w in near for w in _NEAR[kind])), float(any(w in near for w in _FAR)),
         float(before[-1:].isalnum() or before[-1:] in "$#€£.,="), float(after[:1].isalnum() or after[:1] in "%€$="),
         float(digits[:2] in ("19", "20")), float(span[:2] == "00" or span[:1] == "0" or span[:2] == "(0"),
+        float(any(c in "._%+" or c.isdigit() for c in local)), float(local.lower() in _AT_WORDS), float(end_label in _HOST_ENDS),
     ]
 
 
@@ -173,9 +197,11 @@ def _examples(seed: int = 3, n: int = 220) -> tuple[np.ndarray, np.ndarray]:
     grouped = lambda c, s: s.join(c[k : k + 4] for k in range(0, 16, 4))
     octets = lambda s: s.join(str(rng.randint(0, 255)) for _ in range(4))
     filler = lambda: " ".join(name() for _ in range(rng.randint(1, 4)))
+    ends, at_words = sorted(_HOST_ENDS), sorted(_AT_WORDS)
     positive = {
         0: [lambda: f"{name()}.{name()} at {name()} dot com", lambda: f"{name()}[at]{name()}[dot]org", lambda: f"{name()} (at) {name()} (dot) net",
-            lambda: f"{name()} @ {name()}.com", lambda: f"{name()} at {name()}.com", lambda: f"{name()}＠{name()}.de"],
+            lambda: f"{name()} @ {name()}.com", lambda: f"{name()} at {name()}.com", lambda: f"{name()}＠{name()}.de",
+            lambda: f"{name()}.{name()} at {name()}.{rng.choice(ends)}", lambda: f"{name()}{d(2)} at {name()}.{rng.choice(ends)}", lambda: f"{name()}[at]{name()}.{rng.choice(ends)}"],
         1: [lambda: octets("[.]"), lambda: octets("(.)"), lambda: octets(" . ")],
         2: [lambda: grouped(card(), "."), lambda: grouped(card(), "  "), lambda: grouped(card(), "/"), lambda: grouped(card(), "_"), card, card, lambda: grouped(card(), " ")],
         3: [lambda: f"({d(3)}) 555-{d(4)}", lambda: f"+{rng.randint(1, 99)} ({d(3)}) {d(3)}-{d(4)}", lambda: f"+{rng.randint(1, 99)} {d(3)} {d(3)} {d(4)}", lambda: f"{rng.randint(2, 9)}{d(2)}-{rng.randint(2, 9)}{d(2)}-{d(4)}", lambda: f"00{rng.randint(31, 49)} {d(3)} {d(3)} {d(4)}",
@@ -186,7 +212,8 @@ def _examples(seed: int = 3, n: int = 220) -> tuple[np.ndarray, np.ndarray]:
         return next(t for t in iter(form, None) if not luhn(_only_digits(t)))
 
     negative = {
-        0: [lambda: f"{name()} at {name()}.{name().title()}", lambda: f"look at {name()}.{d(2)}", lambda: f"{name()} @ {d(2)}.{d(2)}"],
+        0: [lambda: f"{name()} at {name()}.{name().title()}", lambda: f"look at {name()}.{d(2)}", lambda: f"{name()} @ {d(2)}.{d(2)}",
+            lambda: f"{rng.choice(at_words)} at {name()}.{rng.choice(ends)}", lambda: f"{name()} at {name()}.{name()}"],
         1: [lambda: f"{d(1)} . {d(2)} . {d(1)} . {d(3)}", lambda: f"{rng.randint(256, 999)}[.]{d(3)}[.]{d(3)}[.]{d(3)}"],
         2: [lambda: number(lambda: grouped(d(16), rng.choice("./_ "))), lambda: number(lambda: d(rng.randint(13, 19))), lambda: number(lambda: f"{d(4)} {d(4)} {d(4)}"), lambda: f"{rng.randint(1900, 2030)}-{rng.randint(1900, 2030)}-{d(4)}"],
         3: [lambda: f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", lambda: f"{rng.randint(10, 28)}.{rng.randint(10, 12)}.{rng.randint(1900, 2030)}",
