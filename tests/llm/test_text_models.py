@@ -223,3 +223,17 @@ def test_quality_is_learnt(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in out if r.predicted}
     assert quality.learn(docs, labels.limit(0)) is None
     assert quality.scored(docs.limit(0), model).count() == 0
+
+
+def test_learning_samples_hold_one_row_an_id(spark, monkeypatch):
+    rng = random.Random(12)
+    data = [(i % 40 if i < 80 else 3, edge.prose(rng, 12), "aa" if i % 2 else "bb") for i in range(400)]  # most rows have the id 3
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string").cache()
+    sizes = []
+    monkeypatch.setattr(language, "fit", lambda x, labels: sizes.append(len(labels)))
+    language.learn(docs, per_lang=30)
+    ids = {(i, k) for i, _, k in data if zlib.crc32(str(i).encode()) % 5}
+    assert (3, "aa") in ids and sizes == [sum(min(30, sum(k == lang for _, k in ids)) for lang in ("aa", "bb"))]
+    monkeypatch.setattr(quality, "train_network", lambda x, y: sizes.append(len(y)) or {})
+    quality.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+    assert sizes[1] == len({i for i, _ in ids})

@@ -98,13 +98,13 @@ def predict(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400) -> dict | None:
-    """Fits on at most ``per_lang`` rows of each language, none of them held out."""
+    """Fits on at most ``per_lang`` rows of each language, none of them held out and no id twice in one."""
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text")
     ).filter(F.col("label").isNotNull() & F.col("text").isNotNull() & (fold("id") != 0))
     ranked = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     chosen = (
-        rows.select("id", "label").withColumn("k", F.row_number().over(ranked)).filter(F.col("k") <= per_lang).select("id").distinct()
+        rows.select("id", "label").distinct().withColumn("k", F.row_number().over(ranked)).filter(F.col("k") <= per_lang).select("id", "label")
     )
 
     def run(batches):
@@ -118,7 +118,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], ["label", "bits"])
 
     sample = (
-        rows.join(F.broadcast(chosen), "id", "left_semi")  # per_lang ids of each language
+        rows.join(F.broadcast(chosen), ["id", "label"], "left_semi")  # per_lang ids of each language
+        .groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))  # one row of each
         .select("label", "text").mapInArrow(run, "label string, bits binary").collect()
     )
     if not sample:

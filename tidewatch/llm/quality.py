@@ -171,7 +171,7 @@ def learn(
     sample = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
         .join(F.broadcast(chosen), "id")  # 2 * per_label rows of two numbers
-        .select("id", "label", "text")
+        .groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))  # one row of each
         .repartition(8, "id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
