@@ -246,7 +246,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _alike(batches):
     """Leaves out pairs whose signatures agree in less than half of their values: at a
-    similarity of 0.75 that has probability 2e-6, and their texts need not travel."""
+    similarity of 0.75 that has probability 4e-6, and their texts need not travel."""
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
         yield batch.select(["a", "b"]).filter(pa.array(2 * (a == b).sum(1) >= TREES * LEVELS))
