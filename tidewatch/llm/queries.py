@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.sources.tables import table
 
-from . import language, line_dedup, lsh_forest, packing, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, topk
+from . import divergence, language, line_dedup, lsh_forest, packing, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
@@ -61,6 +61,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_strings(table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -72,6 +76,7 @@ REGISTRY = {
     "op8_line_dedup": op8_line_dedup,
     "op9_minhash": op9_minhash,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLE = {
@@ -124,4 +129,45 @@ ORACLE = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
     """,
+    "op13_divergence": """
+        WITH d AS (
+            SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+            FROM documents
+        ), occ AS (
+            SELECT row_id, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d
+        ), kept AS (
+            SELECT lang, term FROM occ GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30
+        ), cells AS (
+            SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM d
+        ), v AS (
+            SELECT lang, count(*) AS v FROM kept GROUP BY lang
+        ), grid AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+            FROM groups g JOIN kept k USING (lang) LEFT JOIN cells c USING (lang, source, term)
+        ), own AS (
+            SELECT lang, source, term, n,
+                   1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p
+            FROM grid JOIN v USING (lang)
+        ), whole AS (
+            SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+            FROM (SELECT lang, term, sum(n) AS n FROM grid GROUP BY lang, term) JOIN v USING (lang)
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN own x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN own y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY a.lang, a.source, b.source
+        ), found AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL
+            SELECT o.lang, o.source, 'term', o.term, o.p - w.q FROM own o JOIN whole w USING (lang, term) WHERE o.n > 0 AND o.p > w.q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
 }
