@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.sources.tables import table
 
-from . import divergence, language, line_dedup, lsh_forest, packing, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, topk
+from . import collocations, divergence, language, line_dedup, lsh_forest, packing, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, topk, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
@@ -61,6 +61,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_strings(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -76,6 +85,8 @@ REGISTRY = {
     "op8_line_dedup": op8_line_dedup,
     "op9_minhash": op9_minhash,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_toxicity": op11_toxicity,
+    "op12_collocations": op12_collocations,
     "op13_divergence": op13_divergence,
 }
 
@@ -129,6 +140,39 @@ ORACLE = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
     """,
+    "op12_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[.,;:!?\n-\r]')) AS piece FROM documents
+        ), words AS (
+            SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
+        ), totals AS (
+            SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang
+        ), grams AS (
+            SELECT lang, w, size, unnest(range(len(w) - size + 1)) AS i
+            FROM words, range(1, 6) s(size) WHERE len(w) >= size
+        ), f AS (
+            SELECT lang, size, array_to_string(w[i + 1:i + size], ' ') AS phrase, count(*) AS f
+            FROM grams GROUP BY ALL HAVING count(*) >= 100
+        ), cuts AS (
+            SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM f WHERE size > 1
+        ), scored AS (
+            SELECT c.*, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+            FROM cuts c JOIN totals USING (lang)
+            JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:c.size], ' ')
+        ), best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), kept AS (
+            SELECT * FROM best b WHERE NOT EXISTS (
+                SELECT 1 FROM best o
+                WHERE o.lang = b.lang AND o.size > b.size AND o.a >= b.a AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' '))
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM kept QUALIFY rank <= 2000
+    """,
     "op13_divergence": """
         WITH d AS (
             SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
