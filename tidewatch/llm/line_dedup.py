@@ -26,13 +26,23 @@ text; an empty table gives no rows; other columns are kept as they are.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.common import cut_lineage
+from tidewatch.session import scratch_dir
 
 MIN_LINES = 2
 LONG_LINE = 240
+MAX_FILTER_BITS = 1 << 26
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: no copy of it stays in the executors' memory."""
+    path = scratch_dir(df.sparkSession, f"lines-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
@@ -75,9 +85,9 @@ def _windows(docs: DataFrame, text_col: str, min_lines: int, long_line: int) ->
 
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE, text_col: str = "text") -> DataFrame:
     """(k1, k2, cut): sorted runs (first line, last line) to delete from each document that has any."""
-    w = cut_lineage(_windows(docs, text_col, min_lines, long_line).distinct())
+    w = _stored(_windows(docs, text_col, min_lines, long_line).distinct())
     repeated = w.groupBy("fp").agg(F.count("*").alias("c")).filter("c > 1").select("fp")
-    met = cut_lineage(w.join(repeated, "fp", "left_semi"))
+    met = _stored(w.join(repeated, "fp", "left_semi"))
     first = met.groupBy("win").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "pos")).alias("first")).filter("c > 1")
     later = met.join(first, "win").filter(F.struct("k1", "k2", "pos") != F.col("first"))
     # Windows that overlap or touch form one run of lines.
@@ -102,15 +112,32 @@ def _without(lines: Column, cut: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda p: F.array_join(F.slice(lines, p["a"] + 1, p["n"]), "\n")), "\n")
 
 
+def _split_by(keyed: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``keyed`` that may have a cut, and those that have none.
+
+    A bitmap of the cut documents' keys (16 bits a document, at most
+    MAX_FILTER_BITS / 64 rows of two numbers, so it is broadcast) tells them
+    apart; texts without a cut need no shuffle. The join afterwards is exact.
+    """
+    bits = min(MAX_FILTER_BITS, max(1 << 16, 1 << (16 * cuts.count()).bit_length()))
+    at = F.pmod(F.xxhash64("k1", "k2"), F.lit(bits))
+    place = [F.shiftright(at, 6).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("_bit")]
+    bitmap = cuts.select(*place).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    told = keyed.select("*", *place).join(F.broadcast(bitmap), "_word", "left")
+    likely = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))
+    return told.filter(likely).select(*keyed.columns), told.filter(~likely).select(*keyed.columns)
+
+
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, long_line: int = LONG_LINE
 ) -> DataFrame:
     """``docs`` with repeated runs deleted from the texts, and struct ``_lines`` (n, removed)."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     keyed = docs.select(own, F.col(text_col).cast("string").alias("text"), *_keys(id_col, text_col))
-    cuts = repeated_runs(keyed, min_lines, long_line)
+    cuts = _stored(repeated_runs(keyed, min_lines, long_line))
     lines = lines_of(F.col("text"))
-    joined = keyed.join(cuts, ["k1", "k2"], "left")
+    maybe, whole = _split_by(keyed, cuts)
+    joined = maybe.join(cuts, ["k1", "k2"], "left").unionByName(whole, allowMissingColumns=True)
     kept = F.when(F.col("cut").isNull(), F.col("text")).otherwise(_without(lines, F.col("cut")))
     removed = F.aggregate(
         F.coalesce(F.col("cut"), F.array().cast("array<struct<i:int,j:int>>")), F.lit(0).cast("long"), lambda n, r: n + r["j"] - r["i"] + 1
