@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.llm import components, line_dedup, lsh_forest, simhash, suffix_dedup, topk
@@ -53,6 +54,43 @@ def test_near_duplicates_edge_cases(spark):
     assert near(edge.table(spark, [])) == []
 
 
+def rows_of(data):
+    """(id, set size, component) of every row by brute force; rows of an id with several texts stand apart."""
+    sets = [shingles(t) if i is not None else set() for i, t in data]
+    root = list(range(len(data)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(data)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            root[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(data):
+        if i is not None:
+            least[find(k)] = min(least.get(find(k), i), i)
+    return sorted((str(i), len(shingles(t)), None if i is None else least[find(k)]) for k, (i, t) in enumerate(data))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_with_repeated_ids(spark, seed):
+    """Near copies around the limit, every id also on an unrelated text, some rows twice."""
+    rng = random.Random(seed)
+    words = edge.prose(rng, 110).split()
+    data = [(r[0], r[1]) for r in edge.rows()] if seed == 1 else []
+    for i in range(100, 250):
+        w = list(words)
+        for _ in range(rng.randint(0, 7)):
+            w[rng.randrange(len(w))] = edge.word(rng)
+        data += [(i, " ".join(w)), (i, edge.prose(rng, rng.randint(20, 60)))]
+    data += data[-40:-20]
+    rng.shuffle(data)
+    out = near(spark.createDataFrame(data, "doc_id long, text string").repartition(5))
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in out) == rows_of(data)
+
+
 def test_near_duplicates_in_groups(spark, monkeypatch):
     """Groups of edits around the limit, one of them larger than a region may be for all pairs."""
     monkeypatch.setattr(lsh_forest, "FULL", 6)

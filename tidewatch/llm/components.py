@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.common import cut_lineage
+from .tables import stored
 
 #: Links that one task contracts.
 TASK_LINKS = 250_000
@@ -44,12 +44,12 @@ def components(links: DataFrame, most_rounds: int = 60, task_links: int = TASK_L
     links are split like any skewed join); rounds grow with the logarithm of the
     longest path. State is checkpointed every round.
     """
-    links = cut_lineage(
+    links = stored(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     )
     tasks = max(1, -(-links.count() // task_links))
     spread = links.coalesce(1) if tasks == 1 else links.repartition(tasks)
-    edges = cut_lineage(spread.mapInArrow(_stars, "u long, v long"))
+    edges = stored(spread.mapInArrow(_stars, "u long, v long"))
     seen = None
     for _ in range(most_rounds if tasks > 1 else 0):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -57,7 +57,7 @@ def components(links: DataFrame, most_rounds: int = 60, task_links: int = TASK_L
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut_lineage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -26,24 +26,16 @@ text; an empty table gives no rows; other columns are kept as they are.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.session import scratch_dir
+from .tables import stored
 
 MIN_LINES = 2
 LONG_LINE = 240
 MAX_FILTER_BITS = 1 << 26
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: no copy of it stays in the executors' memory."""
-    path = scratch_dir(df.sparkSession, f"lines-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
     """Id (null first) and text hash: what tells documents apart and orders them."""
@@ -85,9 +77,9 @@ def _windows(docs: DataFrame, text_col: str, min_lines: int, long_line: int) ->
 
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE, text_col: str = "text") -> DataFrame:
     """(k1, k2, cut): sorted runs (first line, last line) to delete from each document that has any."""
-    w = _stored(_windows(docs, text_col, min_lines, long_line).distinct())
+    w = stored(_windows(docs, text_col, min_lines, long_line).distinct())
     repeated = w.groupBy("fp").agg(F.count("*").alias("c")).filter("c > 1").select("fp")
-    met = _stored(w.join(repeated, "fp", "left_semi"))
+    met = stored(w.join(repeated, "fp", "left_semi"))
     first = met.groupBy("win").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "pos")).alias("first")).filter("c > 1")
     later = met.join(first, "win").filter(F.struct("k1", "k2", "pos") != F.col("first"))
     # Windows that overlap or touch form one run of lines.
@@ -134,7 +126,7 @@ def dedup_lines(
     """``docs`` with repeated runs deleted from the texts, and struct ``_lines`` (n, removed)."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     keyed = docs.select(own, F.col(text_col).cast("string").alias("text"), *_keys(id_col, text_col))
-    cuts = _stored(repeated_runs(keyed, min_lines, long_line))
+    cuts = stored(repeated_runs(keyed, min_lines, long_line))
     lines = lines_of(F.col("text"))
     maybe, whole = _split_by(keyed, cuts)
     joined = maybe.join(cuts, ["k1", "k2"], "left").unionByName(whole, allowMissingColumns=True)

@@ -39,10 +39,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.common import cut_lineage
-
 from .arrow_text import flat_bytes, mix, row_slices, word_hashes, words
 from .components import components
+from .tables import stored
 
 SHINGLE = 5
 TREES = 16
@@ -261,7 +260,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, alike: boo
             pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
             .mapInArrow(_alike, "a long, b long")
         )
-    pairs = cut_lineage(pairs)
+    pairs = stored(pairs)
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = _texts_of(docs, ends.join(classes.select("node", "rep"), "node"))
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -346,7 +345,10 @@ def _rare_pairs(rest: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
 
     def run(batches):
         for batch in batches:
+            # An id may stand on several texts: only the class's own counts.
+            nodes = batch.column("node").to_pylist()
             sets = shingle_sets(*flat_bytes(batch.column("text")))
+            sets = [s if len(s) and set_key(s) == node else s[:0] for s, node in zip(sets, nodes, strict=True)]
             size = [len(s) for s in sets]
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             at = np.repeat(np.arange(len(sets)), size)
@@ -356,7 +358,7 @@ def _rare_pairs(rest: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
             )
 
     rows = texts.select("node", "root", "n", "text").mapInArrow(run, "node long, root long, n long, s long")
-    rows = cut_lineage(rows)
+    rows = stored(rows.distinct())  # a text of a class may stand in several rows
     # A shingle within one component only links nothing new, but counts in the order.
     counted = rows.groupBy("s").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
     w = Window.partitionBy("node").orderBy("c", "s")
@@ -364,7 +366,7 @@ def _rare_pairs(rest: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
         rows.join(counted, "s").withColumn("k", F.row_number().over(w))
         .filter((F.col("k") <= F.col("n") - F.ceil(F.col("n") * 0.75) + 1) & (F.col("low") != F.col("high")))
     )
-    prefix = cut_lineage(prefix.select("s", "node", "root", "n", "k"))
+    prefix = stored(prefix.select("s", "node", "root", "n", "k"))
     # Of each pair one class is outside the shingle's commonest component.
     common = (
         prefix.groupBy("s", "root").count().groupBy("s").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
@@ -383,43 +385,43 @@ def _rare_pairs(rest: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept) of every document."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = cut_lineage(_classed(docs))
+    base = stored(_classed(docs))
     linked = base.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = cut_lineage(
+    classes = stored(
         linked.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     )
     signed = linked.groupBy("node").agg(F.max("n_shingles").alias("n"), F.first("sig").alias("sig"))
-    crowded = cut_lineage(_crowded(_forest(signed)))
+    crowded = stored(_crowded(_forest(signed)))
     forest = crowded.select("tree", "p", "q", "node", "n")
 
-    compared = cut_lineage(_neighbours(crowded, FIRST))  # no pair is looked at twice
-    links = cut_lineage(_confirmed(compared, docs, classes))
+    compared = stored(_neighbours(crowded, FIRST))  # no pair is looked at twice
+    links = stored(_confirmed(compared, docs, classes))
     rooted = _with_roots(forest, links).withColumn("p2", F.shiftrightunsigned("q", 32))
     rows, pairs = rooted, []
     for keys in (["tree", "p"], ["tree", "p", "p2"], ["tree", "p", "q"]):  # regions by their first 2, 3 and 4 values
-        rows = cut_lineage(rows.join(_open_regions(rows, keys), keys))
+        rows = stored(rows.join(_open_regions(rows, keys), keys))
         pairs.append(_pairs_within(rows.filter(F.col("m") <= FULL), keys))
         rows = rows.filter(F.col("m") > FULL).drop("m")
         if rows.isEmpty():
             break
-    looked_into = cut_lineage(reduce(DataFrame.unionByName, pairs).distinct().join(compared, ["a", "b"], "left_anti"))
+    looked_into = stored(reduce(DataFrame.unionByName, pairs).distinct().join(compared, ["a", "b"], "left_anti"))
     compared = compared.unionByName(looked_into)
-    links = cut_lineage(links.unionByName(_confirmed(looked_into, docs, classes)))
+    links = stored(links.unionByName(_confirmed(looked_into, docs, classes)))
 
     # In larger regions neighbours of all trees link most of what belongs together ...
     rooted, big = _with_roots(forest, links), ["tree", "p"]
-    large = cut_lineage(rooted.join(_open_regions(rooted, big).filter(F.col("m") > FULL).drop("m"), big))
+    large = stored(rooted.join(_open_regions(rooted, big).filter(F.col("m") > FULL).drop("m"), big))
     if not large.isEmpty():
         sketched = large.join(classes.select("node", "sketch"), "node")
-        following = cut_lineage(_next_in_order(sketched, REACH).join(compared, ["a", "b"], "left_anti"))
+        following = stored(_next_in_order(sketched, REACH).join(compared, ["a", "b"], "left_anti"))
         compared = compared.unionByName(following)
-        links = cut_lineage(links.unionByName(_confirmed(following, docs, classes, alike=True)))
+        links = stored(links.unionByName(_confirmed(following, docs, classes, alike=True)))
     # ... and what never came into a small region goes the exact way.
     rooted = _with_roots(large.drop("root"), links)
-    rest = cut_lineage(rooted.join(_open_regions(rooted, big).drop("m"), big).select("node", "root").distinct())
+    rest = stored(rooted.join(_open_regions(rooted, big).drop("m"), big).select("node", "root").distinct())
     if not rest.isEmpty():
         rare = _rare_pairs(rest, docs, classes).join(compared, ["a", "b"], "left_anti")
-        links = cut_lineage(links.unionByName(_confirmed(rare, docs, classes)))
+        links = stored(links.unionByName(_confirmed(rare, docs, classes)))
 
     roots = classes.select("node", "rep").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("rep").alias("component_id"))
