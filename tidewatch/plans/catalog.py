@@ -477,16 +477,18 @@ def propagation_metrics(spark, root):
                     F.col("inferences").cast("long").alias("inferences"))
 
 
-@register("merge_users")
-def merge_users(spark, root):
-    old = _users_a6(spark, root)
+def _click_users(spark, root):
     ev = fx.events_k(table(spark, root, "events")).filter(F.col("event_type") == "click")
     clicks = ev.select(F.col("user_id").cast("string").alias("user_id"), (F.col("k") - 50).cast("double").alias("lat"),
                        ((F.col("k") * 3) % 360 - 180).cast("double").alias("lon"))
-    new = gr.user_centroid(gr.condense_locations(gr.point_observations(clicks)), weighted=True).select(
+    return gr.user_centroid(gr.condense_locations(gr.point_observations(clicks)), weighted=True).select(
         "user_id", F.struct(F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon"),
                             F.lit(0.5).alias("confidence")).alias("location"))
-    m = gr.merge_users(old, new)
+
+
+@register("merge_users")
+def merge_users(spark, root):
+    m = gr.merge_users(_users_a6(spark, root), _click_users(spark, root))
     return m.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
                     F.col("location.confidence").alias("confidence"))
 
@@ -641,6 +643,87 @@ def user_state_stream(spark, root):
                     F.col("location.confidence").alias("confidence"))
 
 
+# ------------------------------------------------------------ M6b: bad input on streams
+
+from tidewatch.streaming import dead_letters as dl  # noqa: E402
+
+
+def _written_lines(spark, lines: DataFrame, files: int) -> str:
+    path = fx.new_scratch(spark, "lines")
+    lines.repartition(files).write.text(path)
+    return path
+
+
+@register("fan_out_dead_letters")
+def fan_out_dead_letters(spark, root):
+    """S10 + S2 on a stream of several micro-batches: keys in the table and both queues, and every dead letter."""
+    src = _written_lines(spark, fx.tweet_lines(spark, root), 3)
+    paths = {k: fx.new_scratch(spark, f"fan-{k}") for k in ("root", "table", "graph", "pipeline")}
+    dead = dl.fan_out_lines(spark, src, paths["root"], paths["table"], paths["graph"], paths["pipeline"], max_files_per_trigger=1)
+
+    def ids(df, place, col):
+        return df.select(F.lit(place).alias("place"), F.lit(None).cast("string").alias("reason"), F.col(col).cast("string").alias("item"))
+
+    out = ids(spark.read.parquet(paths["table"]), "table", "id")
+    out = out.unionByName(ids(spark.read.json(paths["graph"]), "graph", "id"))
+    out = out.unionByName(ids(spark.read.schema("message struct<id: string>").json(paths["pipeline"]), "pipeline", "message.id"))
+    out = out.unionByName(dead.select(F.lit("dead").alias("place"), "reason", F.md5("line").alias("item")))
+    return out.groupBy("place", "reason", "item").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("tag_dead_letters")
+def tag_dead_letters(spark, root):
+    """T2 with bounded retries: after the first round "fr" gets its dictionary, "xx" never does."""
+    src = _written_lines(spark, fx.envelope_lines(spark, root), 2)
+    work, out = fx.new_scratch(spark, "tag-work"), fx.new_scratch(spark, "tag-out")
+    en = fx.part_keywords(spark)
+    both = en.unionByName(en.withColumn("lang", F.lit("fr")))
+    args = {"max_attempts": 3, "max_files_per_trigger": 1, "kinds": ()}
+    dl.tag_lines(spark, src, work, lambda: en, None, out, rounds=1, **args)
+    dead = dl.tag_lines(spark, src, work, lambda: both, None, out, **args)
+    good = spark.read.parquet(out).select(
+        F.col("MessageId").cast("long").alias("id"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("int").alias("attempt"),
+        F.coalesce(F.greatest(F.size("Keywords"), F.lit(0)), F.lit(0)).cast("long").alias("n_keywords"))
+    bad = dead.select(F.regexp_extract("line", '"id":"([0-9]+)"', 1).cast("long").alias("id"), "reason", "attempt",
+                      F.lit(None).cast("long").alias("n_keywords"))
+    return good.unionByName(bad)
+
+
+# ------------------------------------------------------------ M6c: state kept current
+
+from tidewatch.sources import merge_table as mt  # noqa: E402
+from tidewatch.streaming import user_state as us  # noqa: E402
+
+
+@register("merge_table")
+def merge_table(spark, root):
+    """S11 as a write: centres of all users, then the weighted centres of clicks merged in (the first
+    merge repeated under its token), read back from the current version."""
+    path = fx.new_scratch(spark, "users-table")
+    for token in (0, 0):
+        mt.merge(spark, path, _users_a6(spark, root), ["user_id"], token=token)
+    mt.merge(spark, path, _click_users(spark, root), ["user_id"], token=1)
+    m = mt.read_table(spark, path)
+    return m.select("user_id", _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"),
+                    F.col("location.confidence").alias("confidence"))
+
+
+@register("user_state_live")
+def user_state_live(spark, root):
+    """T3 over all tweets: micro-batches of one file, the second half of the files after a restart."""
+    src = fx.new_scratch(spark, "live-tweets")
+    rows = tw.tweet_row(_raw_tweets_read(spark, root))
+    halves = [rows.filter(F.pmod(F.xxhash64("id"), F.lit(2)) == i) for i in (0, 1)]
+    table_path, ck = fx.new_scratch(spark, "live-users"), fx.new_scratch(spark, "live-ckpt")
+    for half in halves:
+        half.repartition(2).write.mode("append").parquet(src)
+        stream = sp.message_stream(spark, src, rows.schema, fmt="parquet", max_files_per_trigger=1)
+        us.run_user_state(spark, stream, table_path, ck, state_partitions=8, buckets=8)
+    u = us.current_user_state(spark, table_path)
+    return u.select(F.col("user_id").cast("long").alias("user_id"), "n_points", "n_places", "n_to", "n_by",
+                    _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"))
+
+
 # ------------------------------------------------------------ M7: extensions and remaining operators
 
 from tidewatch.functions.timeutil import hour_ms as _hour_ms, timespan_label as _label  # noqa: E402

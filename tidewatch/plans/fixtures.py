@@ -369,6 +369,37 @@ def tweet_json_dir(spark: SparkSession, root: str) -> str:
     return path
 
 
+def tweet_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Raw tweets of all ``events`` among bad lines: every line of every
+    ``documents`` text (prose), a tweet cut off in its middle for each event with
+    k % 5 = 0, one without an id for k % 5 = 1, without a time for k % 5 = 2,
+    without a user for k % 5 = 3, and a blank line for k % 5 = 4."""
+    k = F.col("k") % 5
+    eid = F.col("event_id").cast("string")
+    bad = (
+        F.when(k == 0, F.concat(F.lit('{"id":'), eid, F.lit(',"timestamp_ms":"0","text":"cut')))
+        .when(k == 1, F.concat(F.lit('{"timestamp_ms":"'), eid, F.lit('","user":{"id":1}}')))
+        .when(k == 2, F.concat(F.lit('{"id":'), eid, F.lit(',"timestamp_ms":"soon","user":{"id":1}}')))
+        .when(k == 3, F.concat(F.lit('{"id":'), eid, F.lit(',"timestamp_ms":"5"}')))
+        .otherwise(F.lit(" "))
+    )
+    ev = events_k(table(spark, root, "events", spread_small=True))
+    docs = table(spark, root, "documents", spread_small=True).select(F.explode(F.split("text", "\n", -1)).alias("value"))
+    return raw_tweets(spark, root).unionByName(ev.select(bad.alias("value"))).unionByName(docs)
+
+
+def envelope_lines(spark: SparkSession, root: str) -> DataFrame:
+    """``part`` names as message lines in English, every 3rd in a language that
+    gets a dictionary later ("fr"), every 7th in one that never does ("xx"),
+    every 11th cut off."""
+    p = table(spark, root, "part")
+    key = F.col("p_partkey")
+    lang = F.when(key % 7 == 0, "xx").when(key % 3 == 0, "fr").otherwise("en")
+    line = F.concat(F.lit('{"message":{"id":"'), key.cast("string"), F.lit('","lang":"'), lang,
+                    F.lit('","source":"parts","text":"'), F.col("p_name"), F.lit('","sentence":"'), F.col("p_name"), F.lit('"'))
+    return p.select(F.when(key % 11 == 0, line).otherwise(F.concat(line, F.lit("}}"))).alias("value"))
+
+
 def message_lines(spark: SparkSession, root: str) -> DataFrame:
     """Raw message lines: ``events`` as JSON messages (clicks with the stream's
     date layout, errors with an unparsable date, purchases without one) plus

@@ -807,3 +807,28 @@ def keyword_messages_sql() -> str:
 SELECT kwm.keyword, gc.source AS Source, count(*) AS n, count(*) FILTER (WHERE coalesce(locs.nl, 0) > 0) AS n_located
 FROM kwm JOIN gc ON kwm.id = gc.id LEFT JOIN locs ON kwm.id = locs.id
 GROUP BY kwm.keyword, gc.source"""
+
+
+FAN_OUT_DEAD_LETTERS = "WITH " + TWEETS_J.strip() + """,
+good AS (SELECT CAST(event_id AS VARCHAR) AS item FROM j WHERE event_type <> 'error'),
+bad AS (
+    SELECT CASE k % 5 WHEN 0 THEN 'malformed' WHEN 1 THEN 'missing_id' WHEN 2 THEN 'missing_time' WHEN 3 THEN 'missing_user' ELSE 'empty' END AS reason,
+           CASE k % 5 WHEN 0 THEN '{"id":' || CAST(event_id AS VARCHAR) || ',"timestamp_ms":"0","text":"cut'
+                      WHEN 1 THEN '{"timestamp_ms":"' || CAST(event_id AS VARCHAR) || '","user":{"id":1}}'
+                      WHEN 2 THEN '{"id":' || CAST(event_id AS VARCHAR) || ',"timestamp_ms":"soon","user":{"id":1}}'
+                      WHEN 3 THEN '{"id":' || CAST(event_id AS VARCHAR) || ',"timestamp_ms":"5"}' ELSE ' ' END AS line FROM j
+    UNION ALL
+    SELECT CASE WHEN trim(line) = '' THEN 'empty' ELSE 'malformed' END, line
+    FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+)
+SELECT place, CAST(NULL AS VARCHAR) AS reason, item, count(*) AS n FROM good, (VALUES ('table'), ('graph'), ('pipeline')) p(place) GROUP BY ALL
+UNION ALL
+SELECT 'dead', reason, md5(line), count(*) FROM bad GROUP BY ALL"""
+
+
+def tag_dead_letters_sql(matches: str) -> str:
+    return f"""WITH hits AS (SELECT id, sum(n) AS n FROM ({matches}) GROUP BY id),
+p AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 11 = 0 THEN 'malformed' WHEN p_partkey % 7 = 0 THEN 'no_dictionary' END AS reason FROM part)
+SELECT p.id, reason, CASE reason WHEN 'malformed' THEN 1 WHEN 'no_dictionary' THEN 3 END AS attempt,
+       CASE WHEN reason IS NULL THEN CAST(coalesce(hits.n, 0) AS BIGINT) END AS n_keywords
+FROM p LEFT JOIN hits ON hits.id = p.id"""
