@@ -692,6 +692,7 @@ def tag_dead_letters(spark, root):
 # ------------------------------------------------------------ M6c: state kept current
 
 from tidewatch.sources import merge_table as mt  # noqa: E402
+from tidewatch.streaming import live_series as ls  # noqa: E402
 from tidewatch.streaming import user_state as us  # noqa: E402
 
 
@@ -724,6 +725,19 @@ def user_state_live(spark, root):
                     _r4(F.col("location.lat")).alias("lat"), _r4(F.col("location.lon")).alias("lon"))
 
 
+@register("timeseries_live")
+def timeseries_live(spark, root):
+    """X5 over all messages: the documents after four micro-batches and a restart."""
+    src, work, out = (fx.new_scratch(spark, f"live-{k}") for k in ("messages", "series", "documents"))
+    msgs = fx.msg_events(spark, root)
+    for half in (0, 1):
+        part = msgs.filter(F.pmod(F.xxhash64("MessageId"), F.lit(2)) == half)
+        part.repartition(2).write.mode("append").parquet(src)
+        stream = sp.message_stream(spark, src, msgs.schema, fmt="parquet", max_files_per_trigger=1)
+        ls.run_live_series(spark, stream, work, out, buckets=8)
+    return spark.read.text(out).select("name", F.md5("value").alias("doc_md5"))
+
+
 # ------------------------------------------------------------ M7: extensions and remaining operators
 
 from tidewatch.functions.timeutil import hour_ms as _hour_ms, timespan_label as _label  # noqa: E402

@@ -104,6 +104,7 @@ ORACLE["user_buckets"] = o.USER_BUCKETS
 ORACLE["neighbour_centroid"] = o.propagate_sql(1, "SELECT user_id, lat, lon FROM cen1 WHERE lat IS NOT NULL")
 ORACLE["prune_newlines"] = o.PRUNE_NEWLINES
 ORACLE["write_timeseries"] = o.write_timeseries_sql()
+ORACLE["timeseries_live"] = ORACLE["write_timeseries"]
 ORACLE["emit_sentence"] = o.emit_sentence_sql(_PART_KW, _fx.CATEGORY_LINES)
 ORACLE["fan_out"] = """WITH """ + o.TWEETS_J.strip() + """,
 t AS (SELECT event_id FROM j WHERE event_type <> 'error')

@@ -94,12 +94,14 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     return None if m is None else _rows(spark, path, m)
 
 
-def merge_rows(old: DataFrame, new: DataFrame, keys: list[str], fill: bool, small: bool) -> DataFrame:
-    """Rows of both, one per key: values of ``new`` win; with ``fill`` its nulls keep the old values."""
+def merge_rows(old: DataFrame, new: DataFrame, keys: list[str], fill: bool, small: bool, add: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of both, one per key: values of ``new`` win, with ``fill`` its nulls keep the old values;
+    columns of ``add`` are summed."""
     values = [c for c in old.columns if c not in keys]
     renamed = new.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values], F.lit(True).alias("_hit"))
+    total = {c: F.coalesce(F.col(f"_new_{c}"), F.lit(0)) + F.coalesce(F.col(c), F.lit(0)) for c in add}
     pick = [
-        (F.coalesce(F.col(f"_new_{c}"), F.col(c)) if fill else F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c))).alias(c)
+        total[c].alias(c) if c in add else (F.coalesce(F.col(f"_new_{c}"), F.col(c)) if fill else F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c))).alias(c)
         for c in values
     ]
     if not small:
@@ -110,10 +112,11 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: list[str], fill: bool, smal
 
 
 def merge(spark: SparkSession, path: str, new: DataFrame, keys: list[str], fill: bool = True, token: int | None = None,
-          buckets: int = BUCKETS, broadcast_bytes: int = BROADCAST_MAX_BYTES) -> int:
+          buckets: int = BUCKETS, broadcast_bytes: int = BROADCAST_MAX_BYTES, add: tuple[str, ...] = ()) -> int:
     """Insert or merge ``new`` (one row per key; rows with a null key are left out) and return the
     version. The first merge fixes keys, columns and number of buckets. ``token`` (a batch number)
-    makes a repeated merge a no-op: a token not above the last one is taken as applied."""
+    makes a repeated merge a no-op: a token not above the last one is taken as applied. Columns of
+    ``add`` are counts: the new ones are added to the old."""
     files, m = _Files(spark, path), manifest(spark, path)
     if m is not None:
         if token is not None and m["token"] is not None and token <= m["token"]:
@@ -132,7 +135,7 @@ def merge(spark: SparkSession, path: str, new: DataFrame, keys: list[str], fill:
         version = 0 if m is None else m["version"] + 1
         if m is not None:
             old = _rows(spark, path, m, touched)
-            rows = merge_rows(old, rows, keys, fill, measured_bytes(rows) <= broadcast_bytes)
+            rows = merge_rows(old, rows, keys, fill, measured_bytes(rows) <= broadcast_bytes, add)
         rows.withColumn("bucket", bucket_of(keys, buckets)).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/v={version}")
         at = dict(m["at"] if m else {}) | {str(b): version for b in touched}
         plain = new.drop("bucket").schema

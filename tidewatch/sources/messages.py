@@ -73,14 +73,17 @@ def write_json_sink(df: DataFrame, path: str, partition_col: str = "Source", mod
     df.write.mode(mode).partitionBy(partition_col).json(path)
 
 
-def write_timeseries(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_timeseries(docs: DataFrame, path: str, mode: str = "overwrite", only_spans: bool = False) -> None:
     """One JSON document per span; the folder name is the span with
-    '/' replaced by '_' (``name=<span>``), the text is the document."""
+    '/' replaced by '_' (``name=<span>``), the text is the document. With
+    ``only_spans`` the folders of other spans stay as they are."""
     out = docs.select(
         F.translate("timespan", "/", "_").alias("name"),
         F.to_json(F.struct("labels", "graphData")).alias("value"),
     )
-    out.repartition("name").write.mode(mode).partitionBy("name").text(path)
+    writer = out.repartition("name").write.mode(mode).partitionBy("name")
+    writer = writer.option("partitionOverwriteMode", "dynamic") if only_spans else writer
+    writer.text(path)
 
 
 def flatten_row(df: DataFrame) -> DataFrame:
