@@ -659,7 +659,7 @@ def fan_out_dead_letters(spark, root):
     """S10 + S2 on a stream of several micro-batches: keys in the table and both queues, and every dead letter."""
     src = _written_lines(spark, fx.tweet_lines(spark, root), 3)
     paths = {k: fx.new_scratch(spark, f"fan-{k}") for k in ("root", "table", "graph", "pipeline")}
-    dead = dl.fan_out_lines(spark, src, paths["root"], paths["table"], paths["graph"], paths["pipeline"], max_files_per_trigger=1)
+    dead = dl.fan_out_lines(spark, src, paths["root"], paths["table"], paths["graph"], paths["pipeline"], max_files_per_trigger=1, state_partitions=8)
 
     def ids(df, place, col):
         return df.select(F.lit(place).alias("place"), F.lit(None).cast("string").alias("reason"), F.col(col).cast("string").alias("item"))
@@ -678,7 +678,7 @@ def tag_dead_letters(spark, root):
     work, out = fx.new_scratch(spark, "tag-work"), fx.new_scratch(spark, "tag-out")
     en = fx.part_keywords(spark)
     both = en.unionByName(en.withColumn("lang", F.lit("fr")))
-    args = {"max_attempts": 3, "max_files_per_trigger": 1, "kinds": ()}
+    args = {"max_attempts": 3, "max_files_per_trigger": 1, "state_partitions": 8, "kinds": ()}
     dl.tag_lines(spark, src, work, lambda: en, None, out, rounds=1, **args)
     dead = dl.tag_lines(spark, src, work, lambda: both, None, out, **args)
     good = spark.read.parquet(out).select(

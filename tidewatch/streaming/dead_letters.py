@@ -188,7 +188,7 @@ def settle(spark: SparkSession, failures_path: str, retry_path: str, dead_path:
 
 def drain(spark: SparkSession, source: str, judge: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, int], None],
           root: str, max_attempts: int = MAX_ATTEMPTS, permanent: tuple[str, ...] = PERMANENT,
-          max_files_per_trigger: int | None = None, rounds: int | None = None) -> DataFrame:
+          max_files_per_trigger: int | None = None, rounds: int | None = None, state_partitions: int | None = None) -> DataFrame:
     """``deliver`` and ``settle`` in turn until nothing is sent back or after ``rounds`` of it;
     returns the dead letters (reason, line, attempt). A continuous job runs both queries side by side.
     All folders are under ``root``; a later call goes on from their checkpoints."""
@@ -196,7 +196,7 @@ def drain(spark: SparkSession, source: str, judge: Callable[[DataFrame], DataFra
     for _ in range(rounds or max_attempts):
         lines = line_stream(spark, source, max_files_per_trigger).unionByName(redelivered(spark, retry))
         deliver(lines, judge, write, failures, dead, f"{root}/deliver-checkpoint", permanent)
-        if not settle(spark, failures, retry, dead, f"{root}/settle-checkpoint", max_attempts):
+        if not settle(spark, failures, retry, dead, f"{root}/settle-checkpoint", max_attempts, state_partitions):
             break
     return dead_letters(spark, dead)
 
@@ -223,7 +223,7 @@ def tweet_judge(lines: DataFrame) -> DataFrame:
 
 
 def fan_out_lines(spark: SparkSession, source: str, root: str, table_path: str, graph_path: str, pipeline_path: str,
-                  max_attempts: int = MAX_ATTEMPTS, max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_attempts: int = MAX_ATTEMPTS, max_files_per_trigger: int | None = None, state_partitions: int | None = None) -> DataFrame:
     """S10 on raw lines: good tweets to the table and both queues, bad lines to the dead letters, which are returned.
     Missing keys can't come by waiting, so they are final like malformed lines."""
     from tidewatch.sources.tweets import tweet_envelope, tweet_row, write_tweets
@@ -235,11 +235,13 @@ def fan_out_lines(spark: SparkSession, source: str, root: str, table_path: str,
         rows.write.mode("overwrite").json(f"{graph_path}/batch_id={batch_id}")
         tweet_envelope(good).write.mode("overwrite").json(f"{pipeline_path}/batch_id={batch_id}")
 
-    return drain(spark, source, tweet_judge, write, root, max_attempts, (*PERMANENT, *TWEET_KEYS), max_files_per_trigger)
+    return drain(spark, source, tweet_judge, write, root, max_attempts, (*PERMANENT, *TWEET_KEYS), max_files_per_trigger,
+                 state_partitions=state_partitions)
 
 
 def tag_lines(spark: SparkSession, source: str, root: str, keywords: Callable[[], DataFrame], categories: DataFrame | None, out_path: str,
-              max_attempts: int = MAX_ATTEMPTS, max_files_per_trigger: int | None = None, rounds: int | None = None, **tag_args) -> DataFrame:
+              max_attempts: int = MAX_ATTEMPTS, max_files_per_trigger: int | None = None, rounds: int | None = None,
+              state_partitions: int | None = None, **tag_args) -> DataFrame:
     """T2 on raw envelope lines: tagged messages go to ``out_path``; returns the dead letters.
 
     A message in a language without a dictionary fails with ``no_dictionary`` and
@@ -262,4 +264,4 @@ def tag_lines(spark: SparkSession, source: str, root: str, keywords: Callable[[]
         tagged = cut_lineage(tag_messages(good, keywords(), categories, **tag_args))
         tagged.select("MessageId", "Source", "Language", "Keywords", "Groups").write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    return drain(spark, source, judge, write, root, max_attempts, (*PERMANENT, "missing_id"), max_files_per_trigger, rounds)
+    return drain(spark, source, judge, write, root, max_attempts, (*PERMANENT, "missing_id"), max_files_per_trigger, rounds, state_partitions)
