@@ -692,6 +692,7 @@ def tag_dead_letters(spark, root):
 # ------------------------------------------------------------ M6c: state kept current
 
 from tidewatch.sources import merge_table as mt  # noqa: E402
+from tidewatch.streaming import archives as ar  # noqa: E402
 from tidewatch.streaming import live_series as ls  # noqa: E402
 from tidewatch.streaming import user_state as us  # noqa: E402
 
@@ -738,6 +739,36 @@ def timeseries_live(spark, root):
     return spark.read.text(out).select("name", F.md5("value").alias("doc_md5"))
 
 
+@register("late_archives")
+def late_archives(spark, root):
+    """S15 + T1: two archives with checkpoints of their own, three arrivals each: the first half of the events
+    (every fifth delivered twice), the second half, and copies that are more than 10 s behind the first half."""
+    ev = fx.events_k(table(spark, root, "events", spread_small=True)).withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    bounds = ev.agg(F.min("ms").alias("a"), F.max("ms").alias("b")).first()
+    half = F.col("ms") * 2 <= (bounds.a or 0) + (bounds.b or 0)
+    last = ev.filter(half).agg(F.max("ms").alias("m")).first().m or 0
+    first = ev.filter(half)
+    late = ev.filter((F.col("ms") < last - 10_000) & (F.col("k") % 3 == 0)).withColumn("event_id", -F.col("event_id") - 1)
+    arrivals = [first.unionByName(first.filter("k % 5 = 0")), ev.filter(~half), late]
+    columns = {
+        "messages": (F.lit(True), [F.col("event_id").cast("string").alias("key"), F.col("event_type").alias("Keyword")]),
+        "tweets": (F.col("event_type") != "error", [F.col("event_id").cast("string").alias("key"), F.col("user_id").cast("string").alias("user_id")]),
+    }
+    out = []
+    for name, (wanted, cols) in columns.items():
+        src, path, ck = (fx.new_scratch(spark, f"archive-{name}-{k}") for k in ("in", "out", "ckpt"))
+        counts = {}
+        for rows in arrivals:
+            rows.filter(wanted).select(*cols, F.timestamp_millis("ms").alias("at")).write.mode("append").parquet(src)
+            stream = sp.message_stream(spark, src, spark.read.parquet(src).schema, fmt="parquet")
+            for what, n in ar.run_archive(stream, path, ck, "at", "key").items():
+                counts[what] = counts.get(what, 0) + n
+        kept = spark.read.schema("key string").json(path)
+        found = kept.agg(F.count("*").alias("kept"), F.coalesce(F.sum(F.col("key").cast("long")), F.lit(0)).alias("kept_ids"))
+        out.append(found.select(F.lit(name).alias("archive"), "kept", "kept_ids", *[F.lit(n).cast("long").alias(w) for w, n in counts.items()]))
+    return out[0].unionByName(out[1])
+
+
 # ------------------------------------------------------------ M7: extensions and remaining operators
 
 from tidewatch.functions.timeutil import hour_ms as _hour_ms, timespan_label as _label  # noqa: E402

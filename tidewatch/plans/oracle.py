@@ -832,3 +832,16 @@ p AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 11 = 0 THEN 'malformed' WHEN
 SELECT p.id, reason, CASE reason WHEN 'malformed' THEN 1 WHEN 'no_dictionary' THEN 3 END AS attempt,
        CASE WHEN reason IS NULL THEN CAST(coalesce(hits.n, 0) AS BIGINT) END AS n_keywords
 FROM p LEFT JOIN hits ON hits.id = p.id"""
+
+
+LATE_ARCHIVES = "WITH " + TWEETS_J.strip() + """,
+e AS (SELECT event_id, event_type, k, epoch_us(ts) // 1000 AS ms FROM j),
+b AS (SELECT min(ms) + max(ms) AS twice FROM e),
+f AS (SELECT e.*, ms * 2 <= twice AS half FROM e, b),
+l AS (SELECT max(ms) FILTER (WHERE half) AS last FROM f),
+a AS (SELECT * FROM (VALUES ('messages'), ('tweets')) x(archive))
+SELECT archive, count(*) AS kept, CAST(coalesce(sum(event_id), 0) AS BIGINT) AS kept_ids,
+       count(*) + count(*) FILTER (WHERE half AND k % 5 = 0) + count(*) FILTER (WHERE ms < last - 10000 AND k % 3 = 0) AS read,
+       count(*) FILTER (WHERE ms < last - 10000 AND k % 3 = 0) AS late,
+       count(*) FILTER (WHERE half AND k % 5 = 0) AS repeated
+FROM a, f, l WHERE archive = 'messages' OR event_type <> 'error' GROUP BY archive"""

@@ -82,6 +82,7 @@ ORACLE["stream_tagging_located"] = o.keyword_messages_sql()
 ORACLE["stream_tagging"] = ORACLE["match_keywords_fuzzy"]
 ORACLE["fan_out_dead_letters"] = o.FAN_OUT_DEAD_LETTERS
 ORACLE["tag_dead_letters"] = o.tag_dead_letters_sql(ORACLE["match_keywords_fuzzy"])
+ORACLE["late_archives"] = o.LATE_ARCHIVES
 ORACLE["user_state_live"] = o.USER_STATE
 ORACLE["merge_table"] = ORACLE["merge_users"]
 ORACLE["user_state_stream"] = o.USER_CENTROID
