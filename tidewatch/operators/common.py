@@ -26,11 +26,16 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(size.alias("b")).first()["b"] or 0)
 
 
+def proven_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the size estimate of a plan, an upper bound, allows its broadcast."""
+    return estimated_bytes(df) <= max_bytes
+
+
 def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast ``df`` only when its estimated size proves it small; otherwise
     leave the join strategy to the planner (AQE may still convert the join from
     measured shuffle sizes). No job is run."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    return F.broadcast(df) if proven_small(df, max_bytes) else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

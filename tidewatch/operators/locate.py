@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.geo import geo_point
-from tidewatch.operators.common import checked_broadcast, small_side
+from tidewatch.operators.common import checked_broadcast, cut_lineage, small_side
 from tidewatch.operators.matching import match_terms
 
 
@@ -90,53 +90,53 @@ def resolve_locations(
     3. Tweets with a user id: the author's location (J5) is appended as
        ``TwitterUserHandle`` with p = confidence, even when step 1 hit.
 
-    Steps 1-2 use term → hit maps built on the distinct vocabulary and joined
-    by broadcast (row-local); content hits and author locations are folded
-    per message and joined back once.
+    The message plan is read once for all lookups: the narrow columns they need
+    (points parsed, texts as terms) are stored, and both term → hit maps, the
+    content hits and the author locations come from that copy. Hits of steps 2-3
+    are folded per message and joined back once; step 1 is row-local (points, and
+    the user-text map by broadcast), so it needs no key. ``_row`` must be the same
+    whenever ``msgs`` is evaluated (a unique column or a stored copy, see
+    ``with_row_key``).
     ``msgs`` needs _row, Source, Language, geo, is_geojson, user_id, tok.
     """
     blank = F.col("geo").isNull() | F.col("geo").rlike(r"^\s*$")
-    pt = geo_point("geo", geo_order)
-    base = msgs.withColumn("_pt", F.when(~blank & F.col("is_geojson"), pt)).withColumn(
-        "_ut", F.when(~blank & ~F.col("is_geojson"), F.lower("geo"))
-    )
-    ut_terms = base.filter(F.col("_ut").isNotNull() & (F.length("_ut") >= 2)).select(
-        F.col("Language").alias("lang"), F.col("_ut").alias("term")
-    )
+    point = F.when(~blank & F.col("is_geojson"), geo_point("geo", geo_order))
+    user_text = F.when(~blank & ~F.col("is_geojson") & (F.length(F.lower("geo")) >= 2), F.lower("geo"))
+    narrow = cut_lineage(msgs.select(
+        "_row", "Source", "Language", "user_id", F.array_distinct("tok").alias("tok"),
+        point.alias("_pt"), user_text.alias("_ut"),
+    ))
+    ut_terms = narrow.filter(F.col("_ut").isNotNull()).select(F.col("Language").alias("lang"), F.col("_ut").alias("term"))
     ut_map = small_side(first_match(ut_terms, gazetteer)).select(
         F.col("lang").alias("_ul"), F.col("term").alias("_uterm"), F.struct("lat", "lon").alias("_uh")
     )
-    staged = base.join(
-        ut_map, (F.col("Language") == F.col("_ul")) & (F.col("_ut") == F.col("_uterm")), "left"
-    ).drop("_ul", "_uterm")
-    primary = F.when(
-        F.col("_pt").isNotNull(), F.array(_loc(F.col("_pt.lat"), F.col("_pt.lon"), 1.0, "Tagged"))
-    ).when(F.col("_uh").isNotNull(), F.array(_loc(F.col("_uh.lat"), F.col("_uh.lon"), 1.0, "UserTagged")))
-    staged = staged.withColumn("_primary", primary)
-
-    untagged = staged.filter(F.col("_primary").isNull()).select("_row", "Language", "tok")
-    toks = untagged.select(
-        "_row", F.col("Language").alias("lang"), F.posexplode(F.array_distinct("tok")).alias("pos", "term")
+
+    def staged(df: DataFrame) -> DataFrame:
+        """Step 1 on rows with ``_pt`` and ``_ut``: adds ``_primary``."""
+        primary = F.when(
+            F.col("_pt").isNotNull(), F.array(_loc(F.col("_pt.lat"), F.col("_pt.lon"), 1.0, "Tagged"))
+        ).when(F.col("_uh").isNotNull(), F.array(_loc(F.col("_uh.lat"), F.col("_uh.lon"), 1.0, "UserTagged")))
+        hit = df.join(ut_map, (F.col("Language") == F.col("_ul")) & (F.col("_ut") == F.col("_uterm")), "left")
+        return hit.withColumn("_primary", primary).drop("_ul", "_uterm", "_uh", "_pt", "_ut")
+
+    toks = staged(narrow).filter(F.col("_primary").isNull()).select(
+        "_row", F.col("Language").alias("lang"), F.posexplode("tok").alias("pos", "term")
     ).filter(F.length("term") >= 2)
     c_map = small_side(first_match(toks.select("lang", "term"), gazetteer))
-    content = toks.join(c_map, ["lang", "term"]).select(
+    extras = toks.join(c_map, ["lang", "term"]).select(
         "_row", F.lit(1).alias("ord"), "pos", _loc(F.col("lat"), F.col("lon"), 1.0, "Content").alias("l")
     )
-    extras = content
     if users is not None:
-        handle = lookup_user_location(msgs, users).select(
+        extras = extras.unionByName(lookup_user_location(narrow, users).select(
             "_row", F.lit(2).alias("ord"), F.lit(0).alias("pos"),
             _loc(F.col("lat"), F.col("lon"), F.col("confidence"), "TwitterUserHandle").alias("l"),
-        )
-        extras = extras.unionByName(handle)
-    folded = extras.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("ord", "pos", "l"))).alias("_x"))
-    out = staged.join(folded, "_row", "left")
+        ))
+    folded = extras.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("ord", "pos", "l"))).alias("_x")).select(
+        "_row", F.transform("_x", lambda e: e["l"]).alias("_x"))
     empty = F.array().cast("array<struct<lat:double,lon:double,probability:double,inference_type:string>>")
-    x = F.coalesce(F.col("_x"), F.array().cast(folded.schema["_x"].dataType))
-    content_locs = F.transform(F.filter(x, lambda e: e["ord"] == 1), lambda e: e["l"])
-    handle_locs = F.transform(F.filter(x, lambda e: e["ord"] == 2), lambda e: e["l"])
-    locs = F.concat(F.coalesce(F.col("_primary"), content_locs, empty), handle_locs)
-    return out.withColumn("Locations", locs).drop("_pt", "_ut", "_uh", "_primary", "_x")
+    out = staged(msgs.withColumn("_pt", point).withColumn("_ut", user_text)).join(folded, "_row", "left")
+    return out.withColumn(
+        "Locations", F.concat(F.coalesce("_primary", empty), F.coalesce("_x", empty))).drop("_primary", "_x")
 
 
 def track_filter(

@@ -1,10 +1,10 @@
 """Term ↔ dictionary matching: exact equi-join plus an equi-join that is the fuzzy rule.
 
-The expensive part of fuzzy matching is done once per *distinct* (lang, term),
-never per message: message terms are reduced to a vocabulary, the vocabulary
-is matched against the dictionary by an equi-join that is exactly the F6 rule
-(see ``fuzzy.blocks``), and the resulting term→key map is joined back to the
-messages.
+Message terms are matched against the dictionary by an equi-join that is exactly
+the F6 rule (see ``fuzzy.blocks``), and the resulting term→key map, one row per
+*distinct* pair, is joined back to the messages. A dictionary that is proven
+small is broadcast and terms are looked up in place; with a large one they are
+reduced to the distinct vocabulary before the join.
 
 F6 also asks for a Jaro-Winkler similarity above 0.5, which every pair that
 passes the substring rule has, so no Python runs here by default. Let M be the
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import fuzzy as fz
-from tidewatch.operators.common import checked_broadcast
+from tidewatch.operators.common import checked_broadcast, proven_small
 
 
 def fuzzy_pairs(terms: DataFrame, keys: DataFrame, use_jw: bool = False, by_words: bool = False) -> DataFrame:
@@ -30,11 +30,16 @@ def fuzzy_pairs(terms: DataFrame, keys: DataFrame, use_jw: bool = False, by_word
     ``terms``: (lang, term), ``keys``: (lang, key). Both sides are exploded to
     (longer length M of the pair, substring of ceil(0.8 M) characters); a pair
     passes F6 exactly when it meets on such a row and its longer length is M,
-    so the join needs no further check and short frequent grams never meet. The
-    key side is broadcast when its size estimate allows, else joined by shuffle.
+    so the join needs no further check and short frequent grams never meet.
+    Where the size estimate of the key rows allows, they are broadcast and
+    ``terms`` may hold duplicates: each task looks its terms up in place and only
+    pairs found are made distinct. Else the terms are made distinct first and
+    joined by shuffle.
     """
     n = ["n"] if by_words else []
     key_rows = keys.select("lang", *n, "key", F.inline(fz.blocks("key")))
+    if not proven_small(key_rows):
+        terms = terms.distinct()
     term_rows = terms.select("lang", *n, "term", F.inline(fz.blocks("term")))
     cand = (
         term_rows.join(checked_broadcast(key_rows), ["lang", *n, "longer", "part"])
@@ -51,17 +56,21 @@ def match_terms(terms: DataFrame, keys: DataFrame, fuzzy: bool = True, use_jw: b
                 by_words: bool = False) -> DataFrame:
     """(lang, term) × dictionary (lang, key) → (lang, term, key, exact).
 
-    ``terms`` may hold duplicates; they are reduced to the distinct vocabulary.
-    With ``by_words`` both sides carry a word count ``n`` and only equal
+    ``terms`` may hold duplicates. Against a dictionary that is proven small they
+    are looked up where they are and only hits are made distinct, so what is
+    shuffled grows with the hits, not with the corpus; against a large one they
+    are reduced to the distinct vocabulary first. With ``by_words`` both sides carry a word count ``n`` and only equal
     counts are compared (an n-word keyword against n-word candidates).
     """
     n = ["n"] if by_words else []
-    vocab = terms.select("lang", *n, "term").distinct()
+    vocab = terms.select("lang", *n, "term")
     k = keys.select("lang", *n, "key").distinct()
+    if not proven_small(k):
+        vocab = vocab.distinct()
     exact = vocab.join(
         checked_broadcast(k.withColumnRenamed("key", "term").withColumn("key", F.col("term"))),
         ["lang", *n, "term"],
-    ).select("lang", *n, "term", "key", F.lit(True).alias("exact"))
+    ).select("lang", *n, "term", "key").distinct().withColumn("exact", F.lit(True))
     if not fuzzy:
         return exact
     fz_pairs = fuzzy_pairs(vocab, k, use_jw, by_words).select("lang", *n, "term", "key", F.lit(False).alias("exact"))

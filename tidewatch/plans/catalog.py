@@ -99,7 +99,9 @@ def timeseries_documents_lines(spark, root):
 
 from tidewatch.functions import fuzzy as fz  # noqa: E402
 from tidewatch.functions.text import ngrams as _ngrams  # noqa: E402
+from tidewatch.operators import lemmas as lm  # noqa: E402
 from tidewatch.operators import tagging as tg  # noqa: E402
+from tidewatch.operators import track as tk  # noqa: E402
 from tidewatch.operators.matching import fuzzy_pairs  # noqa: E402
 from tidewatch.sources import refdata as rd  # noqa: E402
 
@@ -1002,3 +1004,74 @@ def keyword_messages(spark, root):
     rows = tg.keyword_messages(located)
     return rows.groupBy(F.col("Keyword").alias("keyword"), "Source").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.size("Locations") > 0).alias("n_located"))
+
+
+# ------------------------------------------- whole track list, lemmas, folder readers
+
+@register("track_pairs")
+def track_pairs(spark, root):
+    """P6 with every term of the list against every document."""
+    m = _routed(fx.docs_envelopes(spark, root))
+    return tk.track_pairs(m, fx.track_terms(spark, root)).select(F.col("_row").cast("long").alias("doc_id"), "term")
+
+
+@register("track_messages")
+def track_messages(spark, root):
+    """P6 over documents and part names: messages that hold any term of the list."""
+    m = fx.docs_envelopes(spark, root).unionByName(fx.part_envelopes(spark, root))
+    out = tk.track_messages(_routed(m), fx.track_terms(spark, root))
+    return out.groupBy(F.when(F.col("Source") == "parts", "parts").otherwise("documents").alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("MessageId").cast("long")).alias("sum_of_ids"))
+
+
+@register("match_lemmas")
+def match_lemmas(spark, root):
+    """Part names and keywords that have only the lemma in common."""
+    lemmas = spark.createDataFrame(fx.LEMMAS, "lang string, form string, lemma string")
+    m = _routed(fx.part_envelopes(spark, root))
+    pairs = lm.lemma_pairs(m, fx.keyword_dict(spark, fx.LEMMA_KEYWORDS), lemmas)
+    return pairs.select(F.col("_row").cast("long").alias("id"), "term", "keyword", "lemma")
+
+
+@register("read_messages")
+def read_messages(spark, root):
+    """S1 and S2 on files: message lines and prose in several folders, read by wildcard; good and dead rows."""
+    good, bad = ms.split_bad_records(ms.read_messages(spark, fx.message_dir(spark, root)))
+    rows = good.select(F.lit("ok").alias("reason"), F.coalesce(F.element_at("Keywords", 1), F.lit("")).alias("kind"),
+                       F.col("MessageId").cast("long").alias("id"), F.date_trunc("second", "Created").alias("created"))
+    dead = bad.select("reason", F.lit("").alias("kind"), F.lit(None).cast("long").alias("id"),
+                      F.lit(None).cast("timestamp").alias("created"))
+    return rows.unionByName(dead).groupBy("reason", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("id").alias("sum_of_ids"),
+        F.sum(F.unix_seconds(F.col("created").cast("timestamp"))).alias("sum_of_seconds"))
+
+
+@register("read_refdata")
+def read_refdata(spark, root):
+    """S3 and S4 on files: keyword files of two languages, their lines numbered, as a dictionary."""
+    lines = rd.read_refdata_lines(spark, fx.refdata_dir(spark, root), "keywords")
+    sizes = lines.groupBy("lang").agg(F.count(F.lit(1)).alias("n_lines"), F.max("seq").alias("last"),
+                                      F.countDistinct("seq").alias("n_seq"))
+    total = sizes.agg(F.sum("n_lines").alias("_all"), F.max("last").alias("_last"))
+    checked = sizes.join(F.broadcast(total)).select("lang", "n_lines", (F.col("n_seq") == F.col("n_lines")).alias("numbered"),
+                                                    (F.col("_all") == F.col("_last")).alias("gapless"))
+    return rd.load_keywords(lines).join(F.broadcast(checked), "lang")
+
+
+@register("fan_out_values")
+def fan_out_values(spark, root):
+    """What each sink holds of each message, not only how many."""
+    src = fx.tweet_json_dir(spark, root)
+    base = fx.new_scratch(spark, "fan-out-values")
+    stream = sp.message_stream(spark, src, S.RAW_TWEET, max_files_per_trigger=2)
+    sp.fan_out(stream, f"{base}/table", f"{base}/graph", f"{base}/pipeline", f"{base}/ckpt")
+    t = spark.read.parquet(f"{base}/table").select(
+        F.lit("table").alias("sink"), F.col("id").cast("long").alias("id"), F.md5("text").alias("text_md5"),
+        F.col("user_id").cast("long").alias("user_id"))
+    p = spark.read.json(f"{base}/pipeline").select(
+        F.lit("pipeline").alias("sink"), F.col("message.id").cast("long").alias("id"),
+        F.md5("message.text").alias("text_md5"), F.col("message.user_id").cast("long").alias("user_id"))
+    g = spark.read.json(f"{base}/graph").select(
+        F.lit("graph").alias("sink"), F.col("id").cast("long").alias("id"), F.md5("text").alias("text_md5"),
+        F.col("user_id").cast("long").alias("user_id"))
+    return t.unionByName(p).unionByName(g)

@@ -166,6 +166,12 @@ CATEGORY_LINES = ["medical,small ring,gear", "travel,gear,rod"]
 CATEGORY_ALL_LINES = ["smallring,small,ring", "hotgear,hot,gear", "redwidget,red,widget"]
 
 
+# Forms with their lemma, and keywords that share only a lemma with the part names' words.
+LEMMAS = [("en", "cog", "gear"), ("en", "sprocket", "gear"), ("en", "smallest", "small"), ("en", "tiny", "small"),
+          ("en", "scarlet", "red"), ("en", "doohickeys", "gizmo")]
+LEMMA_KEYWORDS = ["cogs", "sprockets", "smallest", "scarlet", "doohickeys", "widgeting", "tiny cog", "platings"]
+
+
 def keyword_dict(spark: SparkSession, terms: list[str], lang: str = "en") -> DataFrame:
     return spark.createDataFrame([(lang, t) for t in terms], "lang string, keyword string")
 
@@ -420,6 +426,37 @@ def message_lines(spark: SparkSession, root: str) -> DataFrame:
     return msgs.unionByName(docs)
 
 
+def track_terms(spark: SparkSession, root: str) -> DataFrame:
+    """Every term of the uncapped track list over the parts, and the document terms."""
+    from tidewatch.sources.refdata import track_list
+
+    p = table(spark, root, "part")
+    lines = p.select(F.concat_ws(",", "p_name", "p_type").alias("value"), F.col("p_partkey").alias("seq"))
+    docs = spark.createDataFrame([(t,) for t in DOC_TERMS], "term string")
+    return track_list(lines).select("term").unionByName(docs)
+
+
+def message_dir(spark: SparkSession, root: str) -> str:
+    """``message_lines`` as text files in several folders; returns their wildcard path."""
+    base = new_scratch(spark, "messages")
+    message_lines(spark, root).withColumn("folder", F.pmod(F.xxhash64("value"), F.lit(3))).write.partitionBy(
+        "folder").text(base)
+    return f"{base}/*/*"
+
+
+def refdata_dir(spark: SparkSession, root: str) -> str:
+    """Keyword files of two languages written from tables: part names and types
+    (en), names of nations with their region's key (fr), and a folder one level
+    deeper that must not be read."""
+    base = new_scratch(spark, "refdata")
+    parts = table(spark, root, "part").select(F.concat_ws(" , ", F.upper("p_name"), "p_type").alias("value"))
+    nations = table(spark, root, "nation").select(F.concat_ws(",", "n_name", F.col("n_regionkey").cast("string")).alias("value"))
+    parts.repartition(3).write.text(f"{base}/keywords/en")
+    nations.repartition(2).write.text(f"{base}/keywords/fr")
+    nations.write.text(f"{base}/keywords/fr/more")
+    return base
+
+
 def msg_events_located(spark: SparkSession, root: str) -> DataFrame:
     """``msg_events`` with the event's point as its one location."""
     ev = events_k(table(spark, root, "events", spread_small=True))

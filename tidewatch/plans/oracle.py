@@ -845,3 +845,68 @@ SELECT archive, count(*) AS kept, CAST(coalesce(sum(event_id), 0) AS BIGINT) AS
        count(*) FILTER (WHERE ms < last - 10000 AND k % 3 = 0) AS late,
        count(*) FILTER (WHERE half AND k % 5 = 0) AS repeated
 FROM a, f, l WHERE archive = 'messages' OR event_type <> 'error' GROUP BY archive"""
+
+
+def track_sql(doc_terms: list[str], body: str) -> str:
+    """The distinct terms of the whole list as ``terms``, then ``body``."""
+    return f"""{TRACK_LIST_UNCAPPED[: TRACK_LIST_UNCAPPED.rindex("SELECT CAST(pos")].rstrip()},
+{values_table("dt", "term", [(t,) for t in doc_terms])},
+terms AS (SELECT term FROM n WHERE trim(term) <> '' UNION SELECT term FROM dt)
+{body}"""
+
+
+TRACK_PAIRS_BODY = "SELECT doc_id, term FROM documents JOIN terms ON contains(lower(text), term)"
+
+TRACK_MESSAGES_BODY = """SELECT kind, count(*) AS n, CAST(sum(id) AS BIGINT) AS sum_of_ids
+FROM (SELECT 'documents' AS kind, doc_id AS id, text FROM documents
+      UNION ALL SELECT 'parts', p_partkey, p_name FROM part)
+WHERE EXISTS (SELECT 1 FROM terms WHERE contains(lower(text), term)) GROUP BY kind"""
+
+
+def lemma_sql(lemmas: list[tuple], keywords: list[str]) -> str:
+    """English rules only: the messages are English."""
+    def cut(w: str) -> str:
+        return (f"CASE WHEN {w} LIKE '%ies' AND length({w}) >= 5 THEN {w}[:-4] || 'y' "
+                f"WHEN {w} LIKE '%sses' AND length({w}) >= 6 THEN {w}[:-3] "
+                f"WHEN {w} LIKE '%ing' AND length({w}) >= 6 THEN {w}[:-4] "
+                f"WHEN {w} LIKE '%ed' AND length({w}) >= 5 THEN {w}[:-3] "
+                f"WHEN {w} LIKE '%s' AND length({w}) >= 4 THEN {w}[:-2] ELSE {w} END")
+
+    def lemma(w: str) -> str:
+        return (f"coalesce((SELECT min(lemma) FROM lem WHERE form = {w}), "
+                f"(SELECT min(lemma) FROM lem WHERE form = {cut(w)}), {cut(w)})")
+
+    return f"""WITH {values_table("lem", "lang, form, lemma", lemmas)},
+{values_table("kw", "keyword", [(k,) for k in keywords])},
+t AS (SELECT DISTINCT p_partkey AS id, unnest(string_split_regex(lower(p_name), {SPLIT})) AS term FROM part),
+w AS (SELECT DISTINCT term FROM t), wl AS (SELECT term, {lemma("term")} AS lemma FROM w),
+k AS (SELECT keyword, {lemma("keyword")} AS lemma FROM kw WHERE NOT contains(keyword, ' '))
+SELECT t.id, t.term, k.keyword, k.lemma FROM t JOIN wl USING (term) JOIN k ON wl.lemma = k.lemma"""
+
+
+READ_MESSAGES = """
+SELECT reason, kind, count(*) AS n, CAST(sum(id) AS BIGINT) AS sum_of_ids, CAST(sum(s) AS BIGINT) AS sum_of_seconds FROM (
+  SELECT CASE event_type WHEN 'error' THEN 'bad_created' WHEN 'purchase' THEN 'missing_created' ELSE 'ok' END AS reason,
+         CASE WHEN event_type IN ('error', 'purchase') THEN '' ELSE event_type END AS kind,
+         CASE WHEN event_type NOT IN ('error', 'purchase') THEN event_id END AS id,
+         CASE WHEN event_type NOT IN ('error', 'purchase') THEN epoch_us(ts) // 1000000 END AS s
+  FROM events
+  UNION ALL
+  SELECT CASE WHEN trim(l) = '' THEN 'empty'
+              WHEN NOT json_valid(l) OR json_type(l) <> 'OBJECT' THEN 'malformed'
+              ELSE 'object' END, '', NULL, NULL
+  FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM documents))
+GROUP BY reason, kind"""
+
+READ_REFDATA = """
+WITH lines AS (SELECT 'en' AS lang, concat_ws(' , ', upper(p_name), p_type) AS value FROM part
+               UNION ALL SELECT 'fr', concat_ws(',', n_name, CAST(n_regionkey AS VARCHAR)) FROM nation),
+sizes AS (SELECT lang, count(*) AS n_lines FROM lines GROUP BY lang),
+kw AS (SELECT DISTINCT lang, trim(unnest(string_split(lower(value), ','))) AS keyword FROM lines)
+SELECT lang, keyword, n_lines, TRUE AS numbered, TRUE AS gapless FROM kw JOIN sizes USING (lang)"""
+
+FAN_OUT_VALUES = "WITH " + TWEETS_J.strip() + """,
+t AS (SELECT event_id AS id, md5(text) AS text_md5, user_id FROM j WHERE event_type <> 'error')
+SELECT 'table' AS sink, id, text_md5, user_id FROM t
+UNION ALL SELECT 'pipeline', id, text_md5, user_id FROM t
+UNION ALL SELECT 'graph', id, text_md5, user_id FROM t"""

@@ -118,3 +118,11 @@ ORACLE["user_state_incremental"] = o.USER_CENTROID
 ORACLE["robust_centroid"] = o.ROBUST_CENTROID
 ORACLE["tag_job"] = o.tag_job_sql()
 ORACLE["keyword_messages"] = o.keyword_messages_sql()
+
+# ---- whole track list, lemmas, folder readers
+ORACLE["track_pairs"] = o.track_sql(_fx.DOC_TERMS, o.TRACK_PAIRS_BODY)
+ORACLE["track_messages"] = o.track_sql(_fx.DOC_TERMS, o.TRACK_MESSAGES_BODY)
+ORACLE["match_lemmas"] = o.lemma_sql(_fx.LEMMAS, _fx.LEMMA_KEYWORDS)
+ORACLE["read_messages"] = o.READ_MESSAGES
+ORACLE["read_refdata"] = o.READ_REFDATA
+ORACLE["fan_out_values"] = o.FAN_OUT_VALUES

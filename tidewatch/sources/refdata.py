@@ -8,6 +8,8 @@ code serves files and lines derived from tables; ``seq`` is the load order
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,8 @@ LANG_FROM_PATH = r"/([^/]+)/[^/]+$"
 def read_refdata_lines(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """S3: every line of ``<root>/<kind>/<lang>/<file>`` as (lang, value, path, seq).
 
-    Nested folders deeper than one language level are not read. ``seq``
+    Files in folders deeper than one language level are left out (by their path,
+    so Spark doesn't open them). ``seq``
     numbers the lines of all files by (file path, place in the file): a file may
     be read as several blocks, each in its own task, so lines are numbered
     within their block and blocks are put in order by path and offset (one row
@@ -29,6 +32,7 @@ def read_refdata_lines(spark: SparkSession, root: str, kind: str) -> DataFrame:
     raw = (
         spark.read.text(f"{root.rstrip('/')}/{kind}/*/*")
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"))
+        .filter(F.col("path").rlike(rf"/{re.escape(kind)}/[^/]+/[^/]+$"))
         .withColumn("lang", F.regexp_extract("path", LANG_FROM_PATH, 1))
         .withColumn("_pos", F.monotonically_increasing_id())
     )
