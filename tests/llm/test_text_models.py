@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -137,6 +138,49 @@ def test_base_spans_are_the_patterns():
     ]
 
 
+def test_base_numbers_are_the_plain_patterns():
+    ip, card = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), re.compile(r"[0-9]([\x20-]?[0-9])+")
+    phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+    def digits(t):
+        return [c for c in t if c in "0123456789"]
+
+    rng = random.Random(5)
+    pieces = ["1", "22", "4111111111111111", "4111 1111 1111 1111", "0.0.0.0", "256.", "1.2.3.4", ".", "-", " ", "+", "+49 30", "(", ")", "é", "a", "5" * 13]
+    for _ in range(20_000):
+        t = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        want = [(1, *m.span()) for m in ip.finditer(t) if all(int(x) <= 255 for x in m.group().split("."))]
+        want += [(2, *m.span()) for m in card.finditer(t) if 13 <= len(digits(m.group())) <= 19 and pii.luhn("".join(digits(m.group())))]
+        want += [(3, *m.span()) for m in phone.finditer(t) if 9 <= len(digits(m.group())) <= 15]
+        assert pii.base_spans(t) == want
+
+
+def test_added_spans_are_the_greedy_choice_by_all_pairs():
+    model = pii.train()
+    rng = random.Random(8)
+    pieces = ["call 415-555-2671", "a.b at page.com", "x@y.org", "10.0.0.1", "4111 1111 1111 1111", "00 49 30 1234", "(030) 1234 5678", ", ", " ", "\n", "é"]
+    for _ in range(400):
+        t = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))
+        base = pii.base_spans(t)
+        taken, want = [(a, b) for _, a, b in base], []
+        scored = sorted((-pii.probability(model, pii.features(t, *c)), *c) for c in pii.candidates(t))
+        for p, kind, a, b in scored:
+            if -p >= model["thresholds"][kind] and not any(a < y and x < b for x, y in taken):
+                taken.append((a, b))
+                want.append((kind, a, b))
+        assert pii.find(t, model) == (base, want)
+
+
+def test_long_texts_take_time_by_their_length():
+    model = pii.train()
+    began = time.process_time()
+    assert pii.find("7" * 3_000_000, model) == ([], [])  # took hours when every digit was a start
+    found = pii.find("a.b at page.com, " * 60_000, model)[1]  # a million characters, every span apart
+    assert len(found) == 60_000 and found[0][1:] == (0, 15)
+    assert len(pii.base_spans("x@y.org 10.0.0.1 " * 100_000)) == 200_000
+    assert time.process_time() - began < 120
+
+
 def test_boosted_trees_add_and_leave():
     model = pii.train()
     assert pii.train() == model  # alike on every machine
