@@ -314,7 +314,8 @@ def _value(tree: tuple, row) -> float:
 def train(rounds: int = 60, depth: int = 3, rate: float = 0.3, precision: float = 0.95) -> dict:
     """Boosted trees under log loss, and per kind the least threshold that has the
     wanted precision on templates kept apart, at that threshold and all above it
-    (so one lucky cut doesn't count); without one, the kind adds nothing."""
+    (so one lucky cut doesn't count), and never below even odds; without one, the
+    kind adds nothing."""
     x, y = _examples()
     out, trees = np.zeros(len(x)), []
     for _ in range(rounds):
