@@ -1,6 +1,7 @@
 """Packing, SentencePiece, personal data, language and quality against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -12,7 +13,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidewatch.llm import language, packing, pii, quality, queries, sentencepiece_bpe
+from tidewatch.llm import arrow_text, language, packing, pii, quality, queries, sentencepiece_bpe
 
 from . import edge
 
@@ -292,3 +293,50 @@ def test_learning_samples_hold_one_row_an_id(spark, monkeypatch):
     monkeypatch.setattr(quality, "train_network", lambda x, y: sizes.append(len(y)) or {})
     quality.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
     assert sizes[1] == len({i for i, _ in ids})
+
+
+def _grams(text):
+    """Bucketless n-grams of a text by the rule of the kernel, in plain Python."""
+    chars = bytes(b if b >= 128 else (b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 else 32) for b in text.encode())
+    return {chars[i : i + n] for n in range(1, language.MAX_N + 1) for i in range(len(chars) - n + 1)}
+
+
+def test_language_scores_are_those_of_plain_sets(spark):
+    """Every score again from Python sets: buckets of the n-grams, kernel to each landmark, weights, softmax."""
+    rng = random.Random(4)
+    parts = {"aa": ["abra", "kada", "bra "], "bb": ["xyzzy", "zyx ", "plugh"], "cc": ["дом", "мир ", "год"]}
+    rows = [(i, "".join(rng.choice(parts[v]) for _ in range(rng.randint(3, 30))), v) for i in range(120) for v in [rng.choice(list(parts))]]
+    rows += [(1000, "xyzzy " * 60_000, None), (1001, "", None), (1002, "12 !", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, model).collect()}
+
+    def buckets(grams):
+        out = set()
+        for g in grams:
+            code = np.array([int.from_bytes(g, "big") + (len(g) << 40)], np.uint64)
+            out.add(int(language.mix(code)[0] >> np.uint64(64 - 14)))
+        return out
+
+    for doc_id, text, _ in rows:
+        if not any(c.isalpha() for c in text):
+            assert got[doc_id] == ("und", 0.0)
+            continue
+        own = buckets(_grams(text))
+        kernel = sum(model["z"][b].astype(float) for b in own) / math.sqrt(len(own))
+        out = kernel @ model["w"].astype(float) + model["b"]
+        share = np.exp(4 * (out - out.max()))
+        assert got[doc_id][0] == model["names"][int(out.argmax())]
+        assert abs(got[doc_id][1] - share.max() / share.sum()) < 1e-4
+
+
+def test_language_sample_is_bounded_by_rows_and_shared_by_languages(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}", f"l{i % 20}") for i in range(1000)], "doc_id long, text string, lang string")
+    seen = []
+    fit = language.fit
+    monkeypatch.setattr(language, "fit", lambda x, labels: seen.append(labels) or fit(x, labels))
+    language.learn(docs, per_lang=30, max_rows=100)
+    assert len(seen[0]) == 100 and set(map(seen[0].count, seen[0])) == {5}
+    language.learn(docs, per_lang=30, max_rows=1)
+    assert len(seen[1]) == 20
+    assert [(a, b) for a, b in arrow_text.row_slices(np.arange(11), 100, 4)] == [(0, 4), (4, 8), (8, 10)]

@@ -36,12 +36,12 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def row_slices(offsets: np.ndarray, max_bytes: int) -> list[tuple[int, int]]:
-    """Row ranges of about ``max_bytes`` each (a longer row is alone)."""
+def row_slices(offsets: np.ndarray, max_bytes: int, max_rows: int | None = None) -> list[tuple[int, int]]:
+    """Row ranges of about ``max_bytes`` (a longer row is alone) and at most ``max_rows`` each."""
     out, at, n = [], 0, len(offsets) - 1
     while at < n:
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + max_bytes, "right")) - 1)
-        out.append((at, min(end, n)))
+        out.append((at, min(end, n, at + max_rows if max_rows else n)))
         at = out[-1][1]
     return out
 

@@ -7,12 +7,13 @@ Nystroem landmarks (a bounded sample of learning rows) turn it into features,
 and one-versus-rest kernel ridge regression is fitted on them. Texts are scored
 in batches: presence matrix times landmark matrix, then times the weights.
 
-Fitting takes at most ``per_lang`` rows of each language (a documented bound of
-the learning sample; chosen by a hash of the id). Scoring is one pass without
-a shuffle over whole texts.
+Fitting takes at most ``per_lang`` rows of each language and ``max_rows`` of all
+(documented bounds of the learning sample; chosen by a hash of the id). Scoring is
+one pass without a shuffle over whole texts, ``SLICE_ROWS`` rows a matrix.
 
 Defined results: a text that is null or has no letter gets ``und`` and score
-0; without any learning row every text gets ``und`` and 0; a null id stays
+0; a very long text is read whole, alone in its matrix; of languages that score
+alike the first by name is taken; without any learning row every text gets ``und`` and 0; a null id stays
 null and counts as held out; repeated rows are scored each; an empty table
 gives no rows; columns other than id, text and language are not read.
 """
@@ -20,6 +21,7 @@ gives no rows; columns other than id, text and language are not read.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrow_text import LOWER, flat_bytes, mix, row_slices
+from .tables import stored
 
 DIM = 1 << 14
 MAX_N = 4
+SLICE_ROWS = 512  # rows of a dense matrix: 64 kB each as floats, however short the texts
+RANK_PARTS = 64
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 #: Lower-case letters and bytes of other scripts stand; all else is a blank.
@@ -64,21 +69,22 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def fit(x: np.ndarray, labels: list[str], landmarks: int = 256, ridge: float = 1e-2, seed: int = 7) -> dict:
     """Landmarks and one-versus-rest ridge weights from presence rows."""
     names = sorted(set(labels))
-    x = x.astype(np.float32)
-    size = np.sqrt(np.maximum(x.sum(1), 1))
+    size = np.sqrt(np.maximum(x.sum(1), 1)).astype(np.float32)
     rng = np.random.default_rng(seed)
     by_name = [rng.permutation([i for i, v in enumerate(labels) if v == name]) for name in names]
     order = [v[k] for k in range(max(map(len, by_name))) for v in by_name if k < len(v)]
     chosen = np.sort(order[:landmarks])
-    z, z_size = x[chosen], size[chosen]
-    kernel = (x @ z.T) / size[:, None] / z_size[None, :]
+    z, z_size = x[chosen].astype(np.float32), size[chosen]
+    shared = np.concatenate([x[a : a + SLICE_ROWS].astype(np.float32) @ z.T for a in range(0, len(x), SLICE_ROWS)])
+    kernel = shared / size[:, None] / z_size[None, :]
     values, vectors = np.linalg.eigh(kernel[chosen].astype(np.float64))
     keep = values > 1e-6 * values.max()
     to_features = vectors[:, keep] / np.sqrt(values[keep])
     feats = np.column_stack([kernel @ to_features, np.ones(len(x))])
     target = np.array([[1.0 if v == name else -1.0 for name in names] for v in labels])
     # Each language counts alike, however many rows it has.
-    weight = np.array([1.0 / labels.count(v) for v in labels])
+    rows_of = Counter(labels)
+    weight = np.array([1.0 / rows_of[v] for v in labels])
     gram = (feats * weight[:, None]).T @ feats + ridge * np.eye(feats.shape[1]) * weight.sum() / len(labels)
     solved = np.linalg.solve(gram, (feats * weight[:, None]).T @ target)
     return {
@@ -97,28 +103,40 @@ def predict(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, share[np.arange(len(best)), best]
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400) -> dict | None:
-    """Fits on at most ``per_lang`` rows of each language, none of them held out and no id twice in one."""
+def learn(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400, max_rows: int = 12_000
+) -> dict | None:
+    """Fits on at most ``per_lang`` rows of each language, none of them held out and no id twice in one.
+
+    With so many languages that this passes ``max_rows`` (16 kB each on the driver),
+    each gets an equal share of them, one row at least. Ids are ranked within
+    ``RANK_PARTS`` parts of a language first, so a task ranks at most
+    ``RANK_PARTS * per_lang`` of them, however many rows a language has.
+    """
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text")
     ).filter(F.col("label").isNotNull() & F.col("text").isNotNull() & (fold("id") != 0))
-    ranked = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        rows.select("id", "label").distinct().withColumn("k", F.row_number().over(ranked)).filter(F.col("k") <= per_lang).select("id", "label")
-    )
+    order = [F.xxhash64("id"), F.col("id")]
+    ids = rows.select("id", "label").distinct().withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.lit(RANK_PARTS)))
+    own = ids.withColumn("k", F.row_number().over(Window.partitionBy("label", "part").orderBy(*order))).filter(F.col("k") <= per_lang)
+    first = own.withColumn("k", F.row_number().over(Window.partitionBy("label").orderBy(*order))).filter(F.col("k") <= per_lang)
+    first = stored(first.select("id", "label", "k"))
+    langs = first.select("label").distinct().count()
+    share = max(1, min(per_lang, max_rows // max(langs, 1)))
+    chosen = first.filter(F.col("k") <= share).select("id", "label")
 
     def run(batches):
         for batch in batches:
             data, off = flat_bytes(batch.column(1))
             packed = [
                 np.packbits(row).tobytes()
-                for a, b in row_slices(off, 1 << 20)
+                for a, b in row_slices(off, 1 << 20, SLICE_ROWS)
                 for row in presence(data[off[a] : off[b]], off[a : b + 1] - off[a])
             ]
             yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], ["label", "bits"])
 
     sample = (
-        rows.join(F.broadcast(chosen), ["id", "label"], "left_semi")  # per_lang ids of each language
+        rows.join(F.broadcast(chosen), ["id", "label"], "left_semi")  # at most max_rows ids, or one of each language
         .groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))  # one row of each
         .select("label", "text").mapInArrow(run, "label string, bits binary").collect()
     )
@@ -145,7 +163,7 @@ def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
             data, off = flat_bytes(batch.column("text"))
             letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
             best, share = np.zeros(len(letters), np.int64), np.zeros(len(letters))
-            for a, b in row_slices(off, 1 << 18):
+            for a, b in row_slices(off, 1 << 18, SLICE_ROWS):
                 best[a:b], share[a:b] = predict(m, presence(data[off[a] : off[b]], off[a : b + 1] - off[a]))
             names = [m["names"][k] if ok else "und" for k, ok in zip(best, letters, strict=True)]
             yield pa.record_batch(
