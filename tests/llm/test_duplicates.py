@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -187,9 +188,10 @@ def test_repeated_strings_at_all_shifts(spark):
     assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 for r in kept)
 
 
-def brute_lines(data, min_lines=2, long_line=240):
+def brute_lines(data, min_lines=2, long_line=line_dedup.LONG_LINE, short_line=line_dedup.SHORT_LINE, common=line_dedup.COMMON):
     """Documents in order; which texts remain."""
     seen, out = set(), []
+    spread = Counter(x for _, text in data for x in set((text or "").split("\n")))
     for _, text in data:
         if not text:
             out.append(text)
@@ -200,7 +202,8 @@ def brute_lines(data, min_lines=2, long_line=240):
         found = []
         for p in range(len(solid)):
             windows = [tuple(solid[p : p + min_lines])] if p + min_lines <= len(solid) else []
-            if len(solid[p][1]) >= long_line:
+            x = solid[p][1]
+            if len(x) >= long_line or (len(x) >= short_line and spread[x] >= common):
                 windows.append((solid[p],))
             for w in windows:
                 key = (len(w), *(x for _, x in w))
@@ -224,10 +227,42 @@ def test_line_dedup_against_brute_force(spark):
     pool = [edge.prose(rng, 4) for _ in range(12)] + [edge.prose(rng, 60) for _ in range(3)] + ["", "  "]
     data = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 9)))) for i in range(80)] + [(90, None), (91, "")]
     docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 as k1", "2 as pos", "3 as row")
-    for n in (2, 3):
-        out = line_dedup.dedup_lines(docs, min_lines=n)
+    for n, long_line, short_line, common in ((2, 240, 240, 1), (3, 240, 15, 24), (4, 40, 12, 10), (1, 10_000, 10_000, 1)):
+        out = line_dedup.dedup_lines(docs, min_lines=n, long_line=long_line, short_line=short_line, common=common)
         assert out.columns == [*docs.columns, "_lines"]
-        assert [r.text for r in out.orderBy("doc_id").collect()] == brute_lines(data, n)
+        assert [r.text for r in out.orderBy("doc_id").collect()] == brute_lines(data, n, long_line, short_line, common)
+
+
+def test_line_dedup_of_short_boilerplate(spark):
+    """A line between unique lines goes by its length and the documents that have it, not by its number of places."""
+    rng = random.Random(15)
+    banner, title, sign = "Read more on our site", "Chapter one", "* * *"
+    data = [(i, "\n".join([edge.prose(rng, 9), banner, edge.prose(rng, 9), sign, edge.prose(rng, 9)])) for i in range(12)]
+    data += [(20, "\n".join(f"{title}\n{edge.prose(rng, 9)}" for _ in range(15)))]
+    out = [r.text for r in line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert out == brute_lines(data)
+    assert [banner in t for t in out[:12]] == [True] + [False] * 11 and all(sign in t for t in out[:12]) and out[12].count(title) == 15
+
+
+def test_line_dedup_of_a_very_long_text(spark):
+    rng = random.Random(16)
+    pool = [edge.prose(rng, 3) for _ in range(3_000)]
+    long = "\n".join(rng.choice(pool) for _ in range(20_000)) + "\n" + "same line here\n" * 20_000
+    data = [(1, pool[0] + "\n" + pool[1]), (2, long), (3, "a" * 2_000_000)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.text for r in out] == brute_lines(data)
+
+
+def test_fingerprints_are_window_minima(spark):
+    """Every window holds a selected line, and selected lines are least in one of their windows."""
+    rng = random.Random(17)
+    text = "\n".join(edge.word(rng) for _ in range(60))
+    docs = spark.createDataFrame([(1, 1, text)], "k1 long, k2 long, text string")
+    rows = line_dedup._lines(docs, "text", 5).collect()
+    h = {r.pos: r.h for r in rows if r.around is None}
+    wanted = {max((p + o for o in range(5)), key=lambda q: (-h[q], q)) for p in range(56)}
+    assert {r.pos for r in rows if r.around is not None} == wanted and len(wanted) < 40
+    assert all(r.around[r["at"]].h == r.h for r in rows if r.around is not None)
 
 
 def test_line_dedup_edge_cases(spark):

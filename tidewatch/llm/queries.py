@@ -104,6 +104,8 @@ ORACLE = {
             FROM solid a JOIN solid b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1
             UNION ALL
             SELECT doc_id, pos, i, i, 1, line, NULL FROM solid WHERE length(line) >= {line_dedup.LONG_LINE}
+                OR (length(line) >= {line_dedup.SHORT_LINE} AND line IN
+                    (SELECT line FROM solid GROUP BY line HAVING count(DISTINCT doc_id) >= {line_dedup.COMMON}))
         ), ordered AS (
             SELECT *, row_number() OVER (PARTITION BY len, x, y ORDER BY doc_id, pos) AS seen FROM pairs
         ), later AS (
