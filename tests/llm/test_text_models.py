@@ -281,6 +281,28 @@ def test_quality_is_learnt(spark):
     assert quality.scored(docs.limit(0), model).count() == 0
 
 
+def test_contexts_are_summed_over_the_corpus(spark, monkeypatch):
+    """Sums over all texts outside the held-out fold, labelled or not, against one neighbour after the other."""
+    rng = random.Random(18)
+    data = [(i, edge.prose(rng, rng.randint(0, 30))) for i in range(90)] + [(None, "left out"), (200, None), (201, ""), (7, "again again again")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 as task", "2 as block")
+    signs, wanted = np.sign(quality.index_vectors()), np.zeros((quality.BUCKETS, quality.WIDTH))
+    for i, text in data:
+        if i is None or zlib.crc32(str(i).encode()) % 5 == 0 or not text:
+            continue
+        raw = np.frombuffer(text.encode(), np.uint8)
+        word, shape, _ = quality.terms(raw, np.array([0, len(raw)]))
+        for k in range(len(word)):
+            for j in (k - 1, k + 1):
+                if 0 <= j < len(word):
+                    for own in (word[k], shape[k]):
+                        wanted[own] += signs[word[j]] + signs[shape[j]]
+    monkeypatch.setattr(quality, "ADDED", 2)  # several rounds
+    for parts in (1, 9):
+        assert np.array_equal(quality.corpus_contexts(docs.repartition(parts)), wanted)
+    assert not quality.corpus_contexts(docs.limit(0)).any()
+
+
 def test_learning_samples_hold_one_row_an_id(spark, monkeypatch):
     rng = random.Random(12)
     data = [(i % 40 if i < 80 else 3, edge.prose(rng, 12), "aa" if i % 2 else "bb") for i in range(400)]  # most rows have the id 3

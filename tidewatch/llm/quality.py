@@ -2,20 +2,22 @@
 
 Method: every term bucket has a fixed sparse ternary index vector; its word
 vector is the (centred, scaled) sum of the index vectors of the terms around
-its occurrences in the learning texts, plus its own index vector. A word gives
+its occurrences in the corpus, plus its own index vector. A word gives
 two terms: its lower-cased letters, and its shape (classes of its first and
 last bytes, and whether it repeats the word before). A text is the mean and the
 spread of its terms' vectors. A two-layer numpy network scores it, and a
 temperature fitted on rows apart calibrates the probability.
 
-Learning takes at most ``per_label`` labelled rows of each label, chosen by a
-hash of the id (a documented bound of the sample); word vectors are summed over
-these texts by a Spark job. Scoring is one pass over whole texts, no shuffle.
+Word vectors are summed by a Spark job over all texts outside the held-out fold
+(no labels are read for them). The network is fitted on at most ``per_label``
+labelled rows of each label, chosen by a hash of the id (a documented bound of
+the sample). Scoring is one pass over whole texts, no shuffle.
 
 Defined results: null and empty texts score as a text without words; without
 learning rows of both labels every text scores 0.5; a null id stays null and
 counts as held out; repeated rows are scored each; conflicting labels of an id
-all count; an empty table gives no rows; only id, text and label are read.
+all count; a very long text is read whole, in slices of whole rows; equal scores stay
+tied; an empty table gives no rows; only id, text and label are read.
 """
 
 from __future__ import annotations
@@ -23,16 +25,19 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import LOWER, flat_bytes, mix, row_slices, word_hashes, words
 from .language import fold
+from .tables import stored
 
 BUCKETS = 1 << 14
 WIDTH = 48
 BLOCKS = 16
+ADDED = 32  # tasks whose sums are added at a time
+_PARTS = "task int, block int, sums binary"
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 #: Byte classes of a word's shape: a letter, A capital, 9 digit, u other script; signs stand for themselves.
@@ -74,21 +79,20 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return bucket(h), bucket(mix(shape)), row
 
 
-def context_sums(data: np.ndarray, offsets: np.ndarray, index: np.ndarray, out: np.ndarray) -> None:
-    """Adds to ``out`` the index vectors of the neighbours of every term."""
+def context_sums(data: np.ndarray, offsets: np.ndarray, signs: np.ndarray, out: np.ndarray) -> None:
+    """Adds to ``out`` the index vectors, in whole signs, of the neighbours of every term."""
     word, shape, row = terms(data, offsets)
     if len(word) < 2:
         return
-    beside = row[1:] == row[:-1]
-    left, right = np.flatnonzero(beside), np.flatnonzero(beside) + 1
-    for target, source in ((left, right), (right, left)):
-        around = index[word[source]] + index[shape[source]]
-        for own in (word, shape):
-            keys = own[target]
-            order = np.argsort(keys, kind="stable")
-            first = np.flatnonzero(np.r_[True, np.diff(keys[order]) > 0]) if len(order) else order
-            if len(order):
-                out[keys[order][first]] += np.add.reduceat(around[order], first, axis=0)
+    own = signs[word] + signs[shape]
+    beside = (row[1:] == row[:-1])[:, None]
+    around = np.zeros_like(own)
+    around[1:] += own[:-1] * beside
+    around[:-1] += own[1:] * beside
+    for keys in (word.astype(np.uint16), shape.astype(np.uint16)):
+        order = np.argsort(keys, kind="stable")
+        first = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
+        out[keys[order][first]] += np.add.reduceat(around[order], first, axis=0, dtype=np.float64)
 
 
 def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -159,6 +163,42 @@ def score(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip((h @ model["w2"] + model["b2"]) / model["t"], -30, 30).astype(np.float64)))
 
 
+def corpus_contexts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
+    """BUCKETS x WIDTH sums of the index vectors around every term, over all texts outside the held-out fold.
+
+    Each task sums its texts into BLOCKS rows of a fixed size; these are added
+    ADDED tasks at a time, so no task holds more than ADDED of them, and BLOCKS
+    rows come to the driver whatever the input. Sums are of whole signs, so
+    they do not depend on how the texts were dealt to tasks.
+    """
+
+    def sums(batches):
+        signs, out = np.sign(index_vectors()), np.zeros((BUCKETS, WIDTH))
+        for batch in batches:
+            data, off = flat_bytes(batch.column("text"))
+            for a, b in row_slices(off, 1 << 18):
+                context_sums(data[off[a] : off[b]], off[a : b + 1] - off[a], signs, out)
+        if out.any():
+            blocks = [x.astype(np.int64).tobytes() for x in np.split(out, BLOCKS)]
+            task = pa.array([TaskContext.get().partitionId()] * BLOCKS, pa.int32())
+            yield pa.record_batch([task, pa.array(range(BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], ["task", "block", "sums"])
+
+    def added(key, pdf):
+        total = sum(np.frombuffer(x, np.int64) for x in pdf["sums"])
+        return pd.DataFrame({"task": [key[0]], "block": [key[1]], "sums": [total.tobytes()]})
+
+    learning = docs.filter(fold(id_col) != 0).select(F.col(text_col).cast("string").alias("text"))
+    parts = stored(learning.mapInArrow(sums, _PARTS))
+    tasks = parts.agg(F.max("task")).first()[0]
+    if tasks is None:
+        return np.zeros((BUCKETS, WIDTH))
+    while tasks > 0:
+        tasks //= ADDED
+        parts = parts.groupBy(F.floor(F.col("task") / ADDED).cast("int").alias("task"), "block").applyInPandas(added, _PARTS)
+    rows = sorted(parts.collect(), key=lambda r: r.block)
+    return np.concatenate([np.frombuffer(r.sums, np.int64) for r in rows]).reshape(BUCKETS, WIDTH).astype(np.float64)
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_label: int = 3000
 ) -> dict | None:
@@ -176,20 +216,6 @@ def learn(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
-    def sums(batches):
-        index, out = index_vectors(), np.zeros((BUCKETS, WIDTH))
-        for batch in batches:
-            data, off = flat_bytes(batch.column("text"))
-            for a, b in row_slices(off, 1 << 18):
-                context_sums(data[off[a] : off[b]], off[a : b + 1] - off[a], index, out)
-        size = BUCKETS // BLOCKS
-        blocks = [np.rint(out[k * size : (k + 1) * size] * 8).astype(np.int64).tobytes() for k in range(BLOCKS)]
-        yield pa.record_batch([pa.array(range(BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], ["block", "sums"])
-
-    def added(key, pdf):
-        total = sum(np.frombuffer(x, np.int64) for x in pdf["sums"])
-        return pd.DataFrame({"block": [key[0]], "sums": [total.tobytes()]})
-
     def features(vectors):
         def run(batches):
             for batch in batches:
@@ -202,13 +228,9 @@ def learn(
         return run
 
     try:
-        gathered = (
-            sample.mapInArrow(sums, "block int, sums binary").groupBy("block").applyInPandas(added, "block int, sums binary").collect()
-        )
-        if not gathered:
+        if sample.select("label").distinct().count() < 2:
             return None
-        context = np.concatenate([np.frombuffer(r.sums, np.int64) for r in sorted(gathered, key=lambda r: r.block)])
-        context = context.reshape(BUCKETS, WIDTH).astype(np.float64) / 8
+        context = corpus_contexts(docs, id_col, text_col)
         norm = np.linalg.norm(context, axis=1, keepdims=True)
         unit = context / np.maximum(norm, 1e-9)
         seen = norm[:, 0] > 0
