@@ -83,3 +83,21 @@ def test_stream_tagging_equals_batch(spark):
     s = {tuple(r) for r in catalog.REGISTRY["stream_tagging"](spark, SF).collect()}
     b = {tuple(r) for r in catalog.REGISTRY["match_keywords_fuzzy"](spark, SF).collect()}
     assert s == b and len(b) > 0
+
+
+def test_write_tweets_shuffles_keys_and_keeps_rows_of_repeated_ones(spark, tmp_path):
+    from tidewatch.sources import tweets as tw
+
+    schema = "epoch_day long, id long, text string"
+
+    def add(rows):
+        got = tw.write_tweets(spark, spark.createDataFrame(rows, schema), f"{tmp_path}/t")
+        return sorted(((r.epoch_day, r.id, r.text) for r in got.collect()), key=str)
+
+    first = [(1, 1, "a"), (1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 5, "d"), (None, 5, "d"), (2, None, "e"), (2, None, "e")]
+    once = sorted(set(first), key=str)
+    assert add(first) == once
+    # stored keys stay; a null key never equals a stored one, as in a plain anti-join
+    assert add([(1, 1, "z"), (3, 1, "f"), (3, 1, "f"), (2, None, "g")]) == sorted([*once, (3, 1, "f"), (2, None, "g")], key=str)
+    plan = tw.write_tweets(spark, spark.createDataFrame([(9, 9, "x")], schema), f"{tmp_path}/u")
+    assert plan.count() == 1
