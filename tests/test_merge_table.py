@@ -123,3 +123,40 @@ def test_live_user_state_equals_the_batch_after_restarts(spark, tmp_path):
 
 def test_live_user_state_of_an_empty_stream(spark, tmp_path):
     assert us.current_user_state(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_cells_take_rows_and_count_seen_in_their_totals():
+    from pyspark.sql import Row
+
+    class Items(dict):
+        def getValue(self, k):  # noqa: N802
+            return self.get(k)
+
+        def updateValue(self, k, v):  # noqa: N802
+            self[k] = v
+
+    class Total:
+        row = None
+
+        def get(self):
+            return self.row
+
+        def update(self, row):
+            self.row = row
+
+    def cell():
+        p = us.cell_processor()
+        p.items, p.total = Items(), Total()
+        return p
+
+    def feed(p, kind, *items):
+        rows = iter([Row(item=i, lat=la, lon=lo) for i, la, lo in items])
+        return [tuple(r)[:5] for r in p.handleInputRows(("u", kind, 0), rows, None)]
+
+    p = cell()
+    assert feed(p, "seen", ("", None, None), ("", None, None)) == [("u", "seen", 0, 1, 2)]
+    assert feed(p, "seen", ("", None, None)) == [("u", "seen", 0, 1, 3)] and not p.items
+    p = cell()
+    assert feed(p, "geo", ("a", 0.0, 0.0), ("b", 0.0, 90.0), ("a", 0.0, 0.0)) == [("u", "geo", 0, 2, 3)]
+    assert feed(p, "geo", ("b", 0.0, 90.0)) == [("u", "geo", 0, 2, 4)]
+    assert [round(x, 9) for x in p.total.row[2:]] == [1, 1, 0] and p.items == {("a",): (2,), ("b",): (2,)}

@@ -54,9 +54,13 @@ def observations(rows: DataFrame, shards: int = SHARDS, geo_order: str = "latlon
 
 
 def cell_processor():
-    """State of a cell: distinct items with their numbers, and the totals that are given out."""
-    import numpy as np
-    import pandas as pd
+    """State of a cell: distinct items with their numbers, and the totals that are given out.
+
+    Rows come one by one: most cells of a micro-batch hold a few, for which a pandas table costs
+    far more than the work. The one item of a ``seen`` cell is counted in its totals."""
+    from math import cos, radians, sin
+
+    from pyspark.sql import Row
     from pyspark.sql.streaming import StatefulProcessor
 
     class Cells(StatefulProcessor):
@@ -64,22 +68,27 @@ def cell_processor():
             self.items = handle.getMapState("items", "item string", "occurrences long")
             self.total = handle.getValueState("total", "n long, occurrences long, cx double, cy double, cz double")
 
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:  # noqa: N802
-            table = pd.concat(list(rows))
-            own = table.groupby("item", sort=True).agg(times=("item", "size"), lat=("lat", "first"), lon=("lon", "first"))
-            n, occurrences, x, y, z = self.total.get() if self.total.exists() else (0, 0, 0.0, 0.0, 0.0)
-            for item, times, lat, lon in own.itertuples():
-                held = self.items.getValue((item,))[0] if self.items.containsKey((item,)) else 0
-                self.items.updateValue((item,), (int(held + times),))
-                occurrences += int(times)
+        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:  # noqa: N802
+            own: dict = {}
+            for r in rows:
+                times, lat, lon = own.get(r["item"], (0, None, None))
+                own[r["item"]] = times + 1, r["lat"] if lat is None else lat, r["lon"] if lon is None else lon
+            n, occurrences, x, y, z = self.total.get() or (0, 0, 0.0, 0.0, 0.0)
+            seen = key[1] == "seen"
+            for item in sorted(own):
+                times, lat, lon = own[item]
+                held = occurrences if seen else (self.items.getValue((item,)) or (0,))[0]
+                if not seen:
+                    self.items.updateValue((item,), (held + times,))
+                occurrences += times
                 if held == 0:
                     n += 1
-                    if not pd.isna(lat):
-                        la, lo = np.radians(lat), np.radians(lon)
-                        x, y, z = x + np.cos(la) * np.cos(lo), y + np.cos(la) * np.sin(lo), z + np.sin(la)
-            total = (int(n), int(occurrences), float(x), float(y), float(z))
+                    if lat is not None:
+                        la, lo = radians(lat), radians(lon)
+                        x, y, z = x + cos(la) * cos(lo), y + cos(la) * sin(lo), z + sin(la)
+            total = (n, occurrences, x, y, z)
             self.total.update(total)
-            yield pd.DataFrame([(*key, *total)], columns=["user_id", "kind", "shard", "n", "occurrences", "cx", "cy", "cz"])
+            yield Row(**dict(zip(("user_id", "kind", "shard", "n", "occurrences", "cx", "cy", "cz"), (*key, *total), strict=True)))
 
         def close(self) -> None:
             pass
@@ -94,7 +103,7 @@ def run_user_state(spark: SparkSession, rows: DataFrame, table_path: str, checkp
         merge_table.merge(spark, table_path, batch, CELL_KEYS, fill=False, token=batch_id, buckets=buckets)
 
     with state_store(spark, state_partitions):
-        cells = observations(rows, shards, geo_order).groupBy(*CELL_KEYS).transformWithStateInPandas(
+        cells = observations(rows, shards, geo_order).groupBy(*CELL_KEYS).transformWithState(
             statefulProcessor=cell_processor(), outputStructType=CELL, outputMode="Update", timeMode="None")
         foreach_batch_available_now(cells, write, checkpoint, mode="update")
 
