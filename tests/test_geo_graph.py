@@ -130,3 +130,17 @@ def test_rounds_do_not_shuffle_the_edges(spark):
         und.unpersist()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_distinct_edges_stay_in_all_partitions_and_are_shuffled_once(spark):
+    rows = [(f"u{i % 50}", f"v{i % 7}") for i in range(400)] + [(None, "v1"), (None, "v1"), ("u1", None)]
+    tweets = spark.createDataFrame(rows, "src string, dst string")
+    edges = gr.reply_edges(tweets, "src", "dst")
+    assert edges.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = gr.adjacency_rows(edges)
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+    want = {(s, "to", d) for s, d in rows if d} | {(d, "by", s) for s, d in rows if d}
+    got = [tuple(r) for r in both.collect()]
+    assert set(got) == want and len(got) == len(want)
+    again = gr.adjacency_rows(tweets.filter("dst is not null")).collect()  # repeated edges are reported once
+    assert len(again) == len(want)
