@@ -1,3 +1,4 @@
+import math
 import random
 
 
@@ -144,3 +145,49 @@ def test_distinct_edges_stay_in_all_partitions_and_are_shuffled_once(spark):
     assert set(got) == want and len(got) == len(want)
     again = gr.adjacency_rows(tweets.filter("dst is not null")).collect()  # repeated edges are reported once
     assert len(again) == len(want)
+
+
+def plain_propagation(edges, anchors, rounds):
+    """Rounds over plain lists: (user, location or None, number of inferred points) of users without an anchor, new users per round."""
+    near = {}
+    for s, d in edges:
+        for a, b in ((s, d), (d, s)):
+            near.setdefault(a, set()).update({b} - {a})
+    at, n, new, end = {}, {}, [], {}
+    for it in range(1, rounds + 1):
+        known, nxt = dict(at), {}
+        for u in set(near) - {a for a, *_ in anchors}:
+            pts = [(la, lo) for v in near[u] for w, la, lo in anchors if w == v] + [known[v] for v in near[u] if v in known]
+            if pts:
+                v = [sum(f(math.radians(la), math.radians(lo)) for la, lo in pts) for f in (
+                    lambda a, o: math.cos(a) * math.cos(o), lambda a, o: math.cos(a) * math.sin(o), lambda a, o: math.sin(a))]
+                nxt[u] = math.degrees(math.atan2(v[2], math.hypot(v[0], v[1]))), math.degrees(math.atan2(v[1], v[0]))
+        if it == rounds:
+            end = nxt
+        else:
+            new.append(len(set(nxt) - set(n)))
+            at |= nxt
+            n |= {u: n.get(u, 0) + 1 for u in nxt}
+    return {u: (end.get(u), n.get(u, 0)) for u in set(near) - {a for a, *_ in anchors}}, new
+
+
+def test_rounds_read_the_edges_between_users_without_an_anchor_only(spark, monkeypatch):
+    rnd = random.Random(11)
+    anchors = [(f"a{i}", rnd.uniform(-50, 50), rnd.uniform(-90, 90)) for i in range(4)] + [("a0", 40, 10)]  # one comes twice
+    edges = [(f"u{rnd.randrange(25)}", f"u{rnd.randrange(25)}") for _ in range(30)]
+    edges += [(f"u{rnd.randrange(25)}", f"a{i % 4}") for i in range(8)] + [("a1", "a2"), ("u1", "u1"), (None, "u2"), ("a3", "w")]
+    laid, plain = [], gr.laid_out
+    monkeypatch.setattr(gr, "laid_out", lambda und, n: laid.extend(und.collect()) or plain(und, n))
+    e = spark.createDataFrame(edges, "src string, dst string")
+    res = gr.propagate_locations(e, _anchors(spark, anchors), 4)
+    assert laid and not [r for r in laid if r.src.startswith("a") or r.dst.startswith("a")]
+    want, new = plain_propagation([x for x in edges if x[0]], anchors, 4)
+    rows = res["users"].collect()
+    got = {r.user_id: (None if r.location is None else (r.location.lat, r.location.lon), len(r.inferred)) for r in rows}
+    assert {u for u in got if u[0] != "a"} == set(want)
+    for u, (at, n) in want.items():
+        assert got[u][1] == n and (at is None) == (got[u][0] is None)
+        assert at is None or max(abs(x - y) for x, y in zip(at, got[u][0], strict=True)) < 1e-4
+    assert sum(r.user_id == "a0" for r in rows) == 4 and sum(r.user_id == "a1" for r in rows) == 1  # as a join on a repeated key gives
+    processed = len(want) + len(anchors)
+    assert [tuple(r) for r in res["metrics"].collect()] == [(t + 1, processed, k) for t, k in enumerate([*new, 0])]

@@ -58,6 +58,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in one job. Unlike a persisted copy (``cut_lineage``),
+    which keeps every shuffle partition, it is written in as few parts as the
+    measured sizes of its shuffles ask for."""
+    from tidewatch.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """A data-derived lookup table (e.g. term → match map) for a join with a
     big table: materialised once (checkpoint), measured in bytes on the
