@@ -81,3 +81,19 @@ def test_a_batch_run_again_after_a_crash_adds_nothing_twice(spark, tmp_path, mon
             run(spark, src, work, docs)
     run(spark, src, work, docs)
     assert read(spark, docs) == batch(spark, rows, f"{tmp_path}/plain")
+
+
+def test_a_batch_writes_few_files_whatever_the_shuffle_partitions(spark, tmp_path):
+    src, work, docs = f"{tmp_path}/in", f"{tmp_path}/work", f"{tmp_path}/docs"
+    rows = messages(1, 200, 3)
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(src)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        run(spark, src, work, docs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for table in ("cube", "totals"):
+        written = [f.rsplit("/", 1)[0] for f in files(f"{work}/{table}/data") if f.endswith(".parquet")]
+        assert written and max(written.count(b) for b in written) <= spark.sparkContext.defaultParallelism
+    assert read(spark, docs) == batch(spark, rows, f"{tmp_path}/plain")

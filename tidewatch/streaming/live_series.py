@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.labels import section_label
 from tidewatch.operators import timeseries as ts
-from tidewatch.operators.common import cut_lineage
+from tidewatch.operators.common import checkpointed
 from tidewatch.sources import merge_table
 from tidewatch.sources.messages import write_timeseries
 from tidewatch.streaming.pipelines import foreach_batch_available_now
@@ -43,11 +43,12 @@ def run_live_series(spark: SparkSession, messages: DataFrame, work: str, documen
                     buckets: int = merge_table.BUCKETS) -> None:
     """Drain the stream of messages into the tables under ``work`` and the documents (S16) at ``documents``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        delta = cut_lineage(ts.hour_cube(batch))
+        # deltas are small beside the batch: in few parts, so that a merge writes few files for each bucket
+        delta = checkpointed(ts.hour_cube(batch))
         if delta.isEmpty():
             return
         merge_table.merge(spark, f"{work}/cube", delta, ["hour", "section", "value"], token=batch_id, buckets=buckets, add=MEASURES)
-        by_span = ts.span_counts(ts.span_cube(delta, levels))
+        by_span = checkpointed(ts.span_counts(ts.span_cube(delta, levels)))
         merge_table.merge(spark, f"{work}/totals", by_span, ["timespan", "section", "value"], token=batch_id, buckets=buckets, add=MEASURES)
         write_timeseries(touched_documents(spark, work, delta, k, levels), documents, only_spans=True)
 
