@@ -118,3 +118,67 @@ def test_fan_out_keeps_bad_lines_out_of_the_table(spark, tmp_path):
     assert sorted(r.reason for r in dead.collect()) == ["malformed", "missing_time", "missing_user"]
     assert [(r.epoch_day, r.id) for r in spark.read.parquet(f"{tmp_path}/t").collect()] == [(1, 7)]
     assert spark.read.json(f"{tmp_path}/g").count() == 2 and spark.read.json(f"{tmp_path}/p").count() == 2
+
+
+def test_consumed_lines_go_once_they_are_stored_and_none_is_lost(spark, tmp_path):
+    src, root = f"{tmp_path}/in", f"{tmp_path}/w"
+    paths = [f"{tmp_path}/{x}" for x in ("t", "g", "p")]
+
+    def tweet(i):
+        return json.dumps({"id": i, "timestamp_ms": "86400000", "user": {"id": 1, "screen_name": "a"}, "text": f"t{i}"})
+
+    def left():
+        return [n for n in os.listdir(src) if not n.startswith(".")]
+
+    def ids(*formats):
+        return [sorted(r.id for r in spark.read.format(f).load(p).selectExpr(f"cast({c} as long) as id").collect())
+                for p, f, c in zip(paths, formats, ("id", "id", "message.id"), strict=True)]
+
+    for i in range(4):
+        write_lines(src, f"{i}.txt", [tweet(i), tweet(10 + i), f"prose {i}"])
+    args = {"max_files_per_trigger": 1, "consume": True}
+    dead = dl.fan_out_lines(spark, src, root, *paths, **args)
+    assert ids("parquet", "json", "json") == [[0, 1, 2, 3, 10, 11, 12, 13]] * 3
+    assert sorted(r.line for r in dead.collect()) == [f"prose {i}" for i in range(4)]
+    assert len(left()) <= 1  # the files of the last micro-batch may stay
+    found = [f"{d}/{n}" for d, _, names in os.walk(f"{root}/dead") for n in names if n.startswith("part-")]
+    assert found and all(n.endswith(".json.gz") for n in found)
+    # A later run takes what is new and nothing twice.
+    write_lines(src, "9.txt", [tweet(20), "prose 9"])
+    dead = dl.fan_out_lines(spark, src, root, *paths, **args)
+    assert ids("parquet", "json", "json") == [[0, 1, 2, 3, 10, 11, 12, 13, 20]] * 3 and dead.count() == 5
+
+
+def test_a_first_batch_without_a_good_line(spark, tmp_path):
+    src, root = f"{tmp_path}/in", f"{tmp_path}/w"
+    paths = [f"{tmp_path}/{x}" for x in ("t", "g", "p")]
+    write_lines(src, "0.txt", ["prose"])
+    assert dl.fan_out_lines(spark, src, root, *paths, max_files_per_trigger=1).count() == 1
+    write_lines(src, "1.txt", [json.dumps({"id": 5, "timestamp_ms": "1", "user": {"id": 1}})])
+    assert dl.fan_out_lines(spark, src, root, *paths, max_files_per_trigger=1).count() == 1
+    assert [(r.epoch_day, r.id) for r in spark.read.parquet(paths[0]).collect()] == [(0, 5)]
+
+
+def test_a_folder_is_kept_unless_it_is_a_queue(spark, tmp_path):
+    src, root = f"{tmp_path}/in", f"{tmp_path}/w"
+    for i in range(3):
+        write_lines(src, f"{i}.txt", [f"prose {i}"])
+    dead = dl.fan_out_lines(spark, src, root, *(f"{tmp_path}/{x}" for x in ("t", "g", "p")), max_files_per_trigger=1)
+    assert dead.count() == 3 and len([n for n in os.listdir(src) if not n.startswith(".")]) == 3
+
+
+def test_packed_lines_are_bounded_files_without_a_shuffle(spark, monkeypatch):
+    from tidewatch.plans import fixtures as fx
+
+    lines = spark.range(0, 100, 1, 2).selectExpr("concat('line ', id) as value")
+    shuffles = []
+    monkeypatch.setattr(type(lines), "repartition", lambda self, *a: shuffles.append(a) or self)
+    path = fx.packed_lines(spark, lines, "packed", 20)
+    sizes = {r.name: r.length for r in fx.file_sizes(spark, path).collect()}
+    assert not shuffles and len(sizes) == 6 and all(n.endswith(".txt.gz") for n in sizes)  # 50 lines a task: 20, 20, 10
+    rows = spark.read.text(path).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in rows) == 20 and sum(r["count"] for r in rows) == 100
+    assert fx.written_parts(spark, path) == 2
+    total, most = sum(sizes.values()), max(sizes.values())
+    assert total / 3 < fx.batch_bytes(spark, path, 3) <= total / 3 + most + 2  # not more than three batches
+    assert fx.batch_bytes(spark, path, 2, but=total) <= most + 1
