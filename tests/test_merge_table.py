@@ -160,3 +160,25 @@ def test_cells_take_rows_and_count_seen_in_their_totals():
     assert feed(p, "geo", ("a", 0.0, 0.0), ("b", 0.0, 90.0), ("a", 0.0, 0.0)) == [("u", "geo", 0, 2, 3)]
     assert feed(p, "geo", ("b", 0.0, 90.0)) == [("u", "geo", 0, 2, 4)]
     assert [round(x, 9) for x in p.total.row[2:]] == [1, 1, 0] and p.items == {("a",): (2,), ("b",): (2,)}
+
+
+def test_cells_of_native_state_equal_those_with_item_numbers(spark, tmp_path, monkeypatch):
+    schema = "id long, user_id long, in_reply_to long, geo string, place string"
+    rows, src = tweet_rows(), f"{tmp_path}/in"
+    python = []
+    monkeypatch.setattr(us, "cell_processor", lambda f=us.cell_processor: python.append(1) or f())
+
+    def cells(name):
+        c = mt.read_table(spark, f"{tmp_path}/{name}")
+        return sorted(tuple(r) for r in c.select("user_id", "kind", "shard", "n", "occurrences", *[F.round(v, 9) + 0.0 for v in ("cx", "cy", "cz")]).collect())
+
+    for at in (0, 200):
+        spark.createDataFrame(rows[at : at + 200], schema).repartition(2).write.mode("append").parquet(src)
+        stream = message_stream(spark, src, spark.read.parquet(src).schema, fmt="parquet", max_files_per_trigger=1)
+        for name, numbers in (("native", False), ("maps", True)):
+            us.run_user_state(spark, stream, f"{tmp_path}/{name}", f"{tmp_path}/ck-{name}", 3, state_partitions=2, buckets=4, item_numbers=numbers)
+            assert len(python) == (at // 200 + numbers)  # rows of the default way never reach Python
+        assert cells("native") == cells("maps")
+    replies = [r[1] for r in rows[:400] if r[2] == 7 and r[1] is not None]
+    hub = [c for c in cells("native") if c[:2] == ("7", "by")]
+    assert (sum(c[3] for c in hub), sum(c[4] for c in hub)) == (len(set(replies)), len(replies))

@@ -3,10 +3,13 @@
 Every tweet row gives observations of users: seen, a point, a place, an edge to
 the user replied to and one back from there. An observation belongs to a cell
 (user, kind, shard): the shard is a hash of the item, so the neighbours of a hub
-or the points of a busy user spread over ``shards`` keys. A cell's state
-(``transformWithState``) is the map of its distinct items with their numbers and
-the sum of the unit vectors; a micro-batch reads and writes only the items it
-brings. Changed cells are merged into a versioned table under the batch's
+or the points of a busy user spread over ``shards`` keys. The state is kept by
+Spark's own operators: every distinct item (``dropDuplicates``) and a cell's
+totals, which are its numbers of distinct items and of observations and the sum
+of the unit vectors of its items; a micro-batch reads and writes only the items
+and cells it brings. Where the number of each single item is wanted in the state
+too, ``item_numbers`` keeps cells as maps in Python (``transformWithState``),
+which costs several calls a cell. Changed cells are merged into a versioned table under the batch's
 number, so a batch that is run again is merged once, and ``current_user_state``
 adds up the cells of a user to the row that the batch ``user_state`` gives. A row
 without an author gives nothing (on raw lines it is a dead letter).
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.geo import bbox_center, centre_from_vector, geo_point
+from tidewatch.functions.geo import bbox_center, centre_from_vector, geo_point, unit_vector
 from tidewatch.sources import merge_table
 from tidewatch.streaming.dead_letters import state_store
 from tidewatch.streaming.pipelines import foreach_batch_available_now
@@ -53,8 +56,20 @@ def observations(rows: DataFrame, shards: int = SHARDS, geo_order: str = "latlon
     return items.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)).cast("int"))
 
 
+def running_cells(items: DataFrame) -> DataFrame:
+    """Cells of observations: on a stream in update mode, the running totals of those that a micro-batch changes.
+
+    An observation counts 1 for its cell; the first one of an item counts for the item and its place as well."""
+    zero = F.lit(0.0)
+    place = [F.coalesce(v, zero).alias(c) for c, v in zip(("cx", "cy", "cz"), unit_vector("lat", "lon"), strict=True)]
+    first = items.dropDuplicates(["user_id", "kind", "item"]).select(
+        *CELL_KEYS, F.lit(1).alias("n"), F.lit(0).alias("occurrences"), *place)
+    every = items.select(*CELL_KEYS, F.lit(0).alias("n"), F.lit(1).alias("occurrences"), *[zero.alias(c) for c in ("cx", "cy", "cz")])
+    return every.unionByName(first).groupBy(*CELL_KEYS).agg(*[F.sum(c).alias(c) for c in ("n", "occurrences", "cx", "cy", "cz")])
+
+
 def cell_processor():
-    """State of a cell: distinct items with their numbers, and the totals that are given out.
+    """State of a cell with the number of each item: distinct items with their numbers, and the totals that are given out.
 
     Rows come one by one: most cells of a micro-batch hold a few, for which a pandas table costs
     far more than the work. The one item of a ``seen`` cell is counted in its totals."""
@@ -97,14 +112,18 @@ def cell_processor():
 
 
 def run_user_state(spark: SparkSession, rows: DataFrame, table_path: str, checkpoint: str, shards: int = SHARDS,
-                   geo_order: str = "latlon", state_partitions: int | None = None, buckets: int = merge_table.BUCKETS) -> None:
-    """Drain the stream of tweet rows into the table of cells at ``table_path``."""
+                   geo_order: str = "latlon", state_partitions: int | None = None, buckets: int = merge_table.BUCKETS,
+                   item_numbers: bool = False) -> None:
+    """Drain the stream of tweet rows into the table of cells at ``table_path``. A checkpoint stays with
+    the ``item_numbers`` it began with; the table is the same."""
     def write(batch: DataFrame, batch_id: int) -> None:
         merge_table.merge(spark, table_path, batch, CELL_KEYS, fill=False, token=batch_id, buckets=buckets)
 
     with state_store(spark, state_partitions):
-        cells = observations(rows, shards, geo_order).groupBy(*CELL_KEYS).transformWithState(
-            statefulProcessor=cell_processor(), outputStructType=CELL, outputMode="Update", timeMode="None")
+        items = observations(rows, shards, geo_order)
+        cells = items.groupBy(*CELL_KEYS).transformWithState(
+            statefulProcessor=cell_processor(), outputStructType=CELL, outputMode="Update", timeMode="None",
+        ) if item_numbers else running_cells(items)
         foreach_batch_available_now(cells, write, checkpoint, mode="update")
 
 
