@@ -101,3 +101,23 @@ def test_write_tweets_shuffles_keys_and_keeps_rows_of_repeated_ones(spark, tmp_p
     assert add([(1, 1, "z"), (3, 1, "f"), (3, 1, "f"), (2, None, "g")]) == sorted([*once, (3, 1, "f"), (2, None, "g")], key=str)
     plan = tw.write_tweets(spark, spark.createDataFrame([(9, 9, "x")], schema), f"{tmp_path}/u")
     assert plan.count() == 1
+
+
+def test_fan_out_takes_packed_files_off_its_queue(spark, tmp_path):
+    from tidewatch import schema as S
+    from tidewatch.plans import fixtures as fx
+
+    tweets = [json.dumps({"id": i, "timestamp_ms": "86400000", "user": {"id": i % 3}, "text": f"text {i}"}) for i in range(40)]
+    notice = json.dumps({"limit": {"track": 3}})
+    lines = spark.createDataFrame([(t,) for t in [*tweets, tweets[0], notice]], "value string").repartition(4)
+    src = fx.packed_lines(spark, lines, "queue", 5)
+    before, parts = fx.file_sizes(spark, src).count(), fx.written_parts(spark, src)
+    assert parts == 4 and before > parts
+    stream = sp.message_stream(spark, src, S.RAW_TWEET, max_bytes_per_trigger=fx.batch_bytes(spark, src, 2), consume=True)
+    sp.fan_out(stream, *(f"{tmp_path}/{x}" for x in ("t", "g", "p", "ck")))
+    want = sorted([*((i, f"text {i}") for i in range(40))])
+    assert sorted((r.id, r.text) for r in spark.read.parquet(f"{tmp_path}/t").collect()) == want
+    for p, cols in (("g", ("id", "text")), ("p", ("cast(message.id as long)", "message.text"))):
+        found = spark.read.json(f"{tmp_path}/{p}").selectExpr(*(f"{c} as c{i}" for i, c in enumerate(cols))).collect()
+        assert sorted(map(tuple, found)) == sorted([*want, (0, "text 0")])  # queues are at least once
+    assert len(os.listdir(f"{tmp_path}/ck/commits")) >= 2 and fx.file_sizes(spark, src).count() < before
