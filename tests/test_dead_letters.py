@@ -180,5 +180,9 @@ def test_packed_lines_are_bounded_files_without_a_shuffle(spark, monkeypatch):
     assert max(r["count"] for r in rows) == 20 and sum(r["count"] for r in rows) == 100
     assert fx.written_parts(spark, path) == 2
     total, most = sum(sizes.values()), max(sizes.values())
-    assert total / 3 < fx.batch_bytes(spark, path, 3) <= total / 3 + most + 2  # not more than three batches
-    assert fx.batch_bytes(spark, path, 2, but=total) <= most + 1
+    assert total / 3 < fx.batch_bytes(spark, path, 3) <= total / 3 + most / 2 + 2
+    assert fx.batch_bytes(spark, path, 2, but=total) <= most / 2 + 1
+    even = spark.range(0, 4, 1, 2).selectExpr("'line' as value")  # two files of one size are two batches of one file
+    two = fx.packed_lines(spark, even, "packed", 20)
+    size = fx.total_bytes(spark, two) // 2
+    assert size < fx.batch_bytes(spark, two, 2) < 2 * size
